@@ -131,3 +131,138 @@ SELECT n_in AS input_count, n_out AS output_count, n_in - n_out AS rows_removed,
 FROM (SELECT (SELECT count(*) FROM {JOINED}) AS n_in,
              (SELECT count(*) FROM {JUMPS.format(src=FILTERED)} WHERE {JUMP_WHERE}) AS n_out)""",
        "prices", "token_map")
+
+
+# ------------------------------------------------------------------ E
+
+BOOK_TS = """CASE WHEN token_id = 'T7' THEN 0 ELSE "timestamp" END"""
+
+oracle("book_levels", f"""
+SELECT token_id, {BOOK_TS} AS "timestamp", side, round(price, 6) AS price, round(size, 6) AS size
+FROM book_levels""", "book_levels")
+
+oracle("book_ladder", """
+SELECT token_id, "timestamp", side, round(price, 6) AS price, round(size, 6) AS size, level_seq,
+       row_number() OVER (PARTITION BY token_id, "timestamp", side
+                          ORDER BY CASE WHEN side = 'bid' THEN -price ELSE price END, level_seq) AS level
+FROM book_levels""", "book_levels")
+
+QUOTES = """(SELECT token_id, "timestamp", max(CASE WHEN side = 'bid' THEN price END) AS bid,
+                    min(CASE WHEN side = 'ask' THEN price END) AS ask
+             FROM book_levels GROUP BY token_id, "timestamp")"""
+
+oracle("best_quotes", f"""SELECT token_id, "timestamp", {r('bid', 'bid')}, {r('ask', 'ask')} FROM {QUOTES}""",
+       "book_levels")
+oracle("mid_spread", f"""
+SELECT token_id, "timestamp", {r('bid', 'bid')}, {r('ask', 'ask')}, {r('(bid + ask) / 2', 'mid')},
+       {r('ask - bid', 'spread')} FROM {QUOTES}""", "book_levels")
+oracle("spread_snapshot", f"""
+SELECT token_id, {r('bid', 'bid')}, {r('ask', 'ask')}, {r('(bid + ask) / 2', 'mid')}, {r('ask - bid', 'spread')},
+       {BOOK_TS} AS "timestamp" FROM {QUOTES}""", "book_levels")
+oracle("spread_snapshot_levels", f"""
+SELECT token_id, {r('bid', 'bid')}, {r('ask', 'ask')}, {r('(bid + ask) / 2', 'mid')}, {r('ask - bid', 'spread')},
+       "timestamp" FROM {QUOTES}""", "book_levels")
+
+DEPTH = f"""(SELECT l.token_id, l."timestamp",
+       coalesce(sum(CASE WHEN l.side = 'bid' AND l.price >= (q.bid + q.ask) / 2 - {Q.DEPTH_DISTANCE}
+                         THEN l.size END), 0.0::DOUBLE) AS depth_bid,
+       coalesce(sum(CASE WHEN l.side = 'ask' AND l.price <= (q.bid + q.ask) / 2 + {Q.DEPTH_DISTANCE}
+                         THEN l.size END), 0.0::DOUBLE) AS depth_ask
+FROM book_levels l JOIN {QUOTES} q ON l.token_id = q.token_id AND l."timestamp" = q."timestamp"
+GROUP BY l.token_id, l."timestamp")"""
+
+oracle("depth_at_distance", f"""
+SELECT token_id, "timestamp", {r('depth_bid', 'depth_bid')}, {r('depth_ask', 'depth_ask')},
+       {r('depth_bid + depth_ask', 'depth_both')} FROM {DEPTH}""", "book_levels")
+oracle("depth_from_books", f"""
+SELECT token_id, {BOOK_TS} AS "timestamp", {r('depth_bid', 'depth_bid')}, {r('depth_ask', 'depth_ask')},
+       {r('depth_bid + depth_ask', 'depth_both')} FROM {DEPTH}""", "book_levels")
+
+# ------------------------------------------------------------------ B
+
+from oddsline.sources.oracle_views import ms as _ms  # noqa: E402
+
+POINTS = f"""(SELECT 'T' || user_id AS token_id, CAST(floor(event_id / 64) AS BIGINT) AS chunk_start,
+       CAST(row_number() OVER (PARTITION BY user_id, floor(event_id / 64) ORDER BY event_id) - 1 AS INTEGER) AS pos,
+       event_type, event_id, {_ms('ts')} AS t0, value
+FROM events)"""
+
+oracle("decode_price_history", f"""
+SELECT token_id, CASE WHEN event_type = 'view' THEN (t0 // 1000) * 1000 ELSE t0 END AS t,
+       round(value, 6) AS p, chunk_start, pos
+FROM {POINTS} WHERE event_type <> 'signup' AND event_id % 97 <> 0""")
+
+oracle("normalize_timestamps", f"""
+SELECT token_id, chunk_start, pos,
+       CASE WHEN event_type IN ('click', 'signup') THEN 'text' ELSE 'number' END AS t_kind,
+       CASE WHEN event_type = 'view' THEN (t0 // 1000) * 1000 WHEN event_type = 'signup' THEN NULL
+            ELSE t0 END AS t_ms
+FROM {POINTS}""")
+
+
+def _iso_ms(col: str) -> str:
+    return f"epoch_ms(try_cast({col} AS TIMESTAMPTZ))"
+
+
+oracle("iso_to_epoch_ms", f"""
+SELECT id, {_iso_ms('created_at')} AS created_ms, {_iso_ms('end_date')} AS end_ms,
+       {_iso_ms('resolution_date')} AS resolution_ms, CAST(NULL AS BIGINT) AS bad_ms FROM markets""", "markets")
+
+
+def _ms_iso(t: str) -> str:
+    return (f"(strftime(make_timestamp(({t}) * 1000), '%Y-%m-%dT%H:%M:%S') || "
+            f"CASE WHEN ({t}) % 1000 = 0 THEN '' ELSE '.' || lpad(CAST((({t}) % 1000) * 1000 AS VARCHAR), 6, '0') END"
+            f" || '+00:00')")
+
+
+oracle("epoch_ms_to_iso", f"""
+SELECT token_id, t, {_ms_iso('t')} AS iso, {_ms_iso(day('t'))} AS day_iso FROM prices""", "prices")
+
+oracle("decode_orderbook", f"""
+SELECT token_id, {BOOK_TS} AS "timestamp",
+       count(*) FILTER (WHERE side = 'bid')::INTEGER AS n_bids, count(*) FILTER (WHERE side = 'ask')::INTEGER AS n_asks,
+       {r("max(price) FILTER (WHERE side = 'bid')", 'best_bid')}, {r("min(price) FILTER (WHERE side = 'ask')", 'best_ask')},
+       {r("coalesce(sum(size) FILTER (WHERE side = 'bid'), 0.0::DOUBLE)", 'bid_size')},
+       {r("coalesce(sum(size) FILTER (WHERE side = 'ask'), 0.0::DOUBLE)", 'ask_size')},
+       coalesce(string_agg(printf('%.2f', price), ',' ORDER BY -price, level_seq) FILTER (WHERE side = 'bid'), '') AS bid_ladder,
+       coalesce(string_agg(printf('%.2f', price), ',' ORDER BY price, level_seq) FILTER (WHERE side = 'ask'), '') AS ask_ladder
+FROM book_levels GROUP BY token_id, "timestamp\"""", "book_levels")
+
+oracle("decode_trades", f"""
+SELECT CAST(floor(page / 8) AS BIGINT) AS batch, page, pos, id, CAST(NULL AS VARCHAR) AS market,
+       CAST(NULL AS VARCHAR) AS asset_id, "conditionId", CAST(NULL AS VARCHAR) AS side,
+       round(size, 6) AS size, round(price, 6) AS price, "timestamp"
+FROM (SELECT CAST(floor(l_orderkey / 256) AS BIGINT) AS page,
+             CAST(row_number() OVER (PARTITION BY floor(l_orderkey / 256)
+                  ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_tax, l_shipdate) - 1
+                  AS INTEGER) AS pos,
+             l_orderkey || '-' || l_linenumber AS id, 'S' || (l_suppkey % 5) AS "conditionId",
+             l_quantity AS size, nullif(l_tax, 0.0::DOUBLE) AS price, {_ms('l_shipdate')} AS "timestamp"
+      FROM lineitem)""")
+
+MK = "TRY_CAST(substr(id, 2) AS BIGINT)"
+DECODED_MARKETS = f"""(SELECT id, question, description, market_slug, condition_id, token_ids,
+       CASE WHEN {MK} % 11 = 0 THEN NULL ELSE outcomes END AS outcomes, active, closed, archived,
+       created_at, end_date, resolved, resolution_date, resolution_outcome, tags, category
+FROM markets WHERE {MK} % 13 <> 0)"""
+
+oracle("decode_markets", f"""
+SELECT id, question, description, market_slug, condition_id, array_to_string(token_ids, ',') AS token_ids,
+       array_to_string(outcomes, ',') AS outcomes, active, closed, archived, created_at, end_date, resolved,
+       resolution_date, resolution_outcome, array_to_string(tags, ',') AS tags, category
+FROM {DECODED_MARKETS}""", "markets")
+
+oracle("decode_markets_rejects", f"""
+SELECT page, pos, 'validation failed' AS reason FROM (
+  SELECT CAST(floor({MK} / 200) AS BIGINT) AS page,
+         CAST(row_number() OVER (PARTITION BY floor({MK} / 200) ORDER BY {MK}) - 1 AS INTEGER) AS pos,
+         {MK} % 13 = 0 AS rej
+  FROM markets) WHERE rej""", "markets")
+
+oracle("normalize_token_ids", f"""
+SELECT id, array_to_string(token_ids, ',') AS token_ids, CAST(len(token_ids) AS INTEGER) AS n_tokens
+FROM {DECODED_MARKETS}""", "markets")
+
+oracle("normalize_outcomes", f"""
+SELECT id, coalesce(array_to_string(outcomes, ','), '') AS outcomes, outcomes IS NULL AS outcomes_null
+FROM {DECODED_MARKETS}""", "markets")

@@ -29,7 +29,7 @@ def rounded(df: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(F.round(c, DIGITS).alias(f.name))
         elif isinstance(f.dataType, T.ArrayType):
-            cols.append(F.concat_ws(",", c.cast("array<string>")).alias(f.name))
+            cols.append(F.when(c.isNotNull(), F.concat_ws(",", c.cast("array<string>"))).alias(f.name))
         else:
             cols.append(c)
     return df.select(*cols)

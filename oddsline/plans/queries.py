@@ -163,3 +163,136 @@ def q_filter_jumps(spark, sf):
 def q_filter_report(spark, sf):
     cfg = _combined_cfg(min_jump_pct=MIN_JUMP_PCT, max_jump_abs=MAX_JUMP_ABS)
     return G.filter_report_frame(_joined(spark, sf), cfg)
+
+
+# ------------------------------------------------------------------ E
+
+from oddsline.operators import book as E  # noqa: E402
+from oddsline.operators import decode as B  # noqa: E402
+
+DEPTH_DISTANCE = 0.1
+
+
+def _books(spark, sf):
+    return B.decode_orderbook(A.book_payloads(spark, sf))[0]
+
+
+@register("book_levels")
+def q_book_levels(spark, sf):
+    return rounded(E.flatten_books(_books(spark, sf)))
+
+
+@register("book_ladder")
+def q_book_ladder(spark, sf):
+    return rounded(E.book_ladder(A.book_levels(spark, sf)))
+
+
+@register("best_quotes")
+def q_best_quotes(spark, sf):
+    return rounded(E.best_quotes(A.book_levels(spark, sf)))
+
+
+@register("mid_spread")
+def q_mid_spread(spark, sf):
+    return rounded(E.mid_spread(E.best_quotes(A.book_levels(spark, sf))))
+
+
+@register("spread_snapshot")
+def q_spread_snapshot(spark, sf):
+    return rounded(E.book_quotes_from_arrays(_books(spark, sf)))
+
+
+@register("spread_snapshot_levels")
+def q_spread_snapshot_levels(spark, sf):
+    return rounded(E.spread_snapshot(A.book_levels(spark, sf)))
+
+
+@register("depth_at_distance")
+def q_depth_at_distance(spark, sf):
+    return rounded(E.depth_at_distance(A.book_levels(spark, sf), DEPTH_DISTANCE))
+
+
+@register("depth_from_books")
+def q_depth_from_books(spark, sf):
+    return rounded(E.depth_from_arrays(_books(spark, sf), DEPTH_DISTANCE))
+
+
+# ------------------------------------------------------------------ B
+
+from oddsline.functions import timecols as TC  # noqa: E402
+
+
+@register("decode_price_history")
+def q_decode_price_history(spark, sf):
+    return rounded(B.decode_price_history(A.price_payloads(spark, sf))[0])
+
+
+@register("normalize_timestamps")
+def q_normalize_timestamps(spark, sf):
+    land = A.price_payloads(spark, sf)
+    v = F.try_parse_json("payload")
+    pts = land.select("token_id", "chunk_start", F.posexplode(
+        F.try_variant_get(v, "$.history", "array<variant>")).alias("pos", "pt"))
+    tv = F.try_variant_get(F.col("pt"), "$.t", "variant")
+    return pts.select("token_id", "chunk_start", "pos",
+                      F.when(B._is_type(tv, "STRING"), F.lit("text")).otherwise(F.lit("number")).alias("t_kind"),
+                      B.point_timestamp_ms(tv).alias("t_ms"))
+
+
+@register("iso_to_epoch_ms")
+def q_iso_to_epoch_ms(spark, sf):
+    m = A.markets(spark, sf)
+    return m.select("id", TC.iso_to_ms("created_at").alias("created_ms"), TC.iso_to_ms("end_date").alias("end_ms"),
+                    TC.iso_to_ms("resolution_date").alias("resolution_ms"),
+                    TC.iso_to_ms(F.concat(F.lit("day "), "id")).alias("bad_ms"))
+
+
+@register("epoch_ms_to_iso")
+def q_epoch_ms_to_iso(spark, sf):
+    p = A.prices(spark, sf)
+    return p.select("token_id", "t", TC.ms_to_iso("t").alias("iso"),
+                    TC.ms_to_iso(TC.day_bucket("t")).alias("day_iso"))
+
+
+@register("decode_orderbook")
+def q_decode_orderbook(spark, sf):
+    b = _books(spark, sf)
+    return rounded(b.select(
+        "token_id", "timestamp", F.size("bids").alias("n_bids"), F.size("asks").alias("n_asks"),
+        F.get("bids", 0)["price"].alias("best_bid"), F.get("asks", 0)["price"].alias("best_ask"),
+        F.aggregate("bids", F.lit(0.0), lambda a, x: a + x["size"]).alias("bid_size"),
+        F.aggregate("asks", F.lit(0.0), lambda a, x: a + x["size"]).alias("ask_size"),
+        F.concat_ws(",", F.transform("bids", lambda x: F.format_number(x["price"], 2))).alias("bid_ladder"),
+        F.concat_ws(",", F.transform("asks", lambda x: F.format_number(x["price"], 2))).alias("ask_ladder")))
+
+
+@register("decode_trades")
+def q_decode_trades(spark, sf):
+    return rounded(B.decode_trades(A.trade_pages(spark, sf)))
+
+
+def _markets_decoded(spark, sf):
+    return B.decode_markets(A.market_pages(spark, sf))[0]
+
+
+@register("decode_markets")
+def q_decode_markets(spark, sf):
+    return rounded(_markets_decoded(spark, sf).drop("page", "pos"))
+
+
+@register("decode_markets_rejects")
+def q_decode_markets_rejects(spark, sf):
+    rej = B.decode_markets(A.market_pages(spark, sf))[1]
+    return rej.select("page", "pos", "reason")
+
+
+@register("normalize_token_ids")
+def q_normalize_token_ids(spark, sf):
+    d = _markets_decoded(spark, sf)
+    return d.select("id", F.concat_ws(",", "token_ids").alias("token_ids"), F.size("token_ids").alias("n_tokens"))
+
+
+@register("normalize_outcomes")
+def q_normalize_outcomes(spark, sf):
+    d = _markets_decoded(spark, sf)
+    return d.select("id", F.concat_ws(",", "outcomes").alias("outcomes"), F.col("outcomes").isNull().alias("outcomes_null"))

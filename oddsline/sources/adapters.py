@@ -24,7 +24,8 @@ BOOK_SNAPSHOT_ROWS = 64             # events per book snapshot (bounds every boo
 BOOK_CLOCK_START_MS = 1704067200000
 PAYLOAD_PAGE_ROWS = 64              # events per price-history payload
 MARKET_PAGE_KEYS = 200              # customer keys per market page (100 markets)
-TRADE_PAGE_ROWS = 1000              # rows per trade page
+TRADE_PAGE_ORDERS = 256             # order keys per trade page
+TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_shipdate")
 TRADE_BATCH_PAGES = 8               # pages per market batch
 
 
@@ -227,6 +228,12 @@ def price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("token_id", F.col("page").cast("bigint").alias("chunk_start"), body.alias("payload"))
 
 
+def _json_text(c: Column) -> Column:
+    """A string as a JSON string literal (quotes and escapes), null kept null."""
+    j = F.to_json(F.array(c))
+    return F.when(c.isNotNull(), j.substr(F.lit(2), F.length(j) - 2))
+
+
 def market_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed market-list pages (camelCase objects, API style).
 
@@ -237,14 +244,14 @@ def market_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = markets(spark, sf_dir)
     k = F.substring(F.col("id"), 2, 20).cast("bigint")
     tok_json = F.to_json(F.col("token_ids"))
-    tok = F.when(F.pmod(k, F.lit(7)) == 0, tok_json).otherwise(F.to_json(tok_json))
-    outc = F.when(F.pmod(k, F.lit(11)) == 0, F.lit('"[YES, NO"')).otherwise(F.to_json(F.to_json(F.col("outcomes"))))
+    tok = F.when(F.pmod(k, F.lit(7)) == 0, tok_json).otherwise(_json_text(tok_json))
+    outc = F.when(F.pmod(k, F.lit(11)) == 0, F.lit('"[YES, NO"')).otherwise(_json_text(F.to_json(F.col("outcomes"))))
 
     def field(name: str, val: Column) -> Column:
         return F.when(val.isNull(), F.lit(None)).otherwise(F.concat(F.lit(f'"{name}":'), val))
 
     def s(c: str) -> Column:
-        return F.to_json(F.array(F.col(c))).substr(F.lit(2), F.length(F.to_json(F.array(F.col(c)))) - 2)
+        return _json_text(F.col(c))
 
     def b(c: str) -> Column:
         return F.col(c).cast("string")
@@ -293,15 +300,16 @@ def book_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed trade pages: (batch, page, payload) with at most TRADE_PAGE_ROWS items.
+    """Landed trade pages: (batch, page, payload), TRADE_PAGE_ORDERS order keys each.
 
     Even pages are bare arrays, odd pages are wrapped as {"data": [...]};
     each page also carries one non-object item that decoding must skip.
-    Line items are paged in (order key, line number) order.
+    Line items are paged by order key and ordered within a page by
+    TRADE_ORDER (rows equal on all of it have identical items).
     """
     li = table(spark, sf_dir, "lineitem")
     rows = li.select(
-        "l_orderkey", "l_linenumber",
+        *TRADE_ORDER,
         F.concat(
             F.lit('{"id":"'), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"),
             F.lit('","conditionId":"S'), F.pmod("l_suppkey", F.lit(5)).cast("string"),
@@ -309,9 +317,9 @@ def trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(',"price":'), F.coalesce(F.nullif(F.col("l_tax"), F.lit(0.0)).cast("string"), F.lit("null")),
             F.lit(',"timestamp":'), epoch_ms("l_shipdate").cast("string"), F.lit("}")).alias("item"),
     )
-    page = F.floor(F.col("l_orderkey") / 256).cast("bigint")
+    page = F.floor(F.col("l_orderkey") / TRADE_PAGE_ORDERS).cast("bigint")
     g = rows.groupBy(page.alias("page")).agg(
-        F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", "item"))).alias("items"))
+        F.array_sort(F.collect_list(F.struct(*TRADE_ORDER, "item"))).alias("items"))
     arr = F.concat(F.lit("["), F.concat_ws(",", F.transform("items", lambda s: s["item"])), F.lit(',"junk"]'))
     payload = F.when(F.pmod("page", F.lit(2)) == 0, arr).otherwise(F.concat(F.lit('{"data":'), arr, F.lit("}")))
     return g.select(F.floor(F.col("page") / TRADE_BATCH_PAGES).cast("bigint").alias("batch"), "page",
