@@ -77,7 +77,7 @@ def lookback_start_ms(as_of_ms: int | Column, minutes: int = 0, hours: int = 0,
     as_of = F.lit(as_of_ms) if isinstance(as_of_ms, int) else as_of_ms
     ts = F.timestamp_millis(as_of)
     if months > 0:
-        ts = F.timestampadd("MONTH", F.lit(-months), ts)
+        ts = ts - F.make_ym_interval(F.lit(0), F.lit(months))
     fixed_ms = (((days + weeks * 7 + years * 365) * 24 + hours) * 60 + minutes) * 60 * MS_PER_SECOND
     return F.unix_millis(ts) - F.lit(fixed_ms)
 

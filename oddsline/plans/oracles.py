@@ -266,3 +266,201 @@ FROM {DECODED_MARKETS}""", "markets")
 oracle("normalize_outcomes", f"""
 SELECT id, coalesce(array_to_string(outcomes, ','), '') AS outcomes, outcomes IS NULL AS outcomes_null
 FROM {DECODED_MARKETS}""", "markets")
+
+
+# ------------------------------------------------------------------ C
+
+from oddsline.sources.oracle_views import add_view  # noqa: E402
+
+W_START, W_END = Q.WINDOW_START_MS, Q.WINDOW_END_MS
+MCOLS = ("id, question, description, market_slug, condition_id, array_to_string(token_ids, ',') AS token_ids, "
+         "array_to_string(outcomes, ',') AS outcomes, active, closed, archived, created_at, end_date, resolved, "
+         "resolution_date, resolution_outcome, array_to_string(tags, ',') AS tags, category")
+
+
+def iso(col: str) -> str:
+    return f"epoch_ms(try_cast(nullif(trim({col}), '') AS TIMESTAMPTZ))"
+
+
+add_view("mpos", f"SELECT *, {MK} AS pos FROM markets", "markets")
+add_view("store_m", f"""
+SELECT * REPLACE (CAST(coalesce(resolved, false) AS INTEGER) AS resolved) FROM mpos
+WHERE created_at < '{Q.STORE_BEFORE}'""", "mpos")
+add_view("closed_feed", "SELECT * REPLACE (question || ' (window feed)' AS question) FROM mpos", "mpos")
+add_view("feed_active", f"""
+SELECT *, 0 AS rnk, 'active' AS source FROM mpos
+WHERE closed = false AND ({iso('created_at')} IS NULL OR {iso('created_at')} <= {W_END})""", "mpos")
+add_view("feed_stored", f"""
+SELECT * REPLACE (true AS resolved), 1 AS rnk, 'stored_resolved' AS source FROM store_m
+WHERE resolved = 1 AND coalesce(nullif({iso('resolution_date')}, 0), nullif({iso('end_date')}, 0))
+      BETWEEN {W_START} AND {W_END}""", "store_m")
+add_view("feed_closed", f"""
+SELECT *, 2 AS rnk, 'closed' AS source FROM closed_feed
+WHERE {iso('end_date')} BETWEEN {W_START} AND {W_END}
+  AND id NOT IN (SELECT id FROM store_m WHERE resolved = 1)""", "closed_feed", "store_m")
+add_view("selected", """
+SELECT * EXCLUDE (rn, rnk, pos) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY rnk, pos) AS rn
+  FROM (SELECT * FROM feed_active UNION ALL BY NAME SELECT * FROM feed_stored
+        UNION ALL BY NAME SELECT * FROM feed_closed)) WHERE rn = 1""", "feed_active", "feed_stored", "feed_closed")
+
+oracle("filter_created_before", f"""
+SELECT {MCOLS} FROM markets WHERE {iso('created_at')} IS NULL OR {iso('created_at')} <= {W_END}""", "markets")
+oracle("active_markets", f"""
+SELECT {MCOLS} FROM markets
+WHERE closed = false AND ({iso('created_at')} IS NULL OR {iso('created_at')} <= {W_END})""", "markets")
+oracle("closed_in_window", f"""
+SELECT {MCOLS} FROM markets WHERE {iso('end_date')} BETWEEN {W_START} AND {W_END}""", "markets")
+oracle("exclude_known_resolved", f"""
+SELECT {MCOLS} FROM closed_feed WHERE {iso('end_date')} BETWEEN {W_START} AND {W_END}
+  AND id NOT IN (SELECT id FROM store_m WHERE resolved = 1)""", "closed_feed", "store_m")
+oracle("resolved_in_window", f"""
+SELECT {MCOLS} FROM store_m WHERE resolved = 1
+  AND coalesce(nullif({iso('resolution_date')}, 0), nullif({iso('end_date')}, 0)) BETWEEN {W_START} AND {W_END}""",
+       "store_m")
+oracle("merge_market_sources", f"SELECT {MCOLS}, source FROM selected", "selected")
+oracle("resolved_markets_only", f"SELECT {MCOLS}, source FROM selected WHERE resolved = true", "selected")
+
+add_view("mversions", """
+SELECT id, CAST(0 AS BIGINT) AS seq, question, resolved = 1 AS resolved, closed = 1 AS closed, cached_at, updated_at
+FROM market_store
+UNION ALL
+SELECT id, seq, question, coalesce(resolved, false), coalesce(closed, false), NULL, NULL FROM market_incoming""",
+         "market_store", "market_incoming")
+add_view("merged_store", f"""
+SELECT a.id, v.question, CAST(v.resolved AS INTEGER) AS resolved, CAST(v.closed AS INTEGER) AS closed,
+       coalesce(a.s_cached, '{Q.NOW_ISO}') AS cached_at,
+       CASE WHEN a.n_in > 0 AND (a.r IS NULL OR a.min_in <= a.r) THEN '{Q.NOW_ISO}' ELSE a.s_updated END AS updated_at,
+       v.seq AS version_seq
+FROM (SELECT id, min(CASE WHEN resolved THEN seq END) AS r, max(seq) AS mx,
+             count(*) FILTER (WHERE seq > 0) AS n_in, min(seq) FILTER (WHERE seq > 0) AS min_in,
+             max(cached_at) AS s_cached, max(updated_at) AS s_updated
+      FROM mversions GROUP BY id) a
+JOIN mversions v ON v.id = a.id AND v.seq = coalesce(a.r, a.mx)""", "mversions")
+
+oracle("market_snapshot_merge", "SELECT * FROM merged_store", "merged_store")
+oracle("market_merge_counts", """
+SELECT CAST(count(*) FILTER (WHERE stored IS NULL AND i.seq = min_in) AS BIGINT) AS inserted,
+       CAST(count(*) FILTER (WHERE r IS NULL OR i.seq <= r)
+            - count(*) FILTER (WHERE stored IS NULL AND i.seq = min_in) AS BIGINT) AS updated,
+       CAST(count(*) FILTER (WHERE coalesce(i.resolved, false) AND stored_res IS NULL) AS BIGINT) AS newly_resolved
+FROM market_incoming i JOIN (
+  SELECT id, min(CASE WHEN resolved THEN seq END) AS r, max(CASE WHEN seq = 0 THEN 1 END) AS stored,
+         max(CASE WHEN seq = 0 AND resolved THEN 1 END) AS stored_res, min(seq) FILTER (WHERE seq > 0) AS min_in
+  FROM mversions GROUP BY id) p ON i.id = p.id""", "mversions", "market_incoming")
+oracle("resolved_lookup", "SELECT id, question, version_seq FROM merged_store WHERE resolved = 1", "merged_store")
+oracle("market_store_stats", """
+SELECT count(*) AS total, count(*) FILTER (WHERE resolved = 1) AS resolved,
+       count(*) FILTER (WHERE closed = 1 AND resolved = 0) AS closed_unresolved,
+       count(*) FILTER (WHERE closed = 0) AS active FROM merged_store""", "merged_store")
+
+# ------------------------------------------------------------------ D
+
+CH = 14 * 86400000
+
+oracle("lookback_window", f"SELECT token_id, t, {r('p', 'p')} FROM prices WHERE t >= 1705276800000", "prices")
+
+oracle("token_jobs", f"""
+SELECT unnest(token_ids) AS token_id, start_ts, end_ts, id AS market_id, created_at_ts FROM (
+  SELECT id, token_ids, coalesce({iso('created_at')}, {Q.JOBS_START_MS}) AS created_at_ts,
+         greatest({Q.JOBS_START_MS}, coalesce({iso('created_at')}, {Q.JOBS_START_MS})) AS start_ts,
+         least({Q.JOBS_END_MS},
+               CASE WHEN nullif(resolution_date, '') IS NOT NULL THEN least({Q.JOBS_END_MS}, {iso('resolution_date')})
+                    WHEN nullif(end_date, '') IS NOT NULL THEN least({Q.JOBS_END_MS}, {iso('end_date')})
+                    ELSE {Q.JOBS_END_MS} END) AS end_ts
+  FROM markets) WHERE start_ts < end_ts""", "markets")
+
+oracle("distinct_tokens", """
+SELECT DISTINCT token_id FROM (SELECT unnest(token_ids) AS token_id FROM markets) WHERE token_id IS NOT NULL""",
+       "markets")
+
+add_view("chunks", f"""
+SELECT token_id, market_id, created_at_ts, CAST(u.i - 1 AS INTEGER) AS chunk_no, u.s AS chunk_start,
+       least(u.s + {CH}, end_ts) AS chunk_end
+FROM jobs, unnest(range(start_ts, end_ts, {CH + 1})) WITH ORDINALITY AS u(s, i)""", "jobs")
+add_view("ledger", f"""
+SELECT token_id, chunk_start AS start_ts, chunk_end AS end_ts,
+       CASE WHEN chunk_no % 7 = 0 THEN 1 ELSE {Q.FIDELITY} END AS fidelity,
+       '2024-01-01T00:00:00+00:00' AS completed_at, CAST(0 AS BIGINT) AS row_count
+FROM chunks WHERE (CAST(substr(token_id, 2) AS BIGINT) + chunk_no) % 3 = 0""", "chunks")
+add_view("chunk_counts", f"""
+SELECT c.*, coalesce(n.row_count, 0) AS row_count FROM chunks c LEFT JOIN (
+  SELECT p.token_id, CAST(floor((p.t - j.start_ts) / {CH + 1}) AS INTEGER) AS chunk_no, count(*) AS row_count
+  FROM order_points p JOIN jobs j ON p.token_id = j.token_id WHERE p.t BETWEEN j.start_ts AND j.end_ts
+  GROUP BY 1, 2) n ON c.token_id = n.token_id AND c.chunk_no = n.chunk_no""", "chunks", "order_points", "jobs")
+add_view("fetch_log", f"""
+SELECT c.*, {Q.FIDELITY} AS fidelity FROM chunk_counts c
+WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.token_id = c.token_id AND l.start_ts = c.chunk_start
+                  AND l.end_ts = c.chunk_end AND l.fidelity = {Q.FIDELITY})""", "chunk_counts", "ledger")
+
+oracle("chunk_windows", "SELECT * FROM chunks", "chunks")
+oracle("pending_windows", f"""
+SELECT c.*, {Q.FIDELITY} AS fidelity FROM chunks c
+WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.token_id = c.token_id AND l.start_ts = c.chunk_start
+                  AND l.end_ts = c.chunk_end AND l.fidelity = {Q.FIDELITY})""", "chunks", "ledger")
+oracle("window_ledger_merge", f"""
+SELECT token_id, start_ts, end_ts, fidelity, arg_max(completed_at, w) AS completed_at, arg_max(row_count, w) AS row_count
+FROM (SELECT *, 0 AS w FROM ledger
+      UNION ALL
+      SELECT token_id, chunk_start, chunk_end, {Q.FIDELITY}, '{Q.MARK_TIME}', row_count, 1
+      FROM chunk_counts WHERE chunk_no % 2 = 0)
+GROUP BY token_id, start_ts, end_ts, fidelity""", "ledger", "chunk_counts")
+oracle("empty_run_cutoff", """
+SELECT token_id, chunk_no, chunk_start, chunk_end, row_count FROM (
+  SELECT *, min(CASE WHEN row_count = 0 AND run >= 5 AND (created_at_ts IS NULL OR chunk_start >= created_at_ts)
+                     THEN rn END) OVER (PARTITION BY token_id) AS stop_rn
+  FROM (SELECT *, CASE WHEN row_count = 0 THEN rn - coalesce(max(CASE WHEN row_count <> 0 THEN rn END) OVER (
+                      PARTITION BY token_id ORDER BY chunk_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)
+                  ELSE 0 END AS run
+        FROM (SELECT *, row_number() OVER (PARTITION BY token_id ORDER BY chunk_start) AS rn FROM fetch_log)))
+WHERE stop_rn IS NULL OR rn <= stop_rn""", "fetch_log")
+
+oracle("id_batches", f"""
+SELECT CAST((rn - 1) // 50 AS BIGINT) AS batch, CAST(count(*) AS INTEGER) AS n_ids, string_agg(id, ',' ORDER BY pos) AS ids
+FROM (SELECT id, {MK} AS pos, row_number() OVER (ORDER BY {MK}) AS rn FROM markets) GROUP BY 1""", "markets")
+
+TRADES_DECODED = ORACLES["decode_trades"].strip()
+BUDGETED = f"""(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (ORDER BY page, pos) AS rn
+                FROM ({TRADES_DECODED})) WHERE rn <= {Q.ROW_BUDGET})"""
+oracle("row_budget", f"SELECT * FROM {BUDGETED}")
+oracle("trades_since", f'SELECT * FROM {BUDGETED} WHERE "timestamp" >= {Q.TRADES_SINCE_MS}')
+
+PTS_DECODED = f"""(SELECT token_id, CASE WHEN event_type = 'view' THEN (t0 // 1000) * 1000 ELSE t0 END AS t,
+       value AS p, chunk_start, pos FROM {POINTS} WHERE event_type <> 'signup' AND event_id % 97 <> 0)"""
+oracle("dedupe_price_points", f"""
+SELECT token_id, t, round(p, 6) AS p, chunk_start, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY token_id, t ORDER BY chunk_start, pos) AS rn FROM (
+    SELECT * FROM {PTS_DECODED} UNION ALL SELECT token_id, t, p * 2, chunk_start + 1000000, pos FROM {PTS_DECODED}))
+WHERE rn = 1""")
+oracle("union_parts", f"""
+SELECT token_id, t, round(p, 6) AS p FROM prices UNION ALL SELECT token_id, t, round(p, 6) FROM order_points""",
+       "prices", "order_points")
+
+# ------------------------------------------------------------------ H
+
+RATE = ("(SELECT request_id, limiter, t, count(*) OVER (PARTITION BY limiter ORDER BY t "
+        "RANGE BETWEEN 10000 PRECEDING AND CURRENT ROW) AS window_count FROM request_log)")
+QUOTA_CASE = "CASE limiter " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in Q.LIMITER_QUOTAS.items()) + " END"
+
+oracle("trailing_rate", f"""
+SELECT request_id, limiter, t, window_count, {r('window_count / 10.0::DOUBLE', 'rps')} FROM {RATE}""", "request_log")
+oracle("quota_utilization", f"""
+SELECT request_id, limiter, t, window_count, {r('window_count / 10.0::DOUBLE', 'rps')},
+       CAST({QUOTA_CASE} AS INTEGER) AS max_requests,
+       {r(f'window_count / ({QUOTA_CASE}) * 100.0::DOUBLE', 'utilization_pct')} FROM {RATE}""", "request_log")
+
+# ------------------------------------------------------------------ A
+
+oracle("scan_prices", f"SELECT 'T' || user_id AS token_id, {_ms('ts')} AS t, round(value, 6) AS p FROM events")
+oracle("with_provenance", f"""
+SELECT token_id, t, {r('p', 'p')}, 'clob' AS _source_api, '2024-02-01T00:00:00' AS _fetch_timestamp,
+       '/prices-history' AS _api_endpoint FROM prices""", "prices")
+oracle("stage_counts", f"""
+SELECT (SELECT count(*) FROM markets) AS markets,
+       (SELECT count(DISTINCT t) FROM (SELECT unnest(token_ids) AS t FROM markets) WHERE t IS NOT NULL) AS tokens,
+       (SELECT count(*) FROM prices) AS price_points, (SELECT count(*) FROM book_levels) AS levels,
+       (SELECT count(*) FROM (SELECT DISTINCT token_id, "timestamp" FROM book_levels)) AS spreads,
+       (SELECT count(*) FROM trades) AS trades""", "markets", "prices", "book_levels", "trades")
+oracle("dataset_manifest", f"""
+SELECT 'prices_joined' AS dataset, 'processed/prices_joined.parquet' AS parquet_path, '{Q.NOW_ISO}' AS created_at,
+       count(*) AS rows, CAST(11 AS BIGINT) AS cols FROM {JOINED}""", "prices", "token_map")

@@ -296,3 +296,258 @@ def q_normalize_token_ids(spark, sf):
 def q_normalize_outcomes(spark, sf):
     d = _markets_decoded(spark, sf)
     return d.select("id", F.concat_ws(",", "outcomes").alias("outcomes"), F.col("outcomes").isNull().alias("outcomes_null"))
+
+
+# ------------------------------------------------------------------ C
+
+from oddsline.operators import lifecycle as C  # noqa: E402
+
+WINDOW_START_MS, WINDOW_END_MS = 1704844800000, 1708387200000  # 2024-01-10, 2024-02-20 UTC
+STORE_BEFORE = "2024-01-01T00:00:00Z"
+NOW_ISO = "2026-01-01T00:00:00+00:00"
+
+
+def _markets_pos(spark, sf):
+    m = A.markets(spark, sf)
+    return m.withColumn("pos", F.substring("id", 2, 20).cast("bigint"))
+
+
+def _store_markets(spark, sf):
+    m = _markets_pos(spark, sf).filter(F.col("created_at") < STORE_BEFORE)
+    return m.withColumn("resolved", F.coalesce(F.col("resolved").cast("int"), F.lit(0)))
+
+
+def _closed_feed(spark, sf):
+    return _markets_pos(spark, sf).withColumn("question", F.concat("question", F.lit(" (window feed)")))
+
+
+def _selected(spark, sf):
+    return C.select_markets(_markets_pos(spark, sf), _closed_feed(spark, sf), _store_markets(spark, sf),
+                            WINDOW_START_MS, WINDOW_END_MS)
+
+
+@register("filter_created_before")
+def q_filter_created_before(spark, sf):
+    return rounded(C.filter_created_before(A.markets(spark, sf), WINDOW_END_MS))
+
+
+@register("active_markets")
+def q_active_markets(spark, sf):
+    return rounded(C.active_markets(A.markets(spark, sf), WINDOW_END_MS))
+
+
+@register("closed_in_window")
+def q_closed_in_window(spark, sf):
+    return rounded(C.closed_in_window(A.markets(spark, sf), WINDOW_START_MS, WINDOW_END_MS))
+
+
+@register("exclude_known_resolved")
+def q_exclude_known_resolved(spark, sf):
+    win = C.closed_in_window(_closed_feed(spark, sf), WINDOW_START_MS, WINDOW_END_MS)
+    return rounded(C.exclude_known_resolved(win, _store_markets(spark, sf)).drop("pos"))
+
+
+@register("resolved_in_window")
+def q_resolved_in_window(spark, sf):
+    st = C.resolved_lookup(_store_markets(spark, sf))
+    return rounded(C.resolved_in_window(st, WINDOW_START_MS, WINDOW_END_MS).drop("pos"))
+
+
+@register("merge_market_sources")
+def q_merge_market_sources(spark, sf):
+    return rounded(_selected(spark, sf))
+
+
+@register("resolved_markets_only")
+def q_resolved_markets_only(spark, sf):
+    return rounded(C.resolved_markets_only(_selected(spark, sf)))
+
+
+def _merged_store(spark, sf):
+    return C.market_snapshot_merge(A.market_store(spark, sf), A.market_incoming(spark, sf), NOW_ISO)
+
+
+@register("market_snapshot_merge")
+def q_market_snapshot_merge(spark, sf):
+    return _merged_store(spark, sf)
+
+
+@register("market_merge_counts")
+def q_market_merge_counts(spark, sf):
+    return C.market_merge_counts(A.market_store(spark, sf), A.market_incoming(spark, sf))
+
+
+@register("resolved_lookup")
+def q_resolved_lookup(spark, sf):
+    return C.resolved_lookup(_merged_store(spark, sf)).select("id", "question", "version_seq")
+
+
+@register("market_store_stats")
+def q_market_store_stats(spark, sf):
+    return C.market_store_stats(_merged_store(spark, sf))
+
+
+# ------------------------------------------------------------------ D
+
+from oddsline.operators import planning as D  # noqa: E402
+
+LOOKBACK_AS_OF_MS = 1707955200000        # 2024-02-15 UTC
+JOBS_START_MS, JOBS_END_MS = 1704067200000, 1707955200000
+FIDELITY = 60
+MARK_TIME = "2024-02-01T00:00:00+00:00"
+ROW_BUDGET = 25_000
+TRADES_SINCE_MS = 820454400000           # 1996-01-01 UTC
+
+
+@register("lookback_window")
+def q_lookback_window(spark, sf):
+    return rounded(D.lookback_window(A.prices(spark, sf), LOOKBACK_AS_OF_MS, months=1))
+
+
+@register("token_jobs")
+def q_token_jobs(spark, sf):
+    return D.token_jobs(A.markets(spark, sf), JOBS_START_MS, JOBS_END_MS)[0]
+
+
+@register("distinct_tokens")
+def q_distinct_tokens(spark, sf):
+    return D.distinct_tokens(A.markets(spark, sf))
+
+
+def _chunks(spark, sf):
+    return D.chunk_windows(A.jobs(spark, sf))
+
+
+def _ledger(spark, sf):
+    ch = _chunks(spark, sf)
+    ck = F.substring("token_id", 2, 20).cast("bigint")
+    led = ch.filter(F.pmod(ck + F.col("chunk_no"), F.lit(3)) == 0)
+    return led.select("token_id", F.col("chunk_start").alias("start_ts"), F.col("chunk_end").alias("end_ts"),
+                      F.when(F.pmod("chunk_no", F.lit(7)) == 0, F.lit(1)).otherwise(F.lit(FIDELITY)).alias("fidelity"),
+                      F.lit("2024-01-01T00:00:00+00:00").alias("completed_at"), F.lit(0).cast("bigint").alias("row_count"))
+
+
+def _chunk_counts(spark, sf):
+    """Every chunk with the number of points a fetch of it returns.
+
+    A point's chunk number is computed arithmetically, so this is an equi
+    join on (token, chunk) rather than a range join.
+    """
+    jobs = A.jobs(spark, sf).select("token_id", "start_ts", "end_ts")
+    pts = A.order_points(spark, sf).join(jobs, "token_id").filter(F.col("t").between(F.col("start_ts"), F.col("end_ts")))
+    per_chunk = pts.groupBy("token_id", F.floor((F.col("t") - F.col("start_ts")) / (D.CHUNK_MS + 1))
+                            .cast("int").alias("chunk_no")).agg(F.count(F.lit(1)).alias("row_count"))
+    return _chunks(spark, sf).join(per_chunk, ["token_id", "chunk_no"], "left").fillna(0, ["row_count"])
+
+
+def _fetch_log(spark, sf):
+    """Pending chunks (not in the ledger) with their fetched point counts."""
+    return D.pending_windows(_chunk_counts(spark, sf), _ledger(spark, sf), FIDELITY)
+
+
+@register("chunk_windows")
+def q_chunk_windows(spark, sf):
+    return _chunks(spark, sf)
+
+
+@register("pending_windows")
+def q_pending_windows(spark, sf):
+    return D.pending_windows(_chunks(spark, sf), _ledger(spark, sf), FIDELITY)
+
+
+@register("window_ledger_merge")
+def q_window_ledger_merge(spark, sf):
+    log = _chunk_counts(spark, sf).filter(F.pmod("chunk_no", F.lit(2)) == 0)
+    marks = log.select("token_id", F.col("chunk_start").alias("start_ts"), F.col("chunk_end").alias("end_ts"),
+                       F.lit(FIDELITY).alias("fidelity"), F.lit(MARK_TIME).alias("completed_at"),
+                       F.col("row_count").cast("bigint"))
+    return D.window_ledger_merge(_ledger(spark, sf), marks)
+
+
+@register("empty_run_cutoff")
+def q_empty_run_cutoff(spark, sf):
+    out = D.empty_run_cutoff(_fetch_log(spark, sf))
+    return out.select("token_id", "chunk_no", "chunk_start", "chunk_end", "row_count")
+
+
+@register("id_batches")
+def q_id_batches(spark, sf):
+    return D.id_batches(_markets_pos(spark, sf).select("pos", "id"), ["pos"])
+
+
+def _trades_decoded(spark, sf):
+    return B.decode_trades(A.trade_pages(spark, sf))
+
+
+@register("row_budget")
+def q_row_budget(spark, sf):
+    return rounded(D.row_budget(_trades_decoded(spark, sf), ROW_BUDGET))
+
+
+@register("trades_since")
+def q_trades_since(spark, sf):
+    return rounded(D.trades_since(D.row_budget(_trades_decoded(spark, sf), ROW_BUDGET), TRADES_SINCE_MS))
+
+
+@register("dedupe_price_points")
+def q_dedupe_price_points(spark, sf):
+    pts = B.decode_price_history(A.price_payloads(spark, sf))[0]
+    again = pts.select("token_id", "t", (F.col("p") * 2).alias("p"),
+                       (F.col("chunk_start") + 1_000_000).alias("chunk_start"), "pos")
+    return rounded(D.dedupe_price_points(D.union_parts([pts, again])))
+
+
+@register("union_parts")
+def q_union_parts(spark, sf):
+    return rounded(D.union_parts([A.prices(spark, sf), A.order_points(spark, sf)]))
+
+
+# ------------------------------------------------------------------ H
+
+from oddsline.operators import rates as H  # noqa: E402
+
+# Request quota per limiter of the request log (per 10 s).
+LIMITER_QUOTAS = {"view": 1000, "click": 1000, "purchase": 190, "signup": 120, "error": 120}
+
+
+@register("trailing_rate")
+def q_trailing_rate(spark, sf):
+    return rounded(H.trailing_rate(A.request_log(spark, sf)))
+
+
+@register("quota_utilization")
+def q_quota_utilization(spark, sf):
+    return rounded(H.quota_utilization(A.request_log(spark, sf), LIMITER_QUOTAS))
+
+
+# ------------------------------------------------------------------ A
+
+from oddsline.sources import files as S  # noqa: E402
+
+FETCH_TS = "2024-02-01 00:00:00"
+
+
+@register("scan_prices")
+def q_scan_prices(spark, sf):
+    ev = S.scan_parquet(spark, f"{sf}/event*.parquet")
+    return ev.select(F.concat(F.lit("T"), "user_id").alias("token_id"), TC.epoch_ms("ts").alias("t"),
+                     F.round("value", 6).alias("p"))
+
+
+@register("with_provenance")
+def q_with_provenance(spark, sf):
+    df = S.with_provenance(A.prices(spark, sf), "clob", "/prices-history", FETCH_TS)
+    return rounded(df.withColumn("_fetch_timestamp", F.date_format("_fetch_timestamp", "yyyy-MM-dd'T'HH:mm:ss")))
+
+
+@register("stage_counts")
+def q_stage_counts(spark, sf):
+    lv = A.book_levels(spark, sf)
+    return S.stage_counts(markets=A.markets(spark, sf), prices=A.prices(spark, sf), levels=lv,
+                          spreads=E.spread_snapshot(lv), trades=A.trades(spark, sf))
+
+
+@register("dataset_manifest")
+def q_dataset_manifest(spark, sf):
+    pj = _joined(spark, sf)
+    return S.manifest_rows("prices_joined", "processed/prices_joined.parquet", NOW_ISO, pj).drop("schema_json")
