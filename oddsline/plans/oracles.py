@@ -464,3 +464,18 @@ SELECT (SELECT count(*) FROM markets) AS markets,
 oracle("dataset_manifest", f"""
 SELECT 'prices_joined' AS dataset, 'processed/prices_joined.parquet' AS parquet_path, '{Q.NOW_ISO}' AS created_at,
        count(*) AS rows, CAST(11 AS BIGINT) AS cols FROM {JOINED}""", "prices", "token_map")
+
+
+# ------------------------------------------------------------------ streaming
+
+oracle("stream_ingest_prices", f"""
+SELECT token_id, t, round(p, 6) AS p, chunk_start, pos, 'clob' AS _source_api, '/prices-history' AS _api_endpoint
+FROM {PTS_DECODED}""")
+oracle("stream_dedupe_prices", f"SELECT DISTINCT token_id, t FROM {PTS_DECODED}")
+oracle("stream_trades_daily", f"""
+SELECT * FROM (
+SELECT "conditionId", {day('"timestamp"')} AS day_ts, count(*) AS trades,
+       {r('coalesce(sum(size), 0.0::DOUBLE)', 'size_sum')},
+       {r('coalesce(sum(size * price), 0.0::DOUBLE)', 'notional_sum')}
+FROM trades GROUP BY 1, 2)
+WHERE day_ts + 86400000 <= (SELECT max("timestamp") FROM trades) - 86400000""", "trades")

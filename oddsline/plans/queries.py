@@ -551,3 +551,26 @@ def q_stage_counts(spark, sf):
 def q_dataset_manifest(spark, sf):
     pj = _joined(spark, sf)
     return S.manifest_rows("prices_joined", "processed/prices_joined.parquet", NOW_ISO, pj).drop("schema_json")
+
+
+# ------------------------------------------------------------------ streaming
+
+from oddsline.streaming import ingest as ST  # noqa: E402
+
+
+@register("stream_ingest_prices")
+def q_stream_ingest_prices(spark, sf):
+    out = ST.ingest_prices_table(spark, A.price_payloads(spark, sf))
+    return rounded(out.drop("_fetch_timestamp"))
+
+
+@register("stream_dedupe_prices")
+def q_stream_dedupe_prices(spark, sf):
+    pts = B.decode_price_history(A.price_payloads(spark, sf))[0]
+    again = pts.withColumn("chunk_start", F.col("chunk_start") + 1_000_000)
+    return ST.dedupe_prices_table(spark, pts.unionByName(again)).select("token_id", "t")
+
+
+@register("stream_trades_daily")
+def q_stream_trades_daily(spark, sf):
+    return rounded(ST.trades_daily_table(spark, A.trades(spark, sf)))
