@@ -110,7 +110,7 @@ def scan_run_table(spark: SparkSession, cfg: RunInput, name: str, schema=None,
     df = scan_parquet(spark, paths, schema)
     if df is not None and with_run:
         src = F.col("_metadata.file_path")
-        df = df.withColumn("run", F.element_at(F.split(src, "/"), -2))
+        df = df.withColumn("run", F.regexp_extract(src, r"/raw/([^/]+)/", 1))
     return df
 
 

@@ -81,7 +81,9 @@ class JdbcStore:
             jvm.java.lang.Class.forName(self.props["driver"])
         conn = jvm.java.sql.DriverManager.getConnection(self.url, props)
         try:
-            rs = conn.getMetaData().getTables(None, None, "%", ["TABLE"])
+            types = self.spark.sparkContext._gateway.new_array(jvm.java.lang.String, 1)
+            types[0] = "TABLE"
+            rs = conn.getMetaData().getTables(None, None, "%", types)
             out = []
             while rs.next():
                 out.append(rs.getString("TABLE_NAME"))
