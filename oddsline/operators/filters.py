@@ -145,18 +145,45 @@ def jump_window(order_cols=("t",)):
     return Window.partitionBy("token_id").orderBy(*order_cols)
 
 
-def compute_jumps(df: DataFrame, tie_break: str | None = None) -> DataFrame:
+DEFAULT_JUMP_BUCKET_MS = 3_600_000  # window partitions are (token, hour of t)
+
+
+def compute_jumps(df: DataFrame, tie_break: str | None = None,
+                  bucket_ms: int | None = DEFAULT_JUMP_BUCKET_MS) -> DataFrame:
     """Change from the previous row per token in time order (no filling).
 
     ``jump_pct`` divides by the previous price with float semantics. A tie
     on (token_id, t) is ordered by ``tie_break`` (default: p) so that the
     result is deterministic.
+
+    Skew: a plain ``lag`` over ``partitionBy(token_id)`` puts a hot token in
+    one task. With ``bucket_ms`` the window is partitioned by (token, time
+    bucket); the previous price of each bucket's first row is the last price
+    of the token's nearest earlier non-empty bucket, taken from a per-bucket
+    partial aggregate (``max_by``) and a window over buckets (bounded by the
+    number of buckets per token) and joined on (token, bucket).
+    ``bucket_ms=None`` keeps the single per-token window.
     """
     if not {"token_id", "t", "p"} <= set(df.columns):
         raise ValueError(f"cannot compute jumps: need token_id, t, p; found {df.columns}")
-    w = jump_window(("t", tie_break or "p"))
-    d, pct = change_from_previous("p", w)
-    return df.withColumn("jump_abs", d).withColumn("jump_pct", pct)
+    tie = tie_break or "p"
+    if bucket_ms is None:
+        d, pct = change_from_previous("p", jump_window(("t", tie)))
+        return df.withColumn("jump_abs", d).withColumn("jump_pct", pct)
+    from oddsline.functions.mathcols import ieee_divide
+
+    keyed = df.withColumn("_b", F.floor(F.col("t") / F.lit(bucket_ms)))
+    w = Window.partitionBy("token_id", "_b").orderBy("t", tie)
+    inner = keyed.withColumn("_prev", F.lag("p").over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    order = F.struct(F.col("t"), F.col(tie))
+    last = keyed.groupBy("token_id", "_b").agg(F.max_by("p", order).alias("_last"))
+    carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy("token_id").orderBy("_b"))) \
+        .select("token_id", "_b", "_carry")
+    out = inner.join(carry, ["token_id", "_b"], "left")
+    prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
+    diff = F.col("p") - prev
+    return (out.withColumn("jump_abs", diff).withColumn("jump_pct", ieee_divide(diff, prev))
+            .drop("_b", "_prev", "_first", "_carry"))
 
 
 def jump_predicates(cfg: FilterConfig) -> list[tuple[Column, str]]:

@@ -479,3 +479,6 @@ SELECT "conditionId", {day('"timestamp"')} AS day_ts, count(*) AS trades,
        {r('coalesce(sum(size * price), 0.0::DOUBLE)', 'notional_sum')}
 FROM trades GROUP BY 1, 2)
 WHERE day_ts + 86400000 <= (SELECT max("timestamp") FROM trades) - 86400000""", "trades")
+
+oracle("scan_runs", f"SELECT token_id, t, {r('p', 'p')}, true AS has_run FROM prices", "prices")
+oracle("compact_parts", f"SELECT token_id, t, {r('p', 'p')} FROM prices", "prices")

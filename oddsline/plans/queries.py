@@ -574,3 +574,28 @@ def q_stream_dedupe_prices(spark, sf):
 @register("stream_trades_daily")
 def q_stream_trades_daily(spark, sf):
     return rounded(ST.trades_daily_table(spark, A.trades(spark, sf)))
+
+
+@register("scan_runs")
+def q_scan_runs(spark, sf):
+    """Prices landed as three runs (by token hash), read back in scan mode
+    with the run name recovered from each row's file path."""
+    root = ST.scratch_path(spark, "runs")
+    p = A.prices(spark, sf)
+    run = F.concat(F.lit("run"), F.pmod(F.hash("token_id"), F.lit(3)).cast("string"))
+    p.withColumn("_run", run).write.partitionBy("_run").parquet(f"{root}/staging")
+    for k in range(3):
+        spark.read.parquet(f"{root}/staging/_run=run{k}").write.parquet(f"{root}/raw/run{k}/prices.parquet")
+    out = S.scan_run_table(spark, S.RunInput(mode="scan", root=root), "prices", with_run=True)
+    return rounded(out.select("token_id", "t", "p", (F.col("run") != "").alias("has_run")))
+
+
+@register("compact_parts")
+def q_compact_parts(spark, sf):
+    """Prices written as numbered part files, compacted, and read back."""
+    run = ST.scratch_path(spark, "parts")
+    p = A.prices(spark, sf)
+    for k in range(4):
+        p.filter(F.pmod(F.hash("token_id"), F.lit(4)) == k).write.parquet(f"{run}/prices_part{k:04d}.parquet")
+    out = S.compact_parts(spark, run, "prices", f"{run}_processed")
+    return rounded(spark.read.parquet(out))

@@ -275,3 +275,22 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that fills in when ``df`` is written (no second pass)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+# ------------------------------------------------------------ A16 promotion
+
+def promote_run_tables(spark: SparkSession, run_dir: str, out_dir: str, names: list[str]) -> dict[str, str | None]:
+    """Copy the single-file tables of a run (those without parts) into the
+    processed area, each in isolation: a failing table is logged and left
+    out, the others still go through."""
+    done: dict[str, str | None] = {}
+    for name in names:
+        src = f"{run_dir}/{name}.parquet"
+        if not path_exists(spark, src):
+            continue
+        try:
+            done[name] = write_versioned(spark.read.parquet(src), f"{out_dir}/{name}.parquet")
+        except Exception as e:  # noqa: BLE001
+            log.warning("promotion of %s failed: %s", src, e)
+            done[name] = None
+    return done

@@ -104,3 +104,27 @@ def test_report_frame_matches_observed(spark):
     n = res.frame.count()
     rep = G.filter_report_frame(df, cfg).first()
     assert rep.input_count == 29 and rep.output_count == n == res.report()["output_count"]
+
+
+def test_bucketed_jumps_equal_plain_window(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = []
+    for tok in ("A", "B", "C"):
+        t = 0
+        for _ in range(300):
+            t += rnd.choice([0, 1, 3, 50, 400])
+            rows.append((tok, t, rnd.choice([None, 0.0, 1.0, 2.5, float(rnd.randrange(9))]), "m", None, None, None))
+    df = joined(spark, rows)
+    key = ["token_id", "t", "p", "jump_abs", "jump_pct"]
+
+    def norm(v):
+        return "nan" if isinstance(v, float) and math.isnan(v) else v
+
+    def rows_of(frame):
+        return sorted((tuple(norm(x) for x in r) for r in frame.select(*key).collect()), key=repr)
+
+    plain = rows_of(G.compute_jumps(df, bucket_ms=None))
+    assert rows_of(G.compute_jumps(df, bucket_ms=100)) == plain
+    assert rows_of(G.compute_jumps(df, bucket_ms=7)) == plain
