@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from oddsline.operators import filters as G
 from oddsline.operators import process as P
-from oddsline.plans.present import rounded
+from oddsline.plans.present import round6, rounded
 from oddsline.sources import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +86,10 @@ def q_daily_returns_enriched(spark, sf):
 
 @register("price_panel")
 def q_price_panel(spark, sf):
-    return rounded(P.price_panel(A.prices(spark, sf)))
+    # Values are rounded in the long form, before the pivot: one rounded
+    # column instead of a projection over every token column.
+    daily = rounded(P.daily_mean_price(A.prices(spark, sf), value_name="price"))
+    return P.pivot_daily(daily)
 
 
 @register("panel_dims")
@@ -531,7 +534,7 @@ FETCH_TS = "2024-02-01 00:00:00"
 def q_scan_prices(spark, sf):
     ev = S.scan_parquet(spark, f"{sf}/event*.parquet")
     return ev.select(F.concat(F.lit("T"), "user_id").alias("token_id"), TC.epoch_ms("ts").alias("t"),
-                     F.round("value", 6).alias("p"))
+                     round6(F.col("value")).alias("p"))
 
 
 @register("with_provenance")

@@ -33,6 +33,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     conf = dict(BASE_CONF)
     conf.update({
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.driver.memory": "16g",
     })
