@@ -11,13 +11,13 @@ Scale notes
 * Ordered indexes (id batches, row budgets) need a global order. They use a
   distributed prefix sum: a range-partitioned sort, one total per
   partition (a handful of numbers to the driver), then per-partition
-  offsets -- never a window without PARTITION BY and never the rows on the
-  driver.
+  offsets in a narrow ``mapInPandas`` -- never a window without
+  PARTITION BY and never the rows on the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,32 +164,32 @@ def prefix_offsets(df: DataFrame, order_cols: list[str], weight_col: str | None
 
     spark = df.sparkSession
     checkpoint_dir(spark)
-    weight = F.col(weight_col).cast("bigint") if weight_col else F.lit(1).cast("bigint")
-    sorted_df = df.withColumn("_wgt", weight).orderBy(*order_cols).checkpoint(eager=True)
-    schema = sorted_df.schema
-    rdd = sorted_df.rdd
-
-    def totals(idx, it):
-        s = 0
-        for row in it:
-            s += row["_wgt"] or 0
-        yield idx, s
-
-    per_part = dict(rdd.mapPartitionsWithIndex(totals).collect())
+    weight = F.coalesce(F.col(weight_col).cast("bigint"), F.lit(0)) if weight_col else F.lit(1).cast("bigint")
+    # A reliable checkpoint fixes the partitions: both passes below read the
+    # same sorted partitions, so spark_partition_id() is stable between them.
+    ck = df.withColumn("_wgt", weight).orderBy(*order_cols).checkpoint(eager=True)
+    tagged = ck.withColumn("_pid", F.spark_partition_id())
+    totals = {r[0]: r[1] for r in tagged.groupBy("_pid").agg(F.sum("_wgt")).collect()}  # one row per partition
     base, acc = {}, 0
-    for i in range(rdd.getNumPartitions()):
-        base[i] = acc
-        acc += per_part.get(i, 0)
+    for pid in sorted(totals):
+        base[pid] = acc
+        acc += totals[pid] or 0
     base_b = spark.sparkContext.broadcast(base)
+    out_schema = T.StructType(tagged.schema.fields + [T.StructField(out_col, T.LongType(), False)])
 
-    def emit(idx, it):
-        off = base_b.value.get(idx, 0)
-        for row in it:
-            yield tuple(row) + (off,)
-            off += row["_wgt"] or 0
+    def running(batches):
+        off = None
+        for pdf in batches:  # the batches of one partition, in order
+            if pdf.empty:
+                continue
+            if off is None:
+                off = base_b.value.get(int(pdf["_pid"].iloc[0]), 0)
+            w = pdf["_wgt"].astype("int64")
+            pdf[out_col] = off + w.cumsum() - w
+            off += int(w.sum())
+            yield pdf
 
-    out_schema = T.StructType(schema.fields + [T.StructField(out_col, T.LongType(), False)])
-    return spark.createDataFrame(rdd.mapPartitionsWithIndex(emit), out_schema).drop("_wgt")
+    return tagged.mapInPandas(running, out_schema).drop("_wgt", "_pid")
 
 
 # ------------------------------------------------------------ D8
@@ -255,7 +255,3 @@ def union_parts(parts: list[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def empty_spark_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

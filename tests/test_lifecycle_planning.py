@@ -234,3 +234,17 @@ def test_lookback_months_clamp(spark):
                               lookback_start_ms(mar31, weeks=1).alias("b")).first()
     assert v.a == 1709164800000  # 2024-02-29 (T6: clamped)
     assert v.b == mar31 - 7 * 86400000
+
+
+def test_prefix_offsets_across_partitions(spark):
+    rnd = random.Random(9)
+    rows = [(k, rnd.choice([None, 0, 1, 5, 17])) for k in rnd.sample(range(100_000), 3000)]
+    df = spark.createDataFrame(rows, "k long, w long").repartition(13)
+    got = {r.k: r.offset for r in D.prefix_offsets(df, ["k"], "w").collect()}
+    acc, want = 0, {}
+    for k, w in sorted(rows):
+        want[k] = acc
+        acc += w or 0
+    assert got == want
+    empty = D.prefix_offsets(df.limit(0), ["k"], "w")
+    assert empty.count() == 0
