@@ -55,6 +55,30 @@ def apply_conf(spark: SparkSession) -> None:
             pass
 
 
+def scale_conf(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+               max_partitions: int = 200_000) -> dict[str, str]:
+    """Size shuffles and scans for an input of ``input_bytes`` and apply it.
+
+    Shuffle partitions start at input / target (bounded), so the largest
+    exchange of a job (raw rows before partial aggregation) still fits a task;
+    AQE then coalesces the smaller exchanges (post-aggregation) towards the
+    advisory size and splits skewed join partitions. Scan splits use the same
+    target. Returns the settings applied.
+    """
+    n = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    conf = {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

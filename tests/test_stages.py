@@ -77,3 +77,17 @@ def test_backfill_plan(spark):
     pending, rej = stages.backfill_plan(m, ledger, 1704067200000, 1706745600000, 60)
     assert rej.count() == 0
     assert [r.chunk_no for r in pending.orderBy("chunk_no").collect()] == [1, 2]
+
+
+def test_scale_conf_sizes_partitions(spark):
+    from oddsline.session import scale_conf
+
+    probe = scale_conf(spark, 1)
+    try:
+        conf = scale_conf(spark, 100 * 10**12)  # 100 TB
+        assert int(conf["spark.sql.shuffle.partitions"]) == 200_000
+        assert scale_conf(spark, 10 * 10**9)["spark.sql.shuffle.partitions"] == "200"
+    finally:
+        for k in probe:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
