@@ -25,17 +25,36 @@ def _vtype(v: Column) -> Column:
     return F.when(v.isNull(), F.lit(None)).otherwise(F.upper(F.schema_of_variant(v)))
 
 
+def _kind_is_number(k: Column) -> Column:
+    return k.isin(*NUMERIC_TYPES) | k.startswith("DECIMAL")
+
+
 def _is_number(v: Column) -> Column:
-    t = _vtype(v)
-    return t.isin(*NUMERIC_TYPES) | t.startswith("DECIMAL")
+    return _kind_is_number(_vtype(v))
 
 
-def _is_type(v: Column, name: str) -> Column:
-    """Type test; OBJECT and ARRAY match by prefix (the schema text lists the
-    inner fields)."""
+def _kind_is(k: Column, name: str) -> Column:
+    """Type test on a type name; OBJECT and ARRAY match by prefix (the schema
+    text lists the inner fields)."""
     if name in ("OBJECT", "ARRAY"):
-        return _vtype(v).startswith(name)
-    return _vtype(v) == name
+        return k.startswith(name)
+    return k == name
+
+
+def _is_type(v: Column, name: str) -> Column:
+    return _kind_is(_vtype(v), name)
+
+
+def with_kinds(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add, for each ``name -> (variant column, path)``, the field's variant
+    ``name`` and its type ``name_k`` as columns of their own.
+
+    Conditional expressions are not shared by common-subexpression
+    elimination, so the field lookup and its type are computed once here and
+    read by every branch afterwards.
+    """
+    out = df.select("*", *[_field(F.col(src), path).alias(n) for n, (src, path) in fields.items()])
+    return out.select("*", *[_vtype(F.col(n)).alias(f"{n}_k") for n in fields])
 
 
 def _field(v: Column, path: str) -> Column:
@@ -60,16 +79,18 @@ def text_timestamp_ms(s: Column) -> Column:
         n.between(MIN_VALID_TIMESTAMP_MS, MAX_VALID_TIMESTAMP_MS), n)
 
 
-def point_timestamp_ms(v: Column) -> Column:
+def point_timestamp_ms(v: Column, kind: Column | None = None) -> Column:
     """Price-point time: a JSON number below 1e10 is seconds (x1000, truncated),
     otherwise ms with no range check; JSON text follows ``text_timestamp_ms``;
-    anything else (null, object, array) is invalid (null)."""
+    anything else (null, object, array) is invalid (null). ``kind`` is the
+    precomputed type name of ``v`` when available."""
+    k = _vtype(v) if kind is None else kind
     x = F.try_variant_get(v, "$", "double")
     num = F.when(x < SECONDS_LIMIT, (x * 1000).try_cast("bigint")).otherwise(x.try_cast("bigint"))
     b = F.try_variant_get(v, "$", "boolean").cast("bigint") * 1000
-    return (F.when(_is_number(v), num)
-            .when(_is_type(v, "BOOLEAN"), b)
-            .when(_is_type(v, "STRING"), text_timestamp_ms(F.try_variant_get(v, "$", "string"))))
+    return (F.when(_kind_is_number(k), num)
+            .when(_kind_is(k, "BOOLEAN"), b)
+            .when(_kind_is(k, "STRING"), text_timestamp_ms(F.try_variant_get(v, "$", "string"))))
 
 
 def strict_timestamp_ms(v: Column) -> Column:
@@ -83,11 +104,12 @@ def strict_timestamp_ms(v: Column) -> Column:
     return F.coalesce(got, F.lit(0).cast("bigint"))
 
 
-def _float_value(v: Column) -> Column:
+def _float_value(v: Column, kind: Column | None = None) -> Column:
     """float(x) for a JSON number, boolean or numeric text; null otherwise."""
-    return (F.when(_is_number(v), F.try_variant_get(v, "$", "double"))
-            .when(_is_type(v, "BOOLEAN"), F.try_variant_get(v, "$", "boolean").cast("double"))
-            .when(_is_type(v, "STRING"), F.trim(F.try_variant_get(v, "$", "string")).try_cast("double")))
+    k = _vtype(v) if kind is None else kind
+    return (F.when(_kind_is_number(k), F.try_variant_get(v, "$", "double"))
+            .when(_kind_is(k, "BOOLEAN"), F.try_variant_get(v, "$", "boolean").cast("double"))
+            .when(_kind_is(k, "STRING"), F.trim(F.try_variant_get(v, "$", "string")).try_cast("double")))
 
 
 # ----------------------------------------------------------- B4 prices
@@ -108,8 +130,9 @@ def decode_price_history(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
            .select("token_id", "chunk_start",
                    F.posexplode(F.coalesce(F.try_variant_get(F.col("_v"), "$.history", "array<variant>"),
                                            F.array().cast("array<variant>"))).alias("pos", "pt")))
-    t = point_timestamp_ms(_field(F.col("pt"), "$.t"))
-    p = _float_value(_field(F.col("pt"), "$.p"))
+    pts = with_kinds(pts, {"_tv": ("pt", "$.t"), "_pv": ("pt", "$.p")})
+    t = point_timestamp_ms(F.col("_tv"), F.col("_tv_k"))
+    p = _float_value(F.col("_pv"), F.col("_pv_k"))
     good = (pts.select("token_id", t.alias("t"), p.alias("p"), "chunk_start", "pos")
             .filter(F.col("t").isNotNull() & F.col("p").isNotNull()))
     return good, rejects
