@@ -149,7 +149,7 @@ DEFAULT_JUMP_BUCKET_MS = 3_600_000  # window partitions are (token, hour of t)
 
 
 def compute_jumps(df: DataFrame, tie_break: str | None = None,
-                  bucket_ms: int | None = DEFAULT_JUMP_BUCKET_MS) -> DataFrame:
+                  bucket_ms: int | None = DEFAULT_JUMP_BUCKET_MS, mode: str = "range") -> DataFrame:
     """Change from the previous row per token in time order (no filling).
 
     ``jump_pct`` divides by the previous price with float semantics. A tie
@@ -157,20 +157,36 @@ def compute_jumps(df: DataFrame, tie_break: str | None = None,
     result is deterministic.
 
     Skew: a plain ``lag`` over ``partitionBy(token_id)`` puts a hot token in
-    one task. With ``bucket_ms`` the window is partitioned by (token, time
-    bucket); the previous price of each bucket's first row is the last price
-    of the token's nearest earlier non-empty bucket, taken from a per-bucket
-    partial aggregate (``max_by``) and a window over buckets (bounded by the
-    number of buckets per token) and joined on (token, bucket).
-    ``bucket_ms=None`` keeps the single per-token window.
+    one task. Three plans:
+
+    * ``mode="range"`` (default): the previous row over a global
+      range-partitioned order (``ordering.previous_values``); balanced
+      whatever the skew, even a hot instant.
+    * ``mode="bucket"``: the window is partitioned by (token, ``bucket_ms``
+      bucket of t); each bucket's first row takes the last price of the
+      token's nearest earlier non-empty bucket, from a per-bucket partial
+      aggregate (``max_by``), a window over buckets and a join on (token,
+      bucket). Balanced unless one bucket is hot.
+    * ``mode="window"``: the single per-token window.
     """
     if not {"token_id", "t", "p"} <= set(df.columns):
         raise ValueError(f"cannot compute jumps: need token_id, t, p; found {df.columns}")
     tie = tie_break or "p"
-    if bucket_ms is None:
+    from oddsline.functions.mathcols import ieee_divide
+
+    if mode == "window" or (mode == "bucket" and bucket_ms is None):
         d, pct = change_from_previous("p", jump_window(("t", tie)))
         return df.withColumn("jump_abs", d).withColumn("jump_pct", pct)
-    from oddsline.functions.mathcols import ieee_divide
+    if mode == "range":
+        from oddsline.operators.ordering import previous_values
+
+        order = ["t"] if tie == "p" else ["t", tie]
+        out = previous_values(df, "token_id", order + (["p"] if tie == "p" else []), ["p"], prefix="_prev_")
+        diff = F.col("p") - F.col("_prev_p")
+        return (out.withColumn("jump_abs", diff).withColumn("jump_pct", ieee_divide(diff, F.col("_prev_p")))
+                .drop("_prev_p"))
+    if mode != "bucket":
+        raise ValueError(f"unknown jump mode {mode!r}")
 
     keyed = df.withColumn("_b", F.floor(F.col("t") / F.lit(bucket_ms)))
     w = Window.partitionBy("token_id", "_b").orderBy("t", tie)

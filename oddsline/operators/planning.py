@@ -160,14 +160,13 @@ def prefix_offsets(df: DataFrame, order_cols: list[str], weight_col: str | None
     go to the driver, and each partition adds its base offset. No single
     task ever holds more than its own partition.
     """
-    from oddsline.session import checkpoint_dir
+    from oddsline.session import reliable_checkpoint
 
     spark = df.sparkSession
-    checkpoint_dir(spark)
     weight = F.coalesce(F.col(weight_col).cast("bigint"), F.lit(0)) if weight_col else F.lit(1).cast("bigint")
     # A reliable checkpoint fixes the partitions: both passes below read the
     # same sorted partitions, so spark_partition_id() is stable between them.
-    ck = df.withColumn("_wgt", weight).orderBy(*order_cols).checkpoint(eager=True)
+    ck = reliable_checkpoint(df.withColumn("_wgt", weight), list(order_cols))
     tagged = ck.withColumn("_pid", F.spark_partition_id())
     totals = {r[0]: r[1] for r in tagged.groupBy("_pid").agg(F.sum("_wgt")).collect()}  # one row per partition
     base, acc = {}, 0

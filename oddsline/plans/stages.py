@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from oddsline.operators import filters as G
 from oddsline.operators import planning as D
 from oddsline.operators import process as P
-from oddsline.session import checkpoint_dir
+from oddsline.session import reliable_checkpoint
 from oddsline.sources.files import observe_counts, write_with_manifest
 
 log = logging.getLogger("oddsline.stages")
@@ -54,8 +54,7 @@ def process_stage(spark: SparkSession, out_dir: str, manifest_path: str, prices:
     elif prices is not None:
         log.warning("no markets table; prices_joined skipped")
     if prices is not None:
-        checkpoint_dir(spark)
-        daily = P.daily_mean_price(prices).checkpoint(eager=True)
+        daily = reliable_checkpoint(P.daily_mean_price(prices))
         rets = P.returns_from_daily(daily, markets)
         res.paths["daily_returns"], res.counts["daily_returns"] = write_with_manifest(
             rets, "daily_returns", f"{out}/daily_returns.parquet", manifest_path)

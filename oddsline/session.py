@@ -98,3 +98,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(local)
     spark.conf.set(CHECKPOINT_CONF, local)
     return local
+
+
+def reliable_checkpoint(df, sort_cols: list | None = None):
+    """Checkpoint ``df`` (sorted by ``sort_cols`` when given) to the shared
+    checkpoint folder, computing its input once.
+
+    A range sort first runs a sampling pass over its whole input, and
+    writing a checkpoint runs the plan again; both would re-read the
+    upstream scan. The input is therefore persisted (memory, spilling to
+    disk) for the sampling and sorting passes, the sorted result is
+    persisted for the checkpoint write, and both caches are dropped once
+    the checkpoint exists.
+    """
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if sort_cols else df
+    out = (src.orderBy(*sort_cols) if sort_cols else src).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return out.checkpoint(eager=True)
+    finally:
+        out.unpersist()
+        if sort_cols:
+            src.unpersist()
+

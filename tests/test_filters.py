@@ -106,7 +106,7 @@ def test_report_frame_matches_observed(spark):
     assert rep.input_count == 29 and rep.output_count == n == res.report()["output_count"]
 
 
-def test_bucketed_jumps_equal_plain_window(spark):
+def test_jump_plans_equal_plain_window(spark):
     import random
 
     rnd = random.Random(5)
@@ -125,6 +125,9 @@ def test_bucketed_jumps_equal_plain_window(spark):
     def rows_of(frame):
         return sorted((tuple(norm(x) for x in r) for r in frame.select(*key).collect()), key=repr)
 
-    plain = rows_of(G.compute_jumps(df, bucket_ms=None))
-    assert rows_of(G.compute_jumps(df, bucket_ms=100)) == plain
-    assert rows_of(G.compute_jumps(df, bucket_ms=7)) == plain
+    plain = rows_of(G.compute_jumps(df, mode="window"))
+    assert rows_of(G.compute_jumps(df, mode="bucket", bucket_ms=100)) == plain
+    assert rows_of(G.compute_jumps(df, mode="bucket", bucket_ms=7)) == plain
+    assert rows_of(G.compute_jumps(df.repartition(5), mode="range")) == plain
+    hot = joined(spark, rows + [(None, i, 1.0 * (i % 3), "m", None, None, None) for i in range(50)])
+    assert rows_of(G.compute_jumps(hot.repartition(9), mode="range")) == rows_of(G.compute_jumps(hot, mode="window"))
