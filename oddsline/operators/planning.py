@@ -121,6 +121,61 @@ def ledger_completed_count(ledger: DataFrame) -> DataFrame:
     return ledger.agg(F.count(F.lit(1)).alias("completed"))
 
 
+def chunk_of_points(points: DataFrame, jobs: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
+    """Assign fetched points (token_id, t) to their chunk of the token's job.
+
+    The chunk number is arithmetic, floor((t - start) / (chunk + 1)), so this
+    is an equi-join on token plus a range check, never a range join.
+    Points outside [start, end] or in the uncovered last millisecond of a
+    range (see ``chunk_windows``) get no chunk.
+    """
+    j = jobs.select("token_id", F.col("start_ts").alias("_s"), F.col("end_ts").alias("_e"))
+    k = F.floor((F.col("t") - F.col("_s")) / F.lit(chunk_ms + 1)).cast("bigint")
+    cs = F.col("_s") + k * F.lit(chunk_ms + 1)
+    inside = F.col("t").between(F.col("_s"), F.col("_e")) & (cs < F.col("_e"))  # the chunk must exist
+    return (points.join(j, "token_id", "inner").filter(inside)
+            .select("token_id", cs.alias("chunk_start"),
+                    F.least(cs + F.lit(chunk_ms), F.col("_e")).alias("chunk_end")))
+
+
+def pending_with_counts(chunks: DataFrame, ledger: DataFrame, fidelity: int, point_chunks: DataFrame,
+                        carry: tuple[str, ...] = ("chunk_no", "created_at_ts")) -> DataFrame:
+    """D5 plus fetched-row counts in one co-grouped pass.
+
+    Chunks, completed ledger windows of this fidelity, and per-chunk point
+    counts are tagged and unioned, all hash-partitioned by token_id, and one
+    aggregate on the chunk key tells which chunks exist, which are completed
+    and how many points each holds. The aggregate (and the per-token window
+    of ``empty_run_cutoff`` after it) reuses the token partitioning, so the
+    chunk rows are exchanged once instead of once per join key.
+
+    ``carry`` names fixed-width chunk columns passed through (``max`` over
+    the single chunk row of a key); fixed-width buffers keep the aggregate a
+    hash aggregate rather than a sort-based one.
+    """
+    key = ["token_id", "chunk_start", "chunk_end"]
+    n = F.lit(0).cast("bigint")
+    c = chunks.select(*key, F.lit(0).alias("_kind"), n.alias("_n"), *carry)
+    led = (ledger.filter(F.col("fidelity") == F.lit(fidelity))
+           .select("token_id", F.col("start_ts").alias("chunk_start"), F.col("end_ts").alias("chunk_end"),
+                   F.lit(1).alias("_kind"), n.alias("_n"),
+                   *[F.lit(None).cast(c.schema[x].dataType).alias(x) for x in carry]))
+    # Points are raw rows: count them per chunk first (a partial aggregate),
+    # so that only chunk-level rows -- bounded per token -- go through the
+    # token exchange below, however hot a token is.
+    pts = (point_chunks.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+           .select(*key, F.lit(2).alias("_kind"), "_n",
+                   *[F.lit(None).cast(c.schema[x].dataType).alias(x) for x in carry]))
+    u = c.unionByName(led).unionByName(pts).repartition("token_id")
+    g = u.groupBy(*key).agg(
+        F.max(F.col("_kind") == 0).alias("_is_chunk"),
+        F.max(F.col("_kind") == 1).alias("_done"),
+        F.sum("_n").alias("row_count"),
+        *[F.max(F.when(F.col("_kind") == 0, F.col(x))).alias(x) for x in carry])
+    return (g.filter(F.col("_is_chunk") & ~F.col("_done"))
+            .select(*key, *carry, F.lit(fidelity).alias("fidelity"), "row_count"))
+
+
 # ------------------------------------------------------------ D7
 
 def empty_run_cutoff(chunks: DataFrame, limit: int = EMPTY_CHUNK_LIMIT, rows_col: str = "row_count",

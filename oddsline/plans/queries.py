@@ -469,7 +469,11 @@ def q_window_ledger_merge(spark, sf):
 
 @register("empty_run_cutoff")
 def q_empty_run_cutoff(spark, sf):
-    out = D.empty_run_cutoff(_fetch_log(spark, sf))
+    # D5 and the fetched-row counts in one co-grouped pass by token, then D7
+    # on the same partitioning.
+    pts = D.chunk_of_points(A.order_points(spark, sf), A.jobs(spark, sf))
+    log = D.pending_with_counts(_chunks(spark, sf), _ledger(spark, sf), FIDELITY, pts)
+    out = D.empty_run_cutoff(log)
     return out.select("token_id", "chunk_no", "chunk_start", "chunk_end", "row_count")
 
 

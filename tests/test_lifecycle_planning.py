@@ -248,3 +248,23 @@ def test_prefix_offsets_across_partitions(spark):
     assert got == want
     empty = D.prefix_offsets(df.limit(0), ["k"], "w")
     assert empty.count() == 0
+
+
+def test_cogrouped_pending_counts_equal_joins(spark):
+    jobs = spark.createDataFrame([("a", 0, 100, 0), ("b", 10, 30, 10)],
+                                 "token_id string, start_ts bigint, end_ts bigint, created_at_ts bigint")
+    chunks = D.chunk_windows(jobs, chunk_ms=9)
+    ledger = spark.createDataFrame([("a", 10, 19, 60, "x", 0), ("a", 20, 29, 1, "x", 0)],
+                                   "token_id string, start_ts bigint, end_ts bigint, fidelity int, "
+                                   "completed_at string, row_count bigint")
+    pts = spark.createDataFrame([("a", t) for t in (0, 5, 9, 25, 99, 100)] + [("b", 31), ("b", 12)] * 3,
+                                "token_id string, t bigint")
+    got = {(r.token_id, r.chunk_start): r.row_count for r in
+           D.pending_with_counts(chunks, ledger, 60, D.chunk_of_points(pts, jobs, chunk_ms=9)).collect()}
+    pend = D.pending_windows(chunks, ledger, 60)
+    want = {}
+    for r in pend.collect():
+        n = sum(1 for tok, t in [("a", t) for t in (0, 5, 9, 25, 99, 100)] + [("b", 31), ("b", 12)] * 3
+                if tok == r.token_id and r.chunk_start <= t <= r.chunk_end)
+        want[(r.token_id, r.chunk_start)] = n
+    assert got == want and got[("a", 0)] == 3 and got[("b", 10)] == 3
