@@ -275,13 +275,16 @@ def _bool_value(v: Column) -> tuple[Column, Column]:
     return val, ok
 
 
-def decode_markets(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def decode_markets(pages: DataFrame, max_pages: int | None = None) -> tuple[DataFrame, DataFrame]:
     """B1: (page, payload) of JSON arrays of market objects -> MARKETS rows.
 
     camelCase keys map to snake_case, unknown keys are ignored, non-object
     items are skipped. A market whose id is missing or not text, or whose
-    fields have the wrong JSON type, goes to the rejects frame.
+    fields have the wrong JSON type, goes to the rejects frame. With
+    ``max_pages`` only pages 0 .. max_pages-1 count (the page cap).
     """
+    if max_pages is not None:
+        pages = pages.filter(F.col("page") < F.lit(max_pages))
     items = pages.select("page", F.posexplode(F.coalesce(_items(F.col("payload")), F.array().cast("array<variant>")))
                          .alias("pos", "it")).filter(_is_type(F.col("it"), "OBJECT"))
     it = F.col("it")

@@ -248,9 +248,13 @@ def prefix_offsets(df: DataFrame, order_cols: list[str], weight_col: str | None
 
 # ------------------------------------------------------------ D8
 
-def id_batches(ids: DataFrame, order_cols: list[str], id_col: str = "id", size: int = ID_BATCH_SIZE) -> DataFrame:
+def id_batches(ids: DataFrame | None, order_cols: list[str], id_col: str = "id", size: int = ID_BATCH_SIZE,
+               spark=None) -> DataFrame:
     """Non-null ids in ``order_cols`` order, cut into consecutive batches of
-    ``size``; each batch as (batch, n_ids, ids joined by commas)."""
+    ``size``; each batch as (batch, n_ids, ids joined by commas). Without an
+    id list (``ids=None``) there is one unfiltered batch (null ids)."""
+    if ids is None:
+        return spark.createDataFrame([(0, 0, None)], "batch bigint, n_ids int, ids string")
     clean = ids.filter(F.col(id_col).isNotNull()).select(*dict.fromkeys(order_cols + [id_col]))
     idx = prefix_offsets(clean, order_cols, out_col="_idx")
     b = idx.withColumn("batch", F.floor(F.col("_idx") / size).cast("bigint"))

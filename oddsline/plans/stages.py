@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from oddsline.operators import filters as G
 from oddsline.operators import planning as D
 from oddsline.operators import process as P
+from oddsline.schemas import LEDGER
 from oddsline.session import reliable_checkpoint
 from oddsline.sources.files import observe_counts, write_with_manifest
 
@@ -86,19 +87,23 @@ def filter_stage(df: DataFrame, cfg: G.FilterConfig, output_path: str) -> dict:
 
 
 def backfill_plan(markets: DataFrame, ledger: DataFrame | None, start_ms: int, end_ms: int,
-                  fidelity: int, fetch_log: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                  fidelity: int, points: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Markets -> token jobs -> 14-day chunks -> minus completed ledger windows.
 
-    With a ``fetch_log`` (chunk results: token_id, chunk_start, row_count)
-    the empty-run rule is applied to the pending chunks. Returns
-    (pending chunks, job rejects).
+    With ``points`` (fetched price points: token_id, t) each pending chunk
+    gets its point count and the empty-run rule trims every token's chunk
+    sequence, all in one co-grouped pass by token. Returns (pending chunks,
+    job rejects).
     """
     jobs, rejects = D.token_jobs(markets, start_ms, end_ms)
     chunks = D.chunk_windows(jobs)
-    pending = D.pending_windows(chunks, ledger, fidelity) if ledger is not None else chunks
-    if fetch_log is not None:
-        pending = D.empty_run_cutoff(pending.join(fetch_log, ["token_id", "chunk_start"], "left"))
-    return pending, rejects
+    if points is None:
+        pending = D.pending_windows(chunks, ledger, fidelity) if ledger is not None else chunks
+        return pending, rejects
+    if ledger is None:
+        ledger = chunks.sparkSession.createDataFrame([], LEDGER)
+    counted = D.pending_with_counts(chunks, ledger, fidelity, D.chunk_of_points(points, jobs))
+    return D.empty_run_cutoff(counted), rejects
 
 
 def observed(df: DataFrame, name: str):

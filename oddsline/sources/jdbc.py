@@ -92,12 +92,13 @@ class JdbcStore:
             conn.close()
 
     def scan(self, pattern: str, schema: T.StructType | None = None) -> DataFrame | None:
-        """Union of every table whose name matches the glob made from ``pattern``."""
+        """Union of every non-empty table whose name matches the glob made
+        from ``pattern``; an empty frame (with ``schema``) when none does."""
         glob = table_name(pattern.replace("*", "STAR")).replace("STAR", "*")
         names = [t for t in self.tables() if fnmatch.fnmatch(t.upper(), glob.upper())]
-        frames = [self.read(n, schema) for n in sorted(names)]
+        frames = [f for f in (self.read(n, schema) for n in sorted(names)) if f.limit(1).count() > 0]
         if not frames:
-            return None
+            return self.spark.createDataFrame([], schema) if schema is not None else None
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f)

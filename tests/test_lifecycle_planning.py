@@ -268,3 +268,24 @@ def test_cogrouped_pending_counts_equal_joins(spark):
                 if tok == r.token_id and r.chunk_start <= t <= r.chunk_end)
         want[(r.token_id, r.chunk_start)] = n
     assert got == want and got[("a", 0)] == 3 and got[("b", 10)] == 3
+
+
+def test_id_batches_without_list_and_page_cap(spark):
+    one = D.id_batches(None, ["pos"], spark=spark).collect()
+    assert len(one) == 1 and one[0].ids is None
+    from oddsline.operators.decode import decode_markets
+
+    pages = spark.createDataFrame([(p, f'[{{"id":"m{p}"}}]') for p in range(5)], "page long, payload string")
+    assert decode_markets(pages, max_pages=2)[0].count() == 2
+
+
+def test_backfill_plan_with_points(spark):
+    from helpers import market_row, markets_df
+    from oddsline.plans import stages
+
+    day = 86_400_000
+    m = markets_df(spark, [market_row("a", ["t1"], created_at="2024-01-01T00:00:00Z", end_date="2024-12-01T00:00:00Z")])
+    pts = spark.createDataFrame([("t1", 1704067200000 + day)], "token_id string, t bigint")
+    pending, _ = stages.backfill_plan(m, None, 1704067200000, 1730000000000, 60, points=pts)
+    rows = pending.orderBy("chunk_start").collect()
+    assert rows[0].row_count == 1 and len(rows) == 6  # one full chunk, then five empty ones stop it
