@@ -209,6 +209,9 @@ def decode_trades(landing: DataFrame, strict_timestamp: bool = True) -> DataFram
 
 # ----------------------------------------------------------- B1-B3 markets
 
+# The JSON keys of a market object in the landed payload
+# (camelCase, as the market API sends them) and the column each maps to.
+TOKEN_IDS_KEY = "clobTokenIds"
 STR_FIELDS = {  # output name -> JSON key
     "question": "question", "description": "description", "market_slug": "marketSlug",
     "condition_id": "conditionId", "created_at": "createdAt", "end_date": "endDate",
@@ -297,7 +300,7 @@ def decode_markets(pages: DataFrame, max_pages: int | None = None) -> tuple[Data
         f = _field(it, f"$.{key}")
         checks.append(~_present(f) | _is_type(f, "STRING"))
         cols.append(F.try_variant_get(f, "$", "string").alias(out))
-    tok = _field(it, "$.clobTokenIds")
+    tok = _field(it, f"$.{TOKEN_IDS_KEY}")
     cols.append(F.when(tok.isNull(), F.array().cast("array<string>")).otherwise(normalize_token_ids(tok)).alias("token_ids"))
     outc, outc_ok = normalize_outcomes(_field(it, "$.outcomes"))
     checks.append(outc_ok)
