@@ -94,11 +94,11 @@ def point_timestamp_ms(v: Column, kind: Column | None = None) -> Column:
 
 
 def strict_timestamp_ms(v: Column) -> Column:
-    """Book timestamp rule: integer or integer text, 0 or within range; invalid -> 0."""
+    """Book timestamp rule: a JSON integer or integer text, 0 or within range;
+    anything else (a JSON number with a fraction or exponent included) -> 0."""
     s = F.try_variant_get(v, "$", "string")
     i = F.try_variant_get(v, "$", "bigint")
-    int_ok = _vtype(v).isin("BIGINT", "INT", "SMALLINT", "TINYINT") | (
-        _vtype(v).startswith("DECIMAL") & (F.try_variant_get(v, "$", "double") == i.cast("double")))
+    int_ok = _vtype(v).isin("BIGINT", "INT", "SMALLINT", "TINYINT")
     from_int = F.when(int_ok & ((i == 0) | i.between(MIN_VALID_TIMESTAMP_MS, MAX_VALID_TIMESTAMP_MS)), i)
     got = F.when(_is_type(v, "STRING"), text_timestamp_ms(s)).otherwise(from_int)
     return F.coalesce(got, F.lit(0).cast("bigint"))

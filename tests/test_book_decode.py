@@ -126,3 +126,16 @@ def test_iso_and_epoch_helpers(spark):
     assert r[2].a is None  # T4: compact dates are not accepted
     with pytest.raises(Exception):
         df.select(TC.iso_to_ms_strict(F.lit("nope"))).collect()
+
+
+def test_book_timestamp_forms(spark):
+    good, _ = books(spark, [
+        '{"bids":[],"asks":[],"timestamp":1704067200000}',
+        '{"bids":[],"asks":[],"timestamp":1704067200000.0}',
+        '{"bids":[],"asks":[],"timestamp":"1704067200000"}',
+        '{"bids":[],"asks":[],"timestamp":"123"}',
+        '{"bids":[],"asks":[],"timestamp":0}',
+        '{"bids":[],"asks":[]}',
+    ])
+    got = {r.token_id: r.timestamp for r in good.collect()}
+    assert got == {"tok0": 1704067200000, "tok1": 0, "tok2": 1704067200000, "tok3": 0, "tok4": 0, "tok5": 0}
