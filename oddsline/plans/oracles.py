@@ -254,8 +254,8 @@ FROM {DECODED_MARKETS}""", "markets")
 
 oracle("decode_markets_rejects", f"""
 SELECT page, pos, 'validation failed' AS reason FROM (
-  SELECT CAST(floor({MK} / 200) AS BIGINT) AS page,
-         CAST(row_number() OVER (PARTITION BY floor({MK} / 200) ORDER BY {MK}) - 1 AS INTEGER) AS pos,
+  SELECT CAST(floor({MK} / 100) AS BIGINT) AS page,
+         CAST(row_number() OVER (PARTITION BY floor({MK} / 100) ORDER BY {MK}) - 1 AS INTEGER) AS pos,
          {MK} % 13 = 0 AS rej
   FROM markets) WHERE rej""", "markets")
 

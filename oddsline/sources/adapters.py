@@ -23,7 +23,7 @@ SEQ_DAY_FACTOR = 1_000_000_000_000  # seq = days since epoch * factor + order ke
 BOOK_SNAPSHOT_ROWS = 64             # events per book snapshot (bounds every book)
 BOOK_CLOCK_START_MS = 1704067200000
 PAYLOAD_PAGE_ROWS = 64              # events per price-history payload
-MARKET_PAGE_KEYS = 200              # customer keys per market page (100 markets)
+MARKET_PAGE_KEYS = 100              # customer keys (markets) per market page
 TRADE_PAGE_ORDERS = 256             # order keys per trade page
 TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_shipdate")
 TRADE_BATCH_PAGES = 8               # pages per market batch
@@ -60,8 +60,9 @@ def prices_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One binary market per even customer key k, tokens T<k> and T<k+1>."""
-    c = table(spark, sf_dir, "customer").filter(F.pmod("c_custkey", F.lit(2)) == 0)
+    """One binary market per customer k, tokens T<2k> and T<2k+1> (every
+    customer is a market and no token belongs to two markets)."""
+    c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     created = F.date_add(F.lit("2023-12-01").cast("date"), F.pmod(k, F.lit(60)).cast("int"))
     ended = F.date_add(created, 45)
@@ -73,7 +74,7 @@ def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("segment "), F.col("c_mktsegment")).alias("description"),
         F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("-"))).alias("market_slug"),
         F.concat(F.lit("C"), k).alias("condition_id"),
-        F.array(F.concat(F.lit("T"), k), F.concat(F.lit("T"), k + 1)).alias("token_ids"),
+        F.array(F.concat(F.lit("T"), k * 2), F.concat(F.lit("T"), k * 2 + 1)).alias("token_ids"),
         F.array(F.lit("YES"), F.lit("NO")).alias("outcomes"),
         (~closed).alias("active"),
         closed.alias("closed"),
@@ -144,12 +145,14 @@ def book_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level rows of many small books: (token_id, timestamp) is one book.
 
     A book snapshot covers BOOK_SNAPSHOT_ROWS consecutive events, so no book
-    has more levels than that whatever the data size. Asks are dropped for
-    tokens divisible by 10 so that some books have one side only.
+    has more levels than that whatever the data size. Tokens divisible by 10
+    quote bids only (their would-be asks are bids too), so some books have
+    one side only; every event is a level.
     """
     e = table(spark, sf_dir, "events")
     token = F.pmod("user_id", F.lit(50))
-    side = F.when(F.col("event_type").isin("view", "click"), F.lit("bid")).otherwise(F.lit("ask"))
+    side = F.when(F.col("event_type").isin("view", "click") | (F.pmod("user_id", F.lit(10)) == 0),
+                  F.lit("bid")).otherwise(F.lit("ask"))
     snap = F.floor(F.col("event_id") / BOOK_SNAPSHOT_ROWS)
     out = e.select(
         F.concat(F.lit("T"), token).alias("token_id"),
@@ -158,9 +161,8 @@ def book_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.pmod(F.col("event_id") * 7, F.lit(99)) + 1) / 100.0).alias("price"),
         (F.floor("value") + 1).cast("double").alias("size"),
         F.col("event_id").alias("level_seq"),
-        F.pmod("user_id", F.lit(10)).alias("_u10"),
     )
-    return out.filter(~((F.col("side") == "ask") & (F.col("_u10") == 0))).drop("_u10")
+    return out
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "markets": (f"""
         SELECT 'M' || c_custkey AS id, c_name AS question, 'segment ' || c_mktsegment AS description,
                lower(replace(c_name, '#', '-')) AS market_slug, 'C' || c_custkey AS condition_id,
-               ['T' || c_custkey, 'T' || (c_custkey + 1)] AS token_ids, ['YES', 'NO'] AS outcomes,
+               ['T' || (c_custkey * 2), 'T' || (c_custkey * 2 + 1)] AS token_ids, ['YES', 'NO'] AS outcomes,
                NOT (c_acctbal < 5000) AS active, c_acctbal < 5000 AS closed, false AS archived,
                strftime(DATE '2023-12-01' + CAST({pmod('c_custkey', '60')} AS INTEGER), '%Y-%m-%dT%H:%M:%SZ') AS created_at,
                strftime(DATE '2023-12-01' + CAST({pmod('c_custkey', '60')} AS INTEGER) + 45, '%Y-%m-%dT%H:%M:%SZ') AS end_date,
@@ -48,7 +48,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                CASE WHEN {pmod('c_custkey', '10')} <> 0 AND c_acctbal < 3000 THEN
                     CASE WHEN c_acctbal < 0 THEN 'NO' ELSE 'YES' END END AS resolution_outcome,
                [c_mktsegment] AS tags, nullif(c_mktsegment, 'HOUSEHOLD') AS category
-        FROM customer WHERE {pmod('c_custkey', '2')} = 0""", ()),
+        FROM customer""", ()),
     "token_map": ("""
         SELECT u.token_id, m.id AS market_id, m.question, m.condition_id, m.resolved,
                m.resolution_outcome, m.category, m.created_at,
@@ -77,15 +77,13 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         SELECT id, seq, question, resolved, closed FROM versions
         WHERE o_orderdate >= TIMESTAMP '1998-01-01'""", ("versions",)),
     "book_levels": (f"""
-        SELECT token_id, "timestamp", side, price, size, level_seq FROM (
-          SELECT 'T' || {pmod('user_id', '50')} AS token_id,
-                 CAST(1704067200000 + floor(event_id / 64) * 60000 AS BIGINT) AS "timestamp",
-                 CASE WHEN event_type IN ('view', 'click') THEN 'bid' ELSE 'ask' END AS side,
-                 ({pmod('event_id * 7', '99')} + 1) / 100.0::DOUBLE AS price,
-                 CAST(floor(value) + 1 AS DOUBLE) AS size, event_id AS level_seq,
-                 {pmod('user_id', '10')} AS u10
-          FROM events)
-        WHERE NOT (side = 'ask' AND u10 = 0)""", ()),
+        SELECT 'T' || {pmod('user_id', '50')} AS token_id,
+               CAST(1704067200000 + floor(event_id / 64) * 60000 AS BIGINT) AS "timestamp",
+               CASE WHEN event_type IN ('view', 'click') OR {pmod('user_id', '10')} = 0 THEN 'bid' ELSE 'ask' END
+                   AS side,
+               ({pmod('event_id * 7', '99')} + 1) / 100.0::DOUBLE AS price,
+               CAST(floor(value) + 1 AS DOUBLE) AS size, event_id AS level_seq
+        FROM events""", ()),
     "jobs": (f"""
         SELECT 'T' || o_custkey AS token_id, 'M' || o_custkey AS market_id, start_ts, end_ts,
                start_ts AS created_at_ts
