@@ -267,11 +267,15 @@ def normalize_outcomes(v: Column) -> tuple[Column, Column]:
 
 
 def _bool_value(v: Column) -> tuple[Column, Column]:
-    s = F.lower(F.trim(F.try_variant_get(v, "$", "string")))
-    i = F.try_variant_get(v, "$", "double")
+    """(value, ok) of an optional boolean: JSON booleans, the JSON integers
+    0 and 1, and the TRUE_TEXT / FALSE_TEXT words (any case); null or absent
+    is None; anything else is invalid."""
+    s = F.lower(F.try_variant_get(v, "$", "string"))
+    i = F.try_variant_get(v, "$", "bigint")
+    is_int = _vtype(v).isin("BIGINT", "INT", "SMALLINT", "TINYINT")
     val = (F.when(~_present(v), F.lit(None).cast("boolean"))
            .when(_is_type(v, "BOOLEAN"), F.try_variant_get(v, "$", "boolean"))
-           .when(_is_number(v) & i.isin(0.0, 1.0), i == 1.0)
+           .when(is_int & i.isin(0, 1), i == 1)
            .when(_is_type(v, "STRING") & s.isin(*TRUE_TEXT), F.lit(True))
            .when(_is_type(v, "STRING") & s.isin(*FALSE_TEXT), F.lit(False)))
     ok = ~_present(v) | val.isNotNull()
