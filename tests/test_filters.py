@@ -131,3 +131,20 @@ def test_jump_plans_equal_plain_window(spark):
     assert rows_of(G.compute_jumps(df.repartition(5), mode="range")) == plain
     hot = joined(spark, rows + [(None, i, 1.0 * (i % 3), "m", None, None, None) for i in range(50)])
     assert rows_of(G.compute_jumps(hot.repartition(9), mode="range")) == rows_of(G.compute_jumps(hot, mode="window"))
+
+
+def test_hot_token_is_spread_over_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from oddsline.operators.ordering import previous_values
+
+    n = 40_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("T"), (F.col("id") % 97).cast("string")))
+        .alias("token_id"), F.col("id").alias("t"), (F.col("id") % 13).cast("double").alias("p"))
+    out = previous_values(df, "token_id", ["t", "p"], ["p"])
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("pid")).count().collect()]
+    assert sum(sizes) == n
+    assert max(sizes) <= 3 * n / len(sizes)  # the hot token (half the rows) is not in one task
+    hot = out.filter("token_id = 'HOT' and t > 0").select(((F.col("p") - F.col("prev_p")).isNotNull()).alias("ok"))
+    assert hot.filter("ok").count() == n // 2 - 1
