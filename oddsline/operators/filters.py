@@ -67,12 +67,25 @@ def age_cutoff_text(as_of: str, days: int) -> str:
     return f"{d.isoformat()}T00:00:00"
 
 
+DAY_PARTITION = "day"  # yyyy-MM-dd UTC partition column of day-partitioned price tables
+
+
 def build_predicates(columns, cfg: FilterConfig) -> list[tuple[Column, str]]:
-    """The configured predicates whose column exists, with their labels."""
+    """The configured predicates whose column exists, with their labels.
+
+    On a table partitioned by UTC ``day`` the date range is also applied to
+    the partition column, so whole day directories are pruned before any
+    file is opened (the ``t`` predicates keep the exact millisecond bounds).
+    """
     cols = set(columns)
     out: list[tuple[Column, str]] = []
     if "t" in cols:
         out += date_range_predicates(cfg.start_date, cfg.end_date)
+        if DAY_PARTITION in cols:
+            if cfg.start_date is not None:
+                out.append((F.col(DAY_PARTITION) >= F.lit(cfg.start_date), None))
+            if cfg.end_date is not None:
+                out.append((F.col(DAY_PARTITION) <= F.lit(cfg.end_date), None))
     if cfg.resolved_only and "resolved" in cols:
         out.append((F.col("resolved") == F.lit(True), "resolved_only"))
     if cfg.unresolved_only and "resolved" in cols:
@@ -106,7 +119,7 @@ def apply_filters(df: DataFrame, cfg: FilterConfig) -> tuple[DataFrame, list[str
     if not preds:
         return df, []
     cond = reduce(lambda a, b: a & b, [p for p, _ in preds])
-    return df.filter(cond), [label for _, label in preds]
+    return df.filter(cond), [label for _, label in preds if label]
 
 
 def filter_date_range(df, start_date=None, end_date=None):
@@ -267,7 +280,7 @@ def filter_report_frame(df: DataFrame, cfg: FilterConfig, tie_break: str | None
     """
     preds = build_predicates(df.columns, cfg)
     keep = reduce(lambda a, b: a & b, [p for p, _ in preds]) if preds else F.lit(True)
-    labels = [lbl for _, lbl in preds]
+    labels = [lbl for _, lbl in preds if lbl]
     tagged = df.withColumn("_keep", F.coalesce(keep, F.lit(False)))
     if cfg.needs_jumps():
         # The jump window sees only kept rows; dropped rows rejoin by a union

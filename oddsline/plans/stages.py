@@ -13,6 +13,7 @@ import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from oddsline.operators import filters as G
 from oddsline.operators import planning as D
@@ -36,20 +37,27 @@ def _nonempty(df: DataFrame) -> bool:
 
 def process_stage(spark: SparkSession, out_dir: str, manifest_path: str, prices: DataFrame | None,
                   markets: DataFrame | None = None, trades: DataFrame | None = None,
-                  panel_max_tokens: int = P.DEFAULT_PANEL_MAX_TOKENS) -> ProcessResult:
+                  panel_max_tokens: int = P.DEFAULT_PANEL_MAX_TOKENS,
+                  partition_by_day: bool = False) -> ProcessResult:
     """Build and write prices_joined, daily_returns, price_panel, trades_daily_agg.
 
     Missing inputs skip the outputs that need them (with a warning).
     prices_joined and price_panel are not written when empty; daily_returns
-    and trades_daily_agg are written even when empty.
+    and trades_daily_agg are written even when empty. With
+    ``partition_by_day`` the joined prices are written partitioned by UTC
+    ``day`` (yyyy-MM-dd), so date-range filters prune whole directories.
     """
     res = ProcessResult()
     out = out_dir.rstrip("/")
     if prices is not None and markets is not None:
         joined = P.prices_joined(prices, markets)
+        parts = None
+        if partition_by_day:
+            joined = joined.withColumn(G.DAY_PARTITION, F.date_format(F.timestamp_millis("t"), "yyyy-MM-dd"))
+            parts = [G.DAY_PARTITION]
         if _nonempty(joined):
             res.paths["prices_joined"], res.counts["prices_joined"] = write_with_manifest(
-                joined, "prices_joined", f"{out}/prices_joined.parquet", manifest_path)
+                joined, "prices_joined", f"{out}/prices_joined.parquet", manifest_path, partition_by=parts)
         else:
             log.warning("no joined prices; prices_joined not written")
     elif prices is not None:

@@ -91,3 +91,13 @@ def test_scale_conf_sizes_partitions(spark):
         for k in probe:
             spark.conf.unset(k)
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_day_partitions_are_pruned(spark, tmp_dir):
+    res = stages.process_stage(spark, f"{tmp_dir}/p", f"{tmp_dir}/m", prices(spark), two_markets(spark),
+                               None, partition_by_day=True)
+    df = spark.read.parquet(res.paths["prices_joined"])
+    out, labels = G.apply_filters(df, G.FilterConfig(start_date="2024-01-02", end_date="2024-01-02"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "(day#" in plan
+    assert out.count() == 4 and labels == ["start_date>=2024-01-02", "end_date<=2024-01-02"]
