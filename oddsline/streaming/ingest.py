@@ -76,6 +76,17 @@ def trades_daily(trades: DataFrame, delay: str = "1 day") -> DataFrame:
                     F.coalesce("_s", F.lit(0.0)).alias("size_sum"), F.coalesce("_n", F.lit(0.0)).alias("notional_sum"))
 
 
+def late_rows(q: StreamingQuery) -> int:
+    """Rows the stateful operators dropped as later than the watermark,
+    summed over the query's recent progress reports."""
+    total = 0
+    for prog in q.recentProgress:
+        for op in prog.get("stateOperators", []) if isinstance(prog, dict) else getattr(prog, "stateOperators", []):
+            n = op.get("numRowsDroppedByWatermark") if isinstance(op, dict) else getattr(op, "numRowsDroppedByWatermark", 0)
+            total += int(n or 0)
+    return total
+
+
 def run_to_completion(q: StreamingQuery) -> None:
     q.awaitTermination()
     if q.exception() is not None:

@@ -131,3 +131,25 @@ def test_stream_trades_daily_closed_days(spark):
     got = sorted(r.day_ts for r in ST.trades_daily_table(spark, t).collect())
     assert got == [d * day for d in range(19723, 19726)]  # the last day(s) stay open under the watermark
     assert F is not None
+
+
+def test_late_trades_are_dropped_and_counted(spark):
+    from oddsline.streaming import ingest as ST
+
+    day = 86_400_000
+    schema = "timestamp long, size double, price double, conditionId string"
+    src = ST.scratch_path(spark, "late-src")
+    spark.createDataFrame([(d * day + 5, 1.0, 0.5, "c") for d in range(19723, 19730)], schema) \
+        .coalesce(1).write.parquet(f"{src}/a")  # one file: one in-order batch
+    out, ckpt = ST.scratch_path(spark, "late-out"), ST.scratch_path(spark, "late-ckpt")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    q = ST._start(ST.trades_daily(stream), out, ckpt, None)
+    ST.run_to_completion(q)
+    spark.createDataFrame([(19723 * day + 9, 2.0, 0.5, "c")] * 3, schema) \
+        .coalesce(1).write.parquet(f"{src}/b")  # days behind the watermark
+    q2 = ST._start(ST.trades_daily(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")),
+                   out, ckpt, None)
+    ST.run_to_completion(q2)
+    assert ST.late_rows(q2) == 3
+    first_day = [r for r in spark.read.parquet(out).collect() if r.day_ts == 19723 * day]
+    assert len(first_day) == 1 and first_day[0].trades == 1  # the late rows changed nothing
