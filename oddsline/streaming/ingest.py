@@ -78,7 +78,10 @@ def trades_daily(trades: DataFrame, delay: str = "1 day") -> DataFrame:
 
 def late_rows(q: StreamingQuery) -> int:
     """Rows the stateful operators dropped as later than the watermark,
-    summed over the query's recent progress reports."""
+    summed over the query's recent progress reports.
+
+    Spark counts them at the state store, after partial aggregation, so
+    late input rows of one group in one batch partition count once."""
     total = 0
     for prog in q.recentProgress:
         for op in prog.get("stateOperators", []) if isinstance(prog, dict) else getattr(prog, "stateOperators", []):

@@ -145,7 +145,7 @@ def test_late_trades_are_dropped_and_counted(spark):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
     q = ST._start(ST.trades_daily(stream), out, ckpt, None)
     ST.run_to_completion(q)
-    spark.createDataFrame([(19723 * day + 9, 2.0, 0.5, "c")] * 3, schema) \
+    spark.createDataFrame([(19723 * day + 9, 2.0, 0.5, c) for c in ("c", "d", "e")], schema) \
         .coalesce(1).write.parquet(f"{src}/b")  # days behind the watermark
     q2 = ST._start(ST.trades_daily(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")),
                    out, ckpt, None)
