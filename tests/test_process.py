@@ -132,3 +132,22 @@ def test_daily_returns_single_exchange_per_token(spark):
     # The aggregate's exchange on (token_id, day_ts) and the window's on token_id.
     assert plan.count("Exchange hashpartitioning") <= 2
     assert F is not None
+
+
+def test_minimal_markets_give_typed_nulls(spark):
+    # Only id and token_ids are required; the other map columns are typed nulls.
+    m = spark.createDataFrame([("m1", ["A", "B"])], "id string, token_ids array<string>")
+    tm = P.token_market_map(m)
+    row = tm.filter("token_id = 'A'").first()
+    assert row.market_id == "m1" and row.question is None and row.outcome_name is None
+    assert dict(tm.dtypes)["resolved"] == "boolean"
+
+
+def test_markets_from_two_runs_double_the_join(spark, tmp_dir):
+    # Scan mode reads every run's markets file; a token in two runs joins twice.
+    from oddsline.sources import files as S
+
+    for run in ("r1", "r2"):
+        two_markets(spark).write.parquet(f"{tmp_dir}/raw/{run}/markets.parquet")
+    markets = S.scan_run_table(spark, S.RunInput(mode="scan", root=tmp_dir), "markets")
+    assert P.prices_joined(fixture_prices(spark), markets).count() == 16
