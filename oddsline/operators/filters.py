@@ -159,10 +159,19 @@ def jump_window(order_cols=("t",)):
 
 
 DEFAULT_JUMP_BUCKET_MS = 3_600_000  # window partitions are (token, hour of t)
+# A token with at most this many rows is sorted in one task by the plain window.
+WINDOW_MAX_GROUP_ROWS = 20_000_000
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the largest ``key`` group: one partial aggregate, one number back."""
+    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    return int(r["m"] or 0)
 
 
 def compute_jumps(df: DataFrame, tie_break: str | None = None,
-                  bucket_ms: int | None = DEFAULT_JUMP_BUCKET_MS, mode: str = "range") -> DataFrame:
+                  bucket_ms: int | None = DEFAULT_JUMP_BUCKET_MS, mode: str = "auto",
+                  max_group_rows: int = WINDOW_MAX_GROUP_ROWS) -> DataFrame:
     """Change from the previous row per token in time order (no filling).
 
     ``jump_pct`` divides by the previous price with float semantics. A tie
@@ -172,7 +181,10 @@ def compute_jumps(df: DataFrame, tie_break: str | None = None,
     Skew: a plain ``lag`` over ``partitionBy(token_id)`` puts a hot token in
     one task. Three plans:
 
-    * ``mode="range"`` (default): the previous row over a global
+    * ``mode="auto"`` (default): measure the largest token (one aggregate)
+      and use the plain window when it has at most ``max_group_rows`` rows,
+      the range plan otherwise.
+    * ``mode="range"``: the previous row over a global
       range-partitioned order (``ordering.previous_values``); balanced
       whatever the skew, even a hot instant.
     * ``mode="bucket"``: the window is partitioned by (token, ``bucket_ms``
@@ -187,6 +199,9 @@ def compute_jumps(df: DataFrame, tie_break: str | None = None,
     tie = tie_break or "p"
     from oddsline.functions.mathcols import ieee_divide
 
+    if mode == "auto":
+        mode = "window" if largest_group(df, "token_id") <= max_group_rows else "range"
+
     if mode == "window" or (mode == "bucket" and bucket_ms is None):
         d, pct = change_from_previous("p", jump_window(("t", tie)))
         return df.withColumn("jump_abs", d).withColumn("jump_pct", pct)
