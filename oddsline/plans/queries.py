@@ -443,11 +443,6 @@ def _chunk_counts(spark, sf):
     return _chunks(spark, sf).join(per_chunk, ["token_id", "chunk_no"], "left").fillna(0, ["row_count"])
 
 
-def _fetch_log(spark, sf):
-    """Pending chunks (not in the ledger) with their fetched point counts."""
-    return D.pending_windows(_chunk_counts(spark, sf), _ledger(spark, sf), FIDELITY)
-
-
 @register("chunk_windows")
 def q_chunk_windows(spark, sf):
     return _chunks(spark, sf)
