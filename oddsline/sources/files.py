@@ -149,11 +149,15 @@ def write_versioned(df: DataFrame, path: str, partition_by: list[str] | None = N
 
 def write_with_manifest(df: DataFrame, name: str, path: str, manifest_path: str,
                         partition_by: list[str] | None = None) -> tuple[str, int]:
-    """Write ``df`` (versioned) and append one manifest row; the row count is
-    observed during the write (one pass). Manifest failures only warn."""
-    obs = Observation(f"rows_{name}")
-    target = write_versioned(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
-    rows = int(obs.get.get("rows", 0))
+    """Write ``df`` (versioned) and append one manifest row. Manifest
+    failures only warn.
+
+    The row count is read back from the committed files' Parquet footers (a
+    metadata-only job), so it is exact even when tasks or stages were re-run
+    after an executor loss, which accumulator-based counts do not guarantee.
+    """
+    target = write_versioned(df, path, partition_by)
+    rows = committed_rows(df.sparkSession, target)
     try:
         append_manifest(df.sparkSession, manifest_path, name, target, rows, df.schema)
     except Exception as e:  # noqa: BLE001
@@ -161,6 +165,11 @@ def write_with_manifest(df: DataFrame, name: str, path: str, manifest_path: str,
     return target, rows
 
 
+def committed_rows(spark: SparkSession, path: str) -> int:
+    """Row count of a written Parquet table from its footers."""
+    return int(spark.read.parquet(path).count())
+
+
 def append_manifest(spark: SparkSession, manifest_path: str, name: str, target: str, rows: int,
                     schema: T.StructType) -> None:
     now = _dt.datetime.now(_dt.timezone.utc).isoformat()
