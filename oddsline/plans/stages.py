@@ -1,8 +1,10 @@
 """Stage drivers: the process stage (F11, F12), the filter stage (G10) and
 the backfill plan (markets -> jobs -> pending chunks).
 
-Each driver builds lazy plans from the operators and writes them; counts
-come from ``Observation``s filled during the writes, never a second scan.
+Each driver builds lazy plans from the operators and writes them. Output
+row counts are read from the committed files' footers (metadata only, exact
+under task retries); the filter report's counts are observed during its
+single pass.
 The daily means feed two outputs, so they are checkpointed once to the
 shared checkpoint folder (lineage cut, survives executor loss).
 """
