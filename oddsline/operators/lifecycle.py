@@ -93,7 +93,7 @@ def select_markets(active: DataFrame, closed_feed: DataFrame, store_markets: Dat
     """
     feeds = [("active", active_markets(active, end_ms))]
     if start_ms is not None and end_ms is not None:
-        stored_res = store_markets.filter(F.col("resolved") == 1).withColumn("resolved", F.lit(True))
+        stored_res = resolved_lookup(store_markets).withColumn("resolved", F.lit(True))
         feeds.append(("stored_resolved", resolved_in_window(stored_res, start_ms, end_ms)))
         win = closed_in_window(closed_feed, start_ms, end_ms)
         feeds.append(("closed", exclude_known_resolved(win, store_markets)))
@@ -179,8 +179,9 @@ def market_merge_counts(store: DataFrame, incoming: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ C9, C10
 
 def resolved_lookup(store: DataFrame) -> DataFrame:
-    """Stored rows with resolved = 1 (select ``id`` for the id lookup)."""
-    return store.filter(F.col("resolved") == 1)
+    """Stored rows with resolved = 1 (select ``id`` for the id lookup).
+    The flag may be stored as 0/1 or as a boolean."""
+    return store.filter(F.col("resolved").cast("int") == 1)
 
 
 def market_store_stats(store: DataFrame) -> DataFrame:

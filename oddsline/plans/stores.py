@@ -82,8 +82,10 @@ def ledger_table(spark: SparkSession, root: str) -> VersionedTable:
     return VersionedTable(spark, root, LEDGER)
 
 
-def market_store_table(spark: SparkSession, root: str) -> VersionedTable:
-    return VersionedTable(spark, root, MARKET_STORE)
+def market_store_table(spark: SparkSession, root: str, schema: T.StructType | None = None) -> VersionedTable:
+    """The market store; ``schema`` defaults to the compact form (id, question,
+    flags, stamps); the fetch stage keeps whole market rows."""
+    return VersionedTable(spark, root, schema or MARKET_STORE)
 
 
 def stream_market_merge(spark: SparkSession, incoming_dir: str, incoming_schema: T.StructType,
