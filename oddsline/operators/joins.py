@@ -6,23 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only when it has at most this many rows (checked with
-# an aggregate, not assumed). Beyond it the join stays a shuffle join and
-# AQE decides at run time.
+# an aggregate, not assumed) and its estimated size is under the byte bound.
+# Beyond either bound the join stays a shuffle join and AQE decides at run
+# time.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 256 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row: the per-type default sizes the planner uses."""
+    return max(1, int(df._jdf.schema().defaultSize())) + 8
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
+                       max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Hint ``broadcast`` only when a count proves the side small.
 
-    The count runs one cheap job on the small side; when it exceeds the
-    bound the frame is returned unchanged and the planner picks a shuffle
-    join (sort-merge or shuffle-hash, with AQE skew splitting).
+    The count runs one cheap job on the small side (at most ``max_rows`` + 1
+    rows are read); the side is broadcast when it has at most ``max_rows``
+    rows and rows x estimated row width is at most ``max_bytes``. Otherwise
+    the frame is returned unchanged and the planner picks a shuffle join
+    (sort-merge or shuffle-hash, with AQE skew splitting).
     """
     limit = DEFAULT_BROADCAST_MAX_ROWS if max_rows is None else max_rows
     if limit <= 0:
         return df
     n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    return F.broadcast(df) if n <= limit and n * row_width(df) <= max_bytes else df
 
 
 def semi_by_values(df: DataFrame, column: str, values, keep: bool, max_literal: int = 1000,

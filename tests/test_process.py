@@ -151,3 +151,11 @@ def test_markets_from_two_runs_double_the_join(spark, tmp_dir):
         two_markets(spark).write.parquet(f"{tmp_dir}/raw/{run}/markets.parquet")
     markets = S.scan_run_table(spark, S.RunInput(mode="scan", root=tmp_dir), "markets")
     assert P.prices_joined(fixture_prices(spark), markets).count() == 16
+
+
+def test_broadcast_byte_bound(spark):
+    from oddsline.operators.joins import broadcast_if_small, row_width
+
+    m = P.token_market_map(two_markets(spark))
+    assert broadcast_if_small(m, max_rows=10, max_bytes=4 * row_width(m) - 1) is m  # 4 rows, one byte short
+    assert broadcast_if_small(m, max_rows=10, max_bytes=4 * row_width(m)) is not m
