@@ -109,6 +109,7 @@ JUMPS = """(SELECT *, p - lag(p) OVER w AS jump_abs, (p - lag(p) OVER w) / lag(p
 oracle("compute_jumps", f"""
 SELECT token_id, t, {r('p', 'p')}, {r('jump_abs', 'jump_abs')}, {r('jump_pct', 'jump_pct')}
 FROM {JUMPS.format(src='prices')}""", "prices")
+ORACLES["compute_jumps_range"] = ORACLES["compute_jumps"]
 oracle("compute_jumps_edge", f"""
 SELECT token_id, t, {r('p', 'p')}, {sql_kind('jump_abs', 'jump_abs')}, {sql_kind('jump_pct', 'jump_pct')}
 FROM {JUMPS.format(src='prices_edge')}""", "prices_edge")

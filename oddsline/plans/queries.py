@@ -150,6 +150,12 @@ def q_compute_jumps(spark, sf):
     return rounded(G.compute_jumps(A.prices(spark, sf)))
 
 
+@register("compute_jumps_range")
+def q_compute_jumps_range(spark, sf):
+    # The skew-proof plan (range-partitioned previous row), forced.
+    return rounded(G.compute_jumps(A.prices(spark, sf), mode="range"))
+
+
 @register("compute_jumps_edge")
 def q_compute_jumps_edge(spark, sf):
     return rounded(G.compute_jumps(A.prices_edge(spark, sf)), kinds=("jump_abs", "jump_pct"))
