@@ -69,3 +69,20 @@ def test_fetch_then_process(spark, tmp_dir):
     m2 = spark.read.parquet(res2.paths["markets"]).filter("id = 'm2'").first()
     assert m2.question == "q"
     assert res2.counts["price_points"] == 0  # every chunk is in the ledger now
+
+
+def test_command_line_stages(spark, tmp_dir):
+    from oddsline.__main__ import main
+
+    inputs = landing(spark)
+    for name in ("market_pages", "window_pages", "price_payloads", "book_payloads", "trade_pages"):
+        getattr(inputs, name).write.parquet(f"{tmp_dir}/landing/{name}")
+    run = f"{tmp_dir}/raw/r1"
+    assert main(["fetch", "--landing", f"{tmp_dir}/landing", "--run-dir", run, "--start", "2024-01-01",
+                 "--end", "2024-01-31"]) == 0
+    assert main(["process", "--run-dir", run, "--out", f"{tmp_dir}/processed", "--manifest", f"{tmp_dir}/man"]) == 0
+    joined = f"{tmp_dir}/processed/prices_joined.parquet"
+    assert spark.read.parquet(joined).count() == 8
+    assert main(["filter", "--input", joined, "--output", f"{tmp_dir}/filtered", "--start-date", "2024-01-02",
+                 "--compute-jumps"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/filtered").count() == 4
