@@ -139,3 +139,14 @@ def test_book_timestamp_forms(spark):
     ])
     got = {r.token_id: r.timestamp for r in good.collect()}
     assert got == {"tok0": 1704067200000, "tok1": 0, "tok2": 1704067200000, "tok3": 0, "tok4": 0, "tok5": 0}
+
+
+def test_trade_timestamps_are_not_scaled(spark):
+    # Unlike price points, trade timestamps in seconds stay as they are.
+    from oddsline.operators import planning as D
+
+    land = spark.createDataFrame([(0, 0, '[{"id":"s","timestamp":1704067200,"size":1,"price":0.5,"conditionId":"c"}]')],
+                                 "batch long, page long, payload string")
+    t = B.decode_trades(land)
+    assert t.first().timestamp == 1704067200
+    assert D.trades_since(t, 1704067200000).count() == 0  # compared with a millisecond bound
