@@ -289,3 +289,16 @@ def test_backfill_plan_with_points(spark):
     pending, _ = stages.backfill_plan(m, None, 1704067200000, 1730000000000, 60, points=pts)
     rows = pending.orderBy("chunk_start").collect()
     assert rows[0].row_count == 1 and len(rows) == 6  # one full chunk, then five empty ones stop it
+
+
+def test_merge_in_two_steps_equals_one(spark):
+    rnd = random.Random(21)
+    s_rows = [(f"m{k}", f"s{k}", int(rnd.random() < 0.3), 0, "c", "u") for k in range(0, 30, 2)]
+    inc_rows = [(f"m{rnd.randrange(35)}", seq, f"q{seq}", rnd.choice([True, False, None]), None)
+                for seq in range(1, 121)]
+    cut = 60
+    one = C.market_snapshot_merge(store(spark, s_rows), inc(spark, inc_rows), "T")
+    first = C.market_snapshot_merge(store(spark, s_rows), inc(spark, inc_rows[:cut]), "T").drop("version_seq")
+    two = C.market_snapshot_merge(first, inc(spark, inc_rows[cut:]), "T")
+    cols = ["id", "question", "resolved", "closed", "cached_at", "updated_at"]
+    assert sorted(map(tuple, one.select(*cols).collect())) == sorted(map(tuple, two.select(*cols).collect()))
