@@ -150,3 +150,13 @@ def test_trade_timestamps_are_not_scaled(spark):
     t = B.decode_trades(land)
     assert t.first().timestamp == 1704067200
     assert D.trades_since(t, 1704067200000).count() == 0  # compared with a millisecond bound
+
+
+def test_trade_timestamp_cast_is_strict(spark):
+    # A timestamp that is not an integer fails the decode (strict cast);
+    # the lenient form turns it into null instead.
+    land = spark.createDataFrame([(0, 0, '[{"id":"x","timestamp":"soon","size":1,"price":0.5,"conditionId":"c"}]')],
+                                 "batch long, page long, payload string")
+    with pytest.raises(Exception):
+        B.decode_trades(land).collect()
+    assert B.decode_trades(land, strict_timestamp=False).first().timestamp is None
