@@ -30,3 +30,17 @@ def test_registered_queries_run_on_smoke_data(spark):
         except Exception as e:  # noqa: BLE001
             bad.append((name, str(e)[:200]))
     assert bad == []
+
+
+@pytest.mark.skipif(not os.path.exists(SMOKE), reason="no smoke data")
+def test_no_cross_or_nested_loop_joins(spark):
+    """No registered query plans a cartesian product or a nested-loop join."""
+    found = {}
+    for name, fn in E.queries().items():
+        if name.startswith("stream_"):
+            continue
+        plan = fn(spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+        hits = [p for p in ("CartesianProduct", "BroadcastNestedLoopJoin") if p in plan]
+        if hits:
+            found[name] = hits
+    assert found == {}
