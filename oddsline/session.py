@@ -34,6 +34,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     conf.update({
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # No data locality to wait for (one host here, object stores on a
+        # cluster): schedule tasks at once instead of waiting up to 3 s.
+        "spark.locality.wait": "0",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.driver.memory": "16g",
     })
