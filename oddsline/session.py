@@ -85,8 +85,9 @@ def scale_conf(spark: SparkSession, input_bytes: int, target_partition_bytes: in
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (tests, local runs) is a scratch folder
-    created and registered; on a cluster the configured shared path is used.
+    Only when the session has none and runs in local mode (tests, local
+    runs) is a scratch folder created and registered; on a cluster the
+    configured shared path is required.
     """
     sc = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
@@ -97,6 +98,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        # Executors on other machines cannot share a folder of this one.
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                         "(checkpoints and streaming state are written there)")
     local = tempfile.mkdtemp(prefix="oddsline-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set(CHECKPOINT_CONF, local)
