@@ -3,7 +3,8 @@
 The three stages with their options as flags; the session comes from the
 environment (``spark-submit`` settings) or a local one.
 
-  fetch    --landing DIR --run-dir DIR --start YYYY-MM-DD --end YYYY-MM-DD
+  fetch    --landing DIR --run-dir DIR [--start YYYY-MM-DD --end YYYY-MM-DD]
+           (no bounds: the month up to now)
            [--store DIR] [--ledger DIR] [--version N] [--max-trades N] [--since-ms N]
            landing DIR holds Parquet tables market_pages, window_pages,
            price_payloads, book_payloads, trade_pages (any may be absent)
@@ -55,8 +56,14 @@ def cmd_fetch(a) -> dict:
     if inputs.market_pages is None:
         raise SystemExit("landing has no market_pages table")
     now = _dt.datetime.now(_dt.timezone.utc)
+    start_ms, end_ms = _ms(a.start), _ms(a.end)
+    if start_ms is None and end_ms is None:  # default window: one calendar month back from now
+        from oddsline.functions.timecols import lookback_start_ms
+
+        end_ms = int(now.timestamp() * 1000)
+        start_ms = spark.range(1).select(lookback_start_ms(end_ms, months=1).alias("s")).first()["s"]
     res = FX.fetch_stage(
-        spark, inputs, a.run_dir, start_ms=_ms(a.start), end_ms=_ms(a.end),
+        spark, inputs, a.run_dir, start_ms=start_ms, end_ms=end_ms,
         fetch_ts=now.strftime("%Y-%m-%d %H:%M:%S"), now_iso=now.isoformat(),
         store=market_store_table(spark, a.store, FX.FULL_MARKET_STORE) if a.store else None,
         ledger=ledger_table(spark, a.ledger) if a.ledger else None, version=a.version,
