@@ -302,3 +302,33 @@ def test_merge_in_two_steps_equals_one(spark):
     two = C.market_snapshot_merge(first, inc(spark, inc_rows[cut:]), "T")
     cols = ["id", "question", "resolved", "closed", "cached_at", "updated_at"]
     assert sorted(map(tuple, one.select(*cols).collect())) == sorted(map(tuple, two.select(*cols).collect()))
+
+
+def test_points_land_in_their_chunk(spark):
+    rnd = random.Random(13)
+    ch = 9
+    jobs_rows, pts_rows = [], []
+    for k in range(40):
+        s = rnd.randrange(0, 50)
+        e = s + rnd.randrange(1, 60)
+        jobs_rows.append((f"t{k}", s, e))
+        pts_rows += [(f"t{k}", rnd.randrange(s - 5, e + 5)) for _ in range(15)]
+    jobs = spark.createDataFrame(jobs_rows, "token_id string, start_ts bigint, end_ts bigint")
+    pts = spark.createDataFrame(pts_rows, "token_id string, t bigint")
+    got = sorted(map(tuple, D.chunk_of_points(pts, jobs, chunk_ms=ch).collect()))
+    want = []
+    chunks = {tok: chunk_list(s, e, ch) for tok, s, e in jobs_rows}
+    for tok, t in pts_rows:
+        hits = [(a, b) for a, b in chunks[tok] if a <= t <= b]
+        assert len(hits) <= 1
+        want += [(tok, a, b) for a, b in hits]
+    assert got == sorted(want)
+
+
+def chunk_list(s, e, ch):
+    out, cur = [], s
+    while cur < e:
+        ce = min(cur + ch, e)
+        out.append((cur, ce))
+        cur = ce + 1
+    return out
