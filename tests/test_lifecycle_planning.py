@@ -332,3 +332,16 @@ def chunk_list(s, e, ch):
         out.append((cur, ce))
         cur = ce + 1
     return out
+
+
+def test_row_budget_random(spark):
+    rnd = random.Random(31)
+    rows = []
+    for b in range(4):
+        for p in range(rnd.randrange(1, 6)):
+            rows += [(b, p, i) for i in range(rnd.choice([0, 1, 7, 10, 25]))]
+    df = spark.createDataFrame(rows, "batch long, page long, pos int").repartition(5)
+    ordered = sorted(rows)
+    for budget in (0, 1, 10, 17, len(rows) - 1, len(rows), len(rows) + 5):
+        got = sorted(map(tuple, D.row_budget(df, budget).collect()))
+        assert got == ordered[:budget], budget
