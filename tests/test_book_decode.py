@@ -160,3 +160,24 @@ def test_trade_timestamp_cast_is_strict(spark):
     with pytest.raises(Exception):
         B.decode_trades(land).collect()
     assert B.decode_trades(land, strict_timestamp=False).first().timestamp is None
+
+
+def test_depth_level_and_array_forms_agree(spark):
+    import json
+    import random
+
+    rnd = random.Random(8)
+    payloads = []
+    for _ in range(150):
+        side = lambda: [{"price": rnd.randrange(1, 99) / 100, "size": rnd.randrange(1, 20)}
+                        for _ in range(rnd.choice([0, 1, 3, 8]))]
+        payloads.append(json.dumps({"bids": side(), "asks": side(), "timestamp": 0}))
+    good, _ = books(spark, payloads)
+    arr = {r.token_id: (r.depth_bid, r.depth_ask, r.depth_both) for r in E.depth_from_arrays(good, 0.05).collect()}
+    lv = E.flatten_books(good).withColumn("timestamp", F.col("timestamp"))
+    keyed = E.depth_at_distance(lv, 0.05)
+    tab = {r.token_id: (r.depth_bid, r.depth_ask, r.depth_both) for r in keyed.collect()}
+    for tok, v in tab.items():
+        assert arr[tok] == pytest.approx(v), tok
+    empty = set(arr) - set(tab)  # books without any level have no level rows
+    assert all(arr[t] == (0.0, 0.0, 0.0) for t in empty)
