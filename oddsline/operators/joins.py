@@ -49,5 +49,8 @@ def semi_by_values(df: DataFrame, column: str, values, keep: bool, max_literal:
         return df.filter(cond if keep else ~cond)
     spark = spark or df.sparkSession
     ids = spark.createDataFrame([(v,) for v in values], f"{column} string").distinct()
+    # The list's length is known here: broadcast within the usual row bound,
+    # otherwise a shuffle semi / anti join.
+    side = F.broadcast(ids) if len(values) <= DEFAULT_BROADCAST_MAX_ROWS else ids
     how = "left_semi" if keep else "left_anti"
-    return df.filter(F.col(column).isNotNull()).join(F.broadcast(ids), column, how)
+    return df.filter(F.col(column).isNotNull()).join(side, column, how)
