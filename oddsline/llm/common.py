@@ -92,18 +92,24 @@ def spans(white: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def running(raw: np.ndarray) -> np.ndarray:
+    """Running sums of a buffer's polynomial hash."""
+    if len(_POWERS[0]) < len(raw):
+        _POWERS[:] = _powers(max(len(raw), 1 << 16))
+    run = np.zeros(len(raw) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _POWERS[0][: len(raw)], out=run[1:])
+    return run
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, run: np.ndarray | None = None) -> np.ndarray:
     """64-bit hashes of ``raw[start:end]``: a polynomial hash from the running
     sums over the whole buffer, a few array passes however many spans."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    if len(_POWERS[0]) < len(raw):
-        _POWERS[:] = _powers(max(len(raw), 1 << 16))
-    up, down = _POWERS
+    run = running(raw) if run is None else run
     with np.errstate(over="ignore"):
-        run = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=run[1:])
-        value = (run[ends] - run[starts]) * down[starts]
+        value = (run[ends] - run[starts]) * _POWERS[1][starts]
         return mix(value + mix((ends - starts).astype(np.uint64)))
 
 
