@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oddsline.llm import chat, forest, html_main, mixing, ngram_join, packing, rans, topk, toxicity, url_rules
+from oddsline.llm.common import written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -42,7 +43,7 @@ def op5(spark, sf_dir):
 
 
 def op6(spark, sf_dir):
-    sized = mixing.written(mixing.sized(_table(spark, sf_dir, "documents")), "sized")
+    sized = written(mixing.sized(_table(spark, sf_dir, "documents")), "sized")
     mix = mixing.mixed(sized, mixing.plan(sized))
     return mix.select(F.col("key").alias("doc_id"), "size", "source_size", "target",
                       (F.col("size") * F.col("copies")).cast("long").alias("taken"))
@@ -95,10 +96,10 @@ best AS (SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rul
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (page_id)
 """,
     "op9_exact_topk": """
-WITH w AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH w AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-             CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+             CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
       FROM w q JOIN w c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
@@ -106,10 +107,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     "op10_ngram_join": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                             '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+                             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [hash(w)] ELSE
-         list_distinct(list_transform(range(1, len(w) - 3), i -> hash(w[i:i+4]))) END AS s FROM words),
+         list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(w[i:i+4]))) END AS s FROM words),
 grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c
            FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
