@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 from oddsline.llm import mixing, ngram_join, packing, toxicity
 from oddsline.llm.common import written
 from oddsline.llm.queries import TOKENIZER
+from oddsline.session import share_modules
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    share_modules(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity.score(docs, toxicity.fit(docs, labels), *docs.columns)
     return scored.where("score < 0.5").select(*docs.columns)
@@ -30,6 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row whose doc_id names its component; a repeated doc_id stays once."""
+    share_modules(spark)
     found = ngram_join.near_duplicates(docs).where("doc_id is null or doc_id = component_id")
     kept = written(found.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
     ids = kept.select(F.col("doc_id").alias("kept_id"), "rows")
@@ -39,6 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    share_modules(spark)
     decided = mixing.plan(written(mixing.sized(docs), "sized"))
     rows = mixing.mixed(mixing.sized(docs, *docs.columns), decided)
     return rows.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))) \
@@ -46,6 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    share_modules(spark)
     return packing.pack_documents(docs, TOKENIZER)
 
 
