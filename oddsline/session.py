@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,6 +59,19 @@ def apply_conf(spark: SparkSession) -> None:
             pass
 
 
+def share_modules(spark: SparkSession) -> None:
+    """Let the Python workers import this package from the driver's checkout.
+
+    Workers take over the context's environment; a cluster whose machines
+    have no copy at this place ships the package with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def scale_conf(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
                max_partitions: int = 200_000) -> dict[str, str]:
     """Size shuffles and scans for an input of ``input_bytes`` and apply it.
