@@ -25,8 +25,7 @@ from __future__ import annotations
 
 import heapq
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -186,20 +185,20 @@ def mixed(sized: DataFrame, decided: DataFrame, seed: int = 11) -> DataFrame:
         F.col("bucket") < F.col("boundary"), F.least(F.col("passes") + 1, F.lit(COPIES))).otherwise(F.col("passes")).alias("copies"))
     edge = rows.where("bucket = boundary").withColumn("order", F.xxhash64(F.lit(seed + 1), "key", "size"))
 
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["order", "key"], na_position="first", kind="stable")
-        left, extra = int(pdf["rest"].iloc[0]), np.zeros(len(pdf), np.int64)
-        for i, n in enumerate(pdf["size"].tolist()):
-            if 0 < n <= left:
-                extra[i], left = 1, left - n
-        pdf["copies"] = np.minimum(pdf["passes"] + extra, COPIES)
-        return pdf[[*keep, "copies"]]
+    def fill(table: pa.Table) -> pa.Table:
+        order, key, size = (table.column(c).to_pylist() for c in ("order", "key", "size"))
+        rows = sorted(range(len(order)), key=lambda i: (order[i], key[i] is not None, key[i] or 0))
+        left, copies = table.column("rest")[0].as_py(), table.column("passes").to_pylist()
+        for i in rows:
+            if 0 < size[i] <= left:
+                copies[i], left = copies[i] + 1, left - size[i]
+        return table.select(keep).append_column("copies", pa.array([min(c, COPIES) for c in copies], pa.int64()))
 
     schema = T.StructType(edge.select(*keep).schema.fields + [T.StructField("copies", T.LongType())])
-    return whole.unionByName(edge.groupBy("sources").applyInPandas(fill, schema))
+    return whole.unionByName(edge.groupBy("sources").applyInArrow(fill, schema))
 
 
-def sized(docs: DataFrame, *columns: str) -> DataFrame:
+def sized(docs: DataFrame, *columns: Column) -> DataFrame:
     """The documents as ``plan`` and ``mixed`` take them, with one source each."""
     return docs.select(F.col("doc_id").cast("long").alias("key"), F.array(F.col("source").cast("string")).alias("sources"),
                        words(F.col("text").cast("string")).alias("size"), *columns)

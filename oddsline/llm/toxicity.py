@@ -30,10 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oddsline.llm.common import lowered, running, segments, span_hashes, spans
 
-SAMPLE = 12_000   # labelled documents read for training
+SAMPLE = 6_000    # labelled documents read for training
 MINED = 150       # words taken from training labels, at most
 MINED_SUPPORT = 4
 
@@ -219,25 +220,28 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
+def _hashes(text: str | None) -> np.ndarray:
+    found = [np.concatenate((h, *stems)) for *_, h, stems in letter_words((text or "").encode("utf-8"))]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+
+
 def mine(texts: list, labels: np.ndarray, most: int = MINED) -> list[int]:
     """Hashes of words and stems that occur in many more toxic than clean texts."""
-    seen: list[dict] = [{}, {}]
+    toxic = [_hashes(t) for t, y in zip(texts, labels.tolist(), strict=True) if y]
+    n1, n0 = max(len(toxic), 1), max(int((labels == 0).sum()), 1)
+    words, k = np.unique(np.concatenate(toxic), return_counts=True)
+    often = (k >= max(MINED_SUPPORT, 0.01 * n1)) & (words != 0)
+    words, k = words[often], k[often]
+    other = np.zeros(len(words), np.int64)  # of these words only: the clean texts' vocabulary is never held
     for t, y in zip(texts, labels.tolist(), strict=True):
-        count = seen[y]
-        found = [np.concatenate((h, *stems)) for *_, h, stems in letter_words((t or "").encode("utf-8"))]
-        for h in np.unique(np.concatenate(found)).tolist() if found else ():
-            count[h] = count.get(h, 0) + 1
-    n = [max(int((labels == y).sum()), 1) for y in (0, 1)]
-    found = []
-    for h, k in seen[1].items():
-        if not h:
-            continue
-        other = seen[0].get(h, 0)
-        if k >= max(MINED_SUPPORT, 0.01 * n[1]):
-            odds = np.log((k + 0.5) / (n[1] + 1)) - np.log((other + 0.5) / (n[0] + 1))
-            if odds > 2:
-                found.append((odds * np.sqrt(k), h))
-    return [h for _, h in sorted(found, reverse=True)[:most]]
+        if not y and len(words):
+            h = _hashes(t)
+            at = np.minimum(np.searchsorted(words, h), len(words) - 1)
+            other[at[words[at] == h]] += 1
+    odds = np.log((k + 0.5) / (n1 + 1)) - np.log((other + 0.5) / (n0 + 1))
+    worth = np.where(odds > 2, odds * np.sqrt(k), 0)
+    best = np.lexsort((words, -worth))[:most]
+    return [int(w) for w in words[best[worth[best] > 0]]]
 
 
 def train(texts: list, labels) -> Model:
@@ -269,21 +273,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return train(rows["text"].tolist(), rows["toxic"].to_numpy())
 
 
-def score(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """doc_id, score (and the columns ``keep``) of every document."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded by the lexicon
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       *[c for c in keep if c not in ("doc_id", "text")])
-    kept = [c for c in some.columns if c != "text" or "text" in keep]
+def score(docs: DataFrame, model: Model, whole: bool = False) -> DataFrame:
+    """doc_id and score of every document; with ``whole`` the document as a
+    struct ``doc`` and its score."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the lexicon
+    doc_id, text = F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    some = docs.select(F.struct(*docs.columns).alias("doc")) if whole else docs.select(doc_id, text)
+    kept = "doc" if whole else "doc_id"
+    at = docs.columns.index("text")
 
     def run(batches):
         for b in batches:
-            s = shared.value.score(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(s, pa.float64())], [*kept, "score"])
+            texts = b.column("doc").field(at) if whole else b.column("text")
+            s = shared.value.score(texts.cast(pa.string()).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(kept), pa.array(s, pa.float64())], [kept, "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.select(*kept).schema)
-    return some.mapInArrow(run, schema + ", score double")
+    return some.mapInArrow(run, T.StructType([some.schema[kept], T.StructField("score", T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
