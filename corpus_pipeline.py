@@ -23,11 +23,15 @@ from oddsline.llm.queries import TOKENIZER
 from oddsline.session import share_modules
 
 
+def _whole(docs: DataFrame, *more) -> DataFrame:
+    """The documents as one struct column, so that no added column clashes with theirs."""
+    return docs.select(F.struct(*docs.columns).alias("doc"), *more)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     share_modules(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score(docs, toxicity.fit(docs, labels), *docs.columns)
-    return scored.where("score < 0.5").select(*docs.columns)
+    return toxicity.score(docs, toxicity.fit(docs, labels), whole=True).where("score < 0.5").select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,18 +39,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     share_modules(spark)
     found = ngram_join.near_duplicates(docs).where("doc_id is null or doc_id = component_id")
     kept = written(found.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    ids = kept.select(F.col("doc_id").alias("kept_id"), "rows")
-    rows = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")))
-    again = rows.where("rows > 1 and doc_id is not null").dropDuplicates(["doc_id"])
-    return rows.where("rows = 1 or doc_id is null").union(again).select(*docs.columns)
+    rows = _whole(docs, F.col("doc_id").cast("long").alias("doc_key")).join(
+        kept, F.col("doc_key").eqNullSafe(F.col("doc_id")))
+    again = rows.where("rows > 1 and doc_key is not null").dropDuplicates(["doc_key"])
+    return rows.where("rows = 1 or doc_key is null").union(again).select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     share_modules(spark)
     decided = mixing.plan(written(mixing.sized(docs), "sized"))
-    rows = mixing.mixed(mixing.sized(docs, *docs.columns), decided)
+    rows = mixing.mixed(mixing.sized(docs, F.struct(*docs.columns).alias("doc")), decided)
     return rows.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))) \
-        .select(*docs.columns)
+        .select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
