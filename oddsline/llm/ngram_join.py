@@ -49,7 +49,7 @@ from oddsline.llm.components import components
 
 SHINGLE = 5
 SLACK = 1.25                 # segments per needed segment
-CHUNK_SIGNATURES = 2_500_000  # packed together by a task
+CHUNK_SIGNATURES = 1_000_000  # packed together by a task
 BUCKET_SIGNATURES = 1_000_000
 BLOCK_SHINGLES = 1 << 18     # compared at once: two such blocks
 
