@@ -65,6 +65,8 @@ def share_modules(spark: SparkSession) -> None:
     Workers take over the context's environment; a cluster whose machines
     have no copy at this place ships the package with ``--py-files``.
     """
+    # Whole documents pass to Python: a thousand rows a batch, not ten thousand.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
