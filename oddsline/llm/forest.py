@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from oddsline.llm.vectors import best_of, matrix, search, usable
 
 TREES, LEAF, SAMPLE = 24, 48, 8192
-SHARE, LEAST = 0.45, 1024
+SHARE, LEAST = 0.55, 2048
 
 
 def unit(v: np.ndarray) -> np.ndarray:
