@@ -67,8 +67,8 @@ def cmd_fetch(a) -> dict:
         fetch_ts=now.strftime("%Y-%m-%d %H:%M:%S"), now_iso=now.isoformat(),
         store=market_store_table(spark, a.store, FX.FULL_MARKET_STORE) if a.store else None,
         ledger=ledger_table(spark, a.ledger) if a.ledger else None, version=a.version,
-        max_trades=a.max_trades, since_ms=a.since_ms)
-    return {"paths": res.paths, "counts": res.counts}
+        max_trades=a.max_trades, since_ms=a.since_ms, resolved_only=a.resolved_only)
+    return {"paths": res.paths, "counts": res.counts, "rejects": res.rejects}
 
 
 def cmd_process(a) -> dict:
@@ -80,7 +80,7 @@ def cmd_process(a) -> dict:
            else S.RunInput(mode="scan", root=a.scan_root))
     res = stages.process_stage(spark, a.out, a.manifest, S.scan_run_table(spark, cfg, "prices"),
                                S.scan_run_table(spark, cfg, "markets"), S.scan_run_table(spark, cfg, "trades"),
-                               partition_by_day=a.partition_by_day)
+                               partition_by_day=a.partition_by_day, steps=tuple(a.steps))
     return {"paths": res.paths, "counts": res.counts}
 
 
@@ -110,8 +110,9 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--end")
     f.add_argument("--store")
     f.add_argument("--ledger")
-    f.add_argument("--version", type=int, default=1)
-    f.add_argument("--max-trades", type=int, default=200_000)
+    f.add_argument("--version", type=int)
+    f.add_argument("--max-trades", type=int)
+    f.add_argument("--resolved-only", action="store_true")
     f.add_argument("--since-ms", type=int)
     f.set_defaults(run=cmd_fetch)
 
@@ -122,6 +123,8 @@ def parser() -> argparse.ArgumentParser:
     pr.add_argument("--out", required=True)
     pr.add_argument("--manifest", required=True)
     pr.add_argument("--partition-by-day", action="store_true")
+    pr.add_argument("--steps", nargs="+", default=["join", "returns", "panel", "trades"],
+                    choices=["join", "returns", "panel", "trades"])
     pr.set_defaults(run=cmd_process)
 
     fl = sub.add_parser("filter")

@@ -35,9 +35,9 @@ def iso_to_ms(s) -> Column:
     A trailing ``Z`` means UTC; text without a zone is read in the session
     zone (UTC).
     """
-    s = _c(s)
-    ts = F.try_to_timestamp(F.nullif(F.trim(s), F.lit("")))
-    return F.unix_millis(ts)
+    s = F.trim(_c(s))
+    dated = s.rlike(r"^[+-]?\d{4,}-\d{2}-\d{2}([T ]|$)")  # else a bare time would be taken as today's
+    return F.unix_millis(F.try_to_timestamp(F.when(dated, s)))
 
 
 def iso_to_ms_strict(s) -> Column:

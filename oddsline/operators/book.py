@@ -16,6 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BOOK_KEY = ("token_id", "timestamp")
+
+
+def book_key(df: DataFrame) -> tuple[str, ...]:
+    """What tells books apart: also their ``book_id`` where the table has one
+    (several books of a token may share a timestamp, 0 for instance)."""
+    return (*BOOK_KEY, "book_id") if "book_id" in df.columns else BOOK_KEY
+
 LEVEL = "struct<price:double,size:double>"
 
 
@@ -37,8 +44,9 @@ def flatten_books(books: DataFrame) -> DataFrame:
         F.transform(F.coalesce("asks", F.array().cast(f"array<{LEVEL}>")),
                     lambda x: F.struct(F.lit("ask").alias("side"), x["price"].alias("price"), x["size"].alias("size"))),
     )
-    return (books.select(*BOOK_KEY, F.explode(tagged).alias("lv"))
-            .select(*BOOK_KEY, "lv.side", "lv.price", "lv.size"))
+    key = book_key(books)
+    return (books.select(*key, F.explode(tagged).alias("lv"))
+            .select(*key, "lv.side", "lv.price", "lv.size"))
 
 
 def book_quotes_from_arrays(books: DataFrame) -> DataFrame:
@@ -75,13 +83,13 @@ def book_ladder(levels: DataFrame, tie_break: str | None = "level_seq") -> DataF
     asks ascending, ties kept in input order (``tie_break``)."""
     order_price = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
     order = [order_price] + ([F.col(tie_break)] if tie_break and tie_break in levels.columns else [])
-    w = Window.partitionBy(*BOOK_KEY, "side").orderBy(*order)
+    w = Window.partitionBy(*book_key(levels), "side").orderBy(*order)
     return levels.withColumn("level", F.row_number().over(w))
 
 
 def best_quotes(levels: DataFrame) -> DataFrame:
     """Best bid (highest) and best ask (lowest) per book; null when a side is empty."""
-    return levels.groupBy(*BOOK_KEY).agg(
+    return levels.groupBy(*book_key(levels)).agg(
         F.max(F.when(F.col("side") == "bid", F.col("price"))).alias("bid"),
         F.min(F.when(F.col("side") == "ask", F.col("price"))).alias("ask"))
 
@@ -104,14 +112,15 @@ def depth_at_distance(levels: DataFrame, distance: float) -> DataFrame:
     distance (inclusive). The mid comes from a window on the book key and
     the sums from an aggregate on the same key: one exchange of the levels.
     """
-    w = Window.partitionBy(*BOOK_KEY)
+    key = book_key(levels)
+    w = Window.partitionBy(*key)
     bid = F.max(F.when(F.col("side") == "bid", F.col("price"))).over(w)
     ask = F.min(F.when(F.col("side") == "ask", F.col("price"))).over(w)
     d = F.lit(distance)
-    lv = levels.select(*BOOK_KEY, "side", "price", "size", ((bid + ask) / 2).alias("_mid"))
+    lv = levels.select(*key, "side", "price", "size", ((bid + ask) / 2).alias("_mid"))
     in_bid = (F.col("side") == "bid") & (F.col("price") >= F.col("_mid") - d)
     in_ask = (F.col("side") == "ask") & (F.col("price") <= F.col("_mid") + d)
-    agg = lv.groupBy(*BOOK_KEY).agg(
+    agg = lv.groupBy(*key).agg(
         F.coalesce(F.sum(F.when(in_bid, F.col("size"))), F.lit(0.0)).alias("depth_bid"),
         F.coalesce(F.sum(F.when(in_ask, F.col("size"))), F.lit(0.0)).alias("depth_ask"))
     return agg.withColumn("depth_both", F.col("depth_bid") + F.col("depth_ask"))

@@ -138,6 +138,12 @@ def decode_price_history(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rejects
 
 
+def received_chunks(landing: DataFrame) -> DataFrame:
+    """(token_id, chunk_start) of every landed payload that decodes."""
+    ok = F.coalesce(_field(F.try_parse_json("payload"), "$.history").isNotNull(), F.lit(False))
+    return landing.filter(ok).select("token_id", "chunk_start").distinct()
+
+
 # ----------------------------------------------------------- B8 order books
 
 LEVEL_T = "struct<price:double,size:double>"
@@ -158,11 +164,13 @@ def decode_orderbook(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
     Levels need both price and size (text is parsed); bad levels are
     dropped; bids are sorted by price descending and asks ascending, stably.
     A payload without a ``bids`` or ``asks`` list is rejected; a missing or
-    bad timestamp becomes 0.
+    bad timestamp becomes 0. Every payload is a book of its own: ``book_id``
+    tells books with the same token and timestamp apart.
     """
     from oddsline.operators.book import ladder_sort
 
-    base = landing.select("*", F.try_parse_json("payload").alias("_v"))
+    base = landing.select("*", F.try_parse_json("payload").alias("_v"),
+                          F.monotonically_increasing_id().alias("_book"))
     bids = F.try_variant_get(F.col("_v"), "$.bids", "array<variant>")
     asks = F.try_variant_get(F.col("_v"), "$.asks", "array<variant>")
     ok = bids.isNotNull() & asks.isNotNull()
@@ -171,7 +179,7 @@ def decode_orderbook(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
     ts = F.when(_field(F.col("_v"), "$.timestamp").isNull(), F.lit(0).cast("bigint")).otherwise(
         strict_timestamp_ms(_field(F.col("_v"), "$.timestamp")))
     good = base.filter(ok).select(
-        "token_id", ts.alias("timestamp"),
+        "token_id", F.col("_book").alias("book_id"), ts.alias("timestamp"),
         ladder_sort(_levels(bids), descending=True).alias("bids"),
         ladder_sort(_levels(asks), descending=False).alias("asks"))
     return good, rejects
@@ -188,12 +196,17 @@ def decode_trades(landing: DataFrame, strict_timestamp: bool = True) -> DataFram
 
     A page is a bare array or ``{"data": [...]}``; non-object items are
     skipped; any other payload yields nothing. The timestamp is cast to
-    bigint strictly (a non-integer raises) unless ``strict_timestamp`` is off.
+    bigint strictly (a non-integer raises, and so does a page on which no
+    trade has one) unless ``strict_timestamp`` is off.
     """
     v = F.try_parse_json("payload")
     arr = F.coalesce(F.try_variant_get(v, "$.data", "array<variant>"), F.try_variant_get(v, "$", "array<variant>"),
                      F.array().cast("array<variant>"))
-    items = landing.select("batch", "page", F.posexplode(arr).alias("pos", "it")).filter(_is_type(F.col("it"), "OBJECT"))
+    dated = F.exists(arr, lambda x: _present(_field(x, "$.timestamp")))
+    # The page's flag is worked out below the explode, once a page.
+    items = (landing.select("batch", "page", dated.alias("_dated"), arr.alias("_items"))
+             .select("batch", "page", "_dated", F.posexplode("_items").alias("pos", "it"))
+             .filter(_is_type(F.col("it"), "OBJECT")))
     cols = []
     for name, typ in TRADE_FIELDS.items():
         f = _field(F.col("it"), f"$.{name}")
@@ -201,7 +214,8 @@ def decode_trades(landing: DataFrame, strict_timestamp: bool = True) -> DataFram
         cols.append(val.alias(name))
     tsv = _field(F.col("it"), "$.timestamp")
     if strict_timestamp:
-        ts = F.when(_present(tsv), F.variant_get(tsv, "$", "bigint"))
+        ts = F.when(~F.col("_dated"), F.raise_error(F.lit("trades without a timestamp")).cast("bigint")).when(
+            _present(tsv), F.variant_get(tsv, "$", "bigint"))
     else:
         ts = F.try_variant_get(tsv, "$", "bigint")
     return items.select("batch", "page", "pos", *cols, ts.alias("timestamp"))

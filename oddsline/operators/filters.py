@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from oddsline.functions.mathcols import change_from_previous
 from oddsline.functions.timecols import date_start_ms
+from oddsline.operators.joins import MAX_LITERAL, semi_by_values
 from oddsline.schemas import MS_PER_DAY
 
 JUMP_COLUMNS = ("jump_abs", "jump_pct")
@@ -70,13 +71,18 @@ def age_cutoff_text(as_of: str, days: int) -> str:
 DAY_PARTITION = "day"  # yyyy-MM-dd UTC partition column of day-partitioned price tables
 
 
-def build_predicates(columns, cfg: FilterConfig) -> list[tuple[Column, str]]:
+def build_predicates(columns, cfg: FilterConfig, max_literal: int | None = MAX_LITERAL) -> list[tuple[Column | None, str]]:
     """The configured predicates whose column exists, with their labels.
 
     On a table partitioned by UTC ``day`` the date range is also applied to
     the partition column, so whole day directories are pruned before any
     file is opened (the ``t`` predicates keep the exact millisecond bounds).
+    An id list of more than ``max_literal`` ids has a label but no predicate:
+    ``apply_filters`` joins it.
     """
+    def ids(values) -> Column | None:
+        return F.col("market_id").isin(list(values)) if max_literal is None or len(values) <= max_literal else None
+
     cols = set(columns)
     out: list[tuple[Column, str]] = []
     if "t" in cols:
@@ -106,10 +112,10 @@ def build_predicates(columns, cfg: FilterConfig) -> list[tuple[Column, str]]:
         out.append((~F.col("category").isin(list(cfg.exclude_categories)),
                     f"exclude_categories={list(cfg.exclude_categories)}"))
     if cfg.market_ids and "market_id" in cols:
-        out.append((F.col("market_id").isin(list(cfg.market_ids)), f"market_ids={len(cfg.market_ids)} ids"))
+        out.append((ids(cfg.market_ids), f"market_ids={len(cfg.market_ids)} ids"))
     if cfg.exclude_market_ids and "market_id" in cols:
-        out.append((~F.col("market_id").isin(list(cfg.exclude_market_ids)),
-                    f"exclude_market_ids={len(cfg.exclude_market_ids)} ids"))
+        listed = ids(cfg.exclude_market_ids)
+        out.append((None if listed is None else ~listed, f"exclude_market_ids={len(cfg.exclude_market_ids)} ids"))
     return out
 
 
@@ -118,8 +124,13 @@ def apply_filters(df: DataFrame, cfg: FilterConfig) -> tuple[DataFrame, list[str
     preds = build_predicates(df.columns, cfg)
     if not preds:
         return df, []
-    cond = reduce(lambda a, b: a & b, [p for p, _ in preds])
-    return df.filter(cond), [label for _, label in preds if label]
+    shown = [p for p, label in preds if p is not None]
+    out = df.filter(reduce(lambda a, b: a & b, shown)) if shown else df
+    if "market_id" in df.columns:  # long id lists are tables, not literals
+        for ids, keep in ((cfg.market_ids, True), (cfg.exclude_market_ids, False)):
+            if ids and len(ids) > MAX_LITERAL:
+                out = semi_by_values(out, "market_id", ids, keep)
+    return out, [label for _, label in preds if label]
 
 
 def filter_date_range(df, start_date=None, end_date=None):
@@ -139,10 +150,8 @@ def filter_category(df, include=None, exclude=None):
     return apply_filters(df, FilterConfig(categories=include, exclude_categories=exclude))[0]
 
 
-def filter_market_ids(df, include=None, exclude=None, max_literal: int = 1000):
-    """Market-id lists; long lists go through a broadcast semi/anti join."""
-    from oddsline.operators.joins import semi_by_values
-
+def filter_market_ids(df, include=None, exclude=None, max_literal: int = MAX_LITERAL):
+    """Market-id lists; long lists go through a semi/anti join."""
     if "market_id" not in df.columns:
         return df
     if include:
@@ -159,19 +168,10 @@ def jump_window(order_cols=("t",)):
 
 
 DEFAULT_JUMP_BUCKET_MS = 3_600_000  # window partitions are (token, hour of t)
-# A token with at most this many rows is sorted in one task by the plain window.
-WINDOW_MAX_GROUP_ROWS = 20_000_000
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the largest ``key`` group: one partial aggregate, one number back."""
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    return int(r["m"] or 0)
 
 
 def compute_jumps(df: DataFrame, tie_break: str | None = None,
-                  bucket_ms: int | None = DEFAULT_JUMP_BUCKET_MS, mode: str = "auto",
-                  max_group_rows: int = WINDOW_MAX_GROUP_ROWS) -> DataFrame:
+                  bucket_ms: int | None = DEFAULT_JUMP_BUCKET_MS, mode: str = "bucket") -> DataFrame:
     """Change from the previous row per token in time order (no filling).
 
     ``jump_pct`` divides by the previous price with float semantics. A tie
@@ -181,13 +181,10 @@ def compute_jumps(df: DataFrame, tie_break: str | None = None,
     Skew: a plain ``lag`` over ``partitionBy(token_id)`` puts a hot token in
     one task. Three plans:
 
-    * ``mode="auto"`` (default): measure the largest token (one aggregate)
-      and use the plain window when it has at most ``max_group_rows`` rows,
-      the range plan otherwise.
     * ``mode="range"``: the previous row over a global
       range-partitioned order (``ordering.previous_values``); balanced
       whatever the skew, even a hot instant.
-    * ``mode="bucket"``: the window is partitioned by (token, ``bucket_ms``
+    * ``mode="bucket"`` (default): the window is partitioned by (token, ``bucket_ms``
       bucket of t); each bucket's first row takes the last price of the
       token's nearest earlier non-empty bucket, from a per-bucket partial
       aggregate (``max_by``), a window over buckets and a join on (token,
@@ -199,9 +196,6 @@ def compute_jumps(df: DataFrame, tie_break: str | None = None,
     tie = tie_break or "p"
     from oddsline.functions.mathcols import ieee_divide
 
-    if mode == "auto":
-        mode = "window" if largest_group(df, "token_id") <= max_group_rows else "range"
-
     if mode == "window" or (mode == "bucket" and bucket_ms is None):
         d, pct = change_from_previous("p", jump_window(("t", tie)))
         return df.withColumn("jump_abs", d).withColumn("jump_pct", pct)
@@ -266,25 +260,26 @@ def filter_jumps(df: DataFrame, cfg: FilterConfig, tie_break: str | None = None)
 class FilterResult:
     frame: DataFrame
     applied: list[str]
-    input_obs: Observation
+    source: DataFrame
     output_obs: Observation
 
     def report(self) -> dict:
-        """Counts; valid once the frame has been written (one pass, no re-scan)."""
-        n_in = self.input_obs.get.get("rows", 0)
+        """Counts; valid once the frame has been written. The input is counted
+        by itself (from the footers, for Parquet), so that the filters reach
+        its scan."""
+        n_in = self.source.count()
         n_out = self.output_obs.get.get("rows", 0)
         return {"input_count": n_in, "output_count": n_out, "rows_removed": n_in - n_out,
                 "filters_applied": list(self.applied)}
 
 
 def run_filter(df: DataFrame, cfg: FilterConfig, tie_break: str | None = None) -> FilterResult:
-    """Row filters, then jumps and thresholds; both counts observed in the same pass."""
-    obs_in, obs_out = Observation("filter_input"), Observation("filter_output")
-    src = df.observe(obs_in, F.count(F.lit(1)).alias("rows"))
-    filtered, applied = apply_filters(src, cfg)
+    """Row filters, then jumps and thresholds; the output count is observed in the same pass."""
+    obs_out = Observation("filter_output")
+    filtered, applied = apply_filters(df, cfg)
     filtered, jump_applied = filter_jumps(filtered, cfg, tie_break)
     out = filtered.observe(obs_out, F.count(F.lit(1)).alias("rows"))
-    return FilterResult(out, applied + jump_applied, obs_in, obs_out)
+    return FilterResult(out, applied + jump_applied, df, obs_out)
 
 
 def filter_report_frame(df: DataFrame, cfg: FilterConfig, tie_break: str | None = None) -> DataFrame:
@@ -293,7 +288,7 @@ def filter_report_frame(df: DataFrame, cfg: FilterConfig, tie_break: str | None
     Rows are tagged as kept or not instead of being filtered, so input and
     output counts come from the same scan.
     """
-    preds = build_predicates(df.columns, cfg)
+    preds = build_predicates(df.columns, cfg, max_literal=None)
     keep = reduce(lambda a, b: a & b, [p for p, _ in preds]) if preds else F.lit(True)
     labels = [lbl for _, lbl in preds if lbl]
     tagged = df.withColumn("_keep", F.coalesce(keep, F.lit(False)))

@@ -1,46 +1,19 @@
-"""Join helpers with a checked broadcast bound."""
+"""Join helpers. Join strategies are left to the planner and AQE."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it has at most this many rows (checked with
-# an aggregate, not assumed) and its estimated size is under the byte bound.
-# Beyond either bound the join stays a shuffle join and AQE decides at run
-# time.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-DEFAULT_BROADCAST_MAX_BYTES = 256 << 20
+MAX_LITERAL = 1000  # ids written into the plan as literals; a longer list is a table
 
 
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row: the per-type default sizes the planner uses."""
-    return max(1, int(df._jdf.schema().defaultSize())) + 8
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
-                       max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint ``broadcast`` only when a count proves the side small.
-
-    The count runs one cheap job on the small side (at most ``max_rows`` + 1
-    rows are read); the side is broadcast when it has at most ``max_rows``
-    rows and rows x estimated row width is at most ``max_bytes``. Otherwise
-    the frame is returned unchanged and the planner picks a shuffle join
-    (sort-merge or shuffle-hash, with AQE skew splitting).
-    """
-    limit = DEFAULT_BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    if limit <= 0:
-        return df
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit and n * row_width(df) <= max_bytes else df
-
-
-def semi_by_values(df: DataFrame, column: str, values, keep: bool, max_literal: int = 1000,
+def semi_by_values(df: DataFrame, column: str, values, keep: bool, max_literal: int = MAX_LITERAL,
                    spark=None) -> DataFrame:
     """Keep (``keep=True``) or drop rows whose ``column`` is in ``values``.
 
     Short lists become an ``isin`` that reaches the Parquet scan; long lists
-    become a (bounded, broadcast) semi / anti join. Null values of
+    become a table and a semi / anti join. Null values of
     ``column`` are dropped either way, as ``not (null in (...))`` is null.
     """
     values = list(values)
@@ -49,8 +22,5 @@ def semi_by_values(df: DataFrame, column: str, values, keep: bool, max_literal:
         return df.filter(cond if keep else ~cond)
     spark = spark or df.sparkSession
     ids = spark.createDataFrame([(v,) for v in values], f"{column} string").distinct()
-    # The list's length is known here: broadcast within the usual row bound,
-    # otherwise a shuffle semi / anti join.
-    side = F.broadcast(ids) if len(values) <= DEFAULT_BROADCAST_MAX_ROWS else ids
     how = "left_semi" if keep else "left_anti"
-    return df.filter(F.col(column).isNotNull()).join(side, column, how)
+    return df.filter(F.col(column).isNotNull()).join(ids, column, how)

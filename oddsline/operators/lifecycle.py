@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oddsline.functions.timecols import iso_to_ms
-from oddsline.operators.joins import broadcast_if_small
 
 SOURCE_RANK = {"active": 0, "stored_resolved": 1, "closed": 2}
 
@@ -46,7 +45,7 @@ def closed_in_window(markets: DataFrame, start_ms: int, end_ms: int) -> DataFram
 def exclude_known_resolved(closed: DataFrame, store: DataFrame) -> DataFrame:
     """Drop window-feed markets already stored as resolved (anti join on id)."""
     known = resolved_lookup(store).select("id")
-    return closed.join(broadcast_if_small(known), "id", "left_anti")
+    return closed.join(known, "id", "left_anti")
 
 
 def resolved_in_window(stored_resolved: DataFrame, start_ms: int | None, end_ms: int | None) -> DataFrame:

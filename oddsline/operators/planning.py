@@ -28,7 +28,7 @@ from oddsline.schemas import LEDGER_KEY, MS_PER_DAY
 CHUNK_MS = 14 * MS_PER_DAY
 EMPTY_CHUNK_LIMIT = 5
 ID_BATCH_SIZE = 50
-MAX_TRADES_DEFAULT = 200_000
+MAX_TRADES_DEFAULT = None  # no cap unless the caller asks for one
 
 
 # ------------------------------------------------------------ D1
@@ -97,10 +97,16 @@ def chunk_windows(jobs: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
 # ------------------------------------------------------------ D5, D6
 
 def pending_windows(chunks: DataFrame, ledger: DataFrame, fidelity: int) -> DataFrame:
-    """Chunks whose (token, start, end, fidelity) is not in the ledger."""
-    keyed = chunks.withColumn("fidelity", F.lit(fidelity))
-    led = ledger.select(*LEDGER_KEY).withColumnsRenamed({"start_ts": "chunk_start", "end_ts": "chunk_end"})
-    return keyed.join(led, ["token_id", "chunk_start", "chunk_end", "fidelity"], "left_anti")
+    """Chunks whose (token, start, end, fidelity) is not in the ledger: chunks
+    and completed windows are unioned and marked in one pass by token."""
+    key = ["token_id", "chunk_start", "chunk_end"]
+    led = (ledger.filter(F.col("fidelity") == F.lit(fidelity))
+           .select("token_id", F.col("start_ts").alias("chunk_start"), F.col("end_ts").alias("chunk_end"),
+                   F.lit(True).alias("_done")))
+    u = chunks.withColumn("_done", F.lit(False)).unionByName(led, allowMissingColumns=True).repartition("token_id")
+    done = F.max("_done").over(Window.partitionBy(*key))
+    return (u.withColumn("_any", done).filter(~F.col("_done") & ~F.col("_any")).drop("_done", "_any")
+            .withColumn("fidelity", F.lit(fidelity)).select(*key, "fidelity", *[c for c in chunks.columns if c not in key]))
 
 
 def window_ledger_merge(ledger: DataFrame, marks: DataFrame) -> DataFrame:
@@ -117,10 +123,6 @@ def window_ledger_merge(ledger: DataFrame, marks: DataFrame) -> DataFrame:
     return old.unionByName(new).groupBy(*LEDGER_KEY).agg(last.alias("_v")).select(*LEDGER_KEY, "_v.*")
 
 
-def ledger_completed_count(ledger: DataFrame) -> DataFrame:
-    return ledger.agg(F.count(F.lit(1)).alias("completed"))
-
-
 def chunk_of_points(points: DataFrame, jobs: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
     """Assign fetched points (token_id, t) to their chunk of the token's job.
 
@@ -139,20 +141,19 @@ def chunk_of_points(points: DataFrame, jobs: DataFrame, chunk_ms: int = CHUNK_MS
 
 
 def pending_with_counts(chunks: DataFrame, ledger: DataFrame, fidelity: int, point_chunks: DataFrame,
-                        carry: tuple[str, ...] = ("chunk_no", "created_at_ts")) -> DataFrame:
+                        carry: tuple[str, ...] = ("market_id", "chunk_no", "created_at_ts")) -> DataFrame:
     """D5 plus fetched-row counts in one co-grouped pass.
 
     Chunks, completed ledger windows of this fidelity, and per-chunk point
     counts are tagged and unioned, all hash-partitioned by token_id, and one
-    aggregate on the chunk key tells which chunks exist, which are completed
-    and how many points each holds. The aggregate (and the per-token window
-    of ``empty_run_cutoff`` after it) reuses the token partitioning, so the
-    chunk rows are exchanged once instead of once per join key.
-
-    ``carry`` names fixed-width chunk columns passed through (``max`` over
-    the single chunk row of a key); fixed-width buffers keep the aggregate a
-    hash aggregate rather than a sort-based one.
+    window on the chunk key tells which are completed and how many points
+    each holds. The windows (also those of ``empty_run_cutoff`` after it)
+    reuse the token partitioning, so the chunk rows are exchanged once
+    instead of once per join key. A token may have several jobs (markets);
+    every job keeps its own chunk rows. ``carry``: chunk columns passed
+    through, as far as they exist.
     """
+    carry = tuple(x for x in carry if x in chunks.columns)
     key = ["token_id", "chunk_start", "chunk_end"]
     n = F.lit(0).cast("bigint")
     c = chunks.select(*key, F.lit(0).alias("_kind"), n.alias("_n"), *carry)
@@ -167,12 +168,10 @@ def pending_with_counts(chunks: DataFrame, ledger: DataFrame, fidelity: int, poi
            .select(*key, F.lit(2).alias("_kind"), "_n",
                    *[F.lit(None).cast(c.schema[x].dataType).alias(x) for x in carry]))
     u = c.unionByName(led).unionByName(pts).repartition("token_id")
-    g = u.groupBy(*key).agg(
-        F.max(F.col("_kind") == 0).alias("_is_chunk"),
-        F.max(F.col("_kind") == 1).alias("_done"),
-        F.sum("_n").alias("row_count"),
-        *[F.max(F.when(F.col("_kind") == 0, F.col(x))).alias(x) for x in carry])
-    return (g.filter(F.col("_is_chunk") & ~F.col("_done"))
+    same = Window.partitionBy(*key)
+    g = (u.withColumn("_done", F.max(F.col("_kind") == 1).over(same))
+         .withColumn("row_count", F.sum("_n").over(same)))
+    return (g.filter((F.col("_kind") == 0) & ~F.col("_done"))
             .select(*key, *carry, F.lit(fidelity).alias("fidelity"), "row_count"))
 
 
@@ -180,14 +179,15 @@ def pending_with_counts(chunks: DataFrame, ledger: DataFrame, fidelity: int, poi
 
 def empty_run_cutoff(chunks: DataFrame, limit: int = EMPTY_CHUNK_LIMIT, rows_col: str = "row_count",
                      created_col: str = "created_at_ts") -> DataFrame:
-    """Per token in chunk order, drop the chunks after the early stop.
+    """Per job (market and token) in chunk order, drop the chunks after the early stop.
 
     The run of empty chunks (reset by a non-empty one) reaching ``limit`` at
     a chunk starting at or after creation (or with creation unknown) stops
-    the token; that chunk is kept, later ones are dropped. All windows share
-    one partitioning (token_id) and order (chunk_start).
+    the job; that chunk is kept, later ones are dropped. All windows share
+    one partitioning and order (chunk_start).
     """
-    w = Window.partitionBy("token_id").orderBy("chunk_start")
+    job = [c for c in ("market_id", "token_id") if c in chunks.columns]
+    w = Window.partitionBy(*job).orderBy("chunk_start")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     empty = F.coalesce(F.col(rows_col), F.lit(0)) == 0
     rn = F.row_number().over(w)
@@ -197,7 +197,7 @@ def empty_run_cutoff(chunks: DataFrame, limit: int = EMPTY_CHUNK_LIMIT, rows_col
     created = F.col(created_col) if created_col in chunks.columns else F.lit(None).cast("bigint")
     can_stop = created.isNull() | (F.col("chunk_start") >= created)
     stop_here = F.col("_empty") & (F.col("_run") >= limit) & can_stop
-    stop_rn = F.min(F.when(F.col("_stop"), F.col("_rn"))).over(Window.partitionBy("token_id"))
+    stop_rn = F.min(F.when(F.col("_stop"), F.col("_rn"))).over(Window.partitionBy(*job))
     return (with_rn.withColumn("_run", run).withColumn("_stop", stop_here)
             .withColumn("_stop_rn", stop_rn)
             .filter(F.col("_stop_rn").isNull() | (F.col("_rn") <= F.col("_stop_rn")))
@@ -265,15 +265,17 @@ def id_batches(ids: DataFrame | None, order_cols: list[str], id_col: str = "id",
 
 # ------------------------------------------------------------ D9, D10
 
-def row_budget(rows: DataFrame, budget: int = MAX_TRADES_DEFAULT, page_cols=("batch", "page"),
+def row_budget(rows: DataFrame, budget: int | None = MAX_TRADES_DEFAULT, page_cols=("batch", "page"),
                pos_col: str = "pos") -> DataFrame:
-    """The first ``budget`` rows in (batch, page, pos) order, cut mid-page.
+    """The first ``budget`` rows in (batch, page, pos) order, cut mid-page (None: all rows).
 
     Pages are counted (one row per page), a distributed prefix sum gives
     each page the number of rows before it, and rows are kept while that
     plus their rank within the page is under the budget. Pages entirely past
     the budget are pruned before the join.
     """
+    if budget is None:
+        return rows
     page_cols = list(page_cols)
     counts = rows.groupBy(*page_cols).agg(F.count(F.lit(1)).alias("_n"))
     offs = prefix_offsets(counts, page_cols, "_n", "_before").filter(F.col("_before") < budget)

@@ -21,14 +21,12 @@ from pyspark.sql import functions as F
 from oddsline.functions.arrays import outcome_name
 from oddsline.functions.mathcols import ieee_divide
 from oddsline.functions.timecols import day_bucket
-from oddsline.operators.joins import broadcast_if_small
 
 MAP_COLUMNS = ("question", "condition_id", "resolved", "resolution_outcome", "category", "created_at")
 MAP_TYPES = {"question": "string", "condition_id": "string", "resolved": "boolean",
              "resolution_outcome": "string", "category": "string", "created_at": "string",
              "outcomes": "array<string>"}
 
-DEFAULT_PANEL_MAX_TOKENS = 10_000
 
 
 # --------------------------------------------------------------------- F1
@@ -83,11 +81,10 @@ def token_market_map(markets: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- F3
 
-def prices_joined(prices: DataFrame, markets: DataFrame, map_broadcast_rows: int | None = None) -> DataFrame:
+def prices_joined(prices: DataFrame, markets: DataFrame) -> DataFrame:
     """Inner equi-join of price points with the token map on token_id."""
     p = normalize_prices(prices)
     tm = token_market_map(markets).filter(F.col("token_id").isNotNull())
-    tm = broadcast_if_small(tm, max_rows=map_broadcast_rows)
     return p.join(tm, "token_id", "inner").select(
         "token_id", "t", "p", "market_id", *MAP_COLUMNS, "outcome_name")
 
@@ -114,8 +111,7 @@ def token_day_window():
     return Window.partitionBy("token_id").orderBy("day_ts")
 
 
-def daily_returns(prices: DataFrame, markets: DataFrame | None = None,
-                  map_broadcast_rows: int | None = None) -> DataFrame:
+def daily_returns(prices: DataFrame, markets: DataFrame | None = None) -> DataFrame:
     """Daily mean and its percent change per token in day order.
 
     The change is taken against the most recent non-null daily mean (a null
@@ -124,11 +120,10 @@ def daily_returns(prices: DataFrame, markets: DataFrame | None = None,
     markets table the token map is left-joined on.
     """
     daily = daily_mean_price(prices)
-    return returns_from_daily(daily, markets, map_broadcast_rows)
+    return returns_from_daily(daily, markets)
 
 
-def returns_from_daily(daily: DataFrame, markets: DataFrame | None = None,
-                       map_broadcast_rows: int | None = None) -> DataFrame:
+def returns_from_daily(daily: DataFrame, markets: DataFrame | None = None) -> DataFrame:
     w = token_day_window()
     filled = F.last("price_day", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     prev = F.lag("_filled", 1).over(w)
@@ -137,43 +132,46 @@ def returns_from_daily(daily: DataFrame, markets: DataFrame | None = None,
            .drop("_filled"))
     if markets is None:
         return out
-    tm = broadcast_if_small(token_market_map(markets), max_rows=map_broadcast_rows)
+    tm = token_market_map(markets)
     return out.join(tm, "token_id", "left")
 
 
 # --------------------------------------------------------------------- F8, F9
 
-def panel_tokens(daily: DataFrame, max_tokens: int = DEFAULT_PANEL_MAX_TOKENS) -> list:
-    """Sorted distinct tokens of the panel, refused beyond ``max_tokens``.
+PANEL_BLOCK = 5000  # token columns of one wide table
 
-    One job fetches at most ``max_tokens + 1`` sorted names (a bounded
-    collect); one more than the bound means the panel is refused.
-    """
-    tokens = daily.select("token_id").distinct()
-    got = [r[0] for r in tokens.orderBy(F.col("token_id").asc_nulls_first()).limit(max_tokens + 1).collect()]
-    if len(got) > max_tokens:
-        raise ValueError(f"price panel would have more than {max_tokens} token columns; "
-                         "use daily_mean_price (long form) instead")
-    return got
+
+def panel_tokens(daily: DataFrame) -> list:
+    """Sorted distinct tokens of the panel: its column names."""
+    return [r[0] for r in daily.select("token_id").distinct().orderBy(F.col("token_id").asc_nulls_first()).collect()]
 
 
-def price_panel(prices: DataFrame, max_tokens: int = DEFAULT_PANEL_MAX_TOKENS,
-                tokens: list | None = None) -> DataFrame:
+def price_panel(prices: DataFrame, tokens: list | None = None) -> DataFrame:
     """Wide table: one row per day, one column per token of daily means."""
-    daily = daily_mean_price(prices, value_name="price")
-    return pivot_daily(daily, max_tokens=max_tokens, tokens=tokens)
+    return pivot_daily(daily_mean_price(prices, value_name="price"), tokens)
 
 
-def pivot_daily(daily: DataFrame, max_tokens: int = DEFAULT_PANEL_MAX_TOKENS,
-                tokens: list | None = None) -> DataFrame:
+def pivot_daily(daily: DataFrame, tokens: list | None = None) -> DataFrame:
     value = "price" if "price" in daily.columns else "price_day"
-    if tokens is None:
-        tokens = panel_tokens(daily, max_tokens)
-    wide = daily.groupBy("day_ts").pivot("token_id", tokens).agg(F.first(value))
-    # The panel has one row per day and at most ``max_tokens`` columns, a
-    # bounded size, so it is sorted as one partition (no sampling job for a
-    # range sort of wide rows).
-    return wide.coalesce(1).sortWithinPartitions("day_ts")
+    return daily.groupBy("day_ts").pivot("token_id", panel_tokens(daily) if tokens is None else tokens).agg(F.first(value))
+
+
+def panel_blocks(daily: DataFrame, block: int = PANEL_BLOCK) -> list[DataFrame]:
+    """The panel in column blocks of at most ``block`` tokens, in token order.
+
+    A block is a range of token names, so only its rows are pivoted; every
+    block has the days on which one of its tokens has a price.
+    """
+    tokens = panel_tokens(daily)
+    out = []
+    for at in range(0, len(tokens), block):
+        part = tokens[at : at + block]
+        named = [t for t in part if t is not None]
+        keep = F.col("token_id").between(named[0], named[-1]) if named else F.lit(False)
+        if len(named) < len(part):
+            keep = keep | F.col("token_id").isNull()
+        out.append(pivot_daily(daily.filter(keep), part).sortWithinPartitions("day_ts"))
+    return out
 
 
 def panel_dims(daily: DataFrame) -> DataFrame:

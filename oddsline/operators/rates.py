@@ -37,7 +37,9 @@ def trailing_rate(requests: DataFrame, window_seconds: float = DEFAULT_WINDOW_SE
                   key: str = "limiter", t_col: str = "t") -> DataFrame:
     """H1: per request, requests in the trailing window and their rate per second."""
     c = trailing_counts(requests, window_seconds, key, t_col).drop("n_at_t")
-    out = requests.join(c, [key, t_col], "inner")
+    c = c.withColumnsRenamed({key: "_key", t_col: "_t"})
+    out = requests.join(c, F.col(key).eqNullSafe(F.col("_key")) & F.col(t_col).eqNullSafe(F.col("_t")), "left")
+    out = out.drop("_key", "_t")
     return out.withColumn("rps", F.col("window_count") / F.lit(float(window_seconds)))
 
 

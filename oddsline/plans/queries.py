@@ -8,6 +8,7 @@ result compares with its oracle SQL (``oracles.py``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,10 +87,11 @@ def q_daily_returns_enriched(spark, sf):
 
 @register("price_panel")
 def q_price_panel(spark, sf):
-    # Values are rounded in the long form, before the pivot: one rounded
-    # column instead of a projection over every token column.
+    # The panel's columns follow the data, so it is compared cell by cell: the
+    # wide blocks unpivoted again. Values are rounded before the pivot.
     daily = rounded(P.daily_mean_price(A.prices(spark, sf), value_name="price"))
-    return P.pivot_daily(daily)
+    cells = [b.unpivot("day_ts", b.columns[1:], "token_id", "price") for b in P.panel_blocks(daily)]
+    return reduce(DataFrame.unionByName, cells).where("price is not null")
 
 
 @register("panel_dims")
@@ -506,7 +508,7 @@ def q_row_budget(spark, sf):
 
 @register("trades_since")
 def q_trades_since(spark, sf):
-    return rounded(D.trades_since(D.row_budget(_trades_decoded(spark, sf), ROW_BUDGET), TRADES_SINCE_MS))
+    return rounded(D.trades_since(_trades_decoded(spark, sf), TRADES_SINCE_MS))
 
 
 @register("dedupe_price_points")
@@ -598,16 +600,21 @@ def q_stream_trades_daily(spark, sf):
 
 @register("scan_runs")
 def q_scan_runs(spark, sf):
-    """Prices landed as three runs (by token hash), read back in scan mode
-    with the run name recovered from each row's file path."""
+    """Prices landed as three runs (by the token's last character), one of them
+    as part files with four- and five-digit numbers only, read back in scan
+    mode with the run name recovered from each row's file path."""
     root = ST.scratch_path(spark, "runs")
     p = A.prices(spark, sf)
-    run = F.concat(F.lit("run"), F.pmod(F.hash("token_id"), F.lit(3)).cast("string"))
+    run = F.concat(F.lit("run"), (F.ascii(F.right("token_id", F.lit(1))) % 3).cast("string"))
     p.withColumn("_run", run).write.partitionBy("_run").parquet(f"{root}/staging")
-    for k in range(3):
-        spark.read.parquet(f"{root}/staging/_run=run{k}").write.parquet(f"{root}/raw/run{k}/prices.parquet")
+    staged = spark.read.parquet(f"{root}/staging")
+    for k, part in ((0, ""), (1, "_part0000"), (1, "_part10000"), (2, "_001")):
+        rows = staged.where(F.col("_run") == f"run{k}").drop("_run")
+        if k == 1:
+            rows = rows.where((F.col("t") % 2 == 0) == (part == "_part0000"))
+        rows.write.parquet(f"{root}/raw/run{k}/prices{part}.parquet")
     out = S.scan_run_table(spark, S.RunInput(mode="scan", root=root), "prices", with_run=True)
-    return rounded(out.select("token_id", "t", "p", (F.col("run") != "").alias("has_run")))
+    return rounded(out.select("token_id", "t", "p", "run"))
 
 
 @register("compact_parts")

@@ -22,7 +22,7 @@ from oddsline.operators import planning as D
 from oddsline.operators import process as P
 from oddsline.schemas import LEDGER
 from oddsline.session import reliable_checkpoint
-from oddsline.sources.files import observe_counts, write_with_manifest
+from oddsline.sources.files import write_with_manifest
 
 log = logging.getLogger("oddsline.stages")
 
@@ -34,13 +34,15 @@ class ProcessResult:
 
 
 def _nonempty(df: DataFrame) -> bool:
-    return df.limit(1).count() > 0
+    return not df.isEmpty()
+
+
+STEPS = ("join", "returns", "panel", "trades")
 
 
 def process_stage(spark: SparkSession, out_dir: str, manifest_path: str, prices: DataFrame | None,
                   markets: DataFrame | None = None, trades: DataFrame | None = None,
-                  panel_max_tokens: int = P.DEFAULT_PANEL_MAX_TOKENS,
-                  partition_by_day: bool = False) -> ProcessResult:
+                  partition_by_day: bool = False, steps: tuple[str, ...] = STEPS) -> ProcessResult:
     """Build and write prices_joined, daily_returns, price_panel, trades_daily_agg.
 
     Missing inputs skip the outputs that need them (with a warning).
@@ -48,10 +50,17 @@ def process_stage(spark: SparkSession, out_dir: str, manifest_path: str, prices:
     and trades_daily_agg are written even when empty. With
     ``partition_by_day`` the joined prices are written partitioned by UTC
     ``day`` (yyyy-MM-dd), so date-range filters prune whole directories.
+    ``steps`` names the outputs to build. A panel of more than
+    ``P.PANEL_BLOCK`` tokens goes into several files (``price_panel``, then
+    ``price_panel_block0001`` ...); a panel that fails is logged and leaves
+    the other outputs alone.
     """
+    unknown = set(steps) - set(STEPS)
+    if unknown:
+        raise ValueError(f"unknown steps {sorted(unknown)}; known: {STEPS}")
     res = ProcessResult()
     out = out_dir.rstrip("/")
-    if prices is not None and markets is not None:
+    if "join" in steps and prices is not None and markets is not None:
         joined = P.prices_joined(prices, markets)
         parts = None
         if partition_by_day:
@@ -62,22 +71,25 @@ def process_stage(spark: SparkSession, out_dir: str, manifest_path: str, prices:
                 joined, "prices_joined", f"{out}/prices_joined.parquet", manifest_path, partition_by=parts)
         else:
             log.warning("no joined prices; prices_joined not written")
-    elif prices is not None:
+    elif "join" in steps and prices is not None:
         log.warning("no markets table; prices_joined skipped")
-    if prices is not None:
+    if prices is not None and {"returns", "panel"} & set(steps):
         daily = reliable_checkpoint(P.daily_mean_price(prices))
-        rets = P.returns_from_daily(daily, markets)
-        res.paths["daily_returns"], res.counts["daily_returns"] = write_with_manifest(
-            rets, "daily_returns", f"{out}/daily_returns.parquet", manifest_path)
-        if _nonempty(daily):
-            panel = P.pivot_daily(daily, max_tokens=panel_max_tokens)
-            res.paths["price_panel"], res.counts["price_panel"] = write_with_manifest(
-                panel, "price_panel", f"{out}/price_panel.parquet", manifest_path)
-            res.counts["panel_tokens"] = len(panel.columns) - 1
-        else:
+        if "returns" in steps:
+            rets = P.returns_from_daily(daily, markets)
+            res.paths["daily_returns"], res.counts["daily_returns"] = write_with_manifest(
+                rets, "daily_returns", f"{out}/daily_returns.parquet", manifest_path)
+        if "panel" in steps and _nonempty(daily):
+            try:
+                _write_panel(daily, out, manifest_path, res)
+            except Exception as e:  # noqa: BLE001
+                log.warning("price_panel failed: %s", e)
+        elif "panel" in steps:
             log.warning("no daily prices; price_panel not written")
-    else:
+    elif prices is None:
         log.warning("no prices input; joined, returns and panel skipped")
+    if "trades" not in steps:
+        return res
     if trades is not None:
         agg = P.trades_daily_agg(trades)
         res.paths["trades_daily_agg"], res.counts["trades_daily_agg"] = write_with_manifest(
@@ -87,6 +99,13 @@ def process_stage(spark: SparkSession, out_dir: str, manifest_path: str, prices:
     return res
 
 
+def _write_panel(daily: DataFrame, out: str, manifest_path: str, res: ProcessResult) -> None:
+    for k, panel in enumerate(P.panel_blocks(daily)):
+        name = f"price_panel_block{k:04d}" if k else "price_panel"
+        res.paths[name], res.counts[name] = write_with_manifest(panel, name, f"{out}/{name}.parquet", manifest_path)
+        res.counts["panel_tokens"] = res.counts.get("panel_tokens", 0) + len(panel.columns) - 1
+
+
 def filter_stage(df: DataFrame, cfg: G.FilterConfig, output_path: str) -> dict:
     """Filter, compute jumps, write; returns the report (counts observed in one pass)."""
     r = G.run_filter(df, cfg)
@@ -114,7 +133,3 @@ def backfill_plan(markets: DataFrame, ledger: DataFrame | None, start_ms: int, e
         ledger = chunks.sparkSession.createDataFrame([], LEDGER)
     counted = D.pending_with_counts(chunks, ledger, fidelity, D.chunk_of_points(points, jobs))
     return D.empty_run_cutoff(counted), rejects
-
-
-def observed(df: DataFrame, name: str):
-    return observe_counts(df, name)

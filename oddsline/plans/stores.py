@@ -1,11 +1,10 @@
 """Persistent market store and window ledger as versioned Parquet tables.
 
 A merge never overwrites what it read: it writes the merged table as the
-next version (``<name>/v<NNNNNNNNNN>``) and the newest complete version is
-the current one. Versions are named after a caller-supplied number (a
-streaming batch id, say), so re-running the same merge after a failure
-finds the version already written and skips it -- the merge is idempotent
-per version number.
+next version (``<name>/v<NNNNNNNNNN>``, newest + 1 unless a free number is
+named) and the newest complete version is the current one. A writer that may
+replay a merge (a stream's batches) tags its versions with (writer, batch);
+a tag that was already written is skipped, so the merge is idempotent.
 
 ``stream_market_merge`` keeps the store current from a stream of incoming
 market versions with ``foreachBatch``: each micro-batch is merged with the
@@ -16,9 +15,9 @@ aggregate; no per-key Python state is kept.
 from __future__ import annotations
 
 import re
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oddsline.operators import lifecycle as C
@@ -26,7 +25,7 @@ from oddsline.operators import planning as D
 from oddsline.schemas import LEDGER
 from oddsline.sources.files import list_dir, path_exists
 
-_VERSION = re.compile(r"/v(\d{10})$")
+_VERSION = re.compile(r"/v(\d{10})(?:_(\w+))?$")
 
 MARKET_STORE = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("question", T.StringType()),
@@ -41,39 +40,51 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
-    def versions(self) -> list[int]:
+    def _entries(self) -> list[tuple[int, str | None, str]]:
+        """(version, tag, folder) of every complete version, oldest first."""
         out = []
         for p in list_dir(self.spark, self.root):
             m = _VERSION.search(p.rstrip("/"))
             if m and path_exists(self.spark, f"{p.rstrip('/')}/_SUCCESS"):
-                out.append(int(m.group(1)))
-        return sorted(out)
+                out.append((int(m.group(1)), m.group(2), f"{self.root}/{p.rstrip('/').rsplit('/', 1)[1]}"))
+        return sorted(out, key=lambda e: e[0])
+
+    def versions(self) -> list[int]:
+        return [v for v, _, _ in self._entries()]
 
     def path(self, version: int) -> str:
-        return f"{self.root}/v{version:010d}"
+        return next((p for v, _, p in self._entries() if v == version), f"{self.root}/v{version:010d}")
 
     def current(self) -> DataFrame:
-        vs = self.versions()
-        if not vs:
+        done = self._entries()
+        if not done:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path(vs[-1]))
+        return self.spark.read.schema(self.schema).parquet(done[-1][2])
 
-    def write(self, df: DataFrame, version: int) -> str | None:
-        """Write ``df`` as ``version`` unless that version already exists."""
-        target = self.path(version)
-        if path_exists(self.spark, f"{target}/_SUCCESS"):
+    def write(self, df: DataFrame, version: int | None = None, tag: str | None = None) -> str | None:
+        """Write ``df`` as the next version, or as ``version``, which must be free.
+
+        Returns None (nothing written) when ``tag`` was written before."""
+        done = self._entries()
+        if tag is not None and any(t == tag for _, t, _ in done):
             return None
+        if version is None:
+            version = done[-1][0] + 1 if done else 1
+        elif any(v == version for v, _, _ in done):
+            raise FileExistsError(f"version {version} of {self.root} exists")
+        target = f"{self.root}/v{version:010d}" + (f"_{tag}" if tag else "")
         df.select(*[f.name for f in self.schema.fields]).write.mode("overwrite").parquet(target)
         return target
 
 
-def merge_markets(store: VersionedTable, incoming: DataFrame, now_iso: str, version: int) -> str | None:
+def merge_markets(store: VersionedTable, incoming: DataFrame, now_iso: str, version: int | None = None,
+                  tag: str | None = None) -> str | None:
     """C7 on the persistent store: current version + incoming -> new version."""
     merged = C.market_snapshot_merge(store.current(), incoming, now_iso)
-    return store.write(merged.drop("version_seq"), version)
+    return store.write(merged.drop("version_seq"), version, tag)
 
 
-def merge_ledger(ledger: VersionedTable, marks: DataFrame, version: int) -> str | None:
+def merge_ledger(ledger: VersionedTable, marks: DataFrame, version: int | None = None) -> str | None:
     """D6 on the persistent ledger: last write wins per window key."""
     return ledger.write(D.window_ledger_merge(ledger.current(), marks), version)
 
@@ -93,22 +104,16 @@ def stream_market_merge(spark: SparkSession, incoming_dir: str, incoming_schema:
     """Keep the market store current from a directory stream of market
     versions (id, seq, question, resolved, closed).
 
-    Each micro-batch becomes store version ``batch_id + 1``; a replayed batch
-    finds its version written and is skipped (idempotent sink).
+    Each micro-batch becomes the next store version, tagged with this stream
+    (its checkpoint) and the batch; a replayed batch is skipped.
     """
     store = market_store_table(spark, store_root)
+    writer = f"{crc32(checkpoint.encode()):08x}"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if batch.limit(1).count() == 0:
-            return
-        merge_markets(store, batch, now_iso, batch_id + 1)
+        if not batch.isEmpty():
+            merge_markets(store, batch, now_iso, tag=f"{writer}_{batch_id}")
 
     src = spark.readStream.schema(incoming_schema).parquet(incoming_dir)
     w = src.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
-
-
-def seq_from_position(df: DataFrame, order_col: str) -> DataFrame:
-    """Incoming versions need a batch order ``seq`` >= 1; any increasing
-    column will do, e.g. an arrival timestamp or a page/position pair."""
-    return df.withColumn("seq", F.col(order_col).cast("bigint") + 1)

@@ -12,7 +12,7 @@ import logging
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from oddsline.schemas import MANIFEST, REQUIRED_COLUMNS
 
 log = logging.getLogger("oddsline.sources")
 
-MAX_VERSIONS = 999
+MAX_VERSIONS = 999_999
 _VERSION_RE = re.compile(r"^(?P<stem>.*)_(?P<n>\d{3})$")
 
 
@@ -82,21 +82,29 @@ class RunInput:
     mode: str  # "run_dir" | "files" | "scan"
     root: str | None = None
     run_dir: str | None = None
-    files: dict[str, str] | None = None
+    files: dict[str, str | list[str]] | None = None
 
 
 def run_table_paths(spark: SparkSession, cfg: RunInput, name: str) -> list[str]:
     """Paths of table ``name``: the single file if present, else its ordered
-    ``name_partNNNN.parquet`` parts; in scan mode every run's file."""
+    ``name_partNNNN.parquet`` parts; in scan mode all files of the table
+    (single, versioned or parts) of every run."""
     if cfg.mode == "files":
-        p = (cfg.files or {}).get(name)
-        return [p] if p and path_exists(spark, p) else []
+        given = (cfg.files or {}).get(name) or []
+        return [p for p in ([given] if isinstance(given, str) else given) if path_exists(spark, p)]
     if cfg.mode == "scan":
-        return glob_paths(spark, f"{cfg.root}/raw/*/{name}.parquet")
+        own = re.compile(rf"/{re.escape(name)}(_part\d+|_\d{{3,}})?\.parquet/?$")
+        return [p for p in glob_paths(spark, f"{cfg.root}/raw/*/{name}*.parquet") if own.search(p)]
     single = f"{cfg.run_dir}/{name}.parquet"
     if path_exists(spark, single):
         return [single]
-    return glob_paths(spark, f"{cfg.run_dir}/{name}_part[0-9][0-9][0-9][0-9].parquet")
+    return part_paths(spark, cfg.run_dir, name)
+
+
+def part_paths(spark: SparkSession, run_dir: str, name: str) -> list[str]:
+    """``name_part<N>.parquet`` in part order, however many digits N has."""
+    found = ((re.search(r"_part(\d+)\.parquet/?$", p), p) for p in glob_paths(spark, f"{run_dir}/{name}_part*.parquet"))
+    return [p for _, p in sorted((int(m[1]), p) for m, p in found if m)]
 
 
 def scan_run_table(spark: SparkSession, cfg: RunInput, name: str, schema=None,
@@ -117,7 +125,7 @@ def scan_run_table(spark: SparkSession, cfg: RunInput, name: str, schema=None,
 # ------------------------------------------------------------ A4 versioned sink
 
 def unique_path(spark: SparkSession, path: str) -> str:
-    """``x`` if free, else ``x_001`` ... ``x_999`` (an existing ``_NNN`` suffix is
+    """``x`` if free, else ``x_001``, ``x_002`` ... (an existing ``_NNN`` suffix is
     stripped first); error when all are taken."""
     if not path_exists(spark, path):
         return path
@@ -234,7 +242,7 @@ def compact_parts(spark: SparkSession, run_dir: str, prefix: str, out_dir: str,
                   target_file_bytes: int = 256 << 20) -> str | None:
     """Concatenate ``prefix_partNNNN.parquet`` parts (kept in place) into one
     output sized by input bytes, not forced to a single file."""
-    parts = glob_paths(spark, f"{run_dir}/{prefix}_part[0-9][0-9][0-9][0-9].parquet")
+    parts = part_paths(spark, run_dir, prefix)
     if not parts:
         return None
     fs, _ = _fs(spark, run_dir)
@@ -242,7 +250,7 @@ def compact_parts(spark: SparkSession, run_dir: str, prefix: str, out_dir: str,
     total = sum(fs.getContentSummary(jvm.org.apache.hadoop.fs.Path(p)).getLength() for p in parts)
     n = max(1, -(-int(total) // target_file_bytes))
     df = spark.read.parquet(*parts)
-    return write_versioned(df.repartition(n) if n > 1 else df.coalesce(1), f"{out_dir}/{prefix}.parquet")
+    return write_versioned(df.coalesce(n), f"{out_dir}/{prefix}.parquet")
 
 
 # ------------------------------------------------------------ A15 provenance
@@ -280,12 +288,6 @@ def stage_counts(markets: DataFrame | None = None, prices: DataFrame | None = No
                    for n in names])
 
 
-def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter that fills in when ``df`` is written (no second pass)."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 # ------------------------------------------------------------ A16 promotion
 
 def promote_run_tables(spark: SparkSession, run_dir: str, out_dir: str, names: list[str]) -> dict[str, str | None]:

@@ -129,8 +129,7 @@ def test_jump_plans_equal_plain_window(spark):
     assert rows_of(G.compute_jumps(df, mode="bucket", bucket_ms=100)) == plain
     assert rows_of(G.compute_jumps(df, mode="bucket", bucket_ms=7)) == plain
     assert rows_of(G.compute_jumps(df.repartition(5), mode="range")) == plain
-    assert rows_of(G.compute_jumps(df, mode="auto", max_group_rows=10)) == plain  # forced to the range plan
-    assert rows_of(G.compute_jumps(df, mode="auto")) == plain
+    assert rows_of(G.compute_jumps(df)) == plain
     hot = joined(spark, rows + [(None, i, 1.0 * (i % 3), "m", None, None, None) for i in range(50)])
     assert rows_of(G.compute_jumps(hot.repartition(9), mode="range")) == rows_of(G.compute_jumps(hot, mode="window"))
 

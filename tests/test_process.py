@@ -85,11 +85,11 @@ def test_day_bucket_floors_negative(spark):
     assert got == [-DAY, DAY]
 
 
-def test_price_panel_and_limit(spark):
+def test_price_panel_and_blocks(spark):
     panel = P.price_panel(fixture_prices(spark))
     assert panel.count() == 2 and len(panel.columns) == 5
-    with pytest.raises(ValueError):
-        P.price_panel(fixture_prices(spark), max_tokens=3)
+    blocks = P.panel_blocks(P.daily_mean_price(fixture_prices(spark)), block=3)
+    assert [len(b.columns) - 1 for b in blocks] == [3, 1] and all(b.count() == 2 for b in blocks)
     dims = P.panel_dims(P.daily_mean_price(fixture_prices(spark))).first()
     assert (dims.panel_days, dims.panel_tokens) == (2, 4)
 
@@ -110,22 +110,6 @@ def test_missing_columns_raise(spark):
         P.daily_mean_price(spark.createDataFrame([(1,)], "x int"))
 
 
-def test_join_broadcasts_small_map(spark):
-    j = P.prices_joined(fixture_prices(spark), two_markets(spark))
-    plan = j._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
-
-
-def test_broadcast_only_under_bound(spark):
-    from oddsline.operators.joins import broadcast_if_small
-
-    m = P.token_market_map(two_markets(spark))
-    assert broadcast_if_small(m, max_rows=2) is m          # 4 rows > 2: left to the planner
-    hinted = broadcast_if_small(m, max_rows=10)
-    assert hinted is not m
-    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
-
-
 def test_daily_returns_single_exchange_per_token(spark):
     df = P.daily_returns(fixture_prices(spark))
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -153,9 +137,8 @@ def test_markets_from_two_runs_double_the_join(spark, tmp_dir):
     assert P.prices_joined(fixture_prices(spark), markets).count() == 16
 
 
-def test_broadcast_byte_bound(spark):
-    from oddsline.operators.joins import broadcast_if_small, row_width
-
-    m = P.token_market_map(two_markets(spark))
-    assert broadcast_if_small(m, max_rows=10, max_bytes=4 * row_width(m) - 1) is m  # 4 rows, one byte short
-    assert broadcast_if_small(m, max_rows=10, max_bytes=4 * row_width(m)) is not m
+def test_wide_panels_have_no_token_limit(spark):
+    daily = spark.range(10_001).selectExpr("concat('t', id) token_id", "0L day_ts", "1.0D price_day")
+    blocks = P.panel_blocks(daily.union(spark.createDataFrame([(None, 0, 2.0)], "token_id string, day_ts long, price_day double")))
+    assert sum(len(b.columns) - 1 for b in blocks) == 10_002 and len(blocks) == 3
+    assert blocks[0].select("null").first()[0] == 2.0 and blocks[2].count() == 1

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from oddsline.plans import stores
@@ -11,9 +12,11 @@ def test_versioned_market_store(spark, tmp_dir):
     assert st.current().count() == 0
     b1 = spark.createDataFrame([("m1", 1, "q1", False, False), ("m2", 2, "q2", True, True)], INC)
     assert stores.merge_markets(st, b1, "T1", 1)
-    assert stores.merge_markets(st, b1, "T1", 1) is None  # same version: skipped
+    with pytest.raises(FileExistsError):
+        stores.merge_markets(st, b1, "T1", 1)              # a named version must be free
     b2 = spark.createDataFrame([("m1", 1, "q1b", True, True), ("m2", 2, "changed", False, False)], INC)
-    stores.merge_markets(st, b2, "T2", 2)
+    stores.merge_markets(st, b2, "T2", tag="w_0")          # the next version
+    assert stores.merge_markets(st, b1, "T3", tag="w_0") is None  # a replayed batch is skipped
     cur = {r.id: r for r in st.current().collect()}
     assert st.versions() == [1, 2]
     assert (cur["m1"].question, cur["m1"].resolved, cur["m1"].cached_at, cur["m1"].updated_at) == ("q1b", 1, "T1", "T2")
