@@ -35,14 +35,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row whose doc_id names its component; a repeated doc_id stays once."""
+    """Rows whose doc_id names no component go; a repeated doc_id stays once.
+
+    The rows that go are joined, not those that stay: they are far fewer, so
+    the documents need not be shuffled for it while they are few."""
     share_modules(spark)
-    found = ngram_join.near_duplicates(docs).where("doc_id is null or doc_id = component_id")
-    kept = written(found.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    rows = _whole(docs, F.col("doc_id").cast("long").alias("doc_key")).join(
-        kept, F.col("doc_key").eqNullSafe(F.col("doc_id")))
-    again = rows.where("rows > 1 and doc_key is not null").dropDuplicates(["doc_key"])
-    return rows.where("rows = 1 or doc_key is null").union(again).select("doc.*")
+    found = ngram_join.near_duplicates(docs).where("doc_id is not null")
+    ids = written(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("root"),
+                                              F.count("*").alias("rows")), "ids")
+    gone, twice = ids.where("not root").select("doc_id"), ids.where("root and rows > 1").select("doc_id")
+    rows = _whole(docs, F.col("doc_id").cast("long").alias("doc_id")).join(gone, "doc_id", "left_anti")
+    once = rows.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return rows.join(twice, "doc_id", "left_anti").union(once).select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
