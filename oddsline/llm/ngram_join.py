@@ -26,7 +26,9 @@ the very same subset in its partner.
 Sets are compared once per distinct set: copies share a 64-bit fingerprint,
 meet in a partial aggregation and add to the link counts of others only as a
 weight. Signatures travel as packed arrays per (chunk of sets, bucket), and a
-signature found often within a chunk sends one entry. Elements are 64-bit
+signature found often within a chunk sends one entry. Clusters' texts travel
+compressed and are cut into shingles where they are compared, which is a
+fraction of the bytes of their hashes. Elements are 64-bit
 hashes of shingles, so equality holds up to hash collisions.
 
 Defined cases: null or empty text has an empty set (n_shingles 0, no links,
@@ -40,6 +42,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -283,8 +286,9 @@ def _compare(recs, sets, copies, block, one_block: bool):
 
 def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("rec")
-    i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-    rec, partner, links = _compare(pdf["rec"].to_numpy(), [np.frombuffer(b, np.uint64) for b in pdf["shingles"]],
+    i, j, unpack = pdf["i"].iloc[0], pdf["j"].iloc[0], zstandard.ZstdDecompressor()
+    rec, partner, links = _compare(pdf["rec"].to_numpy(),
+                                   [shingle_set(unpack.decompress(b).decode("utf-8"), SHINGLE) for b in pdf["text"]],
                                    pdf["copies"].to_numpy(np.int64), pdf["block"].to_numpy(), i == j)
     return pd.DataFrame({"rec": pd.array(rec, "Int64"), "partner": pd.array(partner, "Int64"), "links": pd.array(links, "Int64")})
 
@@ -305,18 +309,21 @@ def _sets(docs: DataFrame) -> DataFrame:
         .mapInArrow(run, "doc_id long, n_shingles long, rec long")
 
 
-def _shingles(docs: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame) -> DataFrame:
+    """(rec, text): compressed texts, each set once per task."""
     def run(batches):
+        pack, seen = zstandard.ZstdCompressor(level=3), set()
         for b in batches:
             rec, data = [], []
-            for text in b.column(0):
-                h = shingle_set(text.as_py(), SHINGLE)
-                if len(h):
-                    rec.append(fingerprint(h))
-                    data.append(h.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rec, pa.int64()), pa.array(data, pa.binary())], ["rec", "shingles"])
+            for text in b.column(0).to_pylist():
+                h = shingle_set(text, SHINGLE)
+                if len(h) and (key := fingerprint(h)) not in seen:
+                    seen.add(key)
+                    rec.append(key)
+                    data.append(pack.compress(text.encode("utf-8")))
+            yield pa.RecordBatch.from_arrays([pa.array(rec, pa.int64()), pa.array(data, pa.binary())], ["rec", "text"])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "rec long, shingles binary")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "rec long, text binary")
 
 
 def candidate_clusters(docs: DataFrame, shingles: int) -> DataFrame:
@@ -344,12 +351,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = (inside.join(blocks, "cluster")
               .withColumn("block", F.pmod(F.xxhash64("rec"), F.col("blocks")).cast("int"))
               .select("cluster", "rec", "copies", "block", "blocks"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        inside.select("rep").distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    payload = _shingles(texts).dropDuplicates(["rec"])
-    pairs = (placed.join(payload, "rec").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    payload = _texts(docs).join(placed, "rec").dropDuplicates(["rec"])
+    pairs = (payload.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "rec", "copies", "block", "shingles"))
+                     "rec", "copies", "block", "text"))
     links = written(pairs.groupBy("cluster", "i", "j").applyInPandas(_verify, "rec long, partner long, links long"), "links")
     joined = components(links.where("partner is not null").select(F.col("rec").alias("a"), F.col("partner").alias("b")))
     named = joined.join(classes.select(F.col("rec").alias("node"), "rep"), "node")
