@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from oddsline.llm.common import mix, shingle_set, written
+from oddsline.llm.common import mix, shingle_set, tidy, written
 from oddsline.llm.components import components
 
 SHINGLE = 5
@@ -207,7 +207,7 @@ def _emit(docs: DataFrame, buckets: int) -> DataFrame:
             yield from flush(sets)
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "bucket int, shared binary, local binary")
+        tidy(run), "bucket int, shared binary, local binary")
 
 
 def _survivors(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -306,7 +306,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                                              ["doc_id", "n_shingles", "rec"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, n_shingles long, rec long")
+        .mapInArrow(tidy(run), "doc_id long, n_shingles long, rec long")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -323,7 +323,7 @@ def _texts(docs: DataFrame) -> DataFrame:
                     data.append(pack.compress(text.encode("utf-8")))
             yield pa.RecordBatch.from_arrays([pa.array(rec, pa.int64()), pa.array(data, pa.binary())], ["rec", "text"])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "rec long, text binary")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), "rec long, text binary")
 
 
 def candidate_clusters(docs: DataFrame, shingles: int) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oddsline.llm.common import bucket
+from oddsline.llm.common import bucket, tidy
 from oddsline.llm.tokens import tokenizer
 
 WINDOW = 4096
@@ -115,7 +115,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int =
     kinds = [pa.int64()] * 5 + [pa.binary()] * keep_ids
     schema = PIECES + ", ids binary" * keep_ids
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return some.mapInArrow(lambda it: cut(b for b in it if b.num_rows), schema)
+    return some.mapInArrow(tidy(lambda it: cut(b for b in it if b.num_rows)), schema)
 
 
 def pack(parts: DataFrame, rows: int, window: int = WINDOW, shard_rows: int = SHARD_ROWS) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from oddsline.llm.common import scratch, written
+from oddsline.llm.common import scratch, tidy, written
 from oddsline.llm.tokens import tokenizer
 
 SCALE = 20                 # the frequencies sum to 2**SCALE
@@ -189,7 +189,7 @@ def raw_blocks(docs: DataFrame, tokenizer_path: str, end_id: int = 1, block: int
 
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return (some.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-            .mapInArrow(lambda it: cut(b for b in it if b.num_rows), RAW))
+            .mapInArrow(tidy(lambda it: cut(b for b in it if b.num_rows)), RAW))
 
 
 def _ids(data: bytes, lengths: bytes) -> np.ndarray:
@@ -207,7 +207,7 @@ def count_ids(raw: DataFrame, vocab: int) -> np.ndarray:
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
-    rows = (raw.select("ids", "lengths").mapInArrow(count, "id long, n long")
+    rows = (raw.select("ids", "lengths").mapInArrow(tidy(count), "id long, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).toPandas())  # at most one row per vocabulary entry
     out = np.zeros(vocab, np.int64)
     out[rows["id"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
@@ -236,7 +236,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 1
 
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     schema = pa.schema([(n, kinds[t]) for n, t in (c.split() for c in CODED.split(", "))])
-    raw.mapInArrow(code, CODED).write.option("compression", "none").parquet(f"{path}/blocks")
+    raw.mapInArrow(tidy(code), CODED).write.option("compression", "none").parquet(f"{path}/blocks")
     spark.createDataFrame(pd.DataFrame({"freq": [freq.astype("<i4").tobytes()]})).coalesce(1).write.parquet(f"{path}/table")
 
 
@@ -266,7 +266,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
                     pa.array(crcs, pa.int64())], names)
 
     names = ["part", "doc_id", "before", "at", "n", "doc_n", "crc"]
-    found = blocks.mapInArrow(read, "part int, doc_id long, before long, at long, n long, doc_n long, crc long")
+    found = blocks.mapInArrow(tidy(read), "part int, doc_id long, before long, at long, n long, doc_n long, crc long")
     whole = found.where("n = doc_n").select("part", "doc_id", "at", F.col("n").alias("n_tokens"),
                                             F.col("crc").alias("ids_crc32"))
 

@@ -23,6 +23,7 @@ from oddsline.llm.common import _IS_WHITE, lowered, segments, span_hashes, spans
 MAX_PIECES = 1_200_000
 SLOTS = 1 << 21
 BATCH = 1 << 20  # bytes of text per round
+GROUP = 1 << 14  # new letter runs per call of the library
 
 _LETTERS = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+\Z")
 
@@ -92,7 +93,9 @@ class WordTokenizer:
         odd = [w for w, p in zip(words, plain, strict=True) if not p]
         flat = np.zeros(0, "<u4")
         if letters:
-            flat = np.asarray(self.light.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, "<u4")
+            groups = [" ".join(letters[k : k + GROUP]) for k in range(0, len(letters), GROUP)]
+            flat = np.concatenate([np.asarray(self.light.encode_batch_fast([g], add_special_tokens=False)[0].ids, "<u4")
+                                   for g in groups])
             cuts = np.flatnonzero(self.ends[flat]) + 1
             if len(cuts) != len(letters):  # this vocabulary has no end mark: one call a word
                 got = self.full.encode_batch_fast(letters, add_special_tokens=False)

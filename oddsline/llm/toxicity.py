@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oddsline.llm.common import lowered, running, segments, span_hashes, spans
+from oddsline.llm.common import lowered, running, segments, span_hashes, spans, tidy
 
 SAMPLE = 6_000    # labelled documents read for training
 MINED = 150       # words taken from training labels, at most
@@ -288,7 +288,7 @@ def score(docs: DataFrame, model: Model, whole: bool = False) -> DataFrame:
             s = shared.value.score(texts.cast(pa.string()).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(kept), pa.array(s, pa.float64())], [kept, "score"])
 
-    return some.mapInArrow(run, T.StructType([some.schema[kept], T.StructField("score", T.DoubleType())]))
+    return some.mapInArrow(tidy(run), T.StructType([some.schema[kept], T.StructField("score", T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
