@@ -35,18 +35,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose doc_id names no component go; a repeated doc_id stays once.
+    """The document named by its component stays, a repeated doc_id once; rows
+    without a doc_id stay.
 
-    The rows that go are joined, not those that stay: they are far fewer, so
-    the documents need not be shuffled for it while they are few."""
+    The rows that go are joined, not those that stay: they are far fewer.
+    Repeated doc_ids, if there are any, take a second pass."""
     share_modules(spark)
     found = ngram_join.near_duplicates(docs).where("doc_id is not null")
     ids = written(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("root"),
                                               F.count("*").alias("rows")), "ids")
     gone, twice = ids.where("not root").select("doc_id"), ids.where("root and rows > 1").select("doc_id")
     rows = _whole(docs, F.col("doc_id").cast("long").alias("doc_id")).join(gone, "doc_id", "left_anti")
-    once = rows.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rows.join(twice, "doc_id", "left_anti").union(once).select("doc.*")
+    if not twice.isEmpty():
+        once = rows.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        rows = rows.join(twice, "doc_id", "left_anti").union(once)
+    return rows.select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
