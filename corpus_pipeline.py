@@ -39,13 +39,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     without a doc_id stay.
 
     The rows that go are joined, not those that stay: they are far fewer.
-    Repeated doc_ids, if there are any, take a second pass."""
+    Repeated doc_ids, if there are any, take a second pass. The merge hint
+    keeps one plan at every size: the ids that go grow with the data, so they
+    are never broadcast."""
     share_modules(spark)
     found = ngram_join.near_duplicates(docs).where("doc_id is not null")
     ids = written(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("root"),
                                               F.count("*").alias("rows")), "ids")
     gone, twice = ids.where("not root").select("doc_id"), ids.where("root and rows > 1").select("doc_id")
-    rows = _whole(docs, F.col("doc_id").cast("long").alias("doc_id")).join(gone, "doc_id", "left_anti")
+    rows = _whole(docs, F.col("doc_id").cast("long").alias("doc_id")).join(gone.hint("merge"), "doc_id", "left_anti")
     if not twice.isEmpty():
         once = rows.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         rows = rows.join(twice, "doc_id", "left_anti").union(once)

@@ -351,7 +351,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = (inside.join(blocks, "cluster")
               .withColumn("block", F.pmod(F.xxhash64("rec"), F.col("blocks")).cast("int"))
               .select("cluster", "rec", "copies", "block", "blocks"))
-    payload = _texts(docs).join(placed, "rec").dropDuplicates(["rec"])
+    # One plan at every size: the clustered sets grow with the data and are never broadcast.
+    payload = _texts(docs).join(placed.hint("merge"), "rec").dropDuplicates(["rec"])
     pairs = (payload.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                      "rec", "copies", "block", "text"))
