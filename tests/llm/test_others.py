@@ -259,3 +259,11 @@ def test_registered_queries(spark):
     names = list(entry.queries())
     assert [n for n in names if n.startswith("op")] == list(QUERIES) and "pipeline" in names
     assert set(ORACLES) <= set(entry.oracle_sql())
+
+
+def test_near_duplicates_stage_with_repeated_and_missing_ids(spark):
+    copy, other = "one two three four five six seven", "a quite different text of some more words"
+    docs = spark.createDataFrame([(1, copy), (1, copy), (2, copy), (3, other), (None, "rows without an id stay here")],
+                                 "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 3]
