@@ -314,7 +314,7 @@ def q_normalize_outcomes(spark, sf):
 from oddsline.operators import lifecycle as C  # noqa: E402
 
 WINDOW_START_MS, WINDOW_END_MS = 1704844800000, 1708387200000  # 2024-01-10, 2024-02-20 UTC
-STORE_BEFORE = "2024-01-01T00:00:00Z"
+STORE_BEFORE = "2024-01-01T00:00:00Z"    # read by oracles.py only
 NOW_ISO = "2026-01-01T00:00:00+00:00"
 
 
@@ -324,7 +324,9 @@ def _markets_pos(spark, sf):
 
 
 def _store_markets(spark, sf):
-    m = _markets_pos(spark, sf).filter(F.col("created_at") < STORE_BEFORE)
+    """Every market is stored; the resolved flag (null counts as 0) tells the
+    known from the unknown ones."""
+    m = _markets_pos(spark, sf)
     return m.withColumn("resolved", F.coalesce(F.col("resolved").cast("int"), F.lit(0)))
 
 
@@ -475,10 +477,11 @@ def q_pending_windows(spark, sf):
 
 @register("window_ledger_merge")
 def q_window_ledger_merge(spark, sf):
-    log = _chunk_counts(spark, sf).filter(F.pmod("chunk_no", F.lit(2)) == 0)
-    marks = log.select("token_id", F.col("chunk_start").alias("start_ts"), F.col("chunk_end").alias("end_ts"),
-                       F.lit(FIDELITY).alias("fidelity"), F.lit(MARK_TIME).alias("completed_at"),
-                       F.col("row_count").cast("bigint"))
+    # All fetched chunks are marked: every third one is in the ledger already,
+    # some of them at another fidelity, so rows are replaced, kept and inserted.
+    marks = _chunk_counts(spark, sf).select(
+        "token_id", F.col("chunk_start").alias("start_ts"), F.col("chunk_end").alias("end_ts"),
+        F.lit(FIDELITY).alias("fidelity"), F.lit(MARK_TIME).alias("completed_at"), F.col("row_count").cast("bigint"))
     return D.window_ledger_merge(_ledger(spark, sf), marks)
 
 
