@@ -598,7 +598,7 @@ def q_stream_dedupe_prices(spark, sf):
 
 @register("stream_trades_daily")
 def q_stream_trades_daily(spark, sf):
-    return rounded(ST.trades_daily_table(spark, A.trades(spark, sf)))
+    return rounded(ST.trades_daily_all_table(spark, A.trades(spark, sf)))
 
 
 @register("scan_runs")

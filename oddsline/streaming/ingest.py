@@ -10,7 +10,11 @@
   ``dropDuplicatesWithinWatermark(token_id, t)``: bounded state.
 * ``trades_daily`` -- daily tumbling windows per condition in append mode;
   a day is emitted once the watermark passes its end; rows later than the
-  watermark are dropped by the engine (count them with ``late_rows``).
+  watermark are dropped by the engine (count them with ``late_rows``). The
+  days still open when the stream stops stay in its state.
+* ``trades_daily_all`` -- the same totals for a run to completion: every
+  micro-batch writes the sums of its own rows, ``read_trades_daily`` adds
+  them up. No watermark and no state, so no day stays open and no row is late.
 
 Checkpoint locations default to a fresh folder under the session's shared
 ``spark.checkpoint.dir``.
@@ -24,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from oddsline.functions.timecols import day_bucket
 from oddsline.operators.decode import decode_price_history
 from oddsline.schemas import PRICE_PAYLOADS, TRADES
 from oddsline.session import checkpoint_dir
@@ -76,6 +81,28 @@ def trades_daily(trades: DataFrame, delay: str = "1 day") -> DataFrame:
                     F.coalesce("_s", F.lit(0.0)).alias("size_sum"), F.coalesce("_n", F.lit(0.0)).alias("notional_sum"))
 
 
+def trades_daily_all(trades: DataFrame, out_path: str, checkpoint: str | None = None,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """Sums per condition and UTC day of each micro-batch, written to a folder
+    named by the batch; a replayed batch overwrites its own folder."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        g = batch.groupBy("conditionId", day_bucket("timestamp").alias("day_ts")).agg(
+            F.count(F.lit(1)).alias("trades"), F.sum("size").alias("size_sum"),
+            F.sum(F.col("size") * F.col("price")).alias("notional_sum"))
+        g.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+
+    w = trades.writeStream.foreachBatch(write).option(
+        "checkpointLocation", checkpoint or scratch_path(trades.sparkSession, "trades-ckpt"))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_trades_daily(spark: SparkSession, out_path: str) -> DataFrame:
+    """One row per condition and day from the batches of ``trades_daily_all``."""
+    return (spark.read.parquet(out_path).groupBy("conditionId", "day_ts")
+            .agg(F.sum("trades").alias("trades"), F.coalesce(F.sum("size_sum"), F.lit(0.0)).alias("size_sum"),
+                 F.coalesce(F.sum("notional_sum"), F.lit(0.0)).alias("notional_sum")))
+
+
 def late_rows(q: StreamingQuery) -> int:
     """Rows the stateful operators dropped as later than the watermark,
     summed over the query's recent progress reports.
@@ -116,12 +143,24 @@ def dedupe_prices_table(spark: SparkSession, points: DataFrame) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def trades_daily_table(spark: SparkSession, trades: DataFrame) -> DataFrame:
+def _trades_stream(spark: SparkSession, trades: DataFrame) -> DataFrame:
     src_dir = scratch_path(spark, "trades")
     trades.select(*[f.name for f in TRADES.fields if f.name in trades.columns], "conditionId") \
         .write.parquet(src_dir)
     schema = spark.read.parquet(src_dir).schema
-    stream = spark.readStream.schema(schema).parquet(src_dir)
+    return spark.readStream.schema(schema).parquet(src_dir)
+
+
+def trades_daily_all_table(spark: SparkSession, trades: DataFrame) -> DataFrame:
+    """All days of ``trades``, the last ones too."""
+    out = scratch_path(spark, "trades-out")
+    run_to_completion(trades_daily_all(_trades_stream(spark, trades), out))
+    return read_trades_daily(spark, out)
+
+
+def trades_daily_table(spark: SparkSession, trades: DataFrame) -> DataFrame:
+    """The closed days of ``trades``."""
+    stream = _trades_stream(spark, trades)
     out = scratch_path(spark, "trades-out")
     run_to_completion(_start(trades_daily(stream), out, scratch_path(spark, "trades-ckpt"), None))
     return spark.read.parquet(out)

@@ -31,3 +31,29 @@ def test_stored_markets_are_all_markets(spark, monkeypatch):
                    "resolved_markets_only": {"M0", "M1"}}
     source = {r.id: r.source for r in Q.REGISTRY["merge_market_sources"](spark, "").collect()}
     assert source == {"M0": "stored_resolved", "M1": "stored_resolved", "M2": "closed", "M3": "closed"}
+
+
+def test_stream_trades_daily_has_every_day(spark, monkeypatch):
+    day = 86_400_000
+    rows = [(d * day + 5, 2.0, 0.5, "c") for d in range(19723, 19728)] + [(19723 * day, None, None, "c"), (None, 1.0, 1.0, "d")]
+    t = spark.createDataFrame(rows, "timestamp long, size double, price double, conditionId string")
+    monkeypatch.setattr(Q.A, "trades", lambda s, d: t)
+    got = {(r.conditionId, r.day_ts): (r.trades, r.size_sum, r.notional_sum)
+           for r in Q.REGISTRY["stream_trades_daily"](spark, "").collect()}
+    want = {("c", d * day): (1, 2.0, 1.0) for d in range(19723, 19728)}
+    assert got == want | {("c", 19723 * day): (2, 2.0, 1.0), ("d", None): (1, 1.0, 1.0)}
+    monkeypatch.setattr(Q.A, "trades", lambda s, d: t.limit(0))
+    assert Q.REGISTRY["stream_trades_daily"](spark, "").collect() == []
+
+
+def test_stream_trades_daily_adds_up_batches(spark):
+    from oddsline.streaming import ingest as ST
+
+    day = 86_400_000
+    schema = "timestamp long, size double, price double, conditionId string"
+    src, out, ckpt = (ST.scratch_path(spark, f"days-{x}") for x in ("src", "out", "ckpt"))
+    for days in ([19729, 19730], [19723, 19730]):  # the second run's first day is far behind the first run
+        spark.createDataFrame([(d * day, 1.0, 0.5, "c") for d in days], schema).coalesce(1).write.mode("append").parquet(src)
+        ST.run_to_completion(ST.trades_daily_all(spark.readStream.schema(schema).parquet(src), out, ckpt))
+    got = {r.day_ts // day: (r.trades, r.size_sum) for r in ST.read_trades_daily(spark, out).collect()}
+    assert got == {19723: (1, 1.0), 19729: (1, 1.0), 19730: (2, 2.0)}
