@@ -6,9 +6,10 @@ summed and divided by the number of nodes of that path: running text sits in
 paths with long, punctuated nodes, menus in paths with many short ones. The
 two ratios are smoothed over neighbouring blocks, weighted down by their share
 of link text, and multiplied. Paths above a threshold (a share of the best)
-are content; the content element is the deepest element that holds nearly all
-of their score, and its blocks are the article, but for those of link-heavy
-paths outside the selection.
+are content; the content element is the deepest element that holds all of their
+blocks (but for those that are mostly link text), or the ``article`` or
+``main`` around it, and its blocks are the article, but for link-heavy ones
+outside the selection.
 
 Elements that are no article by their meaning (scripts, styles, menus,
 headers and footers of the page, sidebars, forms, and elements whose class or
@@ -63,8 +64,7 @@ _NEVER_BOILERPLATE = {"html", "body", "article", "main"}
 _KEEPS_HEADER = {"article", "main", "section"}
 
 THRESHOLD = 0.1   # of the best path's score
-COVER = 0.85      # share of the selected score that the content element holds
-LINKS = 0.5       # a block outside the selection with more link text than this goes
+LINKS = 0.5       # a block with more link text than this does not widen the content, and outside the selection goes
 
 
 class _Element:
@@ -198,6 +198,16 @@ class _Reader:
             self.linked += len(data.strip())
 
 
+def _chain(element) -> list[_Element]:
+    """The root and the block-level elements down to the innermost one."""
+    chain = []
+    while element is not None:
+        if element.tag in BLOCK or element.parent is None:
+            chain.append(element)
+        element = element.parent
+    return chain[::-1]
+
+
 def _path(element) -> tuple[str, ...]:
     """Names from the root down to the innermost block-level element."""
     while element.tag not in BLOCK and element.parent is not None:
@@ -251,37 +261,32 @@ def main_text(html: str | None) -> str:
         total[p] = total.get(p, 0.0) + v * len(text)
     best = max(total.values())
     chosen = {p for p, t in total.items() if t >= THRESHOLD * best}
-    # The deepest element that holds nearly all of the selected blocks' score.
-    weight: dict[int, float] = {}
-    whole, depth = 0.0, {}
-    element = {}
-    for p, v, (e, text, _) in zip(paths, value, blocks, strict=True):
-        if p not in chosen:
-            continue
-        whole += v * len(text)
-        chain = []
-        while e is not None:
-            if e.tag in BLOCK or e.parent is None:
-                chain.append(e)
-            e = e.parent
-        for d, x in enumerate(reversed(chain)):
-            weight[x.number] = weight.get(x.number, 0.0) + v * len(text)
-            depth[x.number], element[x.number] = d, x
-    root = max((n for n, w in weight.items() if w >= COVER * whole), key=lambda n: depth[n], default=None)
-    if root is not None:
-        x = element[root]
-        while x.parent is not None and x.tag in _LEAVES:
-            x = x.parent
-        y = x  # an article or main around it is the better root
-        while y is not None:
-            if y.tag in _ROOTS:
-                x = y
-                break
-            y = y.parent
-        root = x.number
+    # The lowest common ancestor of the chosen blocks; link-heavy ones do not widen it.
+    common = None
+    for heavy in (False, True):  # all of them only if every one is link-heavy
+        for p, (e, text, linked) in zip(paths, blocks, strict=True):
+            if p in chosen and (heavy or linked <= LINKS * len(text)):
+                chain = _chain(e)
+                n = 0
+                for x, y in zip(common or chain, chain):
+                    if x is not y:
+                        break
+                    n += 1
+                common = chain[:n]
+        if common:
+            break
+    x = common[-1]
+    while x.parent is not None and x.tag in _LEAVES:
+        x = x.parent
+    y = x  # an article or main around it is the better root
+    while y is not None:
+        if y.tag in _ROOTS:
+            x = y
+            break
+        y = y.parent
     out = []
     for p, (e, text, linked) in zip(paths, blocks, strict=True):
-        if root is not None and not _inside(e, root):
+        if not _inside(e, x.number):
             continue
         if p not in chosen and linked > LINKS * len(text):
             continue

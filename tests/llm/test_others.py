@@ -157,6 +157,17 @@ def test_main_text():
     assert html_main.main_text(f"<article><p>{long}</p></article>") == long.strip()
 
 
+def test_main_text_split_over_siblings():
+    parts = ["".join(f"<p>Part {s}.{k}: some words, more words, and the end of it.</p>" for k in range(n)) for s, n in ((1, 18), (2, 2))]
+    lines = [f"Part {s}.{k}: some words, more words, and the end of it." for s, n in ((1, 18), (2, 2)) for k in range(n)]
+    links = '<ul><li><a href="/a">One link, two.</a></li><li><a href="/b">Another link, here.</a></li></ul>'
+    for tag in ("section", "div", "article"):
+        page = f"<body>{links}<div class=story><{tag}>{parts[0]}</{tag}><{tag}><h2>More</h2>{parts[1]}</{tag}></div>{links}</body>"
+        assert html_main.main_text(page).split("\n") == [*lines[:18], "More", *lines[18:]]
+    text = "One sentence, of the text. " * 90
+    assert html_main.main_text(f"<div class=story><section>{text}</section><section>{text[:270]}</section></div>") == f"{text.strip()}\n{text[:270].strip()}"
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<p>x</p>"), (2, "u", "<p>x</p>"), (None, "u", "é")], "page_id long, url string, html string") \
         .withColumns({"text": F.lit("old"), "n_chars": F.lit("old")})
