@@ -12,9 +12,13 @@ blocks (but for those that are mostly link text), or the ``article`` or
 outside the selection.
 
 Elements that are no article by their meaning (scripts, styles, menus,
-headers and footers of the page, sidebars, forms, and elements whose class or
-id says advert, notice, comments and the like) are left out while reading, and
-an ``article`` or ``main`` element counts for more.
+headers and footers of the page, sidebars, forms, and elements with a class or
+id whose whole name says advert, notice, comments and the like) are left out
+while reading, and an ``article`` or ``main`` element counts for more. A
+sidebar, form and so on is read like any other element if it holds most of the
+text in ``article`` and ``main`` elements, or most of all text (outside links)
+while no such element elsewhere has any (a form, or an element within an
+article, also while there is only little).
 
 White space inside a block becomes one space; blocks are joined by one line
 feed in page order. Nothing else is dropped or cut.
@@ -41,15 +45,21 @@ BLOCK = set("""address article aside blockquote body br center dd details dialog
  footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section
  summary table tbody td tfoot th thead tr ul""".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = set("""head title script style noscript template svg math canvas iframe object audio video nav aside footer
- header form button select textarea input dialog menu""".split())
+SKIPPED = set("""head title script style noscript template svg math canvas iframe object audio video button select
+ textarea input""".split())
+BESIDE = set("nav aside footer header form dialog menu".split())  # mostly no article, but they may wrap one
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 _BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|"
+    r"ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|"
     r"notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|sidebars?|widgets?|menus?|"
     r"nav(?:bar|igation)?|breadcrumbs?|pagination|pager|footer|header|masthead|toolbar|share|sharing|social|related|"
-    r"recommend(?:ed|ations)?|comments?|disqus|respond|replies|skip)(?:$|[\s_-])", re.I)
+    r"recommend(?:ed|ations)?|comments?|disqus|respond|replies|skip", re.I)
+# Words that say where or in what form, not what: "site-footer" is a footer, "has-sidebar" is no sidebar.
+_PLACES = re.compile(
+    r"site|page|main|global|top|bottom|left|right|primary|secondary|upper|lower|inner|outer|sticky|fixed|area|section|"
+    r"block|box|bar|container|wrapper|wrap|panel|slot|unit|list|items?|group|links?|buttons?|icons?|forms?|posts?|"
+    r"articles?|stories|to|\d+", re.I)
 _PUNCTUATION = ".,;:!?…。，、！？；："
 # A comment, a declaration, or a tag (quoted attribute values may hold ``>``).
 _MARKUP = re.compile(r"""<!--.*?(?:-->|--!>|\Z)|<[!?][^>]*(?:>|\Z)
@@ -64,21 +74,41 @@ _NEVER_BOILERPLATE = {"html", "body", "article", "main"}
 _KEEPS_HEADER = {"article", "main", "section"}
 
 THRESHOLD = 0.1   # of the best path's score
+MOST = 0.5        # share of the text by which an element wraps the article, whatever its name
+LESS = 0.25       # text of articles elsewhere that is little, as a share of a form's own
 LINKS = 0.5       # a block with more link text than this does not widen the content, and outside the selection goes
 
 
 class _Element:
-    __slots__ = ("tag", "name", "parent", "skip", "number")
+    """``beside``: the innermost element around it, or itself, that looks like no article;
+    ``article``: the outermost article or main around it, or itself; ``tally``: characters
+    of text outside links, and those of them in articles, of an element that is ``beside``."""
 
-    def __init__(self, tag, name, parent, skip, number):
+    __slots__ = ("tag", "name", "parent", "skip", "number", "beside", "article", "tally")
+
+    def __init__(self, tag, name, parent, skip, number, beside):
         self.tag, self.name, self.parent, self.skip, self.number = tag, name, parent, skip, number
+        self.beside = self if beside else parent and parent.beside
+        self.article = parent and parent.article or (self if tag in _ROOTS else None)
+        self.tally = [0, 0]
+
+
+def _is_boilerplate(name: str) -> bool:
+    """Whether a whole class, id or role name says so."""
+    words = [w for w in re.split("[_-]+", name) if w]
+    hits = sum(bool(_BOILERPLATE.fullmatch(w)) for w in words)
+    return hits > 0 and all(_BOILERPLATE.fullmatch(w) or _PLACES.fullmatch(w) for w in words)
 
 
 class _Reader:
-    """Blocks of a page: (element, text, link characters)."""
+    """Blocks of a page: (element, text, link characters). Text in elements that look like no
+    article is only counted, but for those whose numbers are in ``wrappers``."""
 
-    def __init__(self, page: str):
+    def __init__(self, page: str, wrappers: frozenset[int] = frozenset()):
         self.count = 0
+        self.wrappers = wrappers
+        self.total = [0, 0]
+        self.asides: list[_Element] = []
         self.at = None
         self.root = self.at = self._new("#", "#", False)
         self.links = 0  # open links around the current text
@@ -115,9 +145,28 @@ class _Reader:
             elif rest.endswith("/") and tag not in VOID and tag not in BLOCK:
                 self._end(tag)
 
-    def _new(self, tag, name, skip):
+    def _new(self, tag, name, skip, beside=False):
         self.count += 1
-        return _Element(tag, name, self.at, skip, self.count)
+        e = _Element(tag, name, self.at, skip, self.count, beside and self.count not in self.wrappers)
+        if e.beside is e:
+            self.asides.append(e)
+        return e
+
+    def found(self) -> frozenset[int]:
+        """The elements that look like no article but wrap it: they hold most of the text in
+        articles, or most of all text while no article elsewhere has any (for forms, and for
+        elements within an article: while it has little)."""
+        text, articles = self.total
+        wrappers = set()
+        for e in reversed(self.asides):  # inner ones first
+            if around := e.parent.beside:
+                around.tally[0] += e.tally[0]
+                around.tally[1] += e.tally[1]
+            own, elsewhere = e.tally[0], articles - e.tally[1]
+            little = LESS * own if e.article or e.tag == "form" else 0
+            if (e.article is None and e.tally[1] > MOST * articles) or (own > MOST * text and (elsewhere == 0 or elsewhere < little)):
+                wrappers.add(e.number)
+        return frozenset(wrappers)
 
     def _end_block(self):
         if self.text:
@@ -138,7 +187,8 @@ class _Reader:
                 e = e.parent
             if e.tag == "p" or (e.tag in HEADINGS and tag in HEADINGS) or (e.tag == tag and tag in _REPEATS):
                 self._leave(e)
-        skip = self.at.skip or (tag in SKIPPED and not (tag == "header" and self._within(_KEEPS_HEADER)))
+        skip = self.at.skip or tag in SKIPPED
+        beside = tag in BESIDE and not (tag == "header" and self._within(_KEEPS_HEADER))
         name = tag
         if rest and not skip and _TELLING.search(rest):
             marks = []
@@ -148,10 +198,10 @@ class _Reader:
                     marks.append(value)
                 skip = skip or key == "hidden" or (key == "aria-hidden" and value == "true")
             if marks and tag not in _NEVER_BOILERPLATE:
-                marks = " ".join(marks)
-                skip = skip or bool(_BOILERPLATE.search(marks))
-                name = ".".join([tag, *marks.split()[:2]])
-        self.at = self._new(tag, name, skip)
+                marks = " ".join(marks).split()
+                beside = beside or any(map(_is_boilerplate, marks))
+                name = ".".join([tag, *marks[:2]])
+        self.at = self._new(tag, name, skip, beside)
         if tag == "a":
             self.links += 1
 
@@ -191,6 +241,12 @@ class _Reader:
             return
         if "&" in data:
             data = html_entities.unescape(data)
+        if not self.links and (n := len(data.strip())):
+            for tally in (self.total, self.at.beside.tally) if self.at.beside else (self.total,):
+                tally[0] += n
+                tally[1] += n if self.at.article else 0
+        if self.at.beside:
+            return
         if not self.text:
             self.owner = self.at
         self.text.append(data)
@@ -252,7 +308,9 @@ def main_text(html: str | None) -> str:
     """The article's text of a page."""
     if not html:
         return ""
-    blocks = _Reader(html).blocks
+    page = _Reader(html)
+    wrappers = page.found()
+    blocks = (_Reader(html, wrappers) if wrappers else page).blocks
     if not blocks:
         return ""
     paths, value = scores(blocks)

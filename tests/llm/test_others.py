@@ -168,6 +168,25 @@ def test_main_text_split_over_siblings():
     assert html_main.main_text(f"<div class=story><section>{text}</section><section>{text[:270]}</section></div>") == f"{text.strip()}\n{text[:270].strip()}"
 
 
+def test_main_text_in_wrappers_that_look_like_boilerplate():
+    text = [f"Paragraph {k}, with some words in it, and its end." for k in range(9)]
+    body = "".join(f"<p>{t}</p>" for t in text)
+    want = "\n".join(text)
+    side = '<div class="sidebar"><p>Some words, here.</p></div><nav>One, two, three.</nav>'
+    for mark in ("content has-sidebar", "with-comments", "elementor-widget elementor-widget-text-editor", "no-header", "widget", "modal"):
+        assert html_main.main_text(f'<body><div class="{mark}">{body}</div>{side}</body>') == want
+        assert html_main.main_text(f'<article><h1>Title</h1><div class="{mark}">{body}{side}</div></article>') == f"Title\n{want}"
+    assert html_main.main_text(f"<form><div>{body}</div>{side}</form>") == want
+    assert html_main.main_text(f'<form class="overlay"><div id="widget">{body}{side}</div></form>{side}') == want
+    long = "".join(f"<p>Reply {k}, with many words in it, by a reader.</p>" for k in range(20))
+    for mark in ("comments", "comments-area", "site-footer", "related-posts"):  # an article beside it is the article
+        assert html_main.main_text(f'<article>{body}</article><div class="{mark}">{long}</div>') == want
+        assert html_main.main_text(f'<div class="{mark}"><p>Short, and beside.</p></div><div>{body}</div>') == want
+        assert html_main.main_text(f'<article><p>Tiny.</p></article><div class="{mark}">{long}</div><footer>{long * 3}</footer>') == "Tiny."
+    assert html_main.main_text(f'<form>{long}<article>{body}</article></form>').endswith(want)
+    assert want in html_main.main_text(f'<article><p>Teaser.</p></article><form>{body}</form>')
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<p>x</p>"), (2, "u", "<p>x</p>"), (None, "u", "é")], "page_id long, url string, html string") \
         .withColumns({"text": F.lit("old"), "n_chars": F.lit("old")})
