@@ -191,10 +191,17 @@ TRADE_FIELDS = {"id": "string", "market": "string", "asset_id": "string", "condi
                 "side": "string", "size": "double", "price": "double"}
 
 
+def _rest_json(item: Column, known: list[str]) -> Column:
+    """The fields of a variant object but for the known ones, as JSON (null if there are none)."""
+    rest = F.map_filter(F.try_variant_get(item, "$", "map<string,variant>"), lambda k, _: ~k.isin(known))
+    return F.when(F.size(rest) > 0, F.to_json(rest, {"ignoreNullFields": "false"}))
+
+
 def decode_trades(landing: DataFrame, strict_timestamp: bool = True) -> DataFrame:
     """(batch, page, payload) -> trade rows with (batch, page, pos).
 
-    A page is a bare array or ``{"data": [...]}``; non-object items are
+    Fields of an item without a column of their own are kept as JSON in
+    ``rest``. A page is a bare array or ``{"data": [...]}``; non-object items are
     skipped; any other payload yields nothing. The timestamp is cast to
     bigint strictly (a non-integer raises, and so does a page on which no
     trade has one) unless ``strict_timestamp`` is off.
@@ -218,7 +225,8 @@ def decode_trades(landing: DataFrame, strict_timestamp: bool = True) -> DataFram
             _present(tsv), F.variant_get(tsv, "$", "bigint"))
     else:
         ts = F.try_variant_get(tsv, "$", "bigint")
-    return items.select("batch", "page", "pos", *cols, ts.alias("timestamp"))
+    rest = _rest_json(F.col("it"), [*TRADE_FIELDS, "timestamp"])
+    return items.select("batch", "page", "pos", *cols, ts.alias("timestamp"), rest.alias("rest"))
 
 
 # ----------------------------------------------------------- B1-B3 markets

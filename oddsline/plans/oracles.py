@@ -240,6 +240,15 @@ FROM (SELECT CAST(floor(l_orderkey / 256) AS BIGINT) AS page,
              l_quantity AS size, nullif(l_tax, 0.0::DOUBLE) AS price, {_ms('l_shipdate')} AS "timestamp"
       FROM lineitem)""")
 
+oracle("decode_trades_rest", """
+SELECT CAST(floor(l_orderkey / 256) AS BIGINT) AS page,
+       CAST(row_number() OVER (PARTITION BY floor(l_orderkey / 256)
+            ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_tax, l_shipdate) - 1
+            AS INTEGER) AS pos,
+       l_orderkey || '-' || l_linenumber AS id,
+       '{"fee":{"bps":' || l_linenumber || '},"transactionHash":"0x' || l_orderkey || '"}' AS rest
+FROM lineitem""")
+
 MK = "TRY_CAST(substr(id, 2) AS BIGINT)"
 DECODED_MARKETS = f"""(SELECT id, question, description, market_slug, condition_id, token_ids,
        CASE WHEN {MK} % 11 = 0 THEN NULL ELSE outcomes END AS outcomes, active, closed, archived,

@@ -279,7 +279,12 @@ def q_decode_orderbook(spark, sf):
 
 @register("decode_trades")
 def q_decode_trades(spark, sf):
-    return rounded(B.decode_trades(A.trade_pages(spark, sf)))
+    return rounded(_trades_decoded(spark, sf))
+
+
+@register("decode_trades_rest")
+def q_decode_trades_rest(spark, sf):
+    return B.decode_trades(A.trade_pages(spark, sf)).select("page", "pos", "id", "rest")
 
 
 def _markets_decoded(spark, sf):
@@ -501,7 +506,8 @@ def q_id_batches(spark, sf):
 
 
 def _trades_decoded(spark, sf):
-    return B.decode_trades(A.trade_pages(spark, sf))
+    """The columns that the oracles of trades have; ``decode_trades_rest`` has the other fields."""
+    return B.decode_trades(A.trade_pages(spark, sf)).drop("rest")
 
 
 @register("row_budget")

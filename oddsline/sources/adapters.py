@@ -317,7 +317,10 @@ def trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit('","conditionId":"S'), F.pmod("l_suppkey", F.lit(5)).cast("string"),
             F.lit('","size":'), F.col("l_quantity").cast("string"),
             F.lit(',"price":'), F.coalesce(F.nullif(F.col("l_tax"), F.lit(0.0)).cast("string"), F.lit("null")),
-            F.lit(',"timestamp":'), epoch_ms("l_shipdate").cast("string"), F.lit("}")).alias("item"),
+            F.lit(',"timestamp":'), epoch_ms("l_shipdate").cast("string"),
+            # Fields without a column of their own.
+            F.lit(',"transactionHash":"0x'), F.col("l_orderkey").cast("string"),
+            F.lit('","fee":{"bps":'), F.col("l_linenumber").cast("string"), F.lit("}}")).alias("item"),
     )
     page = F.floor(F.col("l_orderkey") / TRADE_PAGE_ORDERS).cast("bigint")
     g = rows.groupBy(page.alias("page")).agg(

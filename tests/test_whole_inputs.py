@@ -1,4 +1,6 @@
 """Registered queries work on all of their input rows."""
+import json
+
 from helpers import market_row, markets_df
 from oddsline.operators import planning as D
 from oddsline.plans import queries as Q
@@ -57,3 +59,24 @@ def test_stream_trades_daily_adds_up_batches(spark):
         ST.run_to_completion(ST.trades_daily_all(spark.readStream.schema(schema).parquet(src), out, ckpt))
     got = {r.day_ts // day: (r.trades, r.size_sum) for r in ST.read_trades_daily(spark, out).collect()}
     assert got == {19723: (1, 1.0), 19729: (1, 1.0), 19730: (2, 2.0)}
+
+
+def test_trades_keep_all_their_fields(spark, tmp_path):
+    from oddsline.operators.decode import decode_trades
+    from oddsline.plans.fetch import FetchInputs, fetch_stage
+
+    items = [{"id": "a", "timestamp": 1, "size": 1, "price": 0.5, "conditionId": "c", "outcome": "Yes", "a.b": None,
+              "maker": {"fee": 0.25, "tags": ["x", 1]}},
+             {"id": "b", "timestamp": 2, "size": 1, "price": 0.5, "conditionId": "c"}]
+    pages = spark.createDataFrame([(0, 0, json.dumps(items[:1])), (0, 1, json.dumps({"data": items[1:]}))],
+                                  "batch long, page long, payload string")
+    want = {"a": {k: items[0][k] for k in ("outcome", "a.b", "maker")}, "b": None}
+
+    def rest(df):
+        return {r.id: r.rest and json.loads(r.rest) for r in df.collect()}
+
+    assert rest(decode_trades(pages)) == want
+    empty = spark.createDataFrame([], "page long, payload string")
+    res = fetch_stage(spark, FetchInputs(market_pages=empty, trade_pages=pages), f"{tmp_path}/run", start_ms=None, end_ms=None,
+                      fetch_ts="2024-02-01 00:00:00", now_iso="2024-02-01T00:00:00+00:00")
+    assert rest(spark.read.parquet(res.paths["trades"])) == want
