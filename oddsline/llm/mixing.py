@@ -10,9 +10,10 @@ successive shortest paths; only these aggregates reach the driver.
 Documents of a pattern are then chosen in a seeded order: everything is taken
 as often as the flow fills whole passes, and for the rest, documents are dealt
 into seeded buckets whose sizes are summed up; buckets before the boundary are
-taken whole, and the one bucket at the boundary is filled document by
-document. Two aggregations and one small grouped step, whatever the size of a
-source.
+taken whole, and the bucket at the boundary is filled document by document.
+What that bucket cannot place goes on to the next buckets in the same way,
+until it is below the smallest document left. Every step is an aggregation of
+the buckets' sums and one small grouped step, whatever the size of a source.
 
 Defined cases: null text has size 0; a null source is a source of its own,
 last in order; documents without any source are not taken; documents of size
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from oddsline.llm.common import WORD
+from oddsline.llm.common import WORD, written
 
 COPIES = 3          # no document is used more often
 BUCKET_ROWS = 256   # documents in a seeded bucket, about
@@ -130,7 +131,8 @@ def plan(sized: DataFrame, weight_cycle: tuple[int, ...] = (1, 2, 3), seed: int
     """What to take of every pattern. ``sized``: key, sources (array), size.
 
     Columns: sources, source_size, target (of the pattern's first source),
-    passes, buckets, boundary, rest."""
+    passes, buckets, and steps: buckets from ``first`` to before ``bucket`` are
+    taken whole, of ``bucket`` the documents that fit ``rest``."""
     spark = sized.sparkSession
     rows = sized.groupBy("sources").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()  # aggregates
     rows = sorted(rows, key=lambda r: [_order(s) for s in r["sources"] or []])
@@ -152,18 +154,67 @@ def plan(sized: DataFrame, weight_cycle: tuple[int, ...] = (1, 2, 3), seed: int
     schema = T.StructType([T.StructField("sources", T.ArrayType(T.StringType())), T.StructField("source_size", T.LongType()),
                            T.StructField("target", T.DoubleType()), T.StructField("passes", T.LongType()),
                            T.StructField("buckets", T.IntegerType()), T.StructField("rest", T.LongType())])
-    first = spark.createDataFrame(made, schema)
-    sums = _with(sized, first, len(made)).withColumn("bucket", _bucket(seed)).groupBy("sources", "bucket").agg(
-        F.sum("size").alias("size"), F.first("rest").alias("rest"))
-    upto = Window.partitionBy("sources").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (sums.withColumn("upto", F.sum("size").over(upto)).where("upto > rest").groupBy("sources")
-            .agg(F.min(F.struct("bucket", (F.col("rest") - F.col("upto") + F.col("size")).alias("left"))).alias("edge"))
-            .collect())  # one row per pattern
-    at = {tuple(e["sources"]): e["edge"] for e in edge}
-    done = [(*m[:5], int(at[tuple(m[0])]["bucket"]) if tuple(m[0]) in at else MAX_BUCKETS,
-             int(at[tuple(m[0])]["left"]) if tuple(m[0]) in at else 0) for m in made]
-    return spark.createDataFrame(done, T.StructType(
-        schema.fields[:5] + [T.StructField("boundary", T.IntegerType()), T.StructField("rest", T.LongType())]))
+    first = spark.createDataFrame([m[:5] for m in made], T.StructType(schema.fields[:5]))
+    sums = written(_with(sized, first.select("sources", "buckets"), len(made)).withColumn("bucket", _bucket(seed))
+                   .groupBy("sources", "bucket").agg(F.sum("size").alias("size"),
+                                                     F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least")), "buckets")
+    steps: dict = {tuple(m[0]): [] for m in made}
+    buckets = {tuple(m[0]): m[4] for m in made}
+    left = {tuple(m[0]): (0, m[5]) for m in made if m[5] > 0}  # of a pattern: the next bucket, words to place
+    while left:
+        edge = {}
+        for e in _edges(sums, left).collect():  # one row per pattern
+            of, at = tuple(e["sources"]), e["edge"]
+            steps[of].append((e["first"], at["bucket"] if at else MAX_BUCKETS, at["rest"] if at else 0))
+            if at and at["rest"] > 0:
+                edge[of] = (at["bucket"], at["rest"])
+        left = {of: (edge[of][0] + 1, n) for of, n in _unplaced(sized, edge, buckets, seed).items() if n > 0} if edge else {}
+    return spark.createDataFrame([(*m[:5], steps[tuple(m[0])]) for m in made], T.StructType(
+        [*schema.fields[:5], T.StructField("steps", T.ArrayType(T.StructType([
+            T.StructField("first", T.IntegerType()), T.StructField("bucket", T.IntegerType()), T.StructField("rest", T.LongType())])))]))
+
+
+def _edges(sums: DataFrame, left: dict) -> DataFrame:
+    """Per pattern: the first bucket with a document that fits, and the bucket at which the words to
+    place end with what is left for it (null: all buckets fit)."""
+    table = sums.sparkSession.createDataFrame([(list(p), a, n) for p, (a, n) in left.items()],
+                                              "sources array<string>, start int, words long")
+    rows = _with(sums, table, len(left)).where("bucket >= start")
+    of = Window.partitionBy("sources")
+    upto = of.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("first", F.min(F.when(F.col("least") <= F.col("words"), F.col("bucket"))).over(of)) \
+        .where("bucket >= first").withColumn("upto", F.sum("size").over(upto))
+    return rows.groupBy("sources").agg(F.min("first").alias("first"), F.min(F.when(F.col("upto") > F.col("words"), F.struct(
+        "bucket", (F.col("words") - F.col("upto") + F.col("size")).alias("rest")))).alias("edge"))
+
+
+def _unplaced(sized: DataFrame, edge: dict, buckets: dict, seed: int) -> dict:
+    """Words of every pattern that its bucket at the boundary cannot place."""
+    table = sized.sparkSession.createDataFrame([(list(p), buckets[p], a, n) for p, (a, n) in edge.items()],
+                                               "sources array<string>, buckets int, at int, rest long")
+    rows = _with(sized.select("key", "sources", "size"), table, len(edge)).where(_bucket(seed) == F.col("at")) \
+        .withColumn("order", _seeded(seed))
+
+    def rest(table: pa.Table) -> pa.Table:
+        return table.select(["sources"]).slice(0, 1).append_column("rest", pa.array([_fill(table)[1]], pa.int64()))
+
+    found = rows.groupBy("sources").applyInArrow(rest, "sources array<string>, rest long").collect()  # one row per pattern
+    return {tuple(r["sources"]): r["rest"] for r in found}
+
+
+def _fill(table: pa.Table) -> tuple[set[int], int]:
+    """The rows of a bucket that are placed, in seeded order, and the words that are not."""
+    order, key, size = (table.column(c).to_pylist() for c in ("order", "key", "size"))
+    placed, left = set(), table.column("rest")[0].as_py()
+    for i in sorted(range(len(order)), key=lambda i: (order[i], key[i] is not None, key[i] or 0)):
+        if 0 < size[i] <= left:
+            placed.add(i)
+            left -= size[i]
+    return placed, left
+
+
+def _seeded(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed + 1), "key", "size")
 
 
 def _bucket(seed: int) -> Column:
@@ -181,21 +232,19 @@ def mixed(sized: DataFrame, decided: DataFrame, seed: int = 11) -> DataFrame:
     source_size and target."""
     rows = _with(sized, decided, decided.count()).withColumn("bucket", _bucket(seed))
     keep = sized.columns + ["source_size", "target"]
-    whole = rows.where("bucket <> boundary").select(*keep, F.when(
-        F.col("bucket") < F.col("boundary"), F.least(F.col("passes") + 1, F.lit(COPIES))).otherwise(F.col("passes")).alias("copies"))
-    edge = rows.where("bucket = boundary").withColumn("order", F.xxhash64(F.lit(seed + 1), "key", "size"))
+    whole = F.exists("steps", lambda x: (F.col("bucket") >= x["first"]) & (F.col("bucket") < x["bucket"]))
+    rows = rows.withColumn("rest", F.get(F.filter("steps", lambda x: x["bucket"] == F.col("bucket")), 0)["rest"])
+    plain = rows.where("rest is null").select(*keep, F.when(
+        whole, F.least(F.col("passes") + 1, F.lit(COPIES))).otherwise(F.col("passes")).alias("copies"))
+    edge = rows.where("rest is not null").withColumn("order", _seeded(seed))
 
     def fill(table: pa.Table) -> pa.Table:
-        order, key, size = (table.column(c).to_pylist() for c in ("order", "key", "size"))
-        rows = sorted(range(len(order)), key=lambda i: (order[i], key[i] is not None, key[i] or 0))
-        left, copies = table.column("rest")[0].as_py(), table.column("passes").to_pylist()
-        for i in rows:
-            if 0 < size[i] <= left:
-                copies[i], left = copies[i] + 1, left - size[i]
-        return table.select(keep).append_column("copies", pa.array([min(c, COPIES) for c in copies], pa.int64()))
+        placed, copies = _fill(table)[0], table.column("passes").to_pylist()
+        made = [min(c + (i in placed), COPIES) for i, c in enumerate(copies)]
+        return table.select(keep).append_column("copies", pa.array(made, pa.int64()))
 
     schema = T.StructType(edge.select(*keep).schema.fields + [T.StructField("copies", T.LongType())])
-    return whole.unionByName(edge.groupBy("sources").applyInArrow(fill, schema))
+    return plain.unionByName(edge.groupBy("sources", "bucket").applyInArrow(fill, schema))
 
 
 def sized(docs: DataFrame, *columns: Column) -> DataFrame:

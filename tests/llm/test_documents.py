@@ -208,6 +208,23 @@ def test_mixing_nears_targets(spark):
     assert mixing.mixed(empty, mixing.plan(empty)).collect() == []
 
 
+def test_mixing_places_what_a_long_document_leaves(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 16)
+    # Source a has documents with a tenth of its words each, by many short ones.
+    rng = random.Random(0)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 30)), s) for s, k in (("a", 0), ("b", 10_000)) for i in range(k, k + 1500)]
+    words = sum(len(t.split()) for _, t, s in rows if s == "a")
+    rows += [(20_000 + k, " ".join(["w"] * (words // 5)), "a") for k in range(5)]
+    sized = mixing.sized(documents(spark, rows))
+    for at in range(5):  # long documents lie before, in or after the bucket at the boundary
+        got = mixing.mixed(sized, mixing.plan(sized, seed=at), seed=at).collect()
+        taken, goal = {}, {}
+        for r in got:
+            taken[r.sources[0]], goal[r.sources[0]] = taken.get(r.sources[0], 0) + r.size * r.copies, r.target
+        missed = {s: round(goal[s]) - taken[s] for s in goal}
+        assert len(got) == len(rows) and all(abs(n) <= 2 for n in missed.values()), (at, missed)
+
+
 # ------------------------------------------------------------------ 10
 
 def shingles(text, k=5):
