@@ -123,6 +123,11 @@ def window_ledger_merge(ledger: DataFrame, marks: DataFrame) -> DataFrame:
     return old.unionByName(new).groupBy(*LEDGER_KEY).agg(last.alias("_v")).select(*LEDGER_KEY, "_v.*")
 
 
+def ledger_completed_count(ledger: DataFrame) -> DataFrame:
+    """Number of completed windows in the ledger (one row)."""
+    return ledger.agg(F.count(F.lit(1)).alias("completed"))
+
+
 def chunk_of_points(points: DataFrame, jobs: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
     """Assign fetched points (token_id, t) to their chunk of the token's job.
 

@@ -414,6 +414,7 @@ FROM (SELECT *, 0 AS w FROM ledger
       SELECT token_id, chunk_start, chunk_end, {Q.FIDELITY}, '{Q.MARK_TIME}', row_count, 1
       FROM chunk_counts WHERE chunk_no % 2 = 0)
 GROUP BY token_id, start_ts, end_ts, fidelity""", "ledger", "chunk_counts")
+oracle("ledger_completed_count", "SELECT count(*) AS completed FROM ledger", "ledger")
 oracle("empty_run_cutoff", """
 SELECT token_id, chunk_no, chunk_start, chunk_end, row_count FROM (
   SELECT *, min(CASE WHEN row_count = 0 AND run >= 5 AND (created_at_ts IS NULL OR chunk_start >= created_at_ts)

@@ -490,6 +490,11 @@ def q_window_ledger_merge(spark, sf):
     return D.window_ledger_merge(_ledger(spark, sf), marks)
 
 
+@register("ledger_completed_count")
+def q_ledger_completed_count(spark, sf):
+    return D.ledger_completed_count(_ledger(spark, sf))
+
+
 @register("empty_run_cutoff")
 def q_empty_run_cutoff(spark, sf):
     # D5 and the fetched-row counts in one co-grouped pass by token, then D7

@@ -80,3 +80,10 @@ def test_trades_keep_all_their_fields(spark, tmp_path):
     res = fetch_stage(spark, FetchInputs(market_pages=empty, trade_pages=pages), f"{tmp_path}/run", start_ms=None, end_ms=None,
                       fetch_ts="2024-02-01 00:00:00", now_iso="2024-02-01T00:00:00+00:00")
     assert rest(spark.read.parquet(res.paths["trades"])) == want
+
+
+def test_ledger_completed_count(spark):
+    ledger = spark.createDataFrame([("a", k, k + 1, 60, "t", 0) for k in range(3)], "token_id string, start_ts bigint, "
+                                   "end_ts bigint, fidelity int, completed_at string, row_count bigint")
+    assert [tuple(r) for r in D.ledger_completed_count(ledger).collect()] == [(3,)]
+    assert [tuple(r) for r in D.ledger_completed_count(ledger.limit(0)).collect()] == [(0,)]
