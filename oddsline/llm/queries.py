@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddsline.llm import chat, forest, html_main, mixing, ngram_join, packing, rans, topk, toxicity, url_rules
+from oddsline.llm import (
+    bpe, chat, forest, html_main, merkle, mixing, ngram_join, packing, rans, topk, toxicity, url_rules, whitening,
+)
 from oddsline.llm.common import written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +70,18 @@ def op10(spark, sf_dir):
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11(spark, sf_dir):
+    return merkle.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12(spark, sf_dir):
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op13(spark, sf_dir):
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rp_forest_nearest": op1,
     "op2_url_rules": op2,
@@ -79,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_examples": op8,
     "op9_exact_topk": op9,
     "op10_ngram_join": op10,
+    "op11_merkle_manifest": op11,
+    "op12_bpe_round_trip": op12,
+    "op13_whitening": op13,
 }
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
@@ -120,5 +137,57 @@ component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_
 degree AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
 FROM sets JOIN component USING (doc_id) LEFT JOIN degree USING (doc_id)
+""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, n_chars, CAST(doc_id AS VARCHAR) AS i, text AS t, source AS s,
+         CAST(n_chars AS VARCHAR) AS n, CAST(CAST(n_chars AS HUGEINT) + 1 AS VARCHAR) AS raised FROM documents),
+parts AS (
+  SELECT doc_id, lang, n, raised,
+         CASE WHEN i IS NULL THEN '-' ELSE strlen(i) || ':' || i END || CASE WHEN s IS NULL THEN '-' ELSE strlen(s) || ':' || s END ||
+         CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS a,
+         CASE WHEN t IS NULL THEN '-' ELSE strlen(t) || ':' || t END AS z,
+         -- crc32 of the decimal id, bit by bit
+         xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(range(1, strlen(i) + 1),
+             lambda k: list_transform(range(0, 8), lambda b: CAST((ascii(substr(i, CAST(k AS INTEGER), 1)) >> CAST(b AS INTEGER)) & 1 AS BIGINT))))),
+             lambda c, b: xor(c >> 1, CAST(xor(c & 1, b) AS BIGINT) * 3988292384))) AS crc FROM fields),
+leaves AS (
+  SELECT doc_id, lang, sha256(a || CASE WHEN n IS NULL THEN '-' ELSE strlen(n) || ':' || n END || z) AS leaf,
+         CASE WHEN crc % 7 = 0 AND n IS NOT NULL THEN sha256(a || strlen(raised) || ':' || raised || z) END AS changed FROM parts),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at,
+                  count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes AS (
+  SELECT lang, 0 AS level, at, leaf AS digest, n FROM placed
+  UNION ALL
+  SELECT lang, level + 1, at // 2, sha256(string_agg(digest, '' ORDER BY at)), any_value((n + 1) // 2) FROM nodes WHERE n > 1
+  GROUP BY lang, level, at // 2),
+subroots AS (SELECT lang, level AS high, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree_at,
+                    count(*) OVER () AS trees FROM nodes WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, tree_at AS at, subroot AS digest, trees AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, at // 2, sha256(string_agg(digest, '' ORDER BY at)), any_value((n + 1) // 2) FROM upper WHERE n > 1
+  GROUP BY level, at // 2),
+root AS (SELECT digest AS root, level AS high FROM upper WHERE n = 1),
+path AS (  -- of every leaf: its levels up to the root, and its sibling at each
+  SELECT p.lang, p.at, k AS step, (p.at >> k) & 1 AS side, s.digest AS sibling
+  FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang CROSS JOIN range(0, 64) AS g(k)
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = k AND s.at = xor(p.at >> k, 1) WHERE k < r.high
+  UNION ALL
+  SELECT p.lang, p.at, r.high + k, (r.tree_at >> k) & 1, s.digest
+  FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang CROSS JOIN root t CROSS JOIN range(0, 64) AS g(k)
+  LEFT JOIN upper s ON s.level = k AND s.at = xor(r.tree_at >> k, 1) WHERE k < t.high),
+folding AS (
+  SELECT lang, at, 0 AS step, coalesce(changed, leaf) AS digest FROM placed
+  UNION ALL
+  SELECT f.lang, f.at, f.step + 1, sha256(CASE WHEN p.sibling IS NULL THEN f.digest WHEN p.side = 1 THEN p.sibling || f.digest
+                                               ELSE f.digest || p.sibling END)
+  FROM folding f JOIN path p ON p.lang IS NOT DISTINCT FROM f.lang AND p.at = f.at AND p.step = f.step),
+folded AS (SELECT lang, at, arg_max(digest, step) AS folded_root FROM folding GROUP BY lang, at),
+proofs AS (SELECT lang, at, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM path GROUP BY lang, at)
+SELECT p.doc_id, p.leaf, r.subroot, t.root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, f.folded_root, f.folded_root = t.root AS verified
+FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang CROSS JOIN root t
+JOIN folded f ON f.lang IS NOT DISTINCT FROM p.lang AND f.at = p.at
+LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.at = p.at
 """,
 }
