@@ -154,40 +154,40 @@ parts AS (
 leaves AS (
   SELECT doc_id, lang, sha256(a || CASE WHEN n IS NULL THEN '-' ELSE strlen(n) || ':' || n END || z) AS leaf,
          CASE WHEN crc % 7 = 0 AND n IS NOT NULL THEN sha256(a || strlen(raised) || ':' || raised || z) END AS changed FROM parts),
-placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at,
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
                   count(*) OVER (PARTITION BY lang) AS n FROM leaves),
 nodes AS (
-  SELECT lang, 0 AS level, at, leaf AS digest, n FROM placed
+  SELECT lang, 0 AS level, pos, leaf AS digest, n FROM placed
   UNION ALL
-  SELECT lang, level + 1, at // 2, sha256(string_agg(digest, '' ORDER BY at)), any_value((n + 1) // 2) FROM nodes WHERE n > 1
-  GROUP BY lang, level, at // 2),
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 1) // 2) FROM nodes WHERE n > 1
+  GROUP BY lang, level, pos // 2),
 subroots AS (SELECT lang, level AS high, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree_at,
                     count(*) OVER () AS trees FROM nodes WHERE n = 1),
 upper AS (
-  SELECT 0 AS level, tree_at AS at, subroot AS digest, trees AS n FROM subroots
+  SELECT 0 AS level, tree_at AS pos, subroot AS digest, trees AS n FROM subroots
   UNION ALL
-  SELECT level + 1, at // 2, sha256(string_agg(digest, '' ORDER BY at)), any_value((n + 1) // 2) FROM upper WHERE n > 1
-  GROUP BY level, at // 2),
+  SELECT level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 1) // 2) FROM upper WHERE n > 1
+  GROUP BY level, pos // 2),
 root AS (SELECT digest AS root, level AS high FROM upper WHERE n = 1),
 path AS (  -- of every leaf: its levels up to the root, and its sibling at each
-  SELECT p.lang, p.at, k AS step, (p.at >> k) & 1 AS side, s.digest AS sibling
+  SELECT p.lang, p.pos, k AS step, (p.pos >> k) & 1 AS side, s.digest AS sibling
   FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang CROSS JOIN range(0, 64) AS g(k)
-  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = k AND s.at = xor(p.at >> k, 1) WHERE k < r.high
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = k AND s.pos = xor(p.pos >> k, 1) WHERE k < r.high
   UNION ALL
-  SELECT p.lang, p.at, r.high + k, (r.tree_at >> k) & 1, s.digest
+  SELECT p.lang, p.pos, r.high + k, (r.tree_at >> k) & 1, s.digest
   FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang CROSS JOIN root t CROSS JOIN range(0, 64) AS g(k)
-  LEFT JOIN upper s ON s.level = k AND s.at = xor(r.tree_at >> k, 1) WHERE k < t.high),
+  LEFT JOIN upper s ON s.level = k AND s.pos = xor(r.tree_at >> k, 1) WHERE k < t.high),
 folding AS (
-  SELECT lang, at, 0 AS step, coalesce(changed, leaf) AS digest FROM placed
+  SELECT lang, pos, 0 AS step, coalesce(changed, leaf) AS digest FROM placed
   UNION ALL
-  SELECT f.lang, f.at, f.step + 1, sha256(CASE WHEN p.sibling IS NULL THEN f.digest WHEN p.side = 1 THEN p.sibling || f.digest
+  SELECT f.lang, f.pos, f.step + 1, sha256(CASE WHEN p.sibling IS NULL THEN f.digest WHEN p.side = 1 THEN p.sibling || f.digest
                                                ELSE f.digest || p.sibling END)
-  FROM folding f JOIN path p ON p.lang IS NOT DISTINCT FROM f.lang AND p.at = f.at AND p.step = f.step),
-folded AS (SELECT lang, at, arg_max(digest, step) AS folded_root FROM folding GROUP BY lang, at),
-proofs AS (SELECT lang, at, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM path GROUP BY lang, at)
+  FROM folding f JOIN path p ON p.lang IS NOT DISTINCT FROM f.lang AND p.pos = f.pos AND p.step = f.step),
+folded AS (SELECT lang, pos, arg_max(digest, step) AS folded_root FROM folding GROUP BY lang, pos),
+proofs AS (SELECT lang, pos, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM path GROUP BY lang, pos)
 SELECT p.doc_id, p.leaf, r.subroot, t.root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, f.folded_root, f.folded_root = t.root AS verified
 FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang CROSS JOIN root t
-JOIN folded f ON f.lang IS NOT DISTINCT FROM p.lang AND f.at = p.at
-LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.at = p.at
+JOIN folded f ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos
+LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.pos = p.pos
 """,
 }
