@@ -21,7 +21,7 @@ the very same subset in its partner.
 * Candidates are tied into clusters (a star per probed signature, then
   connected components), never listed pair by pair. Every cluster is cut into
   blocks of bounded size; each pair of blocks is compared exactly by counting
-  common elements, and yields link counts and a spanning forest of links.
+  common elements, and yields link counts and stars that name the components of its links.
 
 Sets are compared once per distinct set: copies share a 64-bit fingerprint,
 meet in a partial aggregation and add to the link counts of others only as a
@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from oddsline.llm.common import mix, shingle_set, tidy, written
-from oddsline.llm.components import components
+from oddsline.llm.components import CONTRACTED, components, stars
 
 SHINGLE = 5
 SLACK = 1.25                 # segments per needed segment
@@ -250,15 +250,7 @@ def _compare(recs, sets, copies, block, one_block: bool):
     rank[order] = np.repeat(np.arange(len(start)), length)
     by_value = owner[order]
     begin = np.cumsum(sizes) - sizes
-    parent = list(range(len(sets)))
-
-    def find(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    links, forest = np.zeros(len(sets), np.int64), []
+    links, ties, held = np.zeros(len(sets), np.int64), [], 0
     for a in range(len(sets)):
         r = rank[begin[a] : begin[a] + sizes[a]]
         r = r[length[r] > 1]
@@ -273,12 +265,15 @@ def _compare(recs, sets, copies, block, one_block: bool):
             hit &= block != block[a]
         b = np.flatnonzero(hit)
         links[a] = copies[b].sum()
-        for x in b[b > a].tolist():
-            u, v = find(a), find(x)
-            if u != v:
-                parent[u] = v
-                forest.append((recs[a], recs[x]))
+        b = b[b > a]
+        if len(b):
+            ties.append((np.full(len(b), a), b))
+            held += len(b)
+        if held > CONTRACTED:
+            ties = [stars(*map(np.concatenate, zip(*ties, strict=True)))]
+            held = 0
     has = np.flatnonzero(links)
+    forest = list(zip(*(recs[x] for x in stars(*map(np.concatenate, zip(*ties, strict=True)))), strict=True)) if ties else []
     return ([int(recs[i]) for i in has] + [int(u) for u, _ in forest],
             [None] * len(has) + [int(v) for _, v in forest],
             [int(links[i]) for i in has] + [0] * len(forest))
@@ -334,8 +329,8 @@ def candidate_clusters(docs: DataFrame, shingles: int) -> DataFrame:
     found = written(found, "signatures")
     dearest = Window.partitionBy("rec", "band").orderBy(F.col("cost").desc(), "sig")
     probed = found.withColumn("probe", F.row_number().over(dearest) > F.col("slack"))
-    stars = probed.groupBy("sig").agg(F.min("rec").alias("hub"), F.max("probe").alias("any")).where("any").select("sig", "hub")
-    return components(found.select("sig", "rec").join(stars, "sig").select(F.col("rec").alias("a"), F.col("hub").alias("b")))
+    hubs = probed.groupBy("sig").agg(F.min("rec").alias("hub"), F.max("probe").alias("any")).where("any").select("sig", "hub")
+    return components(found.select("sig", "rec").join(hubs, "sig").select(F.col("rec").alias("a"), F.col("hub").alias("b")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -362,9 +357,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     names = named.groupBy("root").agg(F.min("rep").alias("component"))
     members = named.select(F.col("node").alias("rec"), "root").join(names, "root").select("rec", "component")
     degree = links.where("partner is null").groupBy("rec").agg(F.sum("links").alias("links"))
-    answer = (classes.join(members, "rec", "left").join(degree, "rec", "left")
-              .select("rec", F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("component")).alias("component"),
-                      (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")))
-    return rows.join(answer, "rec", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("rec").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    answer = written(classes.join(members, "rec", "left").join(degree, "rec", "left").select(
+        "rec", F.coalesce("component", "rep").alias("component"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("links")), "answer")
+    # Copies of one set share a key, and its rows may be split: both sides are read from the shared folder.
+    full = rows.where("rec is not null").join(answer, "rec").select(
+        "doc_id", "n_shingles", F.col("component").alias("component_id"), F.col("links").alias("n_links"))
+    return full.union(rows.where("rec is null").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oddsline.llm.common import lowered, running, segments, span_hashes, spans, tidy
+from oddsline.llm.common import give_back, lowered, running, segments, span_hashes, spans, tidy
 
 SAMPLE = 6_000    # labelled documents read for training
 MINED = 150       # words taken from training labels, at most
@@ -270,7 +270,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             .distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample))
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .join(F.broadcast(some), "doc_id").orderBy("doc_id", "toxic", "text").toPandas())  # at most ``sample`` documents
-    return train(rows["text"].tolist(), rows["toxic"].to_numpy())
+    model = train(rows["text"].tolist(), rows["toxic"].to_numpy())
+    del rows
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, whole: bool = False) -> DataFrame:
