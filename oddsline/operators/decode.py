@@ -12,7 +12,7 @@ reason instead of being logged and lost.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oddsline.functions.timecols import MAX_VALID_TIMESTAMP_MS, MIN_VALID_TIMESTAMP_MS, SECONDS_LIMIT
@@ -158,6 +158,28 @@ def _levels(arr: Column) -> Column:
     return F.filter(parsed, lambda s: s.isNotNull() & s["price"].isNotNull() & s["size"].isNotNull())
 
 
+COPY_SALTS = 64  # equal payloads are numbered in so many groups
+
+
+def with_book_id(landing: DataFrame) -> DataFrame:
+    """``_book``: the SHA-256 of (token_id, payload) and an ordinal among equal rows.
+
+    Equal rows are interchangeable, so any numbering of them gives the same
+    table. They are numbered within salted groups, each after the groups
+    before it, so that a payload that landed very often isn't one task's.
+    """
+    text = F.concat_ws("\n", F.coalesce("token_id", F.lit("")), F.coalesce("payload", F.lit("")))
+    rows = landing.withColumn("_hash", F.sha2(text.cast("binary"), 256)) \
+        .withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(COPY_SALTS)))
+    groups = rows.groupBy("_hash", "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_hash").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    first = groups.select("_hash", "_salt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
+    rank = F.row_number().over(Window.partitionBy("_hash", "_salt").orderBy(F.lit(0))) - 1
+    return (rows.withColumn("_rank", rank).join(first, ["_hash", "_salt"])
+            .withColumn("_book", F.concat("_hash", F.lit("-"), F.col("_first") + F.col("_rank")))
+            .drop("_hash", "_salt", "_first", "_rank"))
+
+
 def decode_orderbook(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(token_id, payload) -> books (token_id, timestamp, bids, asks).
 
@@ -165,12 +187,12 @@ def decode_orderbook(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
     dropped; bids are sorted by price descending and asks ascending, stably.
     A payload without a ``bids`` or ``asks`` list is rejected; a missing or
     bad timestamp becomes 0. Every payload is a book of its own: ``book_id``
-    tells books with the same token and timestamp apart.
+    tells books with the same token and timestamp apart, and is the same
+    however the landing table is partitioned (``with_book_id``).
     """
     from oddsline.operators.book import ladder_sort
 
-    base = landing.select("*", F.try_parse_json("payload").alias("_v"),
-                          F.monotonically_increasing_id().alias("_book"))
+    base = with_book_id(landing).withColumn("_v", F.try_parse_json("payload"))
     bids = F.try_variant_get(F.col("_v"), "$.bids", "array<variant>")
     asks = F.try_variant_get(F.col("_v"), "$.asks", "array<variant>")
     ok = bids.isNotNull() & asks.isNotNull()

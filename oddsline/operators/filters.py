@@ -8,6 +8,7 @@ which row is "previous"), and the jump thresholds above it.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -47,23 +48,15 @@ class FilterConfig:
             raise ValueError("resolved_only and unresolved_only are mutually exclusive")
 
     def needs_jumps(self) -> bool:
-        return self.compute_jumps or any(v is not None for v in (
-            self.min_jump_pct, self.max_jump_pct, self.min_jump_abs, self.max_jump_abs))
+        return self.compute_jumps or any(getattr(self, r.option) is not None for r in RULES if r.on == "jump")
 
 
 # ------------------------------------------------------------------ G1-G5
 
-def date_range_predicates(start_date: str | None, end_date: str | None) -> list[tuple[Column, str]]:
-    out = []
-    if start_date is not None:
-        out.append((F.col("t") >= F.lit(date_start_ms(start_date)), f"start_date>={start_date}"))
-    if end_date is not None:
-        out.append((F.col("t") <= F.lit(date_start_ms(end_date) + MS_PER_DAY - 1), f"end_date<={end_date}"))
-    return out
-
-
-def age_cutoff_text(as_of: str, days: int) -> str:
+def age_cutoff_text(as_of: str | None, days: int) -> str:
     """Midnight of ``as_of`` minus ``days``, as ``YYYY-MM-DDTHH:MM:SS`` text."""
+    if as_of is None:
+        raise ValueError("age filters need an explicit as_of date")
     d = _dt.date.fromisoformat(as_of) - _dt.timedelta(days=days)
     return f"{d.isoformat()}T00:00:00"
 
@@ -71,57 +64,74 @@ def age_cutoff_text(as_of: str, days: int) -> str:
 DAY_PARTITION = "day"  # yyyy-MM-dd UTC partition column of day-partitioned price tables
 
 
-def build_predicates(columns, cfg: FilterConfig, max_literal: int | None = MAX_LITERAL) -> list[tuple[Column | None, str]]:
-    """The configured predicates whose column exists, with their labels.
-
-    On a table partitioned by UTC ``day`` the date range is also applied to
-    the partition column, so whole day directories are pruned before any
-    file is opened (the ``t`` predicates keep the exact millisecond bounds).
-    An id list of more than ``max_literal`` ids has a label but no predicate:
+@dataclass(frozen=True)
+class Rule:
+    """One option of a FilterConfig: it compares ``column`` with a bound worked out
+    from the option's value, and is left out where the column is absent."""
+    option: str
+    column: str
+    compare: str
+    label: str | None                       # text of the report; None: no entry of its own
+    bound: Callable = lambda value, cfg: value
+    on: str = "filter"                      # "filter" (below the jump window) or "jump" (above it)
+
+
+COMPARE = {
+    "at least": lambda c, bound: c >= F.lit(bound),
+    "at most": lambda c, bound: c <= F.lit(bound),
+    "is": lambda c, bound: c == F.lit(bound),
+    "in": lambda c, bound: c.isin(list(bound)),
+    "not in": lambda c, bound: ~c.isin(list(bound)),
+    "size at least": lambda c, bound: F.abs(c) >= F.lit(bound),
+    "size at most": lambda c, bound: F.abs(c) <= F.lit(bound),
+}
+
+# The option names, and the texts that the report shows for them.
+RULES = [
+    Rule("start_date", "t", "at least", "{option}>={value}", lambda v, _: date_start_ms(v)),
+    Rule("end_date", "t", "at most", "{option}<={value}", lambda v, _: date_start_ms(v) + MS_PER_DAY - 1),
+    # On a day-partitioned table the dates prune whole folders; ``t`` keeps the exact bounds.
+    Rule("start_date", DAY_PARTITION, "at least", None),
+    Rule("end_date", DAY_PARTITION, "at most", None),
+    Rule("resolved_only", "resolved", "is", "{option}"),
+    Rule("unresolved_only", "resolved", "is", "{option}", lambda _, __: False),
+    # created_at is compared as text.
+    Rule("min_age_days", "created_at", "at most", "{option}>={value}", lambda v, cfg: age_cutoff_text(cfg.as_of, v)),
+    Rule("max_age_days", "created_at", "at least", "{option}<={value}", lambda v, cfg: age_cutoff_text(cfg.as_of, v)),
+    Rule("categories", "category", "in", "{option}={value}"),
+    Rule("exclude_categories", "category", "not in", "{option}={value}"),
+    Rule("market_ids", "market_id", "in", "{option}={count} ids"),
+    Rule("exclude_market_ids", "market_id", "not in", "{option}={count} ids"),
+    Rule("min_jump_pct", "jump_pct", "size at least", "{option}>={value}", on="jump"),
+    Rule("max_jump_pct", "jump_pct", "size at most", "{option}<={value}", on="jump"),
+    Rule("min_jump_abs", "jump_abs", "size at least", "{option}>={value}", on="jump"),
+    Rule("max_jump_abs", "jump_abs", "size at most", "{option}<={value}", on="jump"),
+]
+
+
+def predicates(columns, cfg: FilterConfig, on: str, max_literal: int | None = MAX_LITERAL) -> list[tuple[Column | None, str | None]]:
+    """The set options' (predicate, label) in the order of RULES.
+
+    A list of more than ``max_literal`` ids has a label but no predicate:
     ``apply_filters`` joins it.
     """
-    def ids(values) -> Column | None:
-        return F.col("market_id").isin(list(values)) if max_literal is None or len(values) <= max_literal else None
-
-    cols = set(columns)
-    out: list[tuple[Column, str]] = []
-    if "t" in cols:
-        out += date_range_predicates(cfg.start_date, cfg.end_date)
-        if DAY_PARTITION in cols:
-            if cfg.start_date is not None:
-                out.append((F.col(DAY_PARTITION) >= F.lit(cfg.start_date), None))
-            if cfg.end_date is not None:
-                out.append((F.col(DAY_PARTITION) <= F.lit(cfg.end_date), None))
-    if cfg.resolved_only and "resolved" in cols:
-        out.append((F.col("resolved") == F.lit(True), "resolved_only"))
-    if cfg.unresolved_only and "resolved" in cols:
-        out.append((F.col("resolved") == F.lit(False), "unresolved_only"))
-    if (cfg.min_age_days is not None or cfg.max_age_days is not None) and "created_at" in cols:
-        if cfg.as_of is None:
-            raise ValueError("age filters need an explicit as_of date")
-        # Text comparison on purpose: created_at is compared as a string.
-        if cfg.min_age_days is not None:
-            out.append((F.col("created_at") <= F.lit(age_cutoff_text(cfg.as_of, cfg.min_age_days)),
-                        f"min_age_days>={cfg.min_age_days}"))
-        if cfg.max_age_days is not None:
-            out.append((F.col("created_at") >= F.lit(age_cutoff_text(cfg.as_of, cfg.max_age_days)),
-                        f"max_age_days<={cfg.max_age_days}"))
-    if cfg.categories and "category" in cols:
-        out.append((F.col("category").isin(list(cfg.categories)), f"categories={list(cfg.categories)}"))
-    if cfg.exclude_categories and "category" in cols:
-        out.append((~F.col("category").isin(list(cfg.exclude_categories)),
-                    f"exclude_categories={list(cfg.exclude_categories)}"))
-    if cfg.market_ids and "market_id" in cols:
-        out.append((ids(cfg.market_ids), f"market_ids={len(cfg.market_ids)} ids"))
-    if cfg.exclude_market_ids and "market_id" in cols:
-        listed = ids(cfg.exclude_market_ids)
-        out.append((None if listed is None else ~listed, f"exclude_market_ids={len(cfg.exclude_market_ids)} ids"))
-    return out
+    def one(rule: Rule) -> tuple[Column | None, str | None]:
+        value = getattr(cfg, rule.option)
+        listed = isinstance(value, (list, tuple))
+        label = rule.label and rule.label.format(option=rule.option, value=list(value) if listed else value,
+                                                 count=len(value) if listed else 1)
+        long = listed and rule.column == "market_id" and max_literal is not None and len(value) > max_literal
+        return (None if long else COMPARE[rule.compare](F.col(rule.column), rule.bound(value, cfg))), label
+
+    def is_set(value) -> bool:
+        return value is not None and value is not False and value != []
+
+    return [one(r) for r in RULES if r.on == on and r.column in set(columns) and is_set(getattr(cfg, r.option))]
 
 
 def apply_filters(df: DataFrame, cfg: FilterConfig) -> tuple[DataFrame, list[str]]:
     """AND of the applicable predicates (G6); none -> the input unchanged."""
-    preds = build_predicates(df.columns, cfg)
+    preds = predicates(df.columns, cfg, "filter")
     if not preds:
         return df, []
     shown = [p for p, label in preds if p is not None]
@@ -224,19 +234,6 @@ def compute_jumps(df: DataFrame, tie_break: str | None = None,
             .drop("_b", "_prev", "_first", "_carry"))
 
 
-def jump_predicates(cfg: FilterConfig) -> list[tuple[Column, str]]:
-    out = []
-    if cfg.min_jump_pct is not None:
-        out.append((F.abs("jump_pct") >= F.lit(cfg.min_jump_pct), f"min_jump_pct>={cfg.min_jump_pct}"))
-    if cfg.max_jump_pct is not None:
-        out.append((F.abs("jump_pct") <= F.lit(cfg.max_jump_pct), f"max_jump_pct<={cfg.max_jump_pct}"))
-    if cfg.min_jump_abs is not None:
-        out.append((F.abs("jump_abs") >= F.lit(cfg.min_jump_abs), f"min_jump_abs>={cfg.min_jump_abs}"))
-    if cfg.max_jump_abs is not None:
-        out.append((F.abs("jump_abs") <= F.lit(cfg.max_jump_abs), f"max_jump_abs<={cfg.max_jump_abs}"))
-    return out
-
-
 def filter_jumps(df: DataFrame, cfg: FilterConfig, tie_break: str | None = None) -> tuple[DataFrame, list[str]]:
     """Jump computation (when any jump option is set) and thresholds.
 
@@ -246,7 +243,7 @@ def filter_jumps(df: DataFrame, cfg: FilterConfig, tie_break: str | None = None)
     if not cfg.needs_jumps():
         return df, []
     out = compute_jumps(df, tie_break)
-    preds = jump_predicates(cfg)
+    preds = predicates(JUMP_COLUMNS, cfg, "jump")
     if preds:
         out = out.filter(reduce(lambda a, b: a & b, [p for p, _ in preds]))
     if not cfg.compute_jumps:
@@ -288,7 +285,7 @@ def filter_report_frame(df: DataFrame, cfg: FilterConfig, tie_break: str | None
     Rows are tagged as kept or not instead of being filtered, so input and
     output counts come from the same scan.
     """
-    preds = build_predicates(df.columns, cfg, max_literal=None)
+    preds = predicates(df.columns, cfg, "filter", max_literal=None)
     keep = reduce(lambda a, b: a & b, [p for p, _ in preds]) if preds else F.lit(True)
     labels = [lbl for _, lbl in preds if lbl]
     tagged = df.withColumn("_keep", F.coalesce(keep, F.lit(False)))
@@ -296,7 +293,7 @@ def filter_report_frame(df: DataFrame, cfg: FilterConfig, tie_break: str | None
         # The jump window sees only kept rows; dropped rows rejoin by a union
         # so that one aggregate yields both counts.
         kept = compute_jumps(tagged.filter("_keep").drop("_keep"), tie_break)
-        jpreds = jump_predicates(cfg)
+        jpreds = predicates(JUMP_COLUMNS, cfg, "jump")
         labels += [lbl for _, lbl in jpreds]
         jcond = reduce(lambda a, b: a & b, [p for p, _ in jpreds]) if jpreds else F.lit(True)
         tagged = kept.select(F.coalesce(jcond, F.lit(False)).alias("_keep")).unionByName(

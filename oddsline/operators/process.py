@@ -2,19 +2,23 @@
 trade aggregates (F1-F10).
 
 Scale notes
-* The token map has one row per (market, token). It is joined to prices
-  with ``broadcast_if_small``: broadcast only when its size, measured by an
-  aggregate, is under the configured bound; otherwise a shuffle join that
-  AQE may still turn into a broadcast or split for skew.
+* The token map has one row per (market, token). How it is joined to prices
+  is left to the planner and AQE.
 * Daily means are a partial aggregate on (token_id, day_ts): a hot token is
   combined map-side before the exchange. The returns window then runs on
   daily rows, whose count per token is bounded by the number of days.
-* The panel pivots daily means on a token list whose length is checked
-  before it is fetched; wider panels must use the long form.
+* The panel's columns are token numbers, not names: tokens are numbered on the
+  cluster and cut into blocks of PANEL_BLOCK columns, one aggregate makes the
+  rows of all blocks, and a table beside the panel tells which token a (block,
+  column) is. The plan does not grow with the tokens; a block becomes a table
+  with names as columns when it is asked for, and only its names reach the
+  driver.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,40 +142,85 @@ def returns_from_daily(daily: DataFrame, markets: DataFrame | None = None) -> Da
 
 # --------------------------------------------------------------------- F8, F9
 
-PANEL_BLOCK = 5000  # token columns of one wide table
+PANEL_BLOCK = 5000  # token columns of one block
+
 
+@dataclass
+class Panel:
+    """Daily means as blocks of columns.
 
-def panel_tokens(daily: DataFrame) -> list:
-    """Sorted distinct tokens of the panel: its column names."""
-    return [r[0] for r in daily.select("token_id").distinct().orderBy(F.col("token_id").asc_nulls_first()).collect()]
+    ``rows``: block, day_ts and the day's prices in that block as two arrays,
+    ``cols`` (ascending) and ``prices``; a day without a price in a block has no
+    row there. ``columns``: token_id, block, col of every token, in token order.
+    """
+    rows: DataFrame
+    columns: DataFrame
+    block: int
 
+    def cells(self) -> DataFrame:
+        """The long form: token_id, day_ts, price."""
+        cell = F.explode(F.arrays_zip("cols", "prices")).alias("x")
+        long = self.rows.select("block", "day_ts", cell).select(
+            "block", "day_ts", F.col("x.cols").alias("col"), F.col("x.prices").alias("price"))
+        return long.join(self.columns, ["block", "col"]).select("token_id", "day_ts", "price")
 
-def price_panel(prices: DataFrame, tokens: list | None = None) -> DataFrame:
-    """Wide table: one row per day, one column per token of daily means."""
-    return pivot_daily(daily_mean_price(prices, value_name="price"), tokens)
+    def names(self, block: int) -> list:
+        """The token names of one block, at most ``self.block`` of them."""
+        return [r[0] for r in self.columns.where(F.col("block") == block).orderBy("col").select("token_id").collect()]
+
+    def wide(self, block: int = 0) -> DataFrame:
+        """One block as a table: a row per day, a column per token, named by it."""
+        part = Panel(self.rows.where(F.col("block") == block), self.columns.where(F.col("block") == block), self.block)
+        return pivot_daily(part.cells(), self.names(block))
+
+
+def number_tokens(daily: DataFrame, block: int = PANEL_BLOCK) -> DataFrame:
+    """(token_id, block, col): the panel's tokens in name order, null first,
+    numbered over a range-sorted table (one total per partition on the driver)."""
+    from oddsline.operators.planning import prefix_offsets
 
+    numbered = prefix_offsets(daily.select("token_id").distinct(), ["token_id"], out_col="_no")
+    return numbered.select("token_id", F.floor(F.col("_no") / block).cast("int").alias("block"),
+                           (F.col("_no") % block).cast("int").alias("col"))
 
-def pivot_daily(daily: DataFrame, tokens: list | None = None) -> DataFrame:
+
+def build_panel(daily: DataFrame, block: int = PANEL_BLOCK) -> Panel:
+    """The panel of a table of daily means; ``daily`` is read twice (for its
+    tokens and for its cells), so give one that is cheap to read again. Null
+    means are no cells, but their tokens are columns."""
     value = "price" if "price" in daily.columns else "price_day"
-    return daily.groupBy("day_ts").pivot("token_id", panel_tokens(daily) if tokens is None else tokens).agg(F.first(value))
+    columns = number_tokens(daily, block)
+    names = columns.withColumnRenamed("token_id", "_token")
+    cells = daily.where(F.col(value).isNotNull()).join(names, F.col("token_id").eqNullSafe(F.col("_token")))
+    row = F.sort_array(F.collect_list(F.struct("col", F.col(value).alias("price"))))
+    rows = cells.groupBy("block", "day_ts").agg(row.alias("_row"))
+    return Panel(rows.select("block", "day_ts", F.col("_row.col").alias("cols"), F.col("_row.price").alias("prices")),
+                 columns, block)
 
 
-def panel_blocks(daily: DataFrame, block: int = PANEL_BLOCK) -> list[DataFrame]:
-    """The panel in column blocks of at most ``block`` tokens, in token order.
+def price_panel(prices: DataFrame, tokens: list | None = None) -> DataFrame:
+    """Wide table: one row per day, one column per token of daily means. Without
+    a token list the prices may have at most PANEL_BLOCK tokens."""
+    daily = daily_mean_price(prices, value_name="price")
+    if tokens is not None:
+        return pivot_daily(daily, tokens)
+    found = [r[0] for r in daily.select("token_id").distinct().limit(PANEL_BLOCK + 1).collect()]
+    if len(found) > PANEL_BLOCK:
+        raise ValueError(f"more than {PANEL_BLOCK} tokens do not fit one table; use build_panel")
+    return pivot_daily(daily, sorted(found, key=lambda t: (t is not None, t)))
+
+
+def pivot_daily(daily: DataFrame, tokens: list) -> DataFrame:
+    value = "price" if "price" in daily.columns else "price_day"
+    return daily.groupBy("day_ts").pivot("token_id", tokens).agg(F.first(value))
 
-    A block is a range of token names, so only its rows are pivoted; every
-    block has the days on which one of its tokens has a price.
-    """
-    tokens = panel_tokens(daily)
-    out = []
-    for at in range(0, len(tokens), block):
-        part = tokens[at : at + block]
-        named = [t for t in part if t is not None]
-        keep = F.col("token_id").between(named[0], named[-1]) if named else F.lit(False)
-        if len(named) < len(part):
-            keep = keep | F.col("token_id").isNull()
-        out.append(pivot_daily(daily.filter(keep), part).sortWithinPartitions("day_ts"))
-    return out
+
+def panel_blocks(daily: DataFrame, block: int = PANEL_BLOCK) -> list[DataFrame]:
+    """The blocks of the panel as tables with token names as columns, in token
+    order: for callers that want every block wide. It plans one pivot a block."""
+    panel = build_panel(daily, block)
+    last = panel.columns.agg(F.max("block")).first()[0]
+    return [panel.wide(k) for k in range(0 if last is None else last + 1)]
 
 
 def panel_dims(daily: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from oddsline.operators import book as E
 from oddsline.operators import decode as B
 from oddsline.operators import lifecycle as C
 from oddsline.operators import planning as D
-from oddsline.plans.stores import VersionedTable
+from oddsline.plans.stores import VersionedTable, merge_ledger, merge_markets
 from oddsline.schemas import LEDGER, MARKETS
 from oddsline.sources.files import stage_counts, with_provenance
 
@@ -99,15 +99,14 @@ def fetch_stage(spark: SparkSession, inputs: FetchInputs, run_dir: str, *, start
         if start_ms is not None and end_ms is not None:
             win = C.exclude_known_resolved(C.closed_in_window(window, start_ms, end_ms), stored)
             api = api.unionByName(win.withColumn("seq", F.col("pos") + F.lit(10**12) + 1))
-        merged = C.market_snapshot_merge(stored, api.drop("pos"), now_iso)
-        store.write(merged.drop("version_seq"), version)
+        merge_markets(store, api.drop("pos"), now_iso, version)
     markets = with_provenance(selected.select(*[f.name for f in MARKETS.fields]), "markets-api", "/markets",
                               fetch_ts)
     res.paths["markets"] = _write(markets, f"{out}/markets.parquet")
 
     # -- prices: jobs -> chunks -> pending -> landed points of kept chunks
     if inputs.price_payloads is not None and start_ms is not None and end_ms is not None:
-        jobs, _ = D.token_jobs(markets, start_ms, end_ms)
+        jobs = decoded("token_jobs", D.token_jobs(markets, start_ms, end_ms))
         chunks = D.chunk_windows(jobs)
         led = ledger.current() if ledger is not None else spark.createDataFrame([], LEDGER)
         points = decoded("price_payloads", B.decode_price_history(inputs.price_payloads))
@@ -128,7 +127,7 @@ def fetch_stage(spark: SparkSession, inputs: FetchInputs, run_dir: str, *, start
             marks = kept.join(arrived, ["token_id", "chunk_start"], "left_semi").select("token_id", F.col("chunk_start").alias("start_ts"), F.col("chunk_end").alias("end_ts"),
                                 F.lit(fidelity).alias("fidelity"), F.lit(now_iso).alias("completed_at"),
                                 F.col("row_count").cast("bigint"))
-            ledger.write(D.window_ledger_merge(led, marks), version)
+            merge_ledger(ledger, marks, version)
 
     # -- order books: levels and spreads
     if inputs.book_payloads is not None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from oddsline.plans import queries as Q
 from oddsline.plans.present import r, sql_kind
-from oddsline.sources.oracle_views import day, with_views
+from oddsline.sources.oracle_views import add_view, day, with_views
 
 ORACLES: dict[str, str] = {}
 
@@ -137,9 +137,19 @@ FROM (SELECT (SELECT count(*) FROM {JOINED}) AS n_in,
 
 BOOK_TS = """CASE WHEN token_id = 'T7' THEN 0 ELSE "timestamp" END"""
 
+# A book's id: the SHA-256 of its token and its landed payload, and its number among equal payloads.
+_side = """coalesce(string_agg('{{"price":"' || price || '","size":"' || size || '"}}', ',' ORDER BY level_seq)
+                   FILTER (WHERE side = '{0}'), '')"""
+add_view("book_ids", f"""
+SELECT token_id, "timestamp", h || '-' || (row_number() OVER (PARTITION BY h ORDER BY "timestamp") - 1) AS book_id
+FROM (SELECT token_id, "timestamp", sha256(token_id || chr(10) || '{{"market":"x","bids":[' || {_side.format('bid')} ||
+             '],"asks":[' || {_side.format('ask')} || '],"timestamp":' ||
+             CASE WHEN token_id = 'T7' THEN '"soon"' ELSE '"' || "timestamp" || '"' END || '}}') AS h
+      FROM book_levels GROUP BY token_id, "timestamp")""", "book_levels")
+
 oracle("book_levels", f"""
-SELECT token_id, {BOOK_TS} AS "timestamp", side, round(price, 6) AS price, round(size, 6) AS size
-FROM book_levels""", "book_levels")
+SELECT token_id, {BOOK_TS} AS "timestamp", book_id, side, round(price, 6) AS price, round(size, 6) AS size
+FROM book_levels JOIN book_ids USING (token_id, "timestamp")""", "book_levels", "book_ids")
 
 oracle("book_ladder", """
 SELECT token_id, "timestamp", side, round(price, 6) AS price, round(size, 6) AS size, level_seq,
@@ -159,9 +169,7 @@ SELECT token_id, "timestamp", {r('bid', 'bid')}, {r('ask', 'ask')}, {r('(bid + a
 oracle("spread_snapshot", f"""
 SELECT token_id, {r('bid', 'bid')}, {r('ask', 'ask')}, {r('(bid + ask) / 2', 'mid')}, {r('ask - bid', 'spread')},
        {BOOK_TS} AS "timestamp" FROM {QUOTES}""", "book_levels")
-oracle("spread_snapshot_levels", f"""
-SELECT token_id, {r('bid', 'bid')}, {r('ask', 'ask')}, {r('(bid + ask) / 2', 'mid')}, {r('ask - bid', 'spread')},
-       "timestamp" FROM {QUOTES}""", "book_levels")
+ORACLES["spread_snapshot_levels"] = ORACLES["spread_snapshot"]
 
 DEPTH = f"""(SELECT l.token_id, l."timestamp",
        coalesce(sum(CASE WHEN l.side = 'bid' AND l.price >= (q.bid + q.ask) / 2 - {Q.DEPTH_DISTANCE}
@@ -172,8 +180,9 @@ FROM book_levels l JOIN {QUOTES} q ON l.token_id = q.token_id AND l."timestamp"
 GROUP BY l.token_id, l."timestamp")"""
 
 oracle("depth_at_distance", f"""
-SELECT token_id, "timestamp", {r('depth_bid', 'depth_bid')}, {r('depth_ask', 'depth_ask')},
-       {r('depth_bid + depth_ask', 'depth_both')} FROM {DEPTH}""", "book_levels")
+SELECT token_id, {BOOK_TS} AS "timestamp", book_id, {r('depth_bid', 'depth_bid')}, {r('depth_ask', 'depth_ask')},
+       {r('depth_bid + depth_ask', 'depth_both')} FROM {DEPTH} JOIN book_ids USING (token_id, "timestamp")""",
+       "book_levels", "book_ids")
 oracle("depth_from_books", f"""
 SELECT token_id, {BOOK_TS} AS "timestamp", {r('depth_bid', 'depth_bid')}, {r('depth_ask', 'depth_ask')},
        {r('depth_bid + depth_ask', 'depth_both')} FROM {DEPTH}""", "book_levels")
@@ -279,8 +288,6 @@ FROM {DECODED_MARKETS}""", "markets")
 
 # ------------------------------------------------------------------ C
 
-from oddsline.sources.oracle_views import add_view  # noqa: E402
-
 W_START, W_END = Q.WINDOW_START_MS, Q.WINDOW_END_MS
 MCOLS = ("id, question, description, market_slug, condition_id, array_to_string(token_ids, ',') AS token_ids, "
          "array_to_string(outcomes, ',') AS outcomes, active, closed, archived, created_at, end_date, resolved, "
@@ -292,9 +299,8 @@ def iso(col: str) -> str:
 
 
 add_view("mpos", f"SELECT *, {MK} AS pos FROM markets", "markets")
-add_view("store_m", f"""
-SELECT * REPLACE (CAST(coalesce(resolved, false) AS INTEGER) AS resolved) FROM mpos
-WHERE created_at < '{Q.STORE_BEFORE}'""", "mpos")
+add_view("store_m", """
+SELECT * REPLACE (CAST(coalesce(resolved, false) AS INTEGER) AS resolved) FROM mpos""", "mpos")
 add_view("closed_feed", "SELECT * REPLACE (question || ' (window feed)' AS question) FROM mpos", "mpos")
 add_view("feed_active", f"""
 SELECT *, 0 AS rnk, 'active' AS source FROM mpos
@@ -403,16 +409,18 @@ WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.token_id = c.token_id AND l.sta
                   AND l.end_ts = c.chunk_end AND l.fidelity = {Q.FIDELITY})""", "chunk_counts", "ledger")
 
 oracle("chunk_windows", "SELECT * FROM chunks", "chunks")
+# A chunk is one number: the token's times a bound on chunk numbers, plus its own.
 oracle("pending_windows", f"""
-SELECT c.*, {Q.FIDELITY} AS fidelity FROM chunks c
-WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.token_id = c.token_id AND l.start_ts = c.chunk_start
-                  AND l.end_ts = c.chunk_end AND l.fidelity = {Q.FIDELITY})""", "chunks", "ledger")
+SELECT token_id, chunk_start, chunk_end, {Q.FIDELITY} AS fidelity, market_id, created_at_ts, chunk_no
+FROM (SELECT *, CAST(substr(token_id, 2) AS BIGINT) * 1000000 + chunk_no AS k FROM chunks)
+ANTI JOIN (SELECT CAST(substr(token_id, 2) AS BIGINT) * 1000000 + chunk_no AS k FROM chunks
+           WHERE (CAST(substr(token_id, 2) AS BIGINT) + chunk_no) % 3 = 0 AND chunk_no % 7 <> 0) USING (k)""", "chunks")
 oracle("window_ledger_merge", f"""
 SELECT token_id, start_ts, end_ts, fidelity, arg_max(completed_at, w) AS completed_at, arg_max(row_count, w) AS row_count
 FROM (SELECT *, 0 AS w FROM ledger
       UNION ALL
       SELECT token_id, chunk_start, chunk_end, {Q.FIDELITY}, '{Q.MARK_TIME}', row_count, 1
-      FROM chunk_counts WHERE chunk_no % 2 = 0)
+      FROM chunk_counts)
 GROUP BY token_id, start_ts, end_ts, fidelity""", "ledger", "chunk_counts")
 oracle("ledger_completed_count", "SELECT count(*) AS completed FROM ledger", "ledger")
 oracle("empty_run_cutoff", """
@@ -483,12 +491,10 @@ SELECT token_id, t, round(p, 6) AS p, chunk_start, pos, 'clob' AS _source_api, '
 FROM {PTS_DECODED}""")
 oracle("stream_dedupe_prices", f"SELECT DISTINCT token_id, t FROM {PTS_DECODED}")
 oracle("stream_trades_daily", f"""
-SELECT * FROM (
 SELECT "conditionId", {day('"timestamp"')} AS day_ts, count(*) AS trades,
        {r('coalesce(sum(size), 0.0::DOUBLE)', 'size_sum')},
        {r('coalesce(sum(size * price), 0.0::DOUBLE)', 'notional_sum')}
-FROM trades GROUP BY 1, 2)
-WHERE day_ts + 86400000 <= (SELECT max("timestamp") FROM trades) - 86400000""", "trades")
+FROM trades GROUP BY 1, 2""", "trades")
 
 oracle("scan_runs", f"SELECT token_id, t, {r('p', 'p')}, 'run' || (ascii(right(token_id, 1)) % 3) AS run FROM prices", "prices")
 oracle("compact_parts", f"SELECT token_id, t, {r('p', 'p')} FROM prices", "prices")

@@ -8,7 +8,6 @@ result compares with its oracle SQL (``oracles.py``).
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from oddsline.operators import filters as G
 from oddsline.operators import process as P
 from oddsline.plans.present import round6, rounded
+from oddsline.session import reliable_checkpoint
 from oddsline.sources import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,10 +88,9 @@ def q_daily_returns_enriched(spark, sf):
 @register("price_panel")
 def q_price_panel(spark, sf):
     # The panel's columns follow the data, so it is compared cell by cell: the
-    # wide blocks unpivoted again. Values are rounded before the pivot.
+    # wide blocks in long form again. Values are rounded before the pivot.
     daily = rounded(P.daily_mean_price(A.prices(spark, sf), value_name="price"))
-    cells = [b.unpivot("day_ts", b.columns[1:], "token_id", "price") for b in P.panel_blocks(daily)]
-    return reduce(DataFrame.unionByName, cells).where("price is not null")
+    return P.build_panel(reliable_checkpoint(daily)).cells()
 
 
 @register("panel_dims")
@@ -215,12 +214,13 @@ def q_spread_snapshot(spark, sf):
 
 @register("spread_snapshot_levels")
 def q_spread_snapshot_levels(spark, sf):
-    return rounded(E.spread_snapshot(A.book_levels(spark, sf)))
+    # Decoded books: several of a token have timestamp 0.
+    return rounded(E.spread_snapshot(E.flatten_books(_books(spark, sf))))
 
 
 @register("depth_at_distance")
 def q_depth_at_distance(spark, sf):
-    return rounded(E.depth_at_distance(A.book_levels(spark, sf), DEPTH_DISTANCE))
+    return rounded(E.depth_at_distance(E.flatten_books(_books(spark, sf)), DEPTH_DISTANCE))
 
 
 @register("depth_from_books")
@@ -319,7 +319,6 @@ def q_normalize_outcomes(spark, sf):
 from oddsline.operators import lifecycle as C  # noqa: E402
 
 WINDOW_START_MS, WINDOW_END_MS = 1704844800000, 1708387200000  # 2024-01-10, 2024-02-20 UTC
-STORE_BEFORE = "2024-01-01T00:00:00Z"    # read by oracles.py only
 NOW_ISO = "2026-01-01T00:00:00+00:00"
 
 

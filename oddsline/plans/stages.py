@@ -22,7 +22,9 @@ from oddsline.operators import planning as D
 from oddsline.operators import process as P
 from oddsline.schemas import LEDGER
 from oddsline.session import reliable_checkpoint
-from oddsline.sources.files import write_with_manifest
+from oddsline.sources.files import (
+    commit_file, committed_rows, compact_parts, part_paths, promote_run_tables, write_versioned, write_with_manifest,
+)
 
 log = logging.getLogger("oddsline.stages")
 
@@ -31,6 +33,7 @@ log = logging.getLogger("oddsline.stages")
 class ProcessResult:
     paths: dict[str, str] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
+    panel: dict[str, str] = field(default_factory=dict)  # paths of the panel's blocks and columns
 
 
 def _nonempty(df: DataFrame) -> bool:
@@ -50,10 +53,10 @@ def process_stage(spark: SparkSession, out_dir: str, manifest_path: str, prices:
     and trades_daily_agg are written even when empty. With
     ``partition_by_day`` the joined prices are written partitioned by UTC
     ``day`` (yyyy-MM-dd), so date-range filters prune whole directories.
-    ``steps`` names the outputs to build. A panel of more than
-    ``P.PANEL_BLOCK`` tokens goes into several files (``price_panel``, then
-    ``price_panel_block0001`` ...); a panel that fails is logged and leaves
-    the other outputs alone.
+    ``steps`` names the outputs to build. The panel is written in blocks of
+    ``P.PANEL_BLOCK`` token columns with the table of their names beside it
+    (``read_panel`` reads both), and as one wide table where one block holds all
+    tokens; a panel that fails is logged and leaves the other outputs alone.
     """
     unknown = set(steps) - set(STEPS)
     if unknown:
@@ -100,10 +103,28 @@ def process_stage(spark: SparkSession, out_dir: str, manifest_path: str, prices:
 
 
 def _write_panel(daily: DataFrame, out: str, manifest_path: str, res: ProcessResult) -> None:
-    for k, panel in enumerate(P.panel_blocks(daily)):
-        name = f"price_panel_block{k:04d}" if k else "price_panel"
-        res.paths[name], res.counts[name] = write_with_manifest(panel, name, f"{out}/{name}.parquet", manifest_path)
-        res.counts["panel_tokens"] = res.counts.get("panel_tokens", 0) + len(panel.columns) - 1
+    """The panel's blocks in one job, partitioned by block, and the table of its
+    columns' names; a panel of one block also as one table with those names."""
+    panel = P.build_panel(daily)
+    spark = daily.sparkSession
+    res.panel["columns"] = write_versioned(panel.columns, f"{out}/price_panel_columns.parquet")
+    tokens = committed_rows(spark, res.panel["columns"])
+    if tokens <= P.PANEL_BLOCK:
+        res.panel["blocks"] = write_versioned(panel.rows, f"{out}/price_panel_blocks.parquet", ["block"])
+        wide = read_panel(spark, res).wide().sortWithinPartitions("day_ts")
+        res.paths["price_panel"], _ = write_with_manifest(wide, "price_panel", f"{out}/price_panel.parquet", manifest_path)
+    else:
+        rows = panel.rows.sortWithinPartitions("block", "day_ts")
+        res.paths["price_panel"], _ = write_with_manifest(
+            rows, "price_panel", f"{out}/price_panel_blocks.parquet", manifest_path, partition_by=["block"])
+        res.panel["blocks"] = res.paths["price_panel"]
+    dims = P.panel_dims(daily).first()
+    res.counts["price_panel"], res.counts["panel_tokens"] = dims["panel_days"], tokens
+
+
+def read_panel(spark: SparkSession, res: ProcessResult) -> P.Panel:
+    """The panel that a process stage wrote."""
+    return P.Panel(spark.read.parquet(res.panel["blocks"]), spark.read.parquet(res.panel["columns"]), P.PANEL_BLOCK)
 
 
 def filter_stage(df: DataFrame, cfg: G.FilterConfig, output_path: str) -> dict:

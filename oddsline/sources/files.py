@@ -8,8 +8,10 @@ reads data on the driver: listings and schema footers only.
 from __future__ import annotations
 
 import datetime as _dt
+import itertools
 import logging
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +22,7 @@ from oddsline.schemas import MANIFEST, REQUIRED_COLUMNS
 
 log = logging.getLogger("oddsline.sources")
 
-MAX_VERSIONS = 999_999
-_VERSION_RE = re.compile(r"^(?P<stem>.*)_(?P<n>\d{3})$")
+_VERSION_RE = re.compile(r"^(?P<stem>.*)_(?P<n>\d{3,})$")
 
 
 # ------------------------------------------------------------ Hadoop FS helpers
@@ -51,6 +52,12 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(p))
 
 
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this program made and nothing names."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 # ------------------------------------------------------------ A1 scan
 
 def scan_parquet(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame | None:
@@ -122,28 +129,101 @@ def scan_run_table(spark: SparkSession, cfg: RunInput, name: str, schema=None,
     return df
 
 
+# ------------------------------------------------------------ exclusive creation
+
+def commit_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text``, whole or not at all; False if it exists.
+
+    Of several writers exactly one succeeds. The text is written under another
+    name first. It then gets its name by a hard link on a local disk and by a
+    rename elsewhere, both of which fail where the name is taken; stores whose
+    rename would replace a file create it conditionally instead.
+    """
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    fs.mkdirs(p.getParent())
+    real = fs.resolvePath(p.getParent())  # what a mounted path leads to
+    fs = real.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    target, scheme = jvm.org.apache.hadoop.fs.Path(real, p.getName()), fs.getUri().getScheme()
+
+    def put(to) -> None:
+        out = fs.create(to, False)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+    def taken(e: Exception) -> bool:
+        if fs.exists(target):
+            return True
+        raise e
+
+    if scheme not in ("file", "hdfs"):
+        try:
+            put(target)
+            return True
+        except Exception as e:  # noqa: BLE001 -- py4j wraps what the store throws
+            return not taken(e)
+    draft = jvm.org.apache.hadoop.fs.Path(real, f".{p.getName()}.{uuid.uuid4().hex}")
+    put(draft)
+    try:
+        if scheme == "hdfs":
+            return bool(fs.rename(draft, target))
+        local = jvm.java.nio.file.Paths
+        jvm.java.nio.file.Files.createLink(local.get(target.toUri()), local.get(draft.toUri()))
+        return True
+    except Exception as e:  # noqa: BLE001
+        return not taken(e)
+    finally:
+        fs.delete(draft, False)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file (a commit, a claim)."""
+    fs, p = _fs(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(source.readAllBytes()).decode("utf-8")
+    finally:
+        source.close()
+
+
 # ------------------------------------------------------------ A4 versioned sink
 
 def unique_path(spark: SparkSession, path: str) -> str:
-    """``x`` if free, else ``x_001``, ``x_002`` ... (an existing ``_NNN`` suffix is
-    stripped first); error when all are taken."""
-    if not path_exists(spark, path):
-        return path
-    base, ext = (path[:-8], ".parquet") if path.endswith(".parquet") else (path, "")
+    """``x`` if free, else the first free of ``x_001``, ``x_002`` ... (an existing
+    ``_NNN`` suffix is stripped first). One listing of the folder finds it."""
+    return next(_free_paths(spark, path))
+
+
+def _free_paths(spark: SparkSession, path: str):
+    folder, _, name = path.rstrip("/").rpartition("/")
+    folder = folder or "."
+    used = {p.rstrip("/").rsplit("/", 1)[1] for p in list_dir(spark, folder)}
+    if name not in used:
+        yield f"{folder}/{name}"
+    base, ext = (name[:-8], ".parquet") if name.endswith(".parquet") else (name, "")
     m = _VERSION_RE.match(base)
     stem = m.group("stem") if m else base
-    for n in range(1, MAX_VERSIONS + 1):
-        cand = f"{stem}_{n:03d}{ext}"
-        if not path_exists(spark, cand):
-            return cand
-    raise FileExistsError(f"no free version of {path} (tried {MAX_VERSIONS})")
+    for n in itertools.count(1):
+        if (other := f"{stem}_{n:03d}{ext}") not in used:
+            yield f"{folder}/{other}"
+
+
+def claim_path(spark: SparkSession, path: str) -> str:
+    """The first free version of ``path``, claimed for this writer: a racing
+    writer gets the next one. A claim whose writer fails leaves a gap."""
+    for target in _free_paths(spark, path):
+        folder, name = target.rsplit("/", 1)
+        if commit_file(spark, f"{folder}/_claims/{name}", ""):
+            return target
 
 
 def write_versioned(df: DataFrame, path: str, partition_by: list[str] | None = None,
                     max_records_per_file: int | None = None) -> str:
     """Write to the next free version of ``path``; never overwrites."""
     spark = df.sparkSession
-    target = unique_path(spark, path)
+    target = claim_path(spark, path)
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
