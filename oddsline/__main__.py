@@ -1,14 +1,19 @@
-"""Command line: ``python -m oddsline <fetch|process|filter> ...`` (or spark-submit).
+"""Command line: ``python -m oddsline <fetch|consolidate|process|filter> ...`` (or spark-submit).
 
 The three stages with their options as flags; the session comes from the
 environment (``spark-submit`` settings) or a local one.
 
   fetch    --landing DIR --run-dir DIR [--start YYYY-MM-DD --end YYYY-MM-DD]
-           (no bounds: the month up to now)
+           [--minutes N | --hours N | --days N | --weeks N | --months N | --years N]
+           (a look-back from --end, or from now; without any bound one month)
            [--store DIR] [--ledger DIR] [--version N] [--max-trades N] [--since-ms N]
            landing DIR holds Parquet tables market_pages, window_pages,
            price_payloads, book_payloads, trade_pages (any may be absent)
-  process  --run-dir DIR | --scan-root DIR   --out DIR --manifest DIR [--partition-by-day]
+  consolidate  --run-dir DIR [--out DIR]   part files into tables, then the rest of the run
+  process  --run-dir DIR | --scan-root DIR | --directory DIR | --prices FILE ...
+           [--markets FILE ...] [--trades FILE ...]
+           --out DIR --manifest DIR [--partition-by-day]
+           (--directory sorts its files by their columns; given files come first)
   filter   --input PATH --output PATH [--start-date D] [--end-date D] [--resolved-only |
            --unresolved-only] [--min-age-days N] [--max-age-days N] [--as-of D]
            [--category C ...] [--exclude-category C ...] [--market-id M ...]
@@ -57,11 +62,14 @@ def cmd_fetch(a) -> dict:
         raise SystemExit("landing has no market_pages table")
     now = _dt.datetime.now(_dt.timezone.utc)
     start_ms, end_ms = _ms(a.start), _ms(a.end)
-    if start_ms is None and end_ms is None:  # default window: one calendar month back from now
+    units = {u: n for u in LOOKBACK_UNITS if (n := getattr(a, u)) is not None}
+    if units and start_ms is not None:
+        raise SystemExit("give --start or a look-back, not both")
+    if start_ms is None and (units or end_ms is None):  # without any bound: one calendar month back
         from oddsline.functions.timecols import lookback_start_ms
 
-        end_ms = int(now.timestamp() * 1000)
-        start_ms = spark.range(1).select(lookback_start_ms(end_ms, months=1).alias("s")).first()["s"]
+        end_ms = int(now.timestamp() * 1000) if end_ms is None else end_ms
+        start_ms = spark.range(1).select(lookback_start_ms(end_ms, **(units or {"months": 1})).alias("s")).first()["s"]
     res = FX.fetch_stage(
         spark, inputs, a.run_dir, start_ms=start_ms, end_ms=end_ms,
         fetch_ts=now.strftime("%Y-%m-%d %H:%M:%S"), now_iso=now.isoformat(),
@@ -76,14 +84,27 @@ def cmd_process(a) -> dict:
     from oddsline.sources import files as S
 
     spark = _session()
-    cfg = (S.RunInput(mode="run_dir", run_dir=a.run_dir) if a.run_dir
-           else S.RunInput(mode="scan", root=a.scan_root))
+    if a.directory or a.prices:
+        files = {"prices": a.prices, "markets": a.markets, "trades": a.trades}
+        if a.directory:
+            found = S.discover_files(spark, a.directory)
+            files = {k: given or found[k] for k, given in files.items()}
+        cfg = S.RunInput(mode="files", files=files)
+    else:
+        cfg = (S.RunInput(mode="run_dir", run_dir=a.run_dir) if a.run_dir
+               else S.RunInput(mode="scan", root=a.scan_root))
     res = stages.process_stage(spark, a.out, a.manifest, S.scan_run_table(spark, cfg, "prices"),
                                S.scan_run_table(spark, cfg, "markets"), S.scan_run_table(spark, cfg, "trades"),
                                partition_by_day=a.partition_by_day, steps=tuple(a.steps))
     return {"paths": res.paths, "counts": res.counts}
 
 
+def cmd_consolidate(a) -> dict:
+    from oddsline.plans import stages
+
+    return {"paths": stages.consolidate_stage(_session(), a.run_dir, a.out)}
+
+
 def cmd_filter(a) -> dict:
     from oddsline.operators.filters import FilterConfig
     from oddsline.plans import stages
@@ -99,6 +120,16 @@ def cmd_filter(a) -> dict:
     return stages.filter_stage(spark.read.parquet(a.input), cfg, a.output)
 
 
+LOOKBACK_UNITS = ("minutes", "hours", "days", "weeks", "months", "years")
+
+
+def _positive(text: str) -> int:
+    n = int(text)
+    if n <= 0:
+        raise argparse.ArgumentTypeError("must be positive")
+    return n
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="oddsline")
     sub = p.add_subparsers(dest="command", required=True)
@@ -108,6 +139,9 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--run-dir", required=True)
     f.add_argument("--start")
     f.add_argument("--end")
+    back = f.add_mutually_exclusive_group()  # at most one unit
+    for unit in LOOKBACK_UNITS:
+        back.add_argument(f"--{unit}", type=_positive)
     f.add_argument("--store")
     f.add_argument("--ledger")
     f.add_argument("--version", type=int)
@@ -120,6 +154,10 @@ def parser() -> argparse.ArgumentParser:
     src = pr.add_mutually_exclusive_group(required=True)
     src.add_argument("--run-dir")
     src.add_argument("--scan-root")
+    src.add_argument("--directory")
+    src.add_argument("--prices", nargs="+")
+    pr.add_argument("--markets", nargs="+")
+    pr.add_argument("--trades", nargs="+")
     pr.add_argument("--out", required=True)
     pr.add_argument("--manifest", required=True)
     pr.add_argument("--partition-by-day", action="store_true")
@@ -127,6 +165,11 @@ def parser() -> argparse.ArgumentParser:
                     choices=["join", "returns", "panel", "trades"])
     pr.set_defaults(run=cmd_process)
 
+    co = sub.add_parser("consolidate")
+    co.add_argument("--run-dir", required=True)
+    co.add_argument("--out")
+    co.set_defaults(run=cmd_consolidate)
+
     fl = sub.add_parser("filter")
     fl.add_argument("--input", required=True)
     fl.add_argument("--output", required=True)

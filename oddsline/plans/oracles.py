@@ -169,7 +169,10 @@ SELECT token_id, "timestamp", {r('bid', 'bid')}, {r('ask', 'ask')}, {r('(bid + a
 oracle("spread_snapshot", f"""
 SELECT token_id, {r('bid', 'bid')}, {r('ask', 'ask')}, {r('(bid + ask) / 2', 'mid')}, {r('ask - bid', 'spread')},
        {BOOK_TS} AS "timestamp" FROM {QUOTES}""", "book_levels")
-ORACLES["spread_snapshot_levels"] = ORACLES["spread_snapshot"]
+oracle("spread_snapshot_levels", f"""
+SELECT token_id, {r('bid', 'bid')}, {r('ask', 'ask')}, {r('(bid + ask) / 2', 'mid')}, {r('ask - bid', 'spread')},
+       "timestamp" FROM {QUOTES}""", "book_levels")
+ORACLES["spread_decoded_books"] = ORACLES["spread_snapshot"]
 
 DEPTH = f"""(SELECT l.token_id, l."timestamp",
        coalesce(sum(CASE WHEN l.side = 'bid' AND l.price >= (q.bid + q.ask) / 2 - {Q.DEPTH_DISTANCE}
@@ -180,6 +183,9 @@ FROM book_levels l JOIN {QUOTES} q ON l.token_id = q.token_id AND l."timestamp"
 GROUP BY l.token_id, l."timestamp")"""
 
 oracle("depth_at_distance", f"""
+SELECT token_id, "timestamp", {r('depth_bid', 'depth_bid')}, {r('depth_ask', 'depth_ask')},
+       {r('depth_bid + depth_ask', 'depth_both')} FROM {DEPTH}""", "book_levels")
+oracle("depth_decoded_books", f"""
 SELECT token_id, {BOOK_TS} AS "timestamp", book_id, {r('depth_bid', 'depth_bid')}, {r('depth_ask', 'depth_ask')},
        {r('depth_bid + depth_ask', 'depth_both')} FROM {DEPTH} JOIN book_ids USING (token_id, "timestamp")""",
        "book_levels", "book_ids")
@@ -489,7 +495,10 @@ SELECT 'prices_joined' AS dataset, 'processed/prices_joined.parquet' AS parquet_
 oracle("stream_ingest_prices", f"""
 SELECT token_id, t, round(p, 6) AS p, chunk_start, pos, 'clob' AS _source_api, '/prices-history' AS _api_endpoint
 FROM {PTS_DECODED}""")
-oracle("stream_dedupe_prices", f"SELECT DISTINCT token_id, t FROM {PTS_DECODED}")
+ORACLES["stream_dedupe_prices"] = ORACLES["dedupe_price_points"]
+oracle("stream_ingest_rejects", """
+SELECT DISTINCT 'T' || user_id AS token_id, CAST(floor(event_id / 64) AS BIGINT) AS chunk_start, '{"error":' AS head,
+       'missing history' AS reason FROM events""")
 oracle("stream_trades_daily", f"""
 SELECT "conditionId", {day('"timestamp"')} AS day_ts, count(*) AS trades,
        {r('coalesce(sum(size), 0.0::DOUBLE)', 'size_sum')},

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from oddsline.operators import filters as G
 from oddsline.operators import process as P
 from oddsline.plans.present import round6, rounded
+from oddsline.plans import stages
 from oddsline.session import reliable_checkpoint
 from oddsline.sources import adapters as A
 
@@ -214,12 +215,22 @@ def q_spread_snapshot(spark, sf):
 
 @register("spread_snapshot_levels")
 def q_spread_snapshot_levels(spark, sf):
-    # Decoded books: several of a token have timestamp 0.
+    return rounded(E.spread_snapshot(A.book_levels(spark, sf)))
+
+
+@register("spread_decoded_books")
+def q_spread_decoded_books(spark, sf):
+    # Levels of decoded books: several books of a token have timestamp 0.
     return rounded(E.spread_snapshot(E.flatten_books(_books(spark, sf))))
 
 
 @register("depth_at_distance")
 def q_depth_at_distance(spark, sf):
+    return rounded(E.depth_at_distance(A.book_levels(spark, sf), DEPTH_DISTANCE))
+
+
+@register("depth_decoded_books")
+def q_depth_decoded_books(spark, sf):
     return rounded(E.depth_at_distance(E.flatten_books(_books(spark, sf)), DEPTH_DISTANCE))
 
 
@@ -601,9 +612,20 @@ def q_stream_ingest_prices(spark, sf):
 
 @register("stream_dedupe_prices")
 def q_stream_dedupe_prices(spark, sf):
+    # The points that win arrive in the last drop, after later chunks' points
+    # at the same times and with other prices.
     pts = B.decode_price_history(A.price_payloads(spark, sf))[0]
-    again = pts.withColumn("chunk_start", F.col("chunk_start") + 1_000_000)
-    return ST.dedupe_prices_table(spark, pts.unionByName(again)).select("token_id", "t")
+    again = pts.withColumns({"p": F.col("p") * 2, "chunk_start": F.col("chunk_start") + 1_000_000})
+    return rounded(ST.dedupe_prices_table(spark, [again, pts]))
+
+
+@register("stream_ingest_rejects")
+def q_stream_ingest_rejects(spark, sf):
+    # Every payload lands twice: as it is, and wrapped in an error that has no history.
+    good = A.price_payloads(spark, sf)
+    bad = good.withColumn("payload", F.concat(F.lit('{"error":'), "payload", F.lit("}")))
+    return ST.ingest_prices_table(spark, good.unionByName(bad), "rejects").select(
+        "token_id", "chunk_start", F.substring("payload", 1, 9).alias("head"), "reason")
 
 
 @register("stream_trades_daily")
@@ -632,10 +654,14 @@ def q_scan_runs(spark, sf):
 
 @register("compact_parts")
 def q_compact_parts(spark, sf):
-    """Prices written as numbered part files, compacted, and read back."""
+    """Prices written as twelve numbered part files (the last two numbers have five
+    digits), consolidated by the stage, and read back."""
     run = ST.scratch_path(spark, "parts")
-    p = A.prices(spark, sf)
-    for k in range(4):
-        p.filter(F.pmod(F.hash("token_id"), F.lit(4)) == k).write.parquet(f"{run}/prices_part{k:04d}.parquet")
-    out = S.compact_parts(spark, run, "prices", f"{run}_processed")
-    return rounded(spark.read.parquet(out))
+    part = F.pmod(F.hash("token_id"), F.lit(12)).cast("int").alias("_part")
+    A.prices(spark, sf).select("*", part).write.partitionBy("_part").parquet(f"{run}_staging")
+    staged = spark.read.parquet(f"{run}_staging")
+    for k in range(12):
+        number = k if k < 10 else 9_990 + k
+        staged.where(F.col("_part") == k).drop("_part").write.parquet(f"{run}/prices_part{number:04d}.parquet")
+    done = stages.consolidate_stage(spark, run, f"{run}_processed")
+    return rounded(spark.read.parquet(done["prices"]))

@@ -11,6 +11,7 @@ shared checkpoint folder (lineage cut, survives executor loss).
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass, field
 
@@ -23,7 +24,8 @@ from oddsline.operators import process as P
 from oddsline.schemas import LEDGER
 from oddsline.session import reliable_checkpoint
 from oddsline.sources.files import (
-    commit_file, committed_rows, compact_parts, part_paths, promote_run_tables, write_versioned, write_with_manifest,
+    commit_file, committed_rows, compact_parts, list_dir, part_paths, promote_run_tables, read_text, write_versioned,
+    write_with_manifest,
 )
 
 log = logging.getLogger("oddsline.stages")
@@ -127,6 +129,43 @@ def read_panel(spark: SparkSession, res: ProcessResult) -> P.Panel:
     return P.Panel(spark.read.parquet(res.panel["blocks"]), spark.read.parquet(res.panel["columns"]), P.PANEL_BLOCK)
 
 
+RUN_TABLES = ("markets", "prices", "orderbooks", "spreads", "trades", "rejects")
+
+
+def consolidate_stage(spark: SparkSession, run_dir: str, out_dir: str | None = None,
+                      target_file_bytes: int = 256 << 20) -> dict[str, str]:
+    """The part files of a run become tables of the processed area
+    (``<run>_processed`` beside the run by default; the parts stay), and the run's
+    other tables are promoted with them -- only if something was compacted.
+
+    All tables become visible at once: they are written under versioned names,
+    and one commit file then names them (``read_consolidated``). A table that
+    fails is logged and left out. Returns the committed tables' paths, none if
+    there was nothing to compact."""
+    out = out_dir or f"{run_dir.rstrip('/')}_processed"
+    done: dict[str, str] = {}
+    parted = [name for name in RUN_TABLES if part_paths(spark, run_dir, name)]
+    for name in parted:
+        try:
+            done[name] = compact_parts(spark, run_dir, name, out, target_file_bytes)
+        except Exception as e:  # noqa: BLE001
+            log.warning("compaction of %s failed: %s", name, e)
+    if not done:
+        return {}
+    promoted = promote_run_tables(spark, run_dir, out, [n for n in RUN_TABLES if n not in parted])
+    done |= {name: path for name, path in promoted.items() if path}
+    number = 1
+    while not commit_file(spark, f"{out}/_commits/v{number:010d}", json.dumps(done)):
+        number += 1
+    return done
+
+
+def read_consolidated(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """Table paths of the newest commit of ``consolidate_stage``."""
+    commits = list_dir(spark, f"{out_dir}/_commits")
+    return json.loads(read_text(spark, commits[-1])) if commits else {}
+
+
 def filter_stage(df: DataFrame, cfg: G.FilterConfig, output_path: str) -> dict:
     """Filter, compute jumps, write; returns the report (counts observed in one pass)."""
     r = G.run_filter(df, cfg)

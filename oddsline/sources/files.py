@@ -321,7 +321,8 @@ def validate_columns(df: DataFrame, kind: str) -> None:
 def compact_parts(spark: SparkSession, run_dir: str, prefix: str, out_dir: str,
                   target_file_bytes: int = 256 << 20) -> str | None:
     """Concatenate ``prefix_partNNNN.parquet`` parts (kept in place) into one
-    output sized by input bytes, not forced to a single file."""
+    table of files of about ``target_file_bytes``: scan splits of that size are
+    one output file each, so nothing is shuffled."""
     parts = part_paths(spark, run_dir, prefix)
     if not parts:
         return None
@@ -329,8 +330,7 @@ def compact_parts(spark: SparkSession, run_dir: str, prefix: str, out_dir: str,
     jvm = spark.sparkContext._jvm
     total = sum(fs.getContentSummary(jvm.org.apache.hadoop.fs.Path(p)).getLength() for p in parts)
     n = max(1, -(-int(total) // target_file_bytes))
-    df = spark.read.parquet(*parts)
-    return write_versioned(df.coalesce(n), f"{out_dir}/{prefix}.parquet")
+    return write_versioned(spark.read.parquet(*parts).coalesce(n), f"{out_dir}/{prefix}.parquet")
 
 
 # ------------------------------------------------------------ A15 provenance

@@ -1,13 +1,20 @@
 """Structured Streaming counterparts of the batch ingest (A14 and §7.5).
 
 * ``ingest_prices`` -- landed price-history payloads (a directory of
-  Parquet drops) -> decoded points + provenance -> Parquet file sink.
-  The file sink with a checkpoint replaces the timed part writer: output
-  files are committed per micro-batch, restarts resume from the checkpoint,
+  Parquet drops) -> decoded points + provenance, and refused payloads with
+  the reason: one stream, two sinks. Every micro-batch writes a folder named
+  by its number in either sink, and a replayed batch overwrites its own, so
+  nothing is written twice; restarts resume from the checkpoint,
   ``maxRecordsPerFile`` bounds file size and the trigger sets the flush
   interval.
+* ``dedupe_prices_all`` -- the batch rule D11 (of a token's points at one time
+  the first in chunk order stays) for drops that arrive in any order: every
+  micro-batch writes the winners among its own points, ``read_deduped`` takes
+  the winners of winners. A point is never late, and one that comes later but
+  precedes in chunk order replaces the earlier winner, its price included.
 * ``dedupe_prices`` -- event time = t, watermark, then
-  ``dropDuplicatesWithinWatermark(token_id, t)``: bounded state.
+  ``dropDuplicatesWithinWatermark(token_id, t)``: bounded state; the first
+  arrival stays, and later points than the watermark are dropped.
 * ``trades_daily`` -- daily tumbling windows per condition in append mode;
   a day is emitted once the watermark passes its end; rows later than the
   watermark are dropped by the engine (count them with ``late_rows``). The
@@ -30,6 +37,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from oddsline.functions.timecols import day_bucket
 from oddsline.operators.decode import decode_price_history
+from oddsline.operators.planning import dedupe_price_points
 from oddsline.schemas import PRICE_PAYLOADS, TRADES
 from oddsline.session import checkpoint_dir
 from oddsline.sources.files import with_provenance
@@ -53,15 +61,50 @@ def _start(df: DataFrame, out_path: str, ckpt: str, trigger: dict | None, fmt: s
 def ingest_prices(spark: SparkSession, landing_dir: str, out_path: str, checkpoint: str | None = None,
                   trigger: dict | None = None, max_files_per_trigger: int | None = None,
                   max_records_per_file: int | None = None) -> StreamingQuery:
-    """Stream landed payloads into a decoded, provenance-stamped Parquet table."""
+    """Stream landed payloads into a decoded, provenance-stamped Parquet
+    table under ``out_path``/points, the refused ones into ``out_path``/rejects."""
     reader = spark.readStream.schema(PRICE_PAYLOADS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    decoded, _ = decode_price_history(reader.parquet(landing_dir))
-    out = with_provenance(decoded, "clob", "/prices-history", "1970-01-01 00:00:00") \
-        .withColumn("_fetch_timestamp", F.current_timestamp())
-    return _start(out, out_path, checkpoint or scratch_path(spark, "ingest-ckpt"), trigger,
-                  max_records_per_file=max_records_per_file)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # both sinks decode the same payloads
+        try:
+            points, rejects = decode_price_history(batch)
+            points = with_provenance(points, "clob", "/prices-history", "1970-01-01 00:00:00") \
+                .withColumn("_fetch_timestamp", F.current_timestamp())
+            for name, rows in (("points", points), ("rejects", rejects)):
+                w = rows.write.mode("overwrite")
+                if max_records_per_file:
+                    w = w.option("maxRecordsPerFile", max_records_per_file)
+                w.parquet(f"{out_path}/{name}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    w = reader.parquet(landing_dir).writeStream.foreachBatch(write).option(
+        "checkpointLocation", checkpoint or scratch_path(spark, "ingest-ckpt"))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_ingested(spark: SparkSession, out_path: str, sink: str = "points") -> DataFrame:
+    """What ``ingest_prices`` has written to its ``points`` or ``rejects``."""
+    return spark.read.parquet(f"{out_path}/{sink}").drop("batch")
+
+
+def dedupe_prices_all(points: DataFrame, out_path: str, checkpoint: str | None = None,
+                      trigger: dict | None = None) -> StreamingQuery:
+    """D11 on a stream of decoded points (token_id, t, p, chunk_start, pos)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        dedupe_price_points(batch).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+
+    w = points.writeStream.foreachBatch(write).option(
+        "checkpointLocation", checkpoint or scratch_path(points.sparkSession, "dedupe-ckpt"))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_deduped(spark: SparkSession, out_path: str) -> DataFrame:
+    """One point per (token_id, t) from the batches of ``dedupe_prices_all``."""
+    return dedupe_price_points(spark.read.parquet(out_path).drop("batch"))
 
 
 def dedupe_prices(points: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -123,24 +166,24 @@ def run_to_completion(q: StreamingQuery) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def ingest_prices_table(spark: SparkSession, landing: DataFrame) -> DataFrame:
+def ingest_prices_table(spark: SparkSession, landing: DataFrame, sink: str = "points") -> DataFrame:
     """Land ``landing`` as Parquet drops, stream them through ``ingest_prices``
-    with ``availableNow`` and return the sink table."""
+    with ``availableNow`` and return the sink's table."""
     land_dir = scratch_path(spark, "landing")
     landing.write.parquet(land_dir)
     out = scratch_path(spark, "prices-out")
     run_to_completion(ingest_prices(spark, land_dir, out))
-    return spark.read.parquet(out)
+    return read_ingested(spark, out, sink)
 
 
-def dedupe_prices_table(spark: SparkSession, points: DataFrame) -> DataFrame:
-    src_dir = scratch_path(spark, "points")
-    points.write.parquet(src_dir)
-    stream = spark.readStream.schema(points.schema).parquet(src_dir)
-    out = scratch_path(spark, "dedupe-out")
-    run_to_completion(_start(dedupe_prices(stream).drop("event_time"), out,
-                             scratch_path(spark, "dedupe-ckpt"), None))
-    return spark.read.parquet(out)
+def dedupe_prices_table(spark: SparkSession, drops: list[DataFrame]) -> DataFrame:
+    """The drops (frames of points), streamed one after another, deduplicated."""
+    src, out, ckpt = (scratch_path(spark, f"dedupe-{k}") for k in ("points", "out", "ckpt"))
+    for k, drop in enumerate(drops):
+        drop.write.parquet(f"{src}/drop{k}")
+        stream = spark.readStream.schema(drop.schema).parquet(f"{src}/*")
+        run_to_completion(dedupe_prices_all(stream, out, ckpt))
+    return read_deduped(spark, out)
 
 
 def _trades_stream(spark: SparkSession, trades: DataFrame) -> DataFrame:
