@@ -32,11 +32,11 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
-    from oddsline.session import apply_conf, checkpoint_dir
+    """The session; steps that need the shared folder ask for it themselves."""
+    from oddsline.session import apply_conf
 
     spark = SparkSession.builder.appName("oddsline").getOrCreate()
     apply_conf(spark)
-    checkpoint_dir(spark)
     return spark
 
 

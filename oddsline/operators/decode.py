@@ -219,6 +219,19 @@ def _rest_json(item: Column, known: list[str]) -> Column:
     return F.when(F.size(rest) > 0, F.to_json(rest, {"ignoreNullFields": "false"}))
 
 
+def _page_items() -> Column:
+    """The items of a trade page, an empty array for any other payload."""
+    v = F.try_parse_json("payload")
+    return F.coalesce(F.try_variant_get(v, "$.data", "array<variant>"), F.try_variant_get(v, "$", "array<variant>"),
+                      F.array().cast("array<variant>"))
+
+
+def page_sizes(landing: DataFrame) -> DataFrame:
+    """(batch, page, n): how many trades ``decode_trades`` finds on a page; no field is decoded."""
+    n = F.size(F.filter(_page_items(), lambda x: _is_type(x, "OBJECT")))
+    return landing.groupBy("batch", "page").agg(F.sum(n).alias("n"))
+
+
 def decode_trades(landing: DataFrame, strict_timestamp: bool = True) -> DataFrame:
     """(batch, page, payload) -> trade rows with (batch, page, pos).
 
@@ -228,9 +241,7 @@ def decode_trades(landing: DataFrame, strict_timestamp: bool = True) -> DataFram
     bigint strictly (a non-integer raises, and so does a page on which no
     trade has one) unless ``strict_timestamp`` is off.
     """
-    v = F.try_parse_json("payload")
-    arr = F.coalesce(F.try_variant_get(v, "$.data", "array<variant>"), F.try_variant_get(v, "$", "array<variant>"),
-                     F.array().cast("array<variant>"))
+    arr = _page_items()
     dated = F.exists(arr, lambda x: _present(_field(x, "$.timestamp")))
     # The page's flag is worked out below the explode, once a page.
     items = (landing.select("batch", "page", dated.alias("_dated"), arr.alias("_items"))

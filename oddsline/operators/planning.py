@@ -291,6 +291,29 @@ def row_budget(rows: DataFrame, budget: int | None = MAX_TRADES_DEFAULT, page_co
             .drop("_before", "_rank"))
 
 
+def budgeted_trades(landing: DataFrame, budget: int | None = MAX_TRADES_DEFAULT) -> DataFrame:
+    """D9 on landed trade pages: the trades that ``row_budget`` would keep of all
+    decoded ones, but only pages that begin within the budget are decoded.
+
+    Pages are sized by their payloads' arrays (a row per page, no field is
+    read), a distributed prefix sum gives the trades before each, and the
+    pages that begin within the budget are joined back. Only the page at the
+    boundary is ranked and cut.
+    """
+    from oddsline.operators.decode import decode_trades, page_sizes
+
+    if budget is None:
+        return decode_trades(landing)
+    page = ["batch", "page"]
+    begin = prefix_offsets(page_sizes(landing), page, "n", "_before").filter(F.col("_before") < budget)
+    rows = decode_trades(landing.join(begin.select(*page), page, "left_semi"))
+    rows = rows.join(begin.select(*page, (F.lit(budget) - F.col("_before")).alias("_left"), F.col("n").alias("_n")), page)
+    rank = F.row_number().over(Window.partitionBy(*page).orderBy("pos"))
+    whole = rows.filter(F.col("_n") <= F.col("_left"))
+    cut = rows.filter(F.col("_n") > F.col("_left")).withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_left"))
+    return whole.union(cut.drop("_rank")).drop("_left", "_n")
+
+
 def trades_since(trades: DataFrame, since_ms: int | None) -> DataFrame:
     """``timestamp >= since`` (inclusive); applied after the budget."""
     return trades if since_ms is None else trades.filter(F.col("timestamp") >= F.lit(since_ms))

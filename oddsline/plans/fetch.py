@@ -56,8 +56,9 @@ class FetchResult:
 
 
 def _ordered(decoded: DataFrame) -> DataFrame:
-    """Feed order of decoded markets: (page, position) as one sortable number."""
-    return decoded.withColumn("pos", F.col("page") * F.lit(1_000_000) + F.col("pos")).drop("page")
+    """Feed order of decoded markets: (page, position) as one sortable number
+    (positions are ints, pages may go up to 2**30)."""
+    return decoded.withColumn("pos", F.col("page") * F.lit(1 << 31) + F.col("pos")).drop("page")
 
 
 def _store_markets(store: VersionedTable | None, spark: SparkSession) -> DataFrame:
@@ -98,7 +99,7 @@ def fetch_stage(spark: SparkSession, inputs: FetchInputs, run_dir: str, *, start
         api = C.active_markets(active, end_ms).withColumn("seq", F.col("pos") + 1)
         if start_ms is not None and end_ms is not None:
             win = C.exclude_known_resolved(C.closed_in_window(window, start_ms, end_ms), stored)
-            api = api.unionByName(win.withColumn("seq", F.col("pos") + F.lit(10**12) + 1))
+            api = api.unionByName(win.withColumn("seq", F.col("pos") + F.lit(1 << 61) + 1))
         merge_markets(store, api.drop("pos"), now_iso, version)
     markets = with_provenance(selected.select(*[f.name for f in MARKETS.fields]), "markets-api", "/markets",
                               fetch_ts)
@@ -139,7 +140,7 @@ def fetch_stage(spark: SparkSession, inputs: FetchInputs, run_dir: str, *, start
 
     # -- trades: decode, budget, since-bound
     if inputs.trade_pages is not None:
-        trades = D.trades_since(D.row_budget(B.decode_trades(inputs.trade_pages), max_trades), since_ms)
+        trades = D.trades_since(D.budgeted_trades(inputs.trade_pages, max_trades), since_ms)
         res.paths["trades"] = _write(with_provenance(trades.drop("batch", "page", "pos"), "trades-api",
                                                      "/trades", fetch_ts), f"{out}/trades.parquet")
 

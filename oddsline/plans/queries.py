@@ -527,7 +527,7 @@ def _trades_decoded(spark, sf):
 
 @register("row_budget")
 def q_row_budget(spark, sf):
-    return rounded(D.row_budget(_trades_decoded(spark, sf), ROW_BUDGET))
+    return rounded(D.budgeted_trades(A.trade_pages(spark, sf), ROW_BUDGET).drop("rest"))
 
 
 @register("trades_since")

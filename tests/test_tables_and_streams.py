@@ -156,3 +156,13 @@ def test_at_most_one_look_back_unit():
     for bad in (["--weeks", "2", "--days", "1"], ["--days", "0"]):
         with pytest.raises(SystemExit):
             parser().parse_args([*args, *bad])
+
+
+def test_budget_of_pages_equals_budget_of_rows(spark):
+    page = lambda k, n: json.dumps([{"id": f"{k}-{i}", "timestamp": i} for i in range(n)] + ["junk"])
+    rows = [(0, 1, page(1, 3)), (0, 0, page(0, 4)), (1, 0, json.dumps({"data": json.loads(page(2, 5))})), (1, 1, "broken"), (1, 2, None), (2, 0, page(3, 2))]
+    landing = spark.createDataFrame(rows, "batch long, page long, payload string")
+    for budget in (None, 0, 1, 4, 5, 7, 12, 13, 14, 99):
+        want = D.row_budget(B.decode_trades(landing), budget)
+        got = D.budgeted_trades(landing, budget)
+        assert got.columns == want.columns and sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect()), budget
