@@ -239,3 +239,22 @@ def test_whitening_with_huge_entries(spark):
     rows = [(0, [3e38, 1.0], 0), (1, [-3e38, 2.0], 0), (2, [1e15, -5.0], 0)]
     got = whitening.whiten(spark.createDataFrame(rows, VECTORS)).collect()
     assert {r.deviation for r in got} == {None} and all(math.isfinite(r.whitened) for r in got)
+
+
+# ------------------------------------------------------------------ components, rewritten in this round
+
+def test_components_over_many_tasks(spark):
+    from oddsline.llm.components import components, stars
+
+    rng = random.Random(9)
+    edges = [(k, k + 1) for k in range(3000)] + [(5000, rng.randrange(6000, 9000)) for _ in range(4000)]
+    edges += [(20_000 + 2 * k, 20_001 + 2 * k) for k in range(500)] + [(7, 7), (50_000, 50_000)]
+    rng.shuffle(edges)
+    want = {k: 0 for k in range(3001)} | {x: 5000 for e in edges if e[0] == 5000 for x in e}
+    want |= {x: min(e) for e in edges if 20_000 <= e[0] < 50_000 for x in e}
+    for tasks in (1, 40):
+        got = components(spark.createDataFrame(edges, "a long, b long").repartition(tasks))
+        assert {r.node: r.root for r in got.collect()} == want and got.count() == len(want)
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+    node, root = stars(np.array([5, 4, 9]), np.array([4, 3, 9]))
+    assert node.tolist() == [4, 5] and root.tolist() == [3, 3]
