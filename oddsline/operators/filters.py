@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from oddsline.functions.mathcols import change_from_previous
+from oddsline.functions.mathcols import ieee_divide
 from oddsline.functions.timecols import date_start_ms
 from oddsline.operators.joins import MAX_LITERAL, semi_by_values
 from oddsline.schemas import MS_PER_DAY
@@ -173,65 +173,70 @@ def filter_market_ids(df, include=None, exclude=None, max_literal: int = MAX_LIT
 
 # ------------------------------------------------------------------ G7-G9
 
-def jump_window(order_cols=("t",)):
-    return Window.partitionBy("token_id").orderBy(*order_cols)
+DEFAULT_JUMP_BUCKET_MS = 60_000  # window partitions are (token, minute of t)
 
 
-DEFAULT_JUMP_BUCKET_MS = 3_600_000  # window partitions are (token, hour of t)
+def _bucketed_previous(df: DataFrame, keys: list[str], tie: str, bucket_ms: int) -> DataFrame:
+    """Add ``_prev_p``, the price of the previous row of ``keys`` in (t, tie) order, in one pass.
+
+    Inside a (keys, bucket of t) the previous row is the window's. Only the
+    bucket's first row needs a row from elsewhere, and only its last row is
+    needed elsewhere: these two go on to a window per ``keys`` (at most two
+    rows a bucket, so its length is bounded by time, not by rows), while the
+    rows between them stay dealt by bucket and pass through.
+    """
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("t", tie)
+    rows = (df.withColumn("_bucket", F.floor(F.col("t") / F.lit(bucket_ms)))
+            .withColumn("_prev_p", F.lag("p").over(inside))
+            .withColumn("_first", F.row_number().over(inside) == 1)
+            .withColumn("_edge", F.col("_first") | F.lead(F.lit(True)).over(inside).isNull()))
+    across = Window.partitionBy(*keys, "_edge", F.when(~F.col("_edge"), F.col("_bucket"))).orderBy("t", tie, ~F.col("_first"))
+    return rows.withColumn("_prev_p", F.when(F.col("_first"), F.lag("p").over(across)).otherwise(F.col("_prev_p"))) \
+        .drop("_bucket", "_first", "_edge")
 
 
 def compute_jumps(df: DataFrame, tie_break: str | None = None,
-                  bucket_ms: int | None = DEFAULT_JUMP_BUCKET_MS, mode: str = "bucket") -> DataFrame:
+                  bucket_ms: int | None = DEFAULT_JUMP_BUCKET_MS, mode: str = "bucket",
+                  within: tuple[str, ...] = ()) -> DataFrame:
     """Change from the previous row per token in time order (no filling).
 
     ``jump_pct`` divides by the previous price with float semantics. A tie
     on (token_id, t) is ordered by ``tie_break`` (default: p) so that the
-    result is deterministic.
+    result is deterministic. Rows that differ in a column of ``within`` never
+    are each other's previous row.
 
     Skew: a plain ``lag`` over ``partitionBy(token_id)`` puts a hot token in
     one task. Three plans:
 
     * ``mode="range"``: the previous row over a global
       range-partitioned order (``ordering.previous_values``); balanced
-      whatever the skew, even a hot instant.
-    * ``mode="bucket"`` (default): the window is partitioned by (token, ``bucket_ms``
-      bucket of t); each bucket's first row takes the last price of the
-      token's nearest earlier non-empty bucket, from a per-bucket partial
-      aggregate (``max_by``), a window over buckets and a join on (token,
-      bucket). Balanced unless one bucket is hot.
+      whatever the skew, even a hot instant. ``within`` is not offered.
+    * ``mode="bucket"`` (default): windows over (token, ``bucket_ms`` bucket
+      of t), whose edge rows are stitched by a second window
+      (``_bucketed_previous``): the input is read once and nothing is joined.
+      A hot token and a hot hour are split by time; a hot bucket is not.
     * ``mode="window"``: the single per-token window.
     """
     if not {"token_id", "t", "p"} <= set(df.columns):
         raise ValueError(f"cannot compute jumps: need token_id, t, p; found {df.columns}")
-    tie = tie_break or "p"
-    from oddsline.functions.mathcols import ieee_divide
+    tie, keys = tie_break or "p", ["token_id", *within]
 
     if mode == "window" or (mode == "bucket" and bucket_ms is None):
-        d, pct = change_from_previous("p", jump_window(("t", tie)))
-        return df.withColumn("jump_abs", d).withColumn("jump_pct", pct)
-    if mode == "range":
+        out = df.withColumn("_prev_p", F.lag("p").over(Window.partitionBy(*keys).orderBy("t", tie)))
+    elif mode == "range":
         from oddsline.operators.ordering import previous_values
 
+        if within:
+            raise ValueError("mode 'range' has no further group columns")
         order = ["t"] if tie == "p" else ["t", tie]
         out = previous_values(df, "token_id", order + (["p"] if tie == "p" else []), ["p"], prefix="_prev_")
-        diff = F.col("p") - F.col("_prev_p")
-        return (out.withColumn("jump_abs", diff).withColumn("jump_pct", ieee_divide(diff, F.col("_prev_p")))
-                .drop("_prev_p"))
-    if mode != "bucket":
+    elif mode == "bucket":
+        out = _bucketed_previous(df, keys, tie, bucket_ms)
+    else:
         raise ValueError(f"unknown jump mode {mode!r}")
-
-    keyed = df.withColumn("_b", F.floor(F.col("t") / F.lit(bucket_ms)))
-    w = Window.partitionBy("token_id", "_b").orderBy("t", tie)
-    inner = keyed.withColumn("_prev", F.lag("p").over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    order = F.struct(F.col("t"), F.col(tie))
-    last = keyed.groupBy("token_id", "_b").agg(F.max_by("p", order).alias("_last"))
-    carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy("token_id").orderBy("_b"))) \
-        .select("token_id", "_b", "_carry")
-    out = inner.join(carry, ["token_id", "_b"], "left")
-    prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
-    diff = F.col("p") - prev
-    return (out.withColumn("jump_abs", diff).withColumn("jump_pct", ieee_divide(diff, prev))
-            .drop("_b", "_prev", "_first", "_carry"))
+    diff = F.col("p") - F.col("_prev_p")
+    return (out.withColumn("jump_abs", diff).withColumn("jump_pct", ieee_divide(diff, F.col("_prev_p")))
+            .drop("_prev_p"))
 
 
 def filter_jumps(df: DataFrame, cfg: FilterConfig, tie_break: str | None = None) -> tuple[DataFrame, list[str]]:
@@ -283,21 +288,19 @@ def filter_report_frame(df: DataFrame, cfg: FilterConfig, tie_break: str | None
     """The report as a one-row DataFrame computed by one aggregate.
 
     Rows are tagged as kept or not instead of being filtered, so input and
-    output counts come from the same scan.
+    output counts come from one scan. Dropped rows go through the jump windows
+    in groups of their own (narrow: keys, time and price only).
     """
     preds = predicates(df.columns, cfg, "filter", max_literal=None)
     keep = reduce(lambda a, b: a & b, [p for p, _ in preds]) if preds else F.lit(True)
     labels = [lbl for _, lbl in preds if lbl]
     tagged = df.withColumn("_keep", F.coalesce(keep, F.lit(False)))
-    if cfg.needs_jumps():
-        # The jump window sees only kept rows; dropped rows rejoin by a union
-        # so that one aggregate yields both counts.
-        kept = compute_jumps(tagged.filter("_keep").drop("_keep"), tie_break)
-        jpreds = predicates(JUMP_COLUMNS, cfg, "jump")
-        labels += [lbl for _, lbl in jpreds]
-        jcond = reduce(lambda a, b: a & b, [p for p, _ in jpreds]) if jpreds else F.lit(True)
-        tagged = kept.select(F.coalesce(jcond, F.lit(False)).alias("_keep")).unionByName(
-            tagged.filter(~F.col("_keep")).select("_keep"))
+    jumps = predicates(JUMP_COLUMNS, cfg, "jump")
+    if jumps:
+        labels += [lbl for _, lbl in jumps]
+        passed = reduce(lambda a, b: a & b, [p for p, _ in jumps])
+        tagged = compute_jumps(tagged, tie_break, within=("_keep",)).withColumn(
+            "_keep", F.col("_keep") & F.coalesce(passed, F.lit(False)))
     rep = tagged.agg(F.count(F.lit(1)).alias("input_count"),
                      F.count_if(F.col("_keep")).alias("output_count"))
     return rep.select(

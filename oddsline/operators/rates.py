@@ -1,12 +1,19 @@
 """Trailing request rates (H1-H2): how many requests of the same limiter fall
 in [t - window, t] at each request time t, as a rate and as a share of quota.
 
-Scale: requests are first pre-aggregated to one row per (limiter, ms) -- a
-hot limiter collapses to at most one row per millisecond. The range window
-then runs per (limiter, time bucket of one window length), each bucket also
-holding a copy of the previous bucket's rows, so a partition holds at most
-two windows' worth of distinct milliseconds whatever the data size. The
-per-millisecond counts are joined back to the requests.
+Scale: requests are first pre-aggregated to one row per (limiter, ms), before
+any shuffle -- a hot limiter collapses to at most one row per millisecond. A
+millisecond's count is then sent to its own time bucket of one window length
+and, by the same pass, to the next one, where it only adds to others' sums.
+The range window runs per (limiter, bucket), so a partition holds at most two
+windows' worth of distinct milliseconds whatever the data size, and the
+counts go back to the requests by (limiter, ms). The requests are read twice:
+their two narrow columns for the counts, and whole for the answer, since
+neither the whole requests of a hot window nor those of a hot millisecond may
+be gathered in one window partition.
+
+Null limiters are a limiter of their own; requests at a null time count the
+requests at a null time.
 """
 
 from __future__ import annotations
@@ -25,12 +32,10 @@ def trailing_counts(requests: DataFrame, window_seconds: float = DEFAULT_WINDOW_
     w_ms = int(window_seconds * 1000)
     per_ms = requests.groupBy(key, t_col).agg(F.count(F.lit(1)).alias("n_at_t"))
     bucket = F.floor(F.col(t_col) / w_ms).cast("bigint")
-    own = per_ms.select("*", bucket.alias("_b"), F.lit(True).alias("_probe"))
-    nxt = per_ms.select("*", (bucket + 1).alias("_b"), F.lit(False).alias("_probe"))
-    w = (Window.partitionBy(key, "_b").orderBy(F.col(t_col))
-         .rangeBetween(-w_ms, 0))
-    both = own.unionByName(nxt).withColumn("window_count", F.sum("n_at_t").over(w))
-    return both.filter("_probe").drop("_b", "_probe")
+    placed = per_ms.select("*", F.posexplode(F.array(bucket, bucket + 1)).alias("_copy", "_bucket"))
+    w = Window.partitionBy(key, "_bucket", F.when(F.col(t_col).isNull(), F.col("_copy"))).orderBy(t_col).rangeBetween(-w_ms, 0)
+    return (placed.withColumn("window_count", F.sum("n_at_t").over(w))
+            .where(F.col("_copy") == 0).drop("_copy", "_bucket"))
 
 
 def trailing_rate(requests: DataFrame, window_seconds: float = DEFAULT_WINDOW_SECONDS,

@@ -185,10 +185,11 @@ def order_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request times per limiter (the event type)."""
+    """Request times per limiter (the event type). The log's clock counts a second of the
+    events as a millisecond, so that a window holds many requests."""
     e = table(spark, sf_dir, "events")
     return e.select(F.col("event_id").alias("request_id"), F.col("event_type").alias("limiter"),
-                    epoch_ms("ts").alias("t"))
+                    F.floor(epoch_ms("ts") / 1000).cast("bigint").alias("t"))
 
 
 # ---------------------------------------------------------------- landed payloads

@@ -93,7 +93,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "order_points": (f"""
         SELECT 'T' || o_custkey AS token_id, {ms('o_orderdate')} AS t, o_totalprice AS p FROM orders""", ()),
     "request_log": (f"""
-        SELECT event_id AS request_id, event_type AS limiter, {ms('ts')} AS t FROM events""", ()),
+        SELECT event_id AS request_id, event_type AS limiter, {ms('ts')} // 1000 AS t FROM events""", ()),
 }
 
 

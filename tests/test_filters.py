@@ -149,3 +149,54 @@ def test_hot_token_is_spread_over_partitions(spark):
     assert max(sizes) <= 3 * n / len(sizes)  # the hot token (half the rows) is not in one task
     hot = out.filter("token_id = 'HOT' and t > 0").select(((F.col("p") - F.col("prev_p")).isNotNull()).alias("ok"))
     assert hot.filter("ok").count() == n // 2 - 1
+
+
+def scans(df):
+    """Number of file scans in a plan before execution."""
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_jumps_of_a_hot_hour_are_split_and_read_once(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("HOT")).otherwise(F.concat(F.lit("T"), (F.col("id") % 50).cast("string")))
+        .alias("token_id"), (F.col("id") * 100).alias("t"), (F.col("id") % 7).cast("double").alias("p"))
+    rows.write.parquet(f"{tmp_dir}/prices")  # 50 minutes of one hour
+    df = spark.read.parquet(f"{tmp_dir}/prices")
+    jumps = G.compute_jumps(df)
+    assert scans(jumps) == 1 and "Join" not in jumps._jdf.queryExecution().optimizedPlan().toString()
+    plain = G.compute_jumps(df, mode="window")
+    assert jumps.exceptAll(plain).count() == 0 and plain.exceptAll(jumps).count() == 0
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = G.compute_jumps(df).filter("token_id = 'HOT'").groupBy(F.spark_partition_id().alias("pid")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(r["count"] for r in out) < 20_000 / 2
+
+
+def test_jumps_with_null_times_prices_and_single_rows(spark):
+    rows = [("A", None, 1.0), ("A", None, None), ("A", None, 3.0), ("A", 5, None), ("A", 5, 2.0), ("A", 5, 2.0), ("A", 99, 4.0),
+            ("A", 100, 8.0), ("A", 500, None), ("A", 900, 1.0), (None, 1, 1.0), (None, 700, 2.0), ("B", 3, 1.0)]
+    df = spark.createDataFrame(rows, "token_id string, t long, p double")
+    plain = sorted(map(tuple, G.compute_jumps(df, mode="window").collect()), key=repr)
+    for ms in (1, 100, 1000):
+        assert sorted(map(tuple, G.compute_jumps(df, bucket_ms=ms).collect()), key=repr) == plain
+    assert G.compute_jumps(df.where("false")).count() == 0
+
+
+def test_report_reads_once_and_counts_like_the_filters(spark, tmp_dir):
+    import random
+
+    rnd = random.Random(4)
+    rows = [(rnd.choice("AB"), rnd.randrange(400_000), rnd.choice([None, 1.0, 2.0, 5.0]), "m", rnd.choice([True, False, None]), None, None)
+            for _ in range(500)]
+    joined(spark, rows).write.parquet(f"{tmp_dir}/joined")
+    df = spark.read.parquet(f"{tmp_dir}/joined")
+    for cfg in (G.FilterConfig(resolved_only=True, min_jump_abs=1.0, max_jump_pct=0.9), G.FilterConfig(unresolved_only=True),
+                G.FilterConfig(resolved_only=True, compute_jumps=True)):
+        frame = G.filter_report_frame(df, cfg)
+        rep = frame.first()
+        assert scans(frame) == 1
+        assert (rep.input_count, rep.output_count) == (500, G.run_filter(df, cfg).frame.count())

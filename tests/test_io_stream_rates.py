@@ -19,6 +19,14 @@ def test_trailing_rate_matches_brute_force(spark):
         assert got[rid] == (n, pytest.approx(n / 10))
 
 
+def test_trailing_rate_of_null_limiters_and_times(spark):
+    rows = [(1, None, 0), (2, None, 9_999), (3, None, 10_001), (4, "a", None), (5, "a", None), (6, "a", 3), (7, None, None), (8, "a", 10_003)]
+    df = spark.createDataFrame(rows, "request_id long, limiter string, t long")
+    got = {r.request_id: r.window_count for r in H.trailing_rate(df, 10).collect()}
+    assert got == {1: 1, 2: 2, 3: 2, 4: 2, 5: 2, 6: 1, 7: 1, 8: 2}
+    assert H.trailing_rate(df.where("false"), 10).count() == 0
+
+
 def test_quota_utilization(spark):
     df = spark.createDataFrame([(1, "markets", 0), (2, "markets", 5000)], "request_id long, limiter string, t long")
     r = {x.request_id: x.utilization_pct for x in H.quota_utilization(df, H.QUOTAS).collect()}
