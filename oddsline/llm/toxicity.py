@@ -5,13 +5,15 @@ per insult of a small general list, one per word or stem that training labels sh
 to be telling, and pattern voters (several insults, a high density of them,
 insults aimed at a reader, shouted insults, none at all).
 
-A generative label model explains the votes: a hidden class, and for every
-voter its rates of voting toxic and clean in either class, estimated by
-expectation maximisation, with training labels as one more, noisy voter.
-Voters that repeat each other are not independent; their correlations within
-the classes are estimated too, and a voter's evidence is divided by the number
-of voters it amounts to. The posterior labels of the sample then train a
-logistic regression on word and pattern features, which scores every text.
+A generative label model explains the votes: a hidden class with its prior, and
+for every voter its rates of voting toxic and clean in either class, estimated
+by expectation maximisation, with training labels as one more, noisy voter
+whose rates are estimated too. The words mined from one half of the sample vote
+on the other half only. Voters that repeat each other are not independent; their
+correlations within the classes are estimated too, and a voter's evidence is
+divided by the number of voters it amounts to. The posterior labels of the sample then train a
+logistic regression on word and pattern features, in which both classes weigh
+alike; it scores every text.
 
 Training reads a bounded sample: the ``SAMPLE`` labelled training documents
 with the least hash of their id, whole texts. Held-out documents (crc32 of the
@@ -20,7 +22,9 @@ are scored in one pass, from the text alone.
 
 Defined cases: null or empty text is scored (the model's base rate); a null
 doc_id is held out; documents with conflicting repeated labels count once per
-label; without any label of a class the score is the seed voters' share alone;
+label; where all labels are of one class they are left out and the label model
+is fitted to the seed and pattern voters alone; without any training document
+the score is a fixed logistic function of the seed words (``UNTRAINED``);
 repeated rows are scored each for itself; extra columns are ignored.
 """
 
@@ -37,6 +41,8 @@ from oddsline.llm.common import give_back, lowered, running, segments, span_hash
 SAMPLE = 6_000    # labelled documents read for training
 MINED = 150       # words taken from training labels, at most
 MINED_SUPPORT = 4
+UNTRAINED = (2.0, -3.0)  # weight of a seed word and bias where there is no training document at all
+LABEL_SEEN = 10   # rows that the prior of the label voter's rates counts for
 
 # Insults and slurs against a reader; general words, singular and plain.
 SEED = """idiot idiots moron morons stupid imbecile dumb dumbass fool cretin halfwit clown loser losers scum trash garbage vermin
@@ -155,31 +161,31 @@ class Voters:
 
 
 class LabelModel:
-    """Hidden class, voters' rates per class, and their correlations (EM)."""
-
-    def __init__(self, votes: np.ndarray, labels: np.ndarray, rounds: int = 25, label_accuracy: float = 0.93):
-        n, m = votes.shape
-        toxic, clean = votes == 1, votes == -1
-        q = np.where(labels == 1, label_accuracy, 1 - label_accuracy)
-        share = np.ones(m)
-        self.prior = max(labels.mean(), 1e-3)
+    """Hidden class, its prior, voters' rates per class, and their correlations (EM).
+
+    ``labels`` (0 or 1 a row) are one more voter, which always votes; its rates in
+    either class are estimated like the others', with a prior of ``LABEL_SEEN`` rows of
+    which nine in ten are right. Without labels the class starts from the votes' majority.
+    """
+
+    def __init__(self, votes: np.ndarray, labels: np.ndarray | None = None, rounds: int = 50):
+        cast = [(votes == v).astype(float) for v in (1, -1, 0)]
+        q = np.where(votes.sum(axis=1, dtype=np.int64) > 0 if labels is None else labels == 1, 0.9, 0.1)
         for step in range(rounds):
-            rate = []
-            for w in (1 - q, q):
-                total = w.sum()
-                rate.append((((w @ toxic) + 0.3) / (total + 1), ((w @ clean) + 0.3) / (total + 1)))
             self.prior = float(np.clip(q.mean(), 1e-3, 0.999))
-            if step in (3, 10):
-                share = self._shares(votes, q)
-            evidence = np.zeros(n)
-            for k in range(m):
-                (t0, c0), (t1, c1) = ((r[0][k], r[1][k]) for r in rate)
-                none = np.log(max(1 - t1 - c1, 1e-6) / max(1 - t0 - c0, 1e-6))
-                evidence += share[k] * np.where(toxic[:, k], np.log(t1 / t0), np.where(clean[:, k], np.log(c1 / c0), none))
-            label = np.where(labels == 1, 1, -1) * np.log(label_accuracy / (1 - label_accuracy))
-            z = evidence + label
-            q = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        self.posterior, self.share, self.rates = q, share, rate
+            self.rates = [[(w @ c + k) / (w.sum() + 1) for c, k in zip(cast, (0.3, 0.3, 0.4), strict=True)] for w in (1 - q, q)]
+            self.share = self._shares(votes, q) if step >= 2 else np.ones(votes.shape[1])
+            z = np.log(self.prior / (1 - self.prior)) + sum(
+                c @ (self.share * np.log(in_toxic / in_clean)) for c, in_clean, in_toxic in zip(cast, *self.rates, strict=True))
+            if labels is not None:
+                self.label_right = tuple((w @ (labels == y) + 0.9 * LABEL_SEEN) / (w.sum() + LABEL_SEEN)
+                                         for y, w in ((0, 1 - q), (1, q)))
+                clean, toxic = self.label_right
+                z += np.where(labels == 1, np.log(toxic / (1 - clean)), np.log((1 - toxic) / clean))
+            last, q = q, 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            if step > 2 and np.abs(q - last).max() < 1e-6:
+                break
+        self.posterior = q
 
     @staticmethod
     def _shares(votes: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -194,17 +200,17 @@ class LabelModel:
         return 1 / np.maximum(np.where(total > 0.2, total, 0).sum(axis=1), 1)
 
 
-def logistic(x: np.ndarray, target: np.ndarray, penalty: float = 1.0, rounds: int = 40) -> np.ndarray:
+def logistic(x: np.ndarray, target: np.ndarray, weight: np.ndarray, penalty: float = 1.0, rounds: int = 40) -> np.ndarray:
     """Weights (the last one the bias) of a penalised logistic regression on
-    soft targets, by Newton's method."""
+    soft targets of weighted rows, by Newton's method."""
     x = np.concatenate((x, np.ones((len(x), 1))), axis=1)
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - target) + ridge * w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), g)
+        g = x.T @ (weight * (p - target)) + ridge * w
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge), g)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -228,6 +234,8 @@ def _hashes(text: str | None) -> np.ndarray:
 def mine(texts: list, labels: np.ndarray, most: int = MINED) -> list[int]:
     """Hashes of words and stems that occur in many more toxic than clean texts."""
     toxic = [_hashes(t) for t, y in zip(texts, labels.tolist(), strict=True) if y]
+    if not toxic:
+        return []
     n1, n0 = max(len(toxic), 1), max(int((labels == 0).sum()), 1)
     words, k = np.unique(np.concatenate(toxic), return_counts=True)
     often = (k >= max(MINED_SUPPORT, 0.01 * n1)) & (words != 0)
@@ -244,19 +252,40 @@ def mine(texts: list, labels: np.ndarray, most: int = MINED) -> list[int]:
     return [int(w) for w in words[best[worth[best] > 0]]]
 
 
+def _posteriors(texts: list, labels: np.ndarray) -> np.ndarray:
+    """Posterior labels, in two halves: the words that vote on a half are mined from the
+    other one, so that they do not repeat the labels they stand beside."""
+    half = np.zeros(len(labels), np.int64)
+    for y in (0, 1):
+        at = np.flatnonzero(labels == y)
+        half[at] = np.arange(len(at)) % 2
+    out = np.zeros(len(labels))
+    for h in (0, 1):
+        here, other = np.flatnonzero(half == h), np.flatnonzero(half != h)
+        if len(here):
+            voters = Voters(mine([texts[i] for i in other], labels[other]))
+            out[here] = LabelModel(voters.votes(voters.look([texts[i] for i in here])), labels[here]).posterior
+    return out
+
+
 def train(texts: list, labels) -> Model:
     labels = np.asarray(labels, np.int64)
     distinct = dict.fromkeys(zip(texts, labels.tolist(), strict=True))  # copies would vote many times
     texts, labels = [t for t, _ in distinct], np.array([y for _, y in distinct], np.int64)
-    if len(set(labels.tolist())) < 2:
+    if not texts:
         voters = Voters([])
-        w = np.zeros(voters.words + 7)
-        w[: voters.seeds], w[-1] = 2.0, -3.0
+        w = np.zeros(voters.features(voters.look([""])).shape[1] + 1)
+        w[: voters.seeds], w[-1] = UNTRAINED
         return Model(voters, w)
-    voters = Voters(mine(texts, labels))
-    x = voters.look(texts)
-    posterior = LabelModel(voters.votes(x), labels).posterior
-    return Model(voters, logistic(voters.features(x), posterior))
+    if len(set(labels.tolist())) < 2:  # such labels tell nothing: the voters alone
+        voters = Voters([])
+        posterior = LabelModel(voters.votes(voters.look(texts))).posterior
+    else:
+        voters = Voters(mine(texts, labels))
+        posterior = _posteriors(texts, labels)
+    share = float(np.clip(posterior.mean(), 1e-3, 0.999))
+    weight = 0.5 * (posterior / share + (1 - posterior) / (1 - share))  # the classes weigh alike
+    return Model(voters, logistic(voters.features(voters.look(texts)), posterior, weight))
 
 
 def held_out(doc_id: Column) -> Column:

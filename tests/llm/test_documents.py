@@ -1,6 +1,7 @@
 """Operators on documents against plain versions: packing (3), toxicity (4),
 token files (5), mixing (6) and the n-gram join (10)."""
 
+import math
 import random
 import re
 from zlib import crc32
@@ -302,3 +303,66 @@ def test_ngram_join_of_nothing(spark):
     got = ngram_join.near_duplicates(documents(spark, [(None, "a b", "s"), (4, None, "s"), (None, "a b", "s")])).collect()
     assert sorted((r.doc_id or 0, r.n_shingles, r.component_id, r.n_links) for r in got if r.doc_id) == [(4, 0, 4, 0)]
     assert [(r.n_shingles, r.component_id, r.n_links) for r in got if r.doc_id is None] == [(1, None, 1)] * 2
+
+
+def plain_label_model(votes, labels, rounds):
+    """Expectation maximisation, one row and one voter at a time."""
+    n, m = len(votes), len(votes[0])
+    q = [0.9 if y else 0.1 for y in labels]
+    for step in range(rounds):
+        prior, by_class = min(max(sum(q) / n, 1e-3), 0.999), ([1 - x for x in q], q)
+        rate = [[{v: (sum(wi for wi, row in zip(w, votes) if row[k] == v) + {1: 0.3, -1: 0.3, 0: 0.4}[v]) / (sum(w) + 1) for v in (1, -1, 0)}
+                 for k in range(m)] for w in by_class]
+        right = [(sum(wi for wi, y in zip(w, labels) if y == c) + 0.9 * toxicity.LABEL_SEEN) / (sum(w) + toxicity.LABEL_SEEN)
+                 for c, w in enumerate(by_class)]
+        share = [1.0] * m
+        if step >= 2:
+            most = [[0.0] * m for _ in range(m)]
+            for w in by_class:
+                mean = [sum(wi * row[k] for wi, row in zip(w, votes)) / sum(w) for k in range(m)]
+                cov = [[sum(wi * (row[i] - mean[i]) * (row[j] - mean[j]) for wi, row in zip(w, votes)) / sum(w) for j in range(m)]
+                       for i in range(m)]
+                for i in range(m):
+                    for j in range(m):
+                        most[i][j] = max(most[i][j], cov[i][j] / math.sqrt(cov[i][i] * cov[j][j]))
+            share = [1 / (1 + sum(most[k][j] for j in range(m) if j != k and most[k][j] > 0.2)) for k in range(m)]
+        new = []
+        for row, y in zip(votes, labels):
+            z = math.log(prior / (1 - prior)) + sum(share[k] * math.log(rate[1][k][v] / rate[0][k][v]) for k, v in enumerate(row))
+            z += math.log(right[1] / (1 - right[0])) if y else math.log((1 - right[1]) / right[0])
+            new.append(1 / (1 + math.exp(-min(max(z, -30), 30))))
+        q = new
+    return q, prior, right, share
+
+
+def test_label_model_equals_a_plain_one():
+    rng = random.Random(8)
+    votes, labels = [], []
+    for i in range(120):
+        hidden = i % 5 == 0
+        say = lambda p1, p0, v: v if rng.random() < (p1 if hidden else p0) else 0
+        first = say(0.8, 0.1, 1)
+        votes.append([first, first if rng.random() < 0.9 else 0, say(0.6, 0.05, 1), say(0.2, 0.7, -1), rng.choice([-1, 0, 1])])
+        labels.append(int(hidden) if rng.random() < 0.9 else int(not hidden))
+    for rounds in (1, 2, 4):
+        model = toxicity.LabelModel(np.array(votes, np.int8), np.array(labels), rounds)
+        q, prior, right, share = plain_label_model(votes, labels, rounds)
+        assert np.allclose(model.posterior, q, atol=1e-9) and abs(model.prior - prior) < 1e-9
+        assert np.allclose(model.label_right, right) and np.allclose(model.share, share)
+    done = toxicity.LabelModel(np.array(votes, np.int8), np.array(labels))
+    truth = np.arange(120) % 5 == 0
+    assert ((done.posterior > 0.5) == truth).mean() > (np.array(labels) == truth).mean()  # better than the labels alone
+    assert done.share[0] < 0.75 and done.share[1] < 0.75  # one voter repeats the other
+
+
+def test_toxicity_with_one_class_or_no_label():
+    rude, kind = "you are a stupid idiot and a worthless clown , loser {}", "the garden is green and the river runs by the town {}"
+    texts = [(rude if i % 5 == 0 else kind).format(i) for i in range(100)]
+    for one in (0, 1):  # labels of one class tell nothing; the voters do
+        s = toxicity.train(texts, [one] * 100).score([rude, kind, "", None])
+        assert s[0] > 0.5 > s[1] and s[2] < 0.5 and s[2] == s[3]
+    s = toxicity.train([], []).score([rude, kind, ""])
+    assert s[0] > 0.5 > s[1] and s[2] < 0.5
+    for n in (7, 20):  # few rows
+        s = toxicity.train(texts[:n], [int(i % 5 == 0) for i in range(n)]).score([rude, kind])
+        assert ((0 <= s) & (s <= 1)).all() and (n == 7 or s[0] > 0.5 > s[1])
