@@ -24,8 +24,8 @@ from oddsline.operators import process as P
 from oddsline.schemas import LEDGER
 from oddsline.session import reliable_checkpoint
 from oddsline.sources.files import (
-    commit_file, committed_rows, compact_parts, list_dir, part_paths, promote_run_tables, read_text, write_versioned,
-    write_with_manifest,
+    commit_file, committed_rows, compact_parts, list_dir, part_paths, promote_run_tables, read_text, validate_columns,
+    write_versioned, write_with_manifest,
 )
 
 log = logging.getLogger("oddsline.stages")
@@ -63,6 +63,9 @@ def process_stage(spark: SparkSession, out_dir: str, manifest_path: str, prices:
     unknown = set(steps) - set(STEPS)
     if unknown:
         raise ValueError(f"unknown steps {sorted(unknown)}; known: {STEPS}")
+    for kind, table in (("prices", prices), ("markets", markets), ("trades", trades)):
+        if table is not None:
+            validate_columns(P.normalize_prices(table) if kind == "prices" else table, kind)
     res = ProcessResult()
     out = out_dir.rstrip("/")
     if "join" in steps and prices is not None and markets is not None:

@@ -293,19 +293,83 @@ def classify_columns(cols) -> str:
     return "unknown"
 
 
+def _data_files(spark: SparkSession, directory: str) -> list[tuple[str, str | None]]:
+    """(path, one data file) of every ``*.parquet`` of a directory, in name order. A table
+    that is a folder shows the first data file found below it; None where it has none."""
+    fs, p = _fs(spark, f"{directory}/*.parquet")
+    out = []
+    for st in fs.globStatus(p) or []:  # one listing; a further one per folder
+        path, file = st.getPath().toString(), None
+        if st.isDirectory():
+            below = fs.listFiles(st.getPath(), True)
+            while file is None and below.hasNext():
+                name = below.next().getPath().toString()
+                file = name if not any(x[:1] in "._" for x in name[len(path):].strip("/").split("/")) else None
+        else:
+            file = path
+        out.append((path, file))
+    return sorted(out)
+
+
+def classify_files(spark: SparkSession, directory: str) -> DataFrame:
+    """pos (in name order), path, kind and error of every Parquet file of a directory.
+
+    The file list is a table and the footers are read in tasks, 64 files a task; the
+    column names then decide the kind. A file that the workers cannot open by its
+    path (a store that only Spark's readers know, a damaged file) has an ``error``
+    and no kind.
+    """
+    def names(batches):
+        import re
+
+        import pandas as pd
+        import pyarrow.parquet as pq
+        from pyarrow.fs import FileSystem, LocalFileSystem
+
+        for b in batches:
+            rows = []
+            for pos, path, file in zip(b["pos"], b["path"], b["file"], strict=True):
+                found, error = None, None
+                try:
+                    local = file.startswith(("/", "file:"))
+                    fs, name = (LocalFileSystem(), re.sub("^file:/+", "/", file)) if local else FileSystem.from_uri(file)
+                    with fs.open_input_file(name) as f:
+                        found = pq.read_schema(f).names
+                    found += [x.split("=")[0] for x in file[len(path):].split("/")[:-1] if "=" in x]  # partition columns
+                except Exception as e:  # noqa: BLE001
+                    error = str(e)
+                rows.append((pos, path, found, error))
+            yield pd.DataFrame(rows, columns=["pos", "path", "columns", "error"])
+
+    files = [(i, path, file or path) for i, (path, file) in enumerate(_data_files(spark, directory))]
+    rows = spark.createDataFrame(files, "pos long, path string, file string").repartition(max(1, -(-len(files) // 64)))
+    found = rows.mapInPandas(names, "pos long, path string, columns array<string>, error string")
+
+    def has(kind):
+        return F.size(F.array_except(F.array(*map(F.lit, REQUIRED_COLUMNS[kind])), "columns")) == 0
+
+    kind = (F.when(has("markets"), "markets").when(has("prices") | has("prices_v2"), "prices")
+            .when(has("trades"), "trades").otherwise("unknown"))
+    return found.select("pos", "path", F.when(F.col("columns").isNotNull(), kind).alias("kind"), "error")
+
+
 def discover_files(spark: SparkSession, directory: str) -> dict[str, list[str]]:
-    """Classify each parquet file of a directory by its footer's column names;
-    the first markets and first trades file are kept, all prices files, the
-    rest are 'unknown'."""
+    """Files of a directory by kind: the first markets and the first trades file in
+    name order, all prices files; every other one is 'unknown'. One job over the footers
+    and one row of names a file; only files that the workers could not open are
+    tried again through Spark's reader, one by one."""
     out: dict[str, list[str]] = {"markets": [], "prices": [], "trades": [], "unknown": []}
-    for p in glob_paths(spark, f"{directory}/*.parquet"):
-        try:
-            kind = classify_columns(spark.read.parquet(p).columns)
-        except Exception:  # noqa: BLE001
-            kind = "unknown"
+    for r in sorted(classify_files(spark, directory).collect(), key=lambda r: r["pos"]):
+        kind = r["kind"]
+        if kind is None:
+            try:
+                kind = classify_columns(spark.read.parquet(r["path"]).columns)
+            except Exception as e:  # noqa: BLE001
+                log.warning("%s: %s", r["path"], e)
+                kind = "unknown"
         if kind in ("markets", "trades") and out[kind]:
             kind = "unknown"
-        out[kind].append(p)
+        out[kind].append(r["path"])
     return out
 
 

@@ -82,6 +82,47 @@ def test_discover_and_validate(spark, tmp_dir):
         S.validate_columns(spark.createDataFrame([(1,)], "id int"), "markets")
 
 
+def test_footers_of_many_files_are_read_in_one_job(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    kinds = [["token_id", "t", "p"], ["token_id", "timestamp", "price"], ["id", "token_ids"], ["z"]]
+    for i in range(300):
+        pq.write_table(pa.table({c: pa.array([], pa.string()) for c in kinds[i % 4]}), f"{tmp_dir}/f{i:03d}.parquet")
+    with open(f"{tmp_dir}/g_damaged.parquet", "w") as f:
+        f.write("no footer")
+    spark.createDataFrame([("a", 0.5, 1)], "token_id string, p double, t long").write.partitionBy("t").parquet(f"{tmp_dir}/h_days.parquet")
+    os.mkdir(f"{tmp_dir}/i_empty.parquet")
+    sc = spark.sparkContext
+    sc.setJobGroup("footers", "footers")
+    rows = S.classify_files(spark, tmp_dir).collect()
+    jobs = sc.statusTracker().getJobIdsForGroup("footers")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(rows) == 303 and len(jobs) <= 2  # one per shuffle stage and the result, whatever the number of files
+    want = ["prices", "prices", "markets", "unknown"]
+    for r in rows:
+        if r.pos < 300:
+            assert (r.kind, r.error) == (want[r.pos % 4], None)
+    assert {r.pos: r.kind for r in rows if r.pos >= 300} == {300: None, 301: "prices", 302: None}
+    found = S.discover_files(spark, tmp_dir)
+    assert (len(found["prices"]), len(found["markets"]), len(found["trades"])) == (151, 1, 0)
+    assert sum(map(len, found.values())) == 303
+    none = f"{tmp_dir}/none"
+    os.mkdir(none)
+    assert S.discover_files(spark, none) == {"markets": [], "prices": [], "trades": [], "unknown": []}
+
+
+def test_process_stage_refuses_tables_without_their_columns(spark, tmp_dir):
+    from oddsline.plans.stages import process_stage
+
+    prices = spark.createDataFrame([("a", 1, 0.5)], "token_id string, t long, p double")
+    with pytest.raises(ValueError, match="markets data missing"):
+        process_stage(spark, f"{tmp_dir}/out", f"{tmp_dir}/manifest", prices, spark.createDataFrame([(1,)], "id int"))
+    with pytest.raises(ValueError, match="trades data missing"):
+        process_stage(spark, f"{tmp_dir}/out", f"{tmp_dir}/manifest", None, None, spark.createDataFrame([(1,)], "id int"))
+    assert not os.path.exists(f"{tmp_dir}/out")
+
+
 def test_provenance_and_stage_counts(spark):
     df = S.with_provenance(spark.createDataFrame([(1,)], "x int"), "clob", "/book", "2024-02-01 00:00:00")
     assert {"_source_api", "_fetch_timestamp", "_api_endpoint"} <= set(df.columns)
