@@ -1,17 +1,24 @@
 """Op 1. Approximate nearest neighbours: a forest of random-projection trees.
 
 Fit: trees are grown on a bounded sample (the ``SAMPLE`` vectors with the
-least hash of their id). A node's plane is the difference of two random
-members, cut at the median, down to leaves of at most ``LEAF``. The trees are
-shared with all tasks; their size depends on the sample only. Every vector of
-the table is indexed: a task passes its block through all trees.
-
-Search: one priority queue over all trees holds nodes by their distance
-beyond the planes crossed on the way. It pops the nearest, until the leaves
-seen hold ``SHARE`` of the sample (and at least ``LEAST`` of its vectors). The
-candidates are all rows of the table in those leaves; their exact cosines, in
-double precision, decide. Neighbours in a few hundred noisy dimensions are
-hard for any tree, so SHARE is large; recall is measured in the tests.
+least hash of their id), each by a task of its own. A node's plane is the
+difference of two random members, cut at the median, down to leaves of about
+``LEAF`` members; a plane is kept as the numbers of its two members, so the
+forest is small. The trees are shared with all tasks; their size depends on
+the sample only.
+
+Index: vectors are dealt into blocks (see ``vectors``). Every block is passed
+through all trees once and keeps, per tree, its rows in order of their leaves:
+the shard of the index that a search reads. Blocks have a bounded size, so a
+leaf of a shard has as few rows as one of the sample, however large the table.
+
+Search: each query is searched once, by one priority queue over all trees. It
+holds nodes by their distance beyond the planes crossed on the way and pops
+the nearest, until the leaves seen hold ``SHARE`` of the sample (and at least
+``LEAST`` of its vectors, so that some are found in tiny tables). The
+candidates are all rows of all shards in those leaves; their exact cosines, in
+double precision, decide. Many small leaves find more than few large ones: the
+same share of the rows lies closer to the query. Recall is measured in the tests.
 
 Defined cases: null vectors, zero vectors and vectors with null or non-finite
 components take no part; dimensions that a vector lacks count 0; ties go to
@@ -25,13 +32,15 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oddsline.llm.vectors import best_of, matrix, search, usable
 
-TREES, LEAF, SAMPLE = 24, 48, 8192
-SHARE, LEAST = 0.55, 2048
+TREES, LEAF, SAMPLE = 128, 8, 8192
+SHARE, LEAST = 0.35, 256
+ROWS = 512  # projected at once
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -42,95 +51,104 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.where(length > 0, length, 1)
 
 
-class Tree:
-    """Planes in arrays; a child below 0 is leaf -child-1."""
-
-    def __init__(self, sample: np.ndarray, rng: np.random.Generator, leaf: int):
-        self.normal, self.cut, self.child, self.leaves = [], [], [], 0
-        self.root = self._grow(sample, np.arange(len(sample)), rng, leaf)
-        self.normal = np.array(self.normal).reshape(-1, sample.shape[1])
-        self.cut = np.array(self.cut)
-
-    def _leaf(self) -> int:
-        self.leaves += 1
-        return -self.leaves
-
-    def _grow(self, sample, members, rng, leaf):
-        if len(members) <= leaf:
-            return self._leaf()
-        for _ in range(8):
-            a, b = sample[rng.choice(members, 2, replace=False)]
-            p = sample[members] @ (a - b)
-            cut = np.median(p)
-            right = p > cut
-            if right.any():
-                break
-        else:
-            return self._leaf()  # (nearly) all alike
-        node = len(self.cut)
-        self.normal.append(a - b)
-        self.cut.append(cut)
-        self.child.append([0, 0])
-        self.child[node] = [self._grow(sample, members[~right], rng, leaf), self._grow(sample, members[right], rng, leaf)]
-        return node
+def grow(sample: np.ndarray, depth: int, seed: int) -> tuple[np.ndarray, ...]:
+    """One tree, all nodes of a level at once: its planes' two members and cuts, numbered
+    as in a heap (the children of k are 2k + 1 and 2k + 2), and the leaf of every member."""
+    rng = np.random.default_rng(seed)
+    nodes = (1 << depth) - 1
+    a, b, cut = np.zeros(nodes, np.int32), np.zeros(nodes, np.int32), np.full(nodes, np.inf)
+    node = np.zeros(len(sample), np.int64)
+    for _ in range(depth):
+        shuffled = np.lexsort((rng.random(len(sample)), node))
+        at, start, count = np.unique(node[shuffled], return_index=True, return_counts=True)
+        a[at], b[at] = shuffled[start], shuffled[start + (count > 1)]
+        side = ((sample[a[at]] - sample[b[at]])[np.searchsorted(at, node)] * sample).sum(axis=1)
+        cut[at] = side[np.lexsort((side, node))[start + (count - 1) // 2]]
+        node = 2 * node + 1 + (side > cut[node])
+    return a, b, cut, (node - nodes).astype(np.int32)
+
+
+class Forest:
+    """Planes of all trees in arrays of (tree, node); no node has more than two children."""
+
+    def __init__(self, sample: np.ndarray, depth: int, trees: list[tuple[np.ndarray, ...]]):
+        self.sample, self.depth = sample, depth
+        self.a, self.b, self.cut, leaf = (np.stack(x) for x in zip(*trees, strict=True))
+        self.trees, self.leaves, self.nodes = len(trees), 1 << depth, (1 << depth) - 1
+        self.members, self.first = shard(leaf, self.leaves)
+        length = np.stack([np.sqrt(((sample[a] - sample[b]) ** 2).sum(axis=1)) for a, b in zip(self.a, self.b, strict=True)])
+        self.length = np.where(length > 0, length, 1)
+
+    def fitted(self, m: np.ndarray) -> np.ndarray:
+        """Rows at length 1, as wide as the sample."""
+        width, m = self.sample.shape[1], unit(m)
+        return m[:, :width] if m.shape[1] >= width else np.pad(m, ((0, 0), (0, width - m.shape[1])))
 
     def leaf_of(self, v: np.ndarray) -> np.ndarray:
-        """Leaf number of every row."""
-        out = np.zeros(len(v), np.int32)
-        todo = [(self.root, np.arange(len(v)))]
-        while todo:
-            node, at = todo.pop()
-            if node < 0:
-                out[at] = -node - 1
-            elif len(at):
-                right = v[at] @ self.normal[node] > self.cut[node]
-                todo += [(self.child[node][0], at[~right]), (self.child[node][1], at[right])]
+        """Leaf numbers (tree, row) of fitted rows."""
+        out, tree = np.zeros((self.trees, len(v)), np.int32), np.arange(self.trees)[:, None]
+        for at in range(0, len(v), ROWS):
+            near = self.sample @ v[at : at + ROWS].T  # a plane's side is the difference of two of these
+            row, node = np.arange(near.shape[1])[None, :], np.zeros((self.trees, near.shape[1]), np.int64)
+            for _ in range(self.depth):
+                a, b, cut = self.a[tree, node], self.b[tree, node], self.cut[tree, node]
+                node = 2 * node + 1 + (near[a, row] - near[b, row] > cut)
+            out[:, at : at + ROWS] = node - self.nodes
         return out
 
-
-class Forest:
-    def __init__(self, sample: np.ndarray, trees: int = TREES, leaf: int = LEAF, seed: int = 7):
-        rng = np.random.default_rng(seed)
-        self.width, self.size = sample.shape[1], len(sample)
-        self.trees = [Tree(sample, rng, leaf) for _ in range(trees)]
-        self.members = []  # of the sample, per tree and leaf
-        for t in self.trees:
-            where = t.leaf_of(sample)
-            order = np.argsort(where, kind="stable")
-            self.members.append(np.split(order, np.cumsum(np.bincount(where, minlength=t.leaves))[:-1]))
-
-    def probe(self, q: np.ndarray, share: float, least: int) -> list[np.ndarray]:
-        """For one query: which leaves of each tree to look into."""
-        seen = [np.zeros(t.leaves, bool) for t in self.trees]
-        sides = [t.normal @ q - t.cut for t in self.trees]
-        queue = [(0.0, k, t.root) for k, t in enumerate(self.trees)]
-        covered, want = np.zeros(self.size, bool), max(share * self.size, min(least, self.size))
-        have = 0
+    def probe(self, q: np.ndarray, share: float, least: int) -> list[int]:
+        """The leaves (tree * leaves + leaf) to look into for one fitted query."""
+        near, size = self.sample @ q, len(self.sample)
+        side = (near[self.a] - near[self.b] - self.cut) / self.length
+        right, away_of = side > 0, np.abs(side)
+        queue = [(0.0, k, 0) for k in range(self.trees)]
+        covered, want, have, seen = np.zeros(size, bool), max(share * size, min(least, size)), 0, []
         while queue and have < want:
             away, k, node = heapq.heappop(queue)
-            if node < 0:
-                seen[k][-node - 1] = True
-                m = self.members[k][-node - 1]
-                have += int((~covered[m]).sum())
-                covered[m] = True
-                continue
-            side = sides[k][node]
-            near = int(side > 0)
-            child = self.trees[k].child[node]
-            heapq.heappush(queue, (away, k, child[near]))
-            heapq.heappush(queue, (max(away, abs(side)), k, child[1 - near]))
+            while node < self.nodes:  # the near side is as near as the node itself
+                child = 2 * node + 1 + int(right[k, node])
+                heapq.heappush(queue, (max(away, float(away_of[k, node])), k, 4 * node + 3 - child))
+                node = child
+            leaf = k * self.leaves + node - self.nodes
+            seen.append(leaf)
+            m = self.members[self.first[leaf] : self.first[leaf + 1]]
+            have += int((~covered[m]).sum())
+            covered[m] = True
         return seen
 
 
-def fit(vectors: DataFrame, sample_rows: int = SAMPLE, trees: int = TREES, leaf: int = LEAF) -> Forest | None:
+def shard(leaf: np.ndarray, leaves: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in order of (tree, leaf), and where each leaf's rows begin."""
+    trees, rows = leaf.shape
+    code = leaf + np.arange(trees)[:, None] * leaves
+    order = np.argsort(leaf, axis=1, kind="stable").astype(np.int32).ravel()
+    return order, np.concatenate(([0], np.cumsum(np.bincount(code.ravel(), minlength=trees * leaves)))).astype(np.int32)
+
+
+def fit(vectors: DataFrame, sample_rows: int = SAMPLE, trees: int = TREES, leaf: int = LEAF, seed: int = 7) -> Forest | None:
     """The forest of a (vec_id, v) table, grown on a bounded sample; None if it is empty."""
+    spark = vectors.sparkSession
     rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toPandas()
     if not len(rows):
         return None
     lengths = np.array([len(v) for v in rows["v"]], "<i4")
     _, sample = matrix(rows["vec_id"].to_numpy("<i8").tobytes(), lengths.tobytes(),
                        np.concatenate([np.asarray(v, "<f8") for v in rows["v"]]).tobytes())
-    return Forest(unit(sample), trees, leaf)
+    sample = unit(sample)
+    depth = max(0, int(np.ceil(np.log2(len(sample) / leaf))))
+    shared = spark.sparkContext.broadcast(sample)  # at most sample_rows vectors
+
+    def run(pdfs):
+        for pdf in pdfs:
+            for k in pdf["id"]:
+                a, b, cut, at = grow(shared.value, depth, seed * 1_000_003 + int(k))
+                yield pd.DataFrame({"tree": [k], "a": [a.tobytes()], "b": [b.tobytes()], "cut": [cut.tobytes()], "at": [at.tobytes()]})
+
+    grown = spark.range(0, trees, 1, max(1, trees // 8)).mapInPandas(
+        run, "tree long, a binary, b binary, cut binary, at binary").toPandas().sort_values("tree")
+    shared.destroy()
+    return Forest(sample, depth, [(np.frombuffer(r.a, np.int32), np.frombuffer(r.b, np.int32), np.frombuffer(r.cut),
+                                   np.frombuffer(r.at, np.int32)) for r in grown.itertuples()])
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 50, k: int = 5,
@@ -140,22 +158,28 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     forest = forest or fit(some)
     shared = vectors.sparkSession.sparkContext.broadcast(forest)  # bounded by the sample
 
-    def score(q_ids, q, ids, v):
+    def index(v):
         f = shared.value
-        q, v = unit(q), unit(v)
-
-        def fitted(m):  # the sample's width
-            return m[:, : f.width] if m.shape[1] >= f.width else np.pad(m, ((0, 0), (0, f.width - m.shape[1])))
+        order, first = shard(f.leaf_of(f.fitted(v)), f.leaves)
+        return order.tobytes() + first.tobytes()
 
-        qf, vf = fitted(q), fitted(v)
-        leaf = [t.leaf_of(vf) for t in f.trees]
+    def probe(q):
+        f = shared.value
+        seen = [f.probe(x, share, least) for x in f.fitted(q)]
+        return np.concatenate([[len(s) for s in seen], *seen]).astype(np.int32).tobytes()
+
+    def score(q_ids, q, ids, v, probed, indexed):
+        q, v, n = unit(q), unit(v), shared.value.trees * len(ids)
+        order, first = np.frombuffer(indexed, np.int32, n), np.frombuffer(indexed, np.int32, offset=4 * n)
+        counts = np.frombuffer(probed, np.int32, len(q_ids))
+        leaves = np.split(np.frombuffer(probed, np.int32, offset=4 * len(q_ids)), np.cumsum(counts)[:-1])
         a, b, s = [], [], []
-        for r in range(len(q)):
-            candidate = ids != q_ids[r]
+        for r, leaf in enumerate(leaves):
+            size = first[leaf + 1] - first[leaf]
+            rows = order[np.repeat(first[leaf + 1] - np.cumsum(size), size) + np.arange(size.sum())]
             looked = np.zeros(len(v), bool)
-            for seen, where in zip(f.probe(qf[r], share, least), leaf, strict=True):
-                looked |= seen[where]
-            at = np.flatnonzero(candidate & looked)
+            looked[rows] = True
+            at = np.flatnonzero(looked & (ids != q_ids[r]))
             cosine = (v[at] * q[r]).sum(axis=1)
             top = best_of(cosine, ids[at], k)
             a += [r] * len(top)
@@ -163,4 +187,4 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
             s += cosine[top].tolist()
         return np.array(a, int), np.array(b, int), np.array(s, float)
 
-    return search(some, F.col("vec_id") % every == 0, score, "double", k, **blocks)
+    return search(some, F.col("vec_id") % every == 0, score, "double", k, index=index, probe=probe, **blocks)

@@ -58,19 +58,34 @@ def matrix(ids: bytes, lengths: bytes, data: bytes) -> tuple[np.ndarray, np.ndar
     return ids, out
 
 
+def _made(blocks: DataFrame, make: Callable | None) -> DataFrame:
+    """Blocks with what ``make`` gives for their vectors, in the column ``made`` (null without one)."""
+    if make is None:
+        return blocks.withColumn("made", F.lit(None).cast("binary"))
+
+    def run(pdfs):
+        for pdf in pdfs:
+            yield pdf.assign(made=[make(matrix(r.ids, r.lengths, r.data)[1]) for r in pdf.itertuples(index=False)])
+
+    return blocks.mapInPandas(run, "block int, ids binary, lengths binary, data binary, made binary")
+
+
 def search(vectors: DataFrame, is_query, score: Callable, score_type: str, k: int = 5,
-           block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+           block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, index: Callable | None = None,
+           probe: Callable | None = None) -> DataFrame:
     """The ``k`` best rows per query: query_id, rank, vec_id, score.
 
     ``score(query ids, queries, ids, rows)`` yields (query index, row index,
     score) arrays that hold at least each query's ``k`` best of the block.
+    With ``index(rows)`` and ``probe(queries)``, bytes made once per block,
+    it takes probe's and index's of the two blocks as well.
     """
     count, queries = vectors.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     blocks, query_blocks = max(1, -(-count // block_rows)), max(1, -(-queries // query_rows))
-    rows = blocked(vectors, blocks)
-    asked = blocked(vectors.where(is_query), query_blocks).select(
+    rows = _made(blocked(vectors, blocks), index)
+    asked = _made(blocked(vectors.where(is_query), query_blocks), probe).select(
         F.col("ids").alias("q_ids"), F.col("lengths").alias("q_lengths"), F.col("data").alias("q_data"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        F.col("made").alias("q_made"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
     def run(pdfs):
         for pdf in pdfs:
@@ -79,7 +94,7 @@ def search(vectors: DataFrame, is_query, score: Callable, score_type: str, k: in
                 ids, v = matrix(r.ids, r.lengths, r.data)
                 width = max(q.shape[1], v.shape[1])
                 q, v = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, v))
-                a, b, s = score(q_ids, q, ids, v)
+                a, b, s = score(q_ids, q, ids, v, *((r.q_made, r.made) if index else ()))
                 yield pd.DataFrame({"query_id": q_ids[a], "vec_id": ids[b], "score": s})
 
     found = asked.join(rows, "block").drop("block").mapInPandas(run, f"query_id long, vec_id long, score {score_type}")
