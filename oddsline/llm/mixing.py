@@ -10,10 +10,12 @@ successive shortest paths; only these aggregates reach the driver.
 Documents of a pattern are then chosen in a seeded order: everything is taken
 as often as the flow fills whole passes, and for the rest, documents are dealt
 into seeded buckets whose sizes are summed up; buckets before the boundary are
-taken whole, and the bucket at the boundary is filled document by document.
-What that bucket cannot place goes on to the next buckets in the same way,
-until it is below the smallest document left. Every step is an aggregation of
-the buckets' sums and one small grouped step, whatever the size of a source.
+taken whole, and the bucket at the boundary is filled document by document;
+then documents of it are exchanged for others of it that fill the target
+better. What that bucket cannot place goes on to the next buckets in the same
+way, until it is below the smallest document left. Every step is an
+aggregation of the buckets' sums (in two levels, so that no task holds all
+buckets of a source) and one small grouped step, whatever the size of a source.
 
 Defined cases: null text has size 0; a null source is a source of its own,
 last in order; documents without any source are not taken; documents of size
@@ -24,6 +26,7 @@ are kept by ``mixed`` and ignored by the query.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 
 import pyarrow as pa
@@ -36,7 +39,7 @@ from oddsline.llm.common import WORD, written
 
 COPIES = 3          # no document is used more often
 BUCKET_ROWS = 256   # documents in a seeded bucket, about
-MAX_BUCKETS = 1 << 16
+PART = 4096         # buckets whose sums are run over in one task
 BROADCAST_ROWS = 100_000  # patterns; beyond, an ordinary join
 
 
@@ -150,7 +153,7 @@ def plan(sized: DataFrame, weight_cycle: tuple[int, ...] = (1, 2, 3), seed: int
     for p, r, f in zip(patterns, rows, flow, strict=True):
         passes, rest = divmod(f, r["size"]) if r["size"] else (0, 0)
         made.append((list(p), int(totals[p[0]]) if p else 0, float(goal[p[0]]) if p else 0.0, int(passes),
-                     int(min(MAX_BUCKETS, -(-r["n"] // BUCKET_ROWS))), int(rest)))
+                     int(-(-r["n"] // BUCKET_ROWS)), int(rest)))
     schema = T.StructType([T.StructField("sources", T.ArrayType(T.StringType())), T.StructField("source_size", T.LongType()),
                            T.StructField("target", T.DoubleType()), T.StructField("passes", T.LongType()),
                            T.StructField("buckets", T.IntegerType()), T.StructField("rest", T.LongType())])
@@ -165,7 +168,7 @@ def plan(sized: DataFrame, weight_cycle: tuple[int, ...] = (1, 2, 3), seed: int
         edge = {}
         for e in _edges(sums, left).collect():  # one row per pattern
             of, at = tuple(e["sources"]), e["edge"]
-            steps[of].append((e["first"], at["bucket"] if at else MAX_BUCKETS, at["rest"] if at else 0))
+            steps[of].append((e["first"], at["bucket"] if at else buckets[of], at["rest"] if at else 0))
             if at and at["rest"] > 0:
                 edge[of] = (at["bucket"], at["rest"])
         left = {of: (edge[of][0] + 1, n) for of, n in _unplaced(sized, edge, buckets, seed).items() if n > 0} if edge else {}
@@ -179,11 +182,15 @@ def _edges(sums: DataFrame, left: dict) -> DataFrame:
     place end with what is left for it (null: all buckets fit)."""
     table = sums.sparkSession.createDataFrame([(list(p), a, n) for p, (a, n) in left.items()],
                                               "sources array<string>, start int, words long")
-    rows = _with(sums, table, len(left)).where("bucket >= start")
-    of = Window.partitionBy("sources")
-    upto = of.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("first", F.min(F.when(F.col("least") <= F.col("words"), F.col("bucket"))).over(of)) \
-        .where("bucket >= first").withColumn("upto", F.sum("size").over(upto))
+    rows = _with(sums, table, len(left)).where("bucket >= start and least <= words")
+    first = rows.groupBy("sources", "words").agg(F.min("bucket").alias("first"))
+    rows = _with(sums, first, len(left)).where("bucket >= first").withColumn("part", F.expr(f"bucket div {PART}"))
+    upto = Window.unboundedPreceding
+    parts = rows.groupBy("sources", "part").agg(F.sum("size").alias("whole")).select(
+        F.col("sources").alias("of"), F.col("part").alias("of_part"), F.coalesce(F.sum("whole").over(
+            Window.partitionBy("sources").orderBy("part").rowsBetween(upto, -1)), F.lit(0)).alias("before"))
+    rows = rows.join(parts, F.col("sources").eqNullSafe(F.col("of")) & (F.col("part") == F.col("of_part"))).withColumn(
+        "upto", F.col("before") + F.sum("size").over(Window.partitionBy("sources", "part").orderBy("bucket").rowsBetween(upto, 0)))
     return rows.groupBy("sources").agg(F.min("first").alias("first"), F.min(F.when(F.col("upto") > F.col("words"), F.struct(
         "bucket", (F.col("words") - F.col("upto") + F.col("size")).alias("rest")))).alias("edge"))
 
@@ -203,13 +210,29 @@ def _unplaced(sized: DataFrame, edge: dict, buckets: dict, seed: int) -> dict:
 
 
 def _fill(table: pa.Table) -> tuple[set[int], int]:
-    """The rows of a bucket that are placed, in seeded order, and the words that are not."""
+    """The rows of a bucket that are placed, in seeded order, and the words that are not.
+
+    As long as it fills more of them, a placed row is exchanged for one that
+    is not: the pair that gains most, the first of equal ones."""
     order, key, size = (table.column(c).to_pylist() for c in ("order", "key", "size"))
     placed, left = set(), table.column("rest")[0].as_py()
-    for i in sorted(range(len(order)), key=lambda i: (order[i], key[i] is not None, key[i] or 0)):
+    turn = sorted(range(len(order)), key=lambda i: (order[i], key[i] is not None, key[i] or 0))
+    for i in turn:
         if 0 < size[i] <= left:
             placed.add(i)
             left -= size[i]
+    while left:
+        inside = sorted((i for i in turn if i in placed), key=size.__getitem__)
+        gain, goes, comes = 0, None, None
+        for j in turn:
+            if j not in placed and size[j] > 0:
+                at = bisect.bisect_left(inside, size[j] - left, key=size.__getitem__)
+                if at < len(inside) and size[j] - size[inside[at]] > gain:
+                    gain, goes, comes = size[j] - size[inside[at]], inside[at], j
+        if not gain:
+            break
+        placed = placed - {goes} | {comes}
+        left -= gain
     return placed, left
 
 

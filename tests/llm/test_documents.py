@@ -7,6 +7,7 @@ import re
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -226,6 +227,36 @@ def test_mixing_places_what_a_long_document_leaves(spark, monkeypatch):
         assert len(got) == len(rows) and all(abs(n) <= 2 for n in missed.values()), (at, missed)
 
 
+def test_mixing_exchanges_documents_at_the_boundary():
+    def fill(sizes, rest):
+        n = len(sizes)
+        return mixing._fill(pa.table({"order": list(range(n)), "key": list(range(n)), "size": sizes, "rest": [rest] * n}))
+
+    assert fill([4, 9, 7], 10) == ({1}, 1)          # 4 goes, 9 comes: nearer than 7
+    assert fill([5, 5, 8, 0], 10) == ({0, 1}, 0)
+    assert fill([4, 6, 6], 11) == ({0, 1}, 1)       # nothing gains
+    assert fill([20, 30], 10) == (set(), 10)
+    rng = random.Random(1)
+    for _ in range(300):
+        sizes, rest = [rng.randint(0, 40) for _ in range(rng.randint(1, 9))], rng.randint(1, 120)
+        placed, left = fill(sizes, rest)
+        assert left == rest - sum(sizes[i] for i in placed) >= 0
+        outside = [z for i, z in enumerate(sizes) if i not in placed and z]
+        assert all(z > left for z in outside)
+        assert all(not 0 < z - sizes[i] <= left for z in outside for i in placed)
+
+
+def test_mixing_runs_over_parts_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 8)
+    rng = random.Random(4)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 30)), rng.choice(["a", "a", "b", None])) for i in range(1500)]
+    sized = mixing.sized(documents(spark, rows))
+    key = lambda r: (r.key, r.copies)
+    whole = sorted(mixing.mixed(sized, mixing.plan(sized)).collect(), key=key)
+    monkeypatch.setattr(mixing, "PART", 3)
+    assert sorted(mixing.mixed(sized, mixing.plan(sized)).collect(), key=key) == whole
+
+
 # ------------------------------------------------------------------ 10
 
 def shingles(text, k=5):
