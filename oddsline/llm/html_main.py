@@ -9,7 +9,11 @@ of link text, and multiplied. Paths above a threshold (a share of the best)
 are content; the content element is the deepest element that holds all of their
 blocks (but for those that are mostly link text), or the ``article`` or
 ``main`` around it, and its blocks are the article, but for link-heavy ones
-outside the selection.
+outside the selection and for branches of it that hold nothing selected: a
+``div``, ``section`` or the like around running text goes as a whole if every
+block's path (headings aside) has a ratio below the threshold times the best path's,
+so a teaser amid the article goes and a short paragraph beside the chosen
+ones, a wrapped heading, list, table or figure stays.
 
 Elements that are no article by their meaning (scripts, styles, menus,
 headers and footers of the page, sidebars, forms, and elements with a class or
@@ -71,6 +75,8 @@ _LEAVES = HEADINGS | {"p", "li", "td", "th", "tr", "ul", "ol", "pre", "blockquot
 _ROOTS = {"article", "main"}
 _REPEATS = {"li", "dt", "dd", "tr", "td", "th", "option"}
 _NEVER_BOILERPLATE = {"html", "body", "article", "main"}
+_BRANCHES = {"div", "section", "center", "details", "fieldset"}  # by themselves they say nothing of what they hold
+_STRUCTURED = {"table", "pre", "blockquote", "figure", "dl", "ul", "ol"}
 _KEEPS_HEADER = {"article", "main", "section"}
 
 THRESHOLD = 0.1   # of the best path's score
@@ -288,15 +294,21 @@ def _smooth(values: list[float]) -> list[float]:
     return out
 
 
-def scores(blocks: list[tuple]) -> tuple[list[tuple], list[float]]:
-    """Every block's path, and the fused score of every block."""
-    paths = [_path(e) for e, _, _ in blocks]
+def _tally(blocks: list[tuple], paths: list[tuple]) -> tuple[dict, dict, dict, dict]:
+    """Per path: characters of text, punctuation, nodes, characters of link text."""
     length, marks, nodes, links = {}, {}, {}, {}
     for p, (_, text, linked) in zip(paths, blocks, strict=True):
         length[p] = length.get(p, 0) + len(text)
         marks[p] = marks.get(p, 0) + sum(map(text.count, _PUNCTUATION))
         nodes[p] = nodes.get(p, 0) + 1
         links[p] = links.get(p, 0) + linked
+    return length, marks, nodes, links
+
+
+def scores(blocks: list[tuple]) -> tuple[list[tuple], list[float]]:
+    """Every block's path, and the fused score of every block."""
+    paths = [_path(e) for e, _, _ in blocks]
+    length, marks, nodes, links = _tally(blocks, paths)
     text_ratio = _smooth([length[p] / nodes[p] for p in paths])
     mark_ratio = _smooth([marks[p] / nodes[p] for p in paths])
     prior = [2.0 if any(n.split(".")[0] in _ROOTS for n in p) else 1.0 for p in paths]
@@ -304,6 +316,34 @@ def scores(blocks: list[tuple]) -> tuple[list[tuple], list[float]]:
     return paths, [t * math.log1p(1 + m) * w * f for t, m, w, f in zip(text_ratio, mark_ratio, prior, free, strict=True)]
 
 
+def ratios(blocks: list[tuple], paths: list[tuple]) -> dict[tuple, float]:
+    """Every path's own fused ratio, not smoothed: text and punctuation per node, less its links."""
+    length, marks, nodes, links = _tally(blocks, paths)
+    return {p: length[p] / n * math.log1p(1 + marks[p] / n) * (1 - min(1.0, links[p] / max(length[p], 1))) for p, n in nodes.items()}
+
+
+def _low_branches(blocks: list[tuple], paths: list[tuple], chosen: set, root: _Element) -> set[int]:
+    """Numbers of the branches inside ``root`` without a chosen block whose paths all have low ratios."""
+    holds = {root.number}  # elements that hold a chosen block
+    for p, (e, _, _) in zip(paths, blocks, strict=True):
+        while p in chosen and e is not None and e.number not in holds:
+            holds.add(e.number)
+            e = e.parent
+    ratio = ratios(blocks, paths)
+    least = THRESHOLD * max(ratio.values())
+    low: dict[int, bool] = {}
+    for p, (e, _, _) in zip(paths, blocks, strict=True):
+        inside, x = [], e
+        while x is not None and x.number not in holds:
+            inside.append(x)
+            x = x.parent
+        if inside and inside[-1].tag in _BRANCHES:
+            tags, number = {x.tag for x in inside}, inside[-1].number
+            if not tags & HEADINGS:
+                low[number] = low.get(number, True) and ratio[p] < least and not tags & _STRUCTURED
+    return {n for n, is_low in low.items() if is_low}
+
+
 def main_text(html: str | None) -> str:
     """The article's text of a page."""
     if not html:
@@ -342,9 +382,10 @@ def main_text(html: str | None) -> str:
             x = y
             break
         y = y.parent
+    low = _low_branches(blocks, paths, chosen, x)
     out = []
     for p, (e, text, linked) in zip(paths, blocks, strict=True):
-        if not _inside(e, x.number):
+        if not _inside(e, {x.number}) or _inside(e, low):
             continue
         if p not in chosen and linked > LINKS * len(text):
             continue
@@ -352,9 +393,9 @@ def main_text(html: str | None) -> str:
     return "\n".join(out)
 
 
-def _inside(e, number: int) -> bool:
+def _inside(e, numbers: set[int]) -> bool:
     while e is not None:
-        if e.number == number:
+        if e.number in numbers:
             return True
         e = e.parent
     return False

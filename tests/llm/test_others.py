@@ -157,6 +157,21 @@ def test_main_text():
     assert html_main.main_text(f"<article><p>{long}</p></article>") == long.strip()
 
 
+@pytest.mark.parametrize("around", ["article", "div", "main"])
+def test_main_text_leaves_out_low_branches(around):
+    long = "The council met on Monday, and after long debate it agreed; the plan, it said, will begin in May. " * 3
+    want = ["Title", *[long.strip()] * 3, "Short.", "Wrapped", long.strip(), "one", "a"]
+    body = f"<h1>Title</h1><p>{long}</p>{{}}<p>{long}</p><p>{long}</p><p>Short.</p><div class=t><h2>Wrapped</h2></div><p>{long}</p>" \
+           "<div><ul><li>one</li></ul></div><section><table><tr><td>a</td></tr></table></section>"
+    for teaser in ("", "<div class=x>Read our plan</div>", "<section><p>Read our plan</p></section>",
+                   "<div><div><p>More of this</p></div><div><h3>Also read</h3></div></div>"):
+        assert html_main.main_text(f"<body><{around}>{body.format(teaser)}</{around}></body>").split("\n") == want, teaser
+    lead = f"<div class=lead>{long}</div>"  # a branch of running text is no teaser
+    assert html_main.main_text(f"<{around}>{lead}<p>{long}</p><p>{long}</p></{around}>").split("\n") == [long.strip()] * 3
+    # Nothing but headings, lists and short lines: all of it stays.
+    assert html_main.main_text(f"<{around}><h1>A</h1><div><p>b</p></div><div><ul><li>c</li></ul></div></{around}>") == "A\nb\nc"
+
+
 def test_main_text_split_over_siblings():
     parts = ["".join(f"<p>Part {s}.{k}: some words, more words, and the end of it.</p>" for k in range(n)) for s, n in ((1, 18), (2, 2))]
     lines = [f"Part {s}.{k}: some words, more words, and the end of it." for s, n in ((1, 18), (2, 2)) for k in range(n)]
