@@ -40,7 +40,8 @@ from oddsline.llm.vectors import best_of, matrix, search, usable
 
 TREES, LEAF, SAMPLE = 128, 8, 8192
 SHARE, LEAST = 0.35, 256
-ROWS = 512  # projected at once
+ROWS = 512        # projected at once
+QUERY_ROWS = 512  # queries searched by one task
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -152,7 +153,8 @@ def fit(vectors: DataFrame, sample_rows: int = SAMPLE, trees: int = TREES, leaf:
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 50, k: int = 5,
-            share: float = SHARE, least: int = LEAST, forest: Forest | None = None, **blocks) -> DataFrame:
+            share: float = SHARE, least: int = LEAST, forest: Forest | None = None, query_rows: int = QUERY_ROWS,
+            **blocks) -> DataFrame:
     """Each query's (vec_id divisible by ``every``) ``k`` nearest rows found, by cosine."""
     some = usable(vectors, id_col, vec_col).where(F.exists("v", lambda x: x != 0))
     forest = forest or fit(some)
@@ -187,4 +189,5 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
             s += cosine[top].tolist()
         return np.array(a, int), np.array(b, int), np.array(s, float)
 
-    return search(some, F.col("vec_id") % every == 0, score, "double", k, index=index, probe=probe, **blocks)
+    return search(some, F.col("vec_id") % every == 0, score, "double", k, query_rows=query_rows,
+                  index=index, probe=probe, **blocks)

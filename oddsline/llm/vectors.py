@@ -83,7 +83,10 @@ def search(vectors: DataFrame, is_query, score: Callable, score_type: str, k: in
     count, queries = vectors.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     blocks, query_blocks = max(1, -(-count // block_rows)), max(1, -(-queries // query_rows))
     rows = _made(blocked(vectors, blocks), index)
-    asked = _made(blocked(vectors.where(is_query), query_blocks), probe).select(
+    asked = blocked(vectors.where(is_query), query_blocks)
+    if probe:  # blocks of queries are small, but searching the index for them is not: one task each
+        asked = asked.repartition(query_blocks, "block")
+    asked = _made(asked, probe).select(
         F.col("ids").alias("q_ids"), F.col("lengths").alias("q_lengths"), F.col("data").alias("q_data"),
         F.col("made").alias("q_made"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 

@@ -83,11 +83,45 @@ def test_forest_edges_and_small_tables_are_exact(spark):
     assert {q: [i for _, i, _ in v] for q, v in got.items()} == {q: [i for _, i, _ in v] for q, v in want.items()}
     for q in want:
         assert [s for *_, s in got[q]] == pytest.approx([s for *_, s in want[q]], abs=1e-12)
+    assert as_dict(forest.nearest(df, block_rows=20, query_rows=2)) == got
     assert forest.nearest(df.where("false")).collect() == []
     same = spark.range(300).select(F.col("id").alias("vec_id"), F.expr("array(1f, 2f)").alias("embedding"))
     assert [i for _, i, _ in as_dict(forest.nearest(same))[50]] == [0, 1, 2, 3, 4]
 
 
+def test_forest_leaves_hold_all_rows_and_probes_go_by_distance():
+    rng = np.random.default_rng(3)
+    sample = forest.unit(rng.normal(size=(300, 5)))
+    depth, trees = 4, 6
+    f = forest.Forest(sample, depth, [forest.grow(sample, depth, k) for k in range(trees)])
+    assert np.diff(f.first).min() >= 18  # cut at medians
+    others = forest.unit(rng.normal(size=(700, 5)))
+    leaves = f.leaf_of(others)
+    for t in range(trees):
+        for k, v in enumerate(others):  # down the tree, plane by plane
+            node = 0
+            for _ in range(depth):
+                side = v @ sample[f.a[t, node]] - v @ sample[f.b[t, node]] - f.cut[t, node]
+                node = 2 * node + 1 + int(side > 0)
+            assert leaves[t, k] == node - f.nodes
+    for q in forest.unit(rng.normal(size=(20, 5))):
+        away = {}  # of every leaf: the farthest plane on the wrong side of the way
+        for t in range(trees):
+            for leaf in range(16):
+                node, far = leaf + f.nodes, 0.0
+                while node:
+                    up = (node - 1) // 2
+                    side = (q @ (sample[f.a[t, up]] - sample[f.b[t, up]]) - f.cut[t, up]) / f.length[t, up]
+                    far, node = far if (side > 0) == (node == 2 * up + 2) else max(far, abs(side)), up
+                away[t * 16 + leaf] = far
+        seen = f.probe(q, 0.5, 0)
+        assert len(set(seen)) == len(seen) and [away[x] for x in seen] == sorted(away[x] for x in seen)
+        assert all(away[x] >= away[seen[-1]] - 1e-12 for x in away if x not in seen)
+        held = [f.members[f.first[x] : f.first[x + 1]] for x in seen]
+        assert len(set(np.concatenate(held))) >= 150 > len(set(np.concatenate(held[:-1])))
+        assert len(set(np.concatenate([f.members[f.first[x] : f.first[x + 1]] for x in f.probe(q, 1.0, 0)]))) == 300
+
+
 def test_forest_recall(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     table = df.toPandas()
