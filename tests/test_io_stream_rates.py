@@ -33,6 +33,16 @@ def test_quota_utilization(spark):
     assert r[2] == pytest.approx(2 / 120 * 100)
 
 
+def test_quota_counts_dense_windows_without_a_sliding_frame(spark):
+    # A frame that slides is added up whole again at every row: quadratic in a window's rows.
+    df = spark.range(30_000).selectExpr("id request_id", "'markets' limiter", "id * 2 t")
+    out = H.quota_utilization(df, H.QUOTAS)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "rangeframe" not in plan.lower() and "unboundedpreceding" in plan.lower()
+    got = {r.request_id: r.window_count for r in out.collect()}
+    assert got == {i: min(i, 5000) + 1 for i in range(30_000)}
+
+
 def test_versioned_paths_and_manifest(spark, tmp_dir):
     df = spark.createDataFrame([(1, 4.0), (2, 5.0), (3, 6.0)], "x long, y double")
     base = f"{tmp_dir}/out/data.parquet"
