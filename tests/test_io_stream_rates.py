@@ -33,6 +33,16 @@ def test_quota_utilization(spark):
     assert r[2] == pytest.approx(2 / 120 * 100)
 
 
+def test_trailing_rate_of_dense_and_negative_times(spark):
+    rnd = random.Random(12)
+    rows = [(i, rnd.choice(["a", None]), rnd.randrange(-40, 41)) for i in range(300)]  # edges of 10 ms windows
+    df = spark.createDataFrame(rows, "request_id long, limiter string, t long")
+    out = H.trailing_rate(df, 0.01)
+    assert "rangeframe" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    got = {r.request_id: r.window_count for r in out.collect()}
+    assert got == {i: sum(m == lim and t - 10 <= u <= t for _, m, u in rows) for i, lim, t in rows}
+
+
 def test_quota_counts_dense_windows_without_a_sliding_frame(spark):
     # A frame that slides is added up whole again at every row: quadratic in a window's rows.
     df = spark.range(30_000).selectExpr("id request_id", "'markets' limiter", "id * 2 t")
