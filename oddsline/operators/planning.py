@@ -113,14 +113,16 @@ def window_ledger_merge(ledger: DataFrame, marks: DataFrame) -> DataFrame:
     """Ledger upsert: later writes replace earlier ones on the 4-column key.
 
     ``marks`` rows are written after the ledger; within ``marks`` a
-    ``write_seq`` column (if present) orders the writes. ``max_by`` is a
-    partial aggregate, so repeated keys are combined map-side.
+    ``write_seq`` column (if present) orders the writes. Rows are exchanged by
+    key before they are combined: keys seldom repeat, and ``max_by`` of texts
+    combines sorted rows, so a map-side pass would sort whole map tasks (large
+    where windows have just been generated from jobs) and combine little.
     """
     old = ledger.select(*LEDGER_KEY, "completed_at", "row_count", F.lit(0).cast("bigint").alias("_w"))
     seq = F.col("write_seq").cast("bigint") + 1 if "write_seq" in marks.columns else F.lit(1).cast("bigint")
     new = marks.select(*LEDGER_KEY, "completed_at", "row_count", seq.alias("_w"))
     last = F.max_by(F.struct("completed_at", "row_count"), "_w")
-    return old.unionByName(new).groupBy(*LEDGER_KEY).agg(last.alias("_v")).select(*LEDGER_KEY, "_v.*")
+    return old.unionByName(new).repartition(*LEDGER_KEY).groupBy(*LEDGER_KEY).agg(last.alias("_v")).select(*LEDGER_KEY, "_v.*")
 
 
 def ledger_completed_count(ledger: DataFrame) -> DataFrame:

@@ -442,8 +442,14 @@ def q_distinct_tokens(spark, sf):
     return D.distinct_tokens(A.markets(spark, sf))
 
 
+def _spread_jobs(spark, sf):
+    """The jobs over all shuffle partitions: a job becomes up to hundreds of
+    windows, while AQE would size tasks by the small job rows."""
+    return A.jobs(spark, sf).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token_id")
+
+
 def _chunks(spark, sf):
-    return D.chunk_windows(A.jobs(spark, sf))
+    return D.chunk_windows(_spread_jobs(spark, sf))
 
 
 def _ledger(spark, sf):
@@ -451,7 +457,7 @@ def _ledger(spark, sf):
     multiple of 3. Those chunk numbers form an arithmetic progression, so
     ``sequence`` generates exactly them (step 3 chunks) instead of every
     chunk followed by a filter."""
-    j = A.jobs(spark, sf)
+    j = _spread_jobs(spark, sf)
     step = D.CHUNK_MS + 1
     ck = F.substring("token_id", 2, 20).cast("bigint")
     n0 = F.pmod(-ck, F.lit(3))

@@ -166,3 +166,15 @@ def test_budget_of_pages_equals_budget_of_rows(spark):
         want = D.row_budget(B.decode_trades(landing), budget)
         got = D.budgeted_trades(landing, budget)
         assert got.columns == want.columns and sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect()), budget
+
+
+def test_ledger_merge_sorts_after_the_exchange_only(spark):
+    cols = "token_id string, start_ts long, end_ts long, fidelity int, completed_at string, row_count long"
+    ledger = spark.createDataFrame([("a", 1, 2, 60, "x", 1), (None, 1, 2, 60, "x", 3)], cols)
+    marks = spark.createDataFrame([("a", 1, 2, 60, "y", 7, 1), ("a", 1, 2, 60, "z", 8, 2), (None, 1, 2, 60, "y", 9, 1)],
+                                  cols + ", write_seq long")
+    out = D.window_ledger_merge(ledger, marks)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("partial_max_by") < plan.index("Exchange" if "Exchange" in plan else "RepartitionByExpression")
+    got = {(r.token_id, r.completed_at, r.row_count) for r in out.collect()}
+    assert got == {("a", "z", 8), (None, "y", 9)}
