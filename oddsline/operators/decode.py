@@ -219,47 +219,59 @@ def _rest_json(item: Column, known: list[str]) -> Column:
     return F.when(F.size(rest) > 0, F.to_json(rest, {"ignoreNullFields": "false"}))
 
 
-def _page_items() -> Column:
-    """The items of a trade page, an empty array for any other payload."""
-    v = F.try_parse_json("payload")
-    return F.coalesce(F.try_variant_get(v, "$.data", "array<variant>"), F.try_variant_get(v, "$", "array<variant>"),
-                      F.array().cast("array<variant>"))
+def _page_items(landing: DataFrame, item: str, keep: list[str]) -> DataFrame:
+    """``keep`` and ``_items``, the items of a trade page each read as ``item`` (null if it
+    is of another kind): an empty array for any other payload. A payload is parsed once."""
+    at = lambda path: F.try_variant_get("_page", path, f"array<{item}>")
+    return (landing.select(*keep, F.try_parse_json("payload").alias("_page"))
+            .select(*keep, F.coalesce(at("$.data"), at("$"), F.array().cast(f"array<{item}>")).alias("_items")))
 
 
 def page_sizes(landing: DataFrame) -> DataFrame:
     """(batch, page, n): how many trades ``decode_trades`` finds on a page; no field is decoded."""
-    n = F.size(F.filter(_page_items(), lambda x: _is_type(x, "OBJECT")))
-    return landing.groupBy("batch", "page").agg(F.sum(n).alias("n"))
+    page = ["batch", "page"]
+    objects = F.size(F.array_compact("_items")).alias("n")  # an item that is no object is null
+    return _page_items(landing, "struct<id:variant>", page).select(*page, objects).groupBy(*page).agg(F.sum("n").alias("n"))
 
 
-def decode_trades(landing: DataFrame, strict_timestamp: bool = True) -> DataFrame:
+def decode_trades(landing: DataFrame, strict_timestamp: bool = True, rest: bool = True) -> DataFrame:
     """(batch, page, payload) -> trade rows with (batch, page, pos).
 
     Fields of an item without a column of their own are kept as JSON in
-    ``rest``. A page is a bare array or ``{"data": [...]}``; non-object items are
-    skipped; any other payload yields nothing. The timestamp is cast to
-    bigint strictly (a non-integer raises, and so does a page on which no
+    ``rest`` (left out on request). A page is a bare array or ``{"data": [...]}``;
+    non-object items are skipped; any other payload yields nothing. The timestamp is
+    cast to bigint strictly (a non-integer raises, and so does a page on which no
     trade has one) unless ``strict_timestamp`` is off.
+
+    A page's items are read as structs of the known fields in one cast; only
+    ``rest`` needs each item as a variant of its own.
     """
-    arr = _page_items()
-    dated = F.exists(arr, lambda x: _present(_field(x, "$.timestamp")))
+    page = ["batch", "page"]
+    fields = {n: "string" if t == "string" else "variant" for n, t in (TRADE_FIELDS | {"timestamp": "variant"}).items()}
+    struct = f"struct<{','.join(f'{n}:{t}' for n, t in fields.items())}>"
+    if rest:
+        items = _page_items(landing, "variant", page)
+        dated = F.exists("_items", lambda x: _present(_field(x, "$.timestamp")))
+    else:
+        items = _page_items(landing, struct, page)
+        dated = F.exists("_items", lambda x: _present(x["timestamp"]))
     # The page's flag is worked out below the explode, once a page.
-    items = (landing.select("batch", "page", dated.alias("_dated"), arr.alias("_items"))
-             .select("batch", "page", "_dated", F.posexplode("_items").alias("pos", "it"))
-             .filter(_is_type(F.col("it"), "OBJECT")))
+    items = (items.select(*page, dated.alias("_dated"), "_items")
+             .select(*page, "_dated", F.posexplode("_items").alias("pos", "it")))
+    read = F.try_variant_get("it", "$", struct) if rest else F.col("it")
+    items = items.select("*", read.alias("_f")).filter(F.col("_f").isNotNull())
     cols = []
     for name, typ in TRADE_FIELDS.items():
-        f = _field(F.col("it"), f"$.{name}")
-        val = _float_value(f) if typ == "double" else F.try_variant_get(f, "$", "string")
-        cols.append(val.alias(name))
-    tsv = _field(F.col("it"), "$.timestamp")
+        f = F.col("_f")[name]
+        cols.append((_float_value(f) if typ == "double" else f).alias(name))
+    tsv = F.col("_f")["timestamp"]
     if strict_timestamp:
         ts = F.when(~F.col("_dated"), F.raise_error(F.lit("trades without a timestamp")).cast("bigint")).when(
             _present(tsv), F.variant_get(tsv, "$", "bigint"))
     else:
         ts = F.try_variant_get(tsv, "$", "bigint")
-    rest = _rest_json(F.col("it"), [*TRADE_FIELDS, "timestamp"])
-    return items.select("batch", "page", "pos", *cols, ts.alias("timestamp"), rest.alias("rest"))
+    others = [_rest_json(F.col("it"), [*TRADE_FIELDS, "timestamp"]).alias("rest")] if rest else []
+    return items.select(*page, "pos", *cols, ts.alias("timestamp"), *others)
 
 
 # ----------------------------------------------------------- B1-B3 markets

@@ -293,22 +293,27 @@ def row_budget(rows: DataFrame, budget: int | None = MAX_TRADES_DEFAULT, page_co
             .drop("_before", "_rank"))
 
 
-def budgeted_trades(landing: DataFrame, budget: int | None = MAX_TRADES_DEFAULT) -> DataFrame:
+def budgeted_trades(landing: DataFrame, budget: int | None = MAX_TRADES_DEFAULT, rest: bool = True) -> DataFrame:
     """D9 on landed trade pages: the trades that ``row_budget`` would keep of all
     decoded ones, but only pages that begin within the budget are decoded.
 
     Pages are sized by their payloads' arrays (a row per page, no field is
-    read), a distributed prefix sum gives the trades before each, and the
-    pages that begin within the budget are joined back. Only the page at the
+    read) and a distributed prefix sum gives the trades before each. Pages that
+    begin within the budget are the first ones in order, so the last of them
+    (one row to the driver) bounds the landing table by a plain filter, which
+    also goes below whatever builds or reads it. Only the page at the
     boundary is ranked and cut.
     """
     from oddsline.operators.decode import decode_trades, page_sizes
 
     if budget is None:
-        return decode_trades(landing)
+        return decode_trades(landing, rest=rest)
     page = ["batch", "page"]
     begin = prefix_offsets(page_sizes(landing), page, "n", "_before").filter(F.col("_before") < budget)
-    rows = decode_trades(landing.join(begin.select(*page), page, "left_semi"))
+    last = begin.dropna(subset=page).agg(F.max(F.struct(*page)).alias("m")).first()["m"]  # null pages take no part
+    b, p = (F.lit(last[c] if last else None).cast(landing.schema[c].dataType) for c in page)
+    first = landing.filter((F.col("batch") < b) | ((F.col("batch") == b) & (F.col("page") <= p)))
+    rows = decode_trades(first, rest=rest)
     rows = rows.join(begin.select(*page, (F.lit(budget) - F.col("_before")).alias("_left"), F.col("n").alias("_n")), page)
     rank = F.row_number().over(Window.partitionBy(*page).orderBy("pos"))
     whole = rows.filter(F.col("_n") <= F.col("_left"))

@@ -528,12 +528,12 @@ def q_id_batches(spark, sf):
 
 def _trades_decoded(spark, sf):
     """The columns that the oracles of trades have; ``decode_trades_rest`` has the other fields."""
-    return B.decode_trades(A.trade_pages(spark, sf)).drop("rest")
+    return B.decode_trades(A.trade_pages(spark, sf), rest=False)
 
 
 @register("row_budget")
 def q_row_budget(spark, sf):
-    return rounded(D.budgeted_trades(A.trade_pages(spark, sf), ROW_BUDGET).drop("rest"))
+    return rounded(D.budgeted_trades(A.trade_pages(spark, sf), ROW_BUDGET, rest=False))
 
 
 @register("trades_since")

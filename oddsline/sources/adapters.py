@@ -325,8 +325,8 @@ def trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     page = F.floor(F.col("l_orderkey") / TRADE_PAGE_ORDERS).cast("bigint")
     g = rows.groupBy(page.alias("page")).agg(
-        F.array_sort(F.collect_list(F.struct(*TRADE_ORDER, "item"))).alias("items"))
-    arr = F.concat(F.lit("["), F.concat_ws(",", F.transform("items", lambda s: s["item"])), F.lit(',"junk"]'))
+        F.sort_array(F.collect_list(F.struct(*TRADE_ORDER, "item"))).alias("items"))
+    arr = F.concat(F.lit("["), F.concat_ws(",", F.col("items")["item"]), F.lit(',"junk"]'))
     payload = F.when(F.pmod("page", F.lit(2)) == 0, arr).otherwise(F.concat(F.lit('{"data":'), arr, F.lit("}")))
     return g.select(F.floor(F.col("page") / TRADE_BATCH_PAGES).cast("bigint").alias("batch"), "page",
                     payload.alias("payload"))

@@ -178,3 +178,16 @@ def test_ledger_merge_sorts_after_the_exchange_only(spark):
     assert plan.index("partial_max_by") < plan.index("Exchange" if "Exchange" in plan else "RepartitionByExpression")
     got = {(r.token_id, r.completed_at, r.row_count) for r in out.collect()}
     assert got == {("a", "z", 8), (None, "y", 9)}
+
+
+def test_budget_bounds_the_landing_table_by_a_filter(spark, tmp_dir):
+    rows = [(i, f'{{"id":"{i}","timestamp":{i}}}') for i in range(400)]
+    spark.createDataFrame(rows, "k long, item string").write.parquet(f"{tmp_dir}/k")
+    items = spark.read.parquet(f"{tmp_dir}/k").groupBy(F.floor(F.col("k") / 10).alias("page")).agg(F.collect_list("item").alias("i"))
+    landing = items.select(F.floor(F.col("page") / 4).alias("batch"), "page",
+                           F.concat(F.lit("["), F.concat_ws(",", "i"), F.lit("]")).alias("payload"))
+    out = D.budgeted_trades(landing, 95)
+    scanned = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x and "k#" in x and "<= 9" in x]
+    assert scanned  # pages past the budget are not built again
+    assert out.count() == 95
+    assert out.filter("page < 9").count() == 90
