@@ -181,3 +181,21 @@ def test_depth_level_and_array_forms_agree(spark):
         assert arr[tok] == pytest.approx(v), tok
     empty = set(arr) - set(tab)  # books without any level have no level rows
     assert all(arr[t] == (0.0, 0.0, 0.0) for t in empty)
+
+
+ODD_PAGES = ['[{"id":1,"size":true,"price":" 2.5 ","timestamp":7,"x":[1]},3,null,"s",[{"id":"n"}],{},{"id":null,"timestamp":"8"}]',
+             '{"data":[{"id":{"a":1},"size":"q","price":-2,"timestamp":null},{"side":true,"size":{},"timestamp":9}]}',
+             '{"data":{"id":"z"}}', "not json", None, "[]", "[1,2]", '{"data":null}', '"t"', '[{"ID":"u","timestamp":1}]']
+
+
+def test_trade_items_read_as_structs(spark):
+    land = spark.createDataFrame([(i // 3, i, p) for i, p in enumerate(ODD_PAGES)], "batch long, page long, payload string")
+    out = B.decode_trades(land, rest=False)
+    # The kind of a whole item is not spelled out, and no item is copied as a variant.
+    assert "array<variant>" not in out._jdf.queryExecution().analyzed().toString()
+    rows = {(r.page, r.pos): r for r in out.collect()}
+    assert rows == {(r.page, r.pos): r for r in B.decode_trades(land).drop("rest").collect()}
+    assert {k: (r.id, r.size, r.price, r.timestamp) for k, r in rows.items()} == {
+        (0, 0): ("1", 1.0, 2.5, 7), (0, 5): (None, None, None, None), (0, 6): (None, None, None, 8),
+        (1, 0): ('{"a":1}', None, -2.0, None), (1, 1): (None, None, None, 9), (9, 0): (None, None, None, 1)}
+    assert {r.page: r.n for r in B.page_sizes(land).collect()} == {0: 3, 1: 2, 9: 1, **dict.fromkeys(range(2, 9), 0)}
