@@ -243,27 +243,25 @@ def decode_trades(landing: DataFrame, strict_timestamp: bool = True, rest: bool
     cast to bigint strictly (a non-integer raises, and so does a page on which no
     trade has one) unless ``strict_timestamp`` is off.
 
-    A page's items are read as structs of the known fields in one cast; only
-    ``rest`` needs each item as a variant of its own.
+    A page's items are read as structs of the known fields in one cast, numbers
+    as doubles by the rule of ``_float_value``; only ``rest`` needs each item as
+    a variant of its own.
     """
     page = ["batch", "page"]
-    fields = {n: "string" if t == "string" else "variant" for n, t in (TRADE_FIELDS | {"timestamp": "variant"}).items()}
-    struct = f"struct<{','.join(f'{n}:{t}' for n, t in fields.items())}>"
+    struct = f"struct<{','.join(f'{n}:{t}' for n, t in (TRADE_FIELDS | {'timestamp': 'variant'}).items())}>"
     if rest:
         items = _page_items(landing, "variant", page)
         dated = F.exists("_items", lambda x: _present(_field(x, "$.timestamp")))
     else:
         items = _page_items(landing, struct, page)
         dated = F.exists("_items", lambda x: _present(x["timestamp"]))
-    # The page's flag is worked out below the explode, once a page.
+    # The page's flag is worked out below the explode, once a page. An inner explode would
+    # also test each page for items below whatever builds it, which parses every page twice.
     items = (items.select(*page, dated.alias("_dated"), "_items")
-             .select(*page, "_dated", F.posexplode("_items").alias("pos", "it")))
+             .select(*page, "_dated", F.posexplode_outer("_items").alias("pos", "it")))
     read = F.try_variant_get("it", "$", struct) if rest else F.col("it")
     items = items.select("*", read.alias("_f")).filter(F.col("_f").isNotNull())
-    cols = []
-    for name, typ in TRADE_FIELDS.items():
-        f = F.col("_f")[name]
-        cols.append((_float_value(f) if typ == "double" else f).alias(name))
+    cols = [F.col("_f")[name].alias(name) for name in TRADE_FIELDS]
     tsv = F.col("_f")["timestamp"]
     if strict_timestamp:
         ts = F.when(~F.col("_dated"), F.raise_error(F.lit("trades without a timestamp")).cast("bigint")).when(
