@@ -8,9 +8,10 @@ forest is small. The trees are shared with all tasks; their size depends on
 the sample only.
 
 Index: vectors are dealt into blocks (see ``vectors``). Every block is passed
-through all trees once and keeps, per tree, its rows in order of their leaves:
-the shard of the index that a search reads. Blocks have a bounded size, so a
-leaf of a shard has as few rows as one of the sample, however large the table.
+through all trees once, by the task that holds it, and keeps, per tree, its
+rows in order of their leaves: the shard of the index that a search reads.
+Blocks have a bounded size, so a leaf of a shard has as few rows as one of the
+sample, however large the table.
 
 Search: each query is searched once, by one priority queue over all trees. It
 holds nodes by their distance beyond the planes crossed on the way and pops
@@ -30,6 +31,7 @@ ignored.
 from __future__ import annotations
 
 import heapq
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -126,6 +128,17 @@ def shard(leaf: np.ndarray, leaves: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate(([0], np.cumsum(np.bincount(code.ravel(), minlength=trees * leaves)))).astype(np.int32)
 
 
+def pack(seen: list[list[int]]) -> bytes:
+    """The leaves that each query looks into, as they travel: steps between sorted numbers, compressed."""
+    steps = [np.diff(np.sort(s), prepend=0) for s in seen]
+    return zlib.compress(np.concatenate([[len(s) for s in seen], *steps]).astype("<i4").tobytes(), 1)
+
+
+def unpack(packed: bytes, queries: int) -> list[np.ndarray]:
+    numbers = np.frombuffer(zlib.decompress(packed), "<i4")
+    return [np.cumsum(s) for s in np.split(numbers[queries:], np.cumsum(numbers[:queries])[:-1])]
+
+
 def fit(vectors: DataFrame, sample_rows: int = SAMPLE, trees: int = TREES, leaf: int = LEAF, seed: int = 7) -> Forest | None:
     """The forest of a (vec_id, v) table, grown on a bounded sample; None if it is empty."""
     spark = vectors.sparkSession
@@ -162,21 +175,16 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
 
     def index(v):
         f = shared.value
-        order, first = shard(f.leaf_of(f.fitted(v)), f.leaves)
-        return order.tobytes() + first.tobytes()
+        return shard(f.leaf_of(f.fitted(v)), f.leaves)
 
     def probe(q):
         f = shared.value
-        seen = [f.probe(x, share, least) for x in f.fitted(q)]
-        return np.concatenate([[len(s) for s in seen], *seen]).astype(np.int32).tobytes()
+        return pack([f.probe(x, share, least) for x in f.fitted(q)])
 
     def score(q_ids, q, ids, v, probed, indexed):
-        q, v, n = unit(q), unit(v), shared.value.trees * len(ids)
-        order, first = np.frombuffer(indexed, np.int32, n), np.frombuffer(indexed, np.int32, offset=4 * n)
-        counts = np.frombuffer(probed, np.int32, len(q_ids))
-        leaves = np.split(np.frombuffer(probed, np.int32, offset=4 * len(q_ids)), np.cumsum(counts)[:-1])
+        q, v, (order, first) = unit(q), unit(v), indexed
         a, b, s = [], [], []
-        for r, leaf in enumerate(leaves):
+        for r, leaf in enumerate(unpack(probed, len(q_ids))):
             size = first[leaf + 1] - first[leaf]
             rows = order[np.repeat(first[leaf + 1] - np.cumsum(size), size) + np.arange(size.sum())]
             looked = np.zeros(len(v), bool)

@@ -89,6 +89,26 @@ def test_forest_edges_and_small_tables_are_exact(spark):
     assert [i for _, i, _ in as_dict(forest.nearest(same))[50]] == [0, 1, 2, 3, 4]
 
 
+def numbered_vectors(spark, rows):
+    return spark.range(rows).select(F.col("id").alias("vec_id"), F.expr(
+        "transform(sequence(1, 8), k -> cast(hash(id, k) / 2147483648.0 as float))").alias("embedding"))
+
+
+def plan_of(found):
+    return found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_forest_queries_that_are_repeated_are_not_broadcast(spark):
+    found = forest.nearest(numbered_vectors(spark, 1500), block_rows=50)
+    assert len(found.collect()) == 150
+    assert "Broadcast" not in plan_of(found)
+
+
+def test_forest_leaves_travel_whole():
+    seen = [[5, 131071, 0, 70], [3], [], [9, 8]]
+    assert [x.tolist() for x in forest.unpack(forest.pack(seen), 4)] == [sorted(x) for x in seen]
+
+
 def test_forest_leaves_hold_all_rows_and_probes_go_by_distance():
     rng = np.random.default_rng(3)
     sample = forest.unit(rng.normal(size=(300, 5)))
