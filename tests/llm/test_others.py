@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from oddsline.llm import chat, common, forest, html_main, ngram_join, topk, toxicity, url_rules
+from oddsline.llm import chat, common, forest, html_main, ngram_join, topk, toxicity, url_rules, vectors
 from oddsline.llm.components import components
 from oddsline.llm.queries import ORACLES, QUERIES, RULES
 from oddsline.session import share_modules
@@ -70,6 +70,38 @@ def test_exact_topk(spark):
     assert [r for r, *_ in few[0]] == [1, 2]
 
 
+def test_topk_queries_that_are_repeated_are_not_broadcast(spark):
+    found = topk.exact_topk(numbered_vectors(spark, 3000), block_rows=50)
+    assert len(found.collect()) == 300
+    assert "Broadcast" not in plan_of(found)
+
+
+def test_tiles_go_by_the_size_of_the_vectors(spark):
+    tiles = lambda count, dims: vectors._tiles(spark.range(1), count, count * dims, 10, 4000)
+    cores = spark.sparkContext.defaultParallelism
+    assert tiles(0, 64) == 1 and tiles(10, 64) == 1 and tiles(11, 64) == 2
+    assert tiles(10_000, 4) == min(1000, vectors.TASKS_A_CORE * cores)  # not one per block
+    assert tiles(10_000, 64) == 160
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_topk_of_repeated_ids_over_tiles_blocks_and_batches(spark, kind):
+    rows = [(i % 70 if i < 180 else i, [float((i * 7 + d * 5) % 11 - 5) for d in range(1 + i % 4)], 0) for i in range(260)]
+    least = {}
+    for i, v, _ in rows:
+        least[i] = min(v, least.get(i, v))
+    want = brute_nearest([(i, v, 0) for i, v in least.items()],
+                         lambda a, b: int(np.floor(256 * a).astype(np.int64) @ np.floor(256 * b).astype(np.int64)), True)
+    df = spark.createDataFrame(rows, VECTORS.replace("float", kind))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for sizes in ({}, {"block_rows": 20, "query_rows": 2}, {"block_rows": 9, "query_rows": 3, "tile_values": 1000}, {"tile_values": 4}):
+            assert as_dict(topk.exact_topk(df, **sizes)) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_topk_with_huge_components(spark):
     df = spark.createDataFrame([(0, [3e38, -1.0], 0), (1, [3e38, 2.0], 0), (2, [-3e38, 1.0], 0), (3, [1e-3, 5.0], 0)], VECTORS)
     got = as_dict(topk.exact_topk(df))[0]
